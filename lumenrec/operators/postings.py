@@ -7,7 +7,7 @@ large share of all postings.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -61,13 +61,18 @@ def search_words(
     )
 
 
-def recall_words(words: DataFrame, readings: DataFrame | None = None) -> DataFrame:
-    """Words → postings: every prefix key of every word, score ``0.7 word + 0.3 prefix``."""
+def recall_words(
+    words: DataFrame, readings: DataFrame | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Words → postings: every prefix key of every word, score ``0.7 word + 0.3 prefix``.
+
+    ``keep`` names further word columns to carry along.
+    """
     keys = prefix_keys(words, readings).select("word", "tokens", "search_key", "highlight", "prefix_score")
     score = WORD_WEIGHT * F.col("word_score") + PREFIX_WEIGHT * F.col("prefix_score")
     return (
         words.join(keys, ["word", "tokens"])
-        .select("search_key", "category", "item_id", "highlight", score.alias("score"), "risk")
+        .select("search_key", "category", "item_id", "highlight", score.alias("score"), "risk", *keep)
     )
 
 

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 from lumenrec.operators.lists import top_n
 
 SCALE = 1_000_000.0
+# Sorts after every real cell, and can be negated.
+_SELF = -(2**62)
 _PARTNERS = "item_id bigint, other_id bigint, sim_ppm bigint"
 
 
@@ -101,10 +103,12 @@ def _best(pairs: DataFrame, n: int) -> DataFrame:
 def _block_pairs(rows: DataFrame, left_blocks: int, right_blocks: int, task: Callable) -> DataFrame:
     """Meet every left block with every right block, one Arrow group per pair."""
     home = F.xxhash64("item_id")
+    # Fresh column names on both sides: the two are the same table.
+    again = rows.select([F.col(c).alias(c) for c in rows.columns])
     left = rows.withColumn("_left", F.pmod(home, F.lit(left_blocks))).withColumn(
         "_right", F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1)).cast("array<bigint>"))
     )
-    right = rows.withColumn("_right", F.pmod(home, F.lit(right_blocks))).withColumn(
+    right = again.withColumn("_right", F.pmod(home, F.lit(right_blocks))).withColumn(
         "_left", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)).cast("array<bigint>"))
     )
     return left.groupBy("_left", "_right").cogroup(right.groupBy("_left", "_right")).applyInArrow(
@@ -182,12 +186,12 @@ def _dense_task(n: int, chunk: int = 4096) -> Callable:
             col = np.arange(start, start + width)
             # One number per cell that orders by score, then by lower id; no ties.
             order = ppm * width - np.arange(width)
-            order[ids[:, None] == others[None, start : start + chunk]] = np.iinfo(np.int64).min
-            k = min(n, width)
+            order[ids[:, None] == others[None, start : start + chunk]] = _SELF
+            k = min(n + 1, width)
             top = np.argpartition(-order, k - 1, axis=1)[:, :k]
             row = np.repeat(np.arange(len(ids)), k)
             cell = top.ravel()
-            real = order[row, cell] != np.iinfo(np.int64).min
+            real = order[row, cell] != _SELF
             row, cell = row[real], cell[real]
             best = _keep_best(
                 np.concatenate([best[0], row]),

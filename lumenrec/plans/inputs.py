@@ -114,13 +114,15 @@ class Inputs:
 
     @cached_property
     def short_items(self) -> DataFrame:
-        docs = self.table("documents").select("doc_id", "lang", "text")
+        docs = self.table("documents").select("doc_id", "lang", "text", "n_chars")
         toxic = self.table("labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         return docs.join(toxic, "doc_id", "left").select(
             F.col("doc_id").alias("item_id"),
             F.concat(F.lit("short-"), F.col("lang")).alias("category"),
             F.col("text").alias("title"),
             F.coalesce(F.col("toxic"), F.lit(0)).cast("bigint").alias("risk"),
+            F.date_sub(F.lit("2001-10-01").cast("date"), F.floor(F.col("n_chars") / 10).cast("int"))
+            .cast("timestamp_ntz").alias("update_ts"),
         )
 
     @cached_property
@@ -236,7 +238,8 @@ INPUT_SQL: dict[str, str] = {
           FROM part WINDOW g AS (PARTITION BY p_brand, p_type, p_size)) WHERE n >= 2""",
     "canonical": "SELECT item_id, min(canonical_id) AS canonical_id FROM canonical_relation GROUP BY item_id",
     "short_items": """
-        SELECT d.doc_id AS item_id, 'short-' || lang AS category, text AS title, CAST(coalesce(l.toxic, 0) AS BIGINT) AS risk
+        SELECT d.doc_id AS item_id, 'short-' || lang AS category, text AS title, CAST(coalesce(l.toxic, 0) AS BIGINT) AS risk,
+          CAST(DATE '2001-10-01' - CAST(n_chars // 10 AS INTEGER) AS TIMESTAMP) AS update_ts
         FROM documents d LEFT JOIN (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) l ON d.doc_id = l.doc_id""",
     "collections": "SELECT n_name AS code, n_name AS title FROM nation",
     "people": "SELECT s_suppkey AS person_id, s_name AS name FROM supplier",

@@ -49,8 +49,9 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]
     if len(got) != len(want):
         found.append(f"rows {len(got)} != {len(want)}")
     if got != want:
-        extra = [r for r in got if r not in set(want)][:3] if len(want) < 500000 else []
-        missing = [r for r in want if r not in set(got)][:3] if len(got) < 500000 else []
+        got_set, want_set = set(got), set(want)
+        extra = [r for r in got if r not in want_set][:3]
+        missing = [r for r in want if r not in got_set][:3]
         found.append(f"rows differ in {names}: only here {str(extra)[:600]}, only in SQL {str(missing)[:600]}")
     return found
 
