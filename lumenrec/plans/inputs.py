@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lumenrec.operators.lists import top_n
 from lumenrec.operators.similar import similar_by_cluster
@@ -208,6 +208,42 @@ class Inputs:
     def vip_candidates(self) -> DataFrame:
         return self._favourites(self.items.where("status = 1 and vip"))
 
+    def event_stream(self) -> DataFrame:
+        """The events table as a stream of files (a single file or a folder of parts)."""
+        return self.spark.readStream.schema(EVENT_SCHEMA).parquet(f"{self.path}/events.parquet*")
+
+    def message_stream(self) -> DataFrame:
+        """Events as ``(key, value, topic)`` change messages about catalogue items.
+
+        The topic is the event type and the item has the user's number. Cheap events
+        (value below 2) carry no title, so they are incomplete messages.
+        """
+        items = self.items.select(F.col("item_id").alias("user_id"), "category", "title")
+        k = F.from_json("props", "k bigint")["k"]
+        number = F.col("user_id").cast("string")
+        title = F.when(F.col("value") >= 2, F.col("title"))
+
+        def content(item: Column, status: Column, provider: Column) -> Column:
+            return F.struct(
+                item.cast("string").alias("item_id"), F.col("category"), F.col("title"),
+                status.cast("string").alias("status"), provider.alias("provider"),
+            )
+
+        body = F.struct(
+            number.alias("item_id"), number.alias("canonical_id"), number.alias("code"), number.alias("person_id"),
+            F.col("category"), title.alias("title"), title.alias("name"),
+            F.floor(k / 34).alias("risk"),
+            F.when(k >= 50, 1).otherwise(0).alias("status"),
+            F.col("ts").cast("string").alias("update_ts"),
+            F.array(
+                content(F.col("user_id"), F.when(k >= 30, 1).otherwise(0), F.when(k >= 60, "premium").otherwise("basic")),
+                content(F.col("user_id") + 1, F.lit(1), F.lit("basic")),
+            ).alias("contents"),
+        )
+        return self.event_stream().join(items, "user_id").select(
+            F.col("event_id").cast("string").alias("key"), F.to_json(body).alias("value"), F.col("event_type").alias("topic")
+        )
+
 
 INPUT_SQL: dict[str, str] = {
     "items": """
@@ -278,4 +314,10 @@ INPUT_SQL: dict[str, str] = {
         SELECT user_id, item_id, rank FROM liked JOIN (
           SELECT item_id, category, row_number() OVER (PARTITION BY category ORDER BY rating DESC, item_id) AS rank
           FROM items WHERE status = 1 AND vip QUALIFY rank <= 100) USING (category)""",
+    "messages": """
+        SELECT event_id, e.ts, e.user_id, event_type AS topic, i.category, CASE WHEN value >= 2 THEN i.title END AS title,
+          i.title AS item_title, k, CAST(k // 34 AS BIGINT) AS risk, CAST(CASE WHEN k >= 50 THEN 1 ELSE 0 END AS BIGINT) AS status
+        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e JOIN items i ON e.user_id = i.item_id""",
+    "programs": "SELECT * FROM messages WHERE topic = 'view' AND title IS NOT NULL",
+    "linked": "SELECT * FROM messages WHERE topic = 'purchase'",
 }
