@@ -96,7 +96,22 @@ def stream_interval_left_join(inp: Inputs) -> DataFrame:
     return _drain(inp, joined.select("view_id", "purchase_id"), "interval-join")
 
 
-@query("stream_source_preference")
+@query(
+    "stream_source_preference",
+    """SELECT * FROM (
+    WITH met AS (
+      SELECT v.*, l.event_id AS linked_id, l.k AS linked_k, l.user_id AS linked_user, l.item_title AS linked_title, l.category AS linked_category
+      FROM programs v LEFT JOIN linked l ON v.user_id = l.user_id AND l.ts BETWEEN v.ts AND v.ts + INTERVAL 1 HOUR),
+    emitted AS (
+      SELECT * FROM met WHERE linked_id IS NOT NULL
+        OR ts < (SELECT least((SELECT max(ts) FROM programs), (SELECT max(ts) FROM linked))) - INTERVAL 2 HOUR)
+    SELECT DISTINCT CAST(user_id AS VARCHAR) AS item_id, category, title, risk, CAST(CASE WHEN status = 1 THEN 1 ELSE -1 END AS BIGINT) AS status
+    FROM emitted WHERE linked_id IS NULL
+    UNION
+    SELECT CAST(linked_user + n AS VARCHAR), linked_category, linked_title, risk,
+      CASE WHEN linked_k >= 60 THEN CASE WHEN n = 0 THEN 1 ELSE -1 END WHEN status = 1 THEN 1 ELSE -1 END
+    FROM emitted, (SELECT unnest([0, 1]) AS n) WHERE linked_id IS NOT NULL)""",
+)
 def stream_source_preference(inp: Inputs) -> DataFrame:
     """Programs joined with linked contents, source preference, repeats dropped."""
     programs = _programs(inp).withColumn("key", F.col("item_id"))
@@ -105,8 +120,9 @@ def stream_source_preference(inp: Inputs) -> DataFrame:
     )
     joined = joins.interval_left_join(programs, linked, "1 HOUR", "1 hour")
     changes = joins.prefer_source(joined, "premium")
-    once = changes.dropDuplicatesWithinWatermark(["item_id", "category", "title", "risk", "status"])
-    return _drain(inp, once.drop("ts"), "source-preference")
+    keys = ["item_id", "category", "title", "risk", "status"]
+    once = changes.dropDuplicatesWithinWatermark(keys).select(*keys)
+    return _drain(inp, once, "source-preference")
 
 
 _CHANGES = {
