@@ -16,9 +16,6 @@ from lumenrec.functions.ordering import digest_number, shuffle_digest
 
 TAKE, RANDOM, TAKE_AND_RANDOM = "take", "random", "take_and_random"
 
-# Two hex digits split a shuffled list into 256 even slices.
-_SLICE_DIGITS = 2
-
 
 def top_n(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, pos: str = "pos"
@@ -29,29 +26,36 @@ def top_n(
     return ranked.withColumn(pos, F.col(pos).cast("bigint"))
 
 
-def shuffled_positions(df: DataFrame, key: str, item: str, seed: int = 7, pos: str = "pos") -> DataFrame:
+def shuffled_positions(
+    df: DataFrame, key: str, item: str, seed: int = 7, pos: str = "pos", slice_rows: int = 1_000_000
+) -> DataFrame:
     """Position of every row in a repeatable random order of its key's whole list.
 
-    A list may hold a large share of all rows, so no task ranks a whole list: rows
-    are cut into slices by the leading digits of their digest, slice sizes are
-    counted with partial aggregation, and a row's position is the rows in earlier
-    slices plus its rank inside its own slice.
+    A list may hold a large share of all rows, so no task ranks more than about
+    ``slice_rows`` of one list. Longer lists (there are at most total / slice_rows of
+    them, hence the broadcast) are cut into even slices by the leading digits of the
+    row digest; a row's position is the rows in earlier slices plus its rank inside
+    its own slice.
     """
-    digest = df.where(F.col(key).isNotNull()).withColumn("_digest", shuffle_digest(seed, key, item))
-    sliced = digest.withColumn("_slice", F.substring("_digest", 1, _SLICE_DIGITS))
-    before = (
-        Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.where(F.col(key).isNotNull()).withColumn("_digest", shuffle_digest(seed, key, item))
+    long = (
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > slice_rows)
+        .select(key, F.ceil(F.log(16.0, F.col("_size") / slice_rows)).cast("int").alias("_digits"))
+    )
+    sliced = rows.join(F.broadcast(long), key, "left").withColumn(
+        "_slice", F.substring("_digest", F.lit(1), F.coalesce("_digits", F.lit(0)))
     )
+    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(key, "_slice")
+        sliced.where("_digits is not null").groupBy(key, "_slice")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select(key, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+        .select(key, "_slice", F.sum("_size").over(before).alias("_before"))
     )
     inside = Window.partitionBy(key, "_slice").orderBy("_digest", item)
+    place = F.coalesce("_before", F.lit(0)) + F.row_number().over(inside)
     return (
-        sliced.join(offsets, [key, "_slice"])
-        .withColumn(pos, (F.col("_before") + F.row_number().over(inside)).cast("bigint"))
-        .drop("_digest", "_slice", "_before")
+        sliced.join(offsets, [key, "_slice"], "left").withColumn(pos, place.cast("bigint"))
+        .drop("_digest", "_digits", "_slice", "_before")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.operators.lists import top_n
 
@@ -34,19 +34,23 @@ def mix(
 
     offers = None
     for index, source in enumerate(sources):
-        turn = F.lit(0) if mode == STACKING else F.floor((F.col("rank") - 1) / ratio[index])
-        offer = source.select(
-            key,
-            item,
-            F.struct(
-                turn.cast("bigint").alias("turn"),
-                F.lit(index).alias("source"),
-                F.col("rank").cast("bigint").alias("rank"),
-            ).alias("_place"),
-        )
+        place = _stack_place(index) if mode == STACKING else _turn_place(index, ratio)
+        offer = source.select(key, item, place.alias("_place"))
         offers = offer if offers is None else offers.unionByName(offer)
     first = offers.groupBy(key, item).agg(F.min("_place").alias("_place"))
     return (
         top_n(first, [key], [F.col("_place"), F.col(item)], n)
         .select(key, item, "pos", (F.lit(1.0) / F.col("pos")).alias("score"))
     )
+
+
+def _stack_place(index: int) -> Column:
+    """Orders by (source, rank). One number, because its minimum aggregates by hash."""
+    return F.lit(index << 56) + F.col("rank")
+
+
+def _turn_place(index: int, ratio: Sequence[int]) -> Column:
+    """Orders by (turn, source, rank), where a source gives ``ratio`` ranks per turn."""
+    before = F.col("rank") - 1
+    turn = F.expr(f"(rank - 1) div {ratio[index]}")
+    return (turn * len(ratio) + index) * max(ratio) + before % ratio[index]

@@ -12,13 +12,19 @@ Scores are compared in whole millionths, so near ties rank the same on any CPU.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from lumenrec.operators.lists import top_n
+from lumenrec.session import materialize
+
+# The block functions travel with the job; executors need numpy and pyarrow only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCALE = 1_000_000.0
 # Sorts after every real cell, and can be negated.
@@ -71,10 +77,13 @@ def similar_sparse(
     Pairs without a common feature do not count. One row per (item, feature) is
     expected. An item with more than ``long_row`` features would make its block too
     big; such items are few (total / long_row) and are paired by a plain join and
-    aggregate instead, see ``_long_row_pairs``.
+    aggregate instead, see ``_long_row_pairs``. Other items are packed into one row.
     """
-    rows = entries.where("weight <> 0 and item_id is not null and feature is not null").select(
-        F.col("item_id").cast("bigint"), F.col("feature").cast("bigint"), F.col("weight").cast("double")
+    rows = materialize(
+        entries.where("weight <> 0 and item_id is not null and feature is not null").select(
+            F.col("item_id").cast("bigint"), F.col("feature").cast("bigint"), F.col("weight").cast("double")
+        ),
+        "sparse-entries",
     )
     lengths = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("length"))
     size = lengths.agg(
@@ -85,13 +94,18 @@ def similar_sparse(
     left = _blocks(size.items, left_rows)
     right = _blocks(size.entries, right_entries)
     if size.longest <= long_row:
-        return _best(_block_pairs(rows, left, right, _sparse_task(n)), n)
+        return _best(_block_pairs(_packed(rows), left, right, _sparse_task(n)), n)
     long_items = lengths.where(F.col("length") > long_row).select("item_id")
-    short = rows.join(long_items, "item_id", "left_anti")
+    short = _packed(rows.join(long_items, "item_id", "left_anti"))
     pairs = _block_pairs(short, left, right, _sparse_task(n)).unionByName(_long_row_pairs(rows, long_items))
     return _best(pairs, n)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """One row per item; only for items known to be short."""
+    return rows.groupBy("item_id").agg(F.collect_list(F.struct("feature", "weight")).alias("entries"))
+
+
 def _blocks(total: int, per_block: int) -> int:
     return max(1, math.ceil(total / per_block))
 
@@ -111,9 +125,12 @@ def _block_pairs(rows: DataFrame, left_blocks: int, right_blocks: int, task: Cal
     right = again.withColumn("_right", F.pmod(home, F.lit(right_blocks))).withColumn(
         "_left", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)).cast("array<bigint>"))
     )
-    return left.groupBy("_left", "_right").cogroup(right.groupBy("_left", "_right")).applyInArrow(
-        task, _PARTNERS
-    )
+    # An explicit number of partitions: a pair costs far more CPU than its bytes tell,
+    # so adaptive coalescing must not put many pairs into one task.
+    tasks = 4 * left_blocks * right_blocks
+    left = left.repartition(tasks, "_left", "_right").groupBy("_left", "_right")
+    right = right.repartition(tasks, "_left", "_right").groupBy("_left", "_right")
+    return left.cogroup(right).applyInArrow(task, _PARTNERS)
 
 
 def _long_row_pairs(rows: DataFrame, long_items: DataFrame) -> DataFrame:
@@ -153,14 +170,25 @@ def _partner_table(items: np.ndarray, others: np.ndarray, ppm: np.ndarray) -> pa
 
 
 def _keep_best(row: np.ndarray, col: np.ndarray, ppm: np.ndarray, n: int):
-    """The n best cells of every row: score first, then the lower column."""
-    order = np.lexsort((col, -ppm, row))
+    """The n best cells of every row; among equal scores the one that comes first."""
+    # |ppm| <= 10**6 < 2**21, so row and falling score fit one integer key.
+    order = np.argsort((row << 22) + (2**21 - ppm), kind="stable")
     row, col, ppm = row[order], col[order], ppm[order]
     first = np.searchsorted(row, row, side="left")
     keep = np.arange(len(row)) - first < n
     return row[keep], col[keep], ppm[keep]
 
 
+def _floor_of_list(row: np.ndarray, ppm: np.ndarray, rows: int, n: int) -> np.ndarray:
+    """Score a new cell has to beat: the row's n-th best so far, if it has n."""
+    floor = np.full(rows, -(2**21), dtype=np.int64)
+    if len(row):
+        start = np.searchsorted(row, np.arange(rows))
+        full = np.bincount(row, minlength=rows) >= n
+        floor[full] = ppm[start[full] + n - 1]
+    return floor
+
+
 def _unit_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Ids and length-1 vectors, ordered by id; zero vectors are left out."""
     table = table.combine_chunks().sort_by("item_id")
@@ -172,6 +200,16 @@ def _unit_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return ids[good], matrix[good] / norm[good, None]
 
 
+def _sparse_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids in order, and per entry: index of its id, feature, weight."""
+    table = table.combine_chunks().sort_by("item_id")
+    ids = table.column("item_id").to_numpy()
+    lists = table.column("entries").combine_chunks()
+    row = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+    entries = lists.flatten()
+    return ids, row, entries.field("feature").to_numpy(), entries.field("weight").to_numpy()
+
+
 def _dense_task(n: int, chunk: int = 4096) -> Callable:
     def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
         none = np.empty(0, dtype=np.int64)
@@ -188,9 +226,8 @@ def _dense_task(n: int, chunk: int = 4096) -> Callable:
             order = ppm * width - np.arange(width)
             order[ids[:, None] == others[None, start : start + chunk]] = _SELF
             k = min(n + 1, width)
-            top = np.argpartition(-order, k - 1, axis=1)[:, :k]
+            cell = np.sort(np.argpartition(-order, k - 1, axis=1)[:, :k], axis=1).ravel()
             row = np.repeat(np.arange(len(ids)), k)
-            cell = top.ravel()
             real = order[row, cell] != _SELF
             row, cell = row[real], cell[real]
             best = _keep_best(
@@ -209,9 +246,8 @@ def _sparse_task(n: int, chunk: int = 2048, expand: int = 4_000_000) -> Callable
         none = np.empty(0, dtype=np.int64)
         if left.num_rows == 0 or right.num_rows == 0:
             return _partner_table(none, none, none)
-        ids, a_row = np.unique(left.column("item_id").to_numpy(), return_inverse=True)
-        features, a_feature = np.unique(left.column("feature").to_numpy(), return_inverse=True)
-        a_weight = left.column("weight").to_numpy()
+        ids, a_row, a_feature, a_weight = _sparse_rows(left)
+        features, a_feature = np.unique(a_feature, return_inverse=True)
         a_norm = np.bincount(a_row, a_weight * a_weight)
         # Left entries grouped by feature.
         order = np.argsort(a_feature, kind="stable")
@@ -219,15 +255,12 @@ def _sparse_task(n: int, chunk: int = 2048, expand: int = 4_000_000) -> Callable
         a_count = np.bincount(a_feature, minlength=len(features))
         a_start = np.concatenate([[0], np.cumsum(a_count)[:-1]])
 
-        others, b_col = np.unique(right.column("item_id").to_numpy(), return_inverse=True)
-        b_feature, b_weight = right.column("feature").to_numpy(), right.column("weight").to_numpy()
+        others, b_col, b_feature, b_weight = _sparse_rows(right)
         b_norm = np.bincount(b_col, b_weight * b_weight)
         # Only right entries whose feature occurs on the left can add to a product.
         at = np.minimum(np.searchsorted(features, b_feature), len(features) - 1)
         shared = features[at] == b_feature
         b_col, at, b_weight = b_col[shared], at[shared], b_weight[shared]
-        order = np.argsort(b_col, kind="stable")
-        b_col, at, b_weight = b_col[order], at[order], b_weight[order]
 
         best = (none, none, none)
         for start in range(0, len(others), chunk):
@@ -248,13 +281,13 @@ def _sparse_task(n: int, chunk: int = 2048, expand: int = 4_000_000) -> Callable
                 dot += np.bincount(cell, a_weight[entry] * b_weight[which], minlength=len(dot))
             cell = np.flatnonzero(dot)
             row, col = cell // width, cell % width + start
-            real = ids[row] != others[col]
-            cell, row, col = cell[real], row[real], col[real]
             ppm = np.floor(dot[cell] / np.sqrt(a_norm[row] * b_norm[col]) * SCALE).astype(np.int64)
+            # Later columns have higher ids, so a tie with the n-th best loses.
+            better = (ppm > _floor_of_list(best[0], best[2], len(ids), n)[row]) & (ids[row] != others[col])
             best = _keep_best(
-                np.concatenate([best[0], row]),
-                np.concatenate([best[1], col]),
-                np.concatenate([best[2], ppm]),
+                np.concatenate([best[0], row[better]]),
+                np.concatenate([best[1], col[better]]),
+                np.concatenate([best[2], ppm[better]]),
                 n,
             )
         return _partner_table(ids[best[0]], others[best[1]], best[2])

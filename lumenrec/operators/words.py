@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lumenrec.functions.text import clean_title, title_tokens, word_terms
 from lumenrec.operators.lists import top_n
+from lumenrec.session import spread
 
 
 def suffix_words(titles: DataFrame, id_cols: list[str], title: str, max_length: int = 20) -> DataFrame:
@@ -42,7 +43,7 @@ def keywords_tfidf(docs: DataFrame, id_col: str, text: str, n: int = 5) -> DataF
     counted side of the join skewed, which AQE splits.
     """
     total = docs.select(F.count(F.lit(1))).scalar()
-    terms = docs.select(id_col, F.explode(word_terms(F.col(text))).alias("term"))
+    terms = spread(docs.select(id_col, text), id_col).select(id_col, F.explode(word_terms(F.col(text))).alias("term"))
     tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.col("tf") * F.log(total.cast("double") / F.col("df"))

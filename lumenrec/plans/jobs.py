@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.operators import filters, lists, publish
 from lumenrec.operators.mix import RATIO, STACKING, mix
+from lumenrec.session import materialize
 
 # List lengths, mixing weights, key prefixes and provenance tags.
 CANDIDATES, MIXED, SHOWN, VIP_SHOWN = 100, 200, 50, 20
@@ -105,12 +106,15 @@ def front_page(
     )
     pair = ["user_id", "item_id"]
     fresh = filters.list_filter(mixed, exposures, pair, "black")
-    safe = filters.risk_filter(fresh, user_risk, item_risk).withColumnRenamed("pos", "place")
+    # Three outputs read this list, so it is written once.
+    safe = materialize(
+        filters.risk_filter(fresh, user_risk, item_risk).withColumnRenamed("pos", "place"), "front-page-safe"
+    )
     interest = lists.top_n(safe, ["user_id"], [F.col("score").desc(), F.col("item_id")], SHOWN)
 
     vip_fresh = filters.list_filter(vip_model, safe, pair, "black")
     vip_safe = filters.risk_filter(vip_fresh, user_risk, item_risk)
-    vip = lists.top_n(vip_safe, ["user_id"], rank, SHOWN)
+    vip = materialize(lists.top_n(vip_safe, ["user_id"], rank, SHOWN), "front-page-vip")
     vip_shown = lists.list_operation(
         vip.drop("rank").withColumnRenamed("pos", "rank"), "user_id", "item_id", rank, lists.TAKE_AND_RANDOM, VIP_SHOWN
     )

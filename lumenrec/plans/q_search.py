@@ -11,6 +11,7 @@ from lumenrec.operators.canonical import canonical_map, dedup_by_canonical
 from lumenrec.operators.filters import drop_stale
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
+from lumenrec.session import materialize
 from lumenrec.sources import catalog
 from lumenrec.streaming import joins
 
@@ -306,7 +307,8 @@ def search_index_batch(inp: Inputs) -> DataFrame:
     postings = post.search_recall(
         long_items, short.select("item_id", "category", "title", "risk"), inp.collections, inp.people
     )
-    tiered = post.tiered_top(postings)
+    # Three views read the lists, so they are written once.
+    tiered = materialize(post.tiered_top(postings), "tiered-postings")
     out = None
     for name, level in post.RISK_LEVELS.items():
         docs = post.index_documents(_contents(tiered, level), f"search_{name}", "pinyin_search", "rule0")

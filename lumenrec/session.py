@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a batch job. Everything here can be overridden by spark-submit;
 # the cluster's own spark.checkpoint.dir is never touched.
@@ -51,3 +51,23 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder path of the shared folder (not created yet)."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later steps read, and read it back.
+
+    The table lies in the shared folder, so a lost executor costs no recomputation.
+    """
+    path = new_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle a scan that has fewer splits than the session has cores.
+
+    For row-heavy CPU work on small inputs. A scan with enough splits, as any large
+    table has, is returned unchanged.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *keys)
