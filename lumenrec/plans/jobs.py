@@ -64,7 +64,10 @@ def _fold_random(head: DataFrame, n: int) -> DataFrame:
 def default_messages(
     hot: DataFrame, hot_vip: DataFrame, quotas: Mapping[str, int], date: str, n: int = DEFAULT_SHOWN
 ) -> DataFrame:
-    """Interest default (quota sample of the hot list) and VIP default, one message each."""
+    """Interest default (quota sample of the hot list) and VIP default, one message each.
+
+    An empty list sends no message, so it cannot replace the one in the store.
+    """
     sample = lists.stratified_sample(hot, "category", "item_id", quotas)
     interest = publish.pack_kv(
         _fold_random(_random_head(sample, n), n), "user_id", DEFAULT_PREFIX, {"date": date, "alg": "hotRandom"}

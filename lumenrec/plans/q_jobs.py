@@ -113,7 +113,7 @@ def publish_group_map(inp: Inputs) -> DataFrame:
     "default_list",
     """SELECT 'p:i:default' AS key,
       CAST(to_json({'id': list(item_id ORDER BY rating DESC, item_id), 'date': '20010630', 'alg': 'default'}) AS VARCHAR) AS value
-    FROM (SELECT item_id, rating FROM items WHERE rating >= 40 AND risk = 0 AND status = 1 ORDER BY rating DESC, item_id LIMIT 50)""",
+    FROM (SELECT item_id, rating FROM items WHERE rating >= 40 AND risk = 0 AND status = 1 ORDER BY rating DESC, item_id LIMIT 50) HAVING count(*) > 0""",
 )
 def default_list(inp: Inputs) -> DataFrame:
     hot = filters.hot_items(inp.items, 0)
@@ -244,11 +244,11 @@ def job_detail_default(inp: Inputs) -> DataFrame:
         SELECT item_id FROM items WHERE rating >= 40 AND risk = 0 AND status = 1
         QUALIFY row_number() OVER (PARTITION BY category ORDER BY md5('7:' || category || ':' || item_id), item_id)
           <= CASE WHEN category IN ('ECONOMY', 'LARGE') THEN 400 ELSE 200 END)
-      ORDER BY md5('7:' || item_id), item_id LIMIT 200)
+      ORDER BY md5('7:' || item_id), item_id LIMIT 200) HAVING count(*) > 0
     UNION ALL
     SELECT 'p:a:default', CAST(to_json({'vip': {'id': list(item_id ORDER BY md5('7:' || item_id), item_id), 'alg': 'randomVip'}, 'date': '20010630'}) AS VARCHAR)
     FROM (SELECT item_id FROM items WHERE rating >= 40 AND risk = 0 AND status = 1 AND vip AND feature_type = 1
-      ORDER BY md5('7:' || item_id), item_id LIMIT 200)""",
+      ORDER BY md5('7:' || item_id), item_id LIMIT 200) HAVING count(*) > 0""",
 )
 def job_default(inp: Inputs) -> DataFrame:
     return jobs.default_messages(filters.hot_items(inp.items, 0), filters.hot_vip_items(inp.items, 0), QUOTAS, DATE)

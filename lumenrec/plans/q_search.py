@@ -99,7 +99,7 @@ def _view_sql(source: str, level: int) -> str:
 def _document_sql(view: str, index: str) -> str:
     return f"""SELECT search_key AS doc_id,
       '{{"index":{{"_type":"doc","_index":"{index}","_id":"' || search_key || '"}}}}' AS action,
-      '{{"key":"' || search_key || '","alg":"rule0","biz":"pinyin_search",' || string_agg('"' || category || '":"' || content || '"', ',' ORDER BY category) || '}}' AS source
+      '{{"key":"' || search_key || '","alg":"rule0","biz":"prefix_search",' || string_agg('"' || category || '":"' || content || '"', ',' ORDER BY category) || '}}' AS source
       FROM ({view}) GROUP BY search_key"""
 
 
@@ -252,7 +252,7 @@ def risk_view_high(inp: Inputs) -> DataFrame:
 
 @query("index_documents", _document_sql(_view_sql("tiered", 0), "search_low"), **SEARCH)
 def index_documents(inp: Inputs) -> DataFrame:
-    return post.index_documents(_contents(post.tiered_top(recalled(inp)), 0), "search_low", "pinyin_search", "rule0")
+    return post.index_documents(_contents(post.tiered_top(recalled(inp)), 0), "search_low", "prefix_search", "rule0")
 
 
 @query(
@@ -311,7 +311,7 @@ def search_index_batch(inp: Inputs) -> DataFrame:
     tiered = materialize(post.tiered_top(postings), "tiered-postings")
     out = None
     for name, level in post.RISK_LEVELS.items():
-        docs = post.index_documents(_contents(tiered, level), f"search_{name}", "pinyin_search", "rule0")
+        docs = post.index_documents(_contents(tiered, level), f"search_{name}", "prefix_search", "rule0")
         part = docs.select(F.lit(name).alias("view"), "doc_id", "source")
         out = part if out is None else out.unionByName(part)
     return out
