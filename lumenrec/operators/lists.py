@@ -148,6 +148,9 @@ def fold_chunks(
     placed = df.join(chunks, list(keys)).select(
         *keys, (digest_number(*parts) % F.col("_chunks")).alias("chunk"), payload.alias("_entry")
     )
+    # Grouping could go on in the join's own partitions, a hot key in one of them. The
+    # explicit shuffle on the chunk lets AQE split that key in the join as well.
+    placed = placed.repartition(*keys, "chunk")
     return placed.groupBy(*keys, "chunk").agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("_entry")).alias("entries")
     )

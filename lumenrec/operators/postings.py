@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenrec.functions.text import base64_text, clean_title, title_tokens
 from lumenrec.operators.lists import fold_chunks, top_n
-from lumenrec.operators.words import keywords_tfidf, prefix_keys, suffix_words
+from lumenrec.operators.words import keywords_tfidf, plain_prefixes, prefix_keys, suffix_words, typed_keys
 
 # List length, weights of the two match scores, short-title word score,
 # longest cached key, index names of the three risk views.
@@ -66,14 +66,18 @@ def recall_words(
 ) -> DataFrame:
     """Words → postings: every prefix key of every word, score ``0.7 word + 0.3 prefix``.
 
-    ``keep`` names further word columns to carry along.
+    ``keep`` names further word columns to carry along. With a dictionary each
+    distinct word is transliterated once and joined back; without one the keys are
+    made row by row.
     """
-    keys = prefix_keys(words, readings).select("word", "tokens", "search_key", "highlight", "prefix_score")
+    carry = ["category", "item_id", "risk", "word_score", *keep]
+    if readings is None:
+        keyed = typed_keys(plain_prefixes(words), carry)
+    else:
+        keys = prefix_keys(words, readings).select("word", "tokens", "search_key", "highlight", "prefix_score")
+        keyed = words.join(keys, ["word", "tokens"])
     score = WORD_WEIGHT * F.col("word_score") + PREFIX_WEIGHT * F.col("prefix_score")
-    return (
-        words.join(keys, ["word", "tokens"])
-        .select("search_key", "category", "item_id", "highlight", score.alias("score"), "risk", *keep)
-    )
+    return keyed.select("search_key", "category", "item_id", "highlight", score.alias("score"), "risk", *keep)
 
 
 def search_recall(

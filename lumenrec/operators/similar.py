@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -52,16 +52,21 @@ def similar_by_cluster(prefer: DataFrame, detail: DataFrame, n: int = 70) -> Dat
 def similar_dense(
     vectors: DataFrame,
     n: int = 60,
+    within: str | None = None,
     left_rows: int = 2048,
     right_rows: int = 131072,
-    row_count: int | None = None,
 ) -> DataFrame:
-    """Cosine top-``n`` of ``(item_id, vector)`` → ``(item_id, other_id, sim_ppm, pos)``."""
+    """Cosine top-``n`` of ``(item_id, vector)`` → ``(item_id, other_id, sim_ppm, pos)``.
+
+    With ``within`` only items that share that column's value are compared; a value
+    held by a third of the items is cut into blocks like any other set.
+    """
+    group = F.lit(0) if within is None else F.col(within)
     rows = vectors.where("item_id is not null and vector is not null").select(
-        F.col("item_id").cast("bigint"), F.col("vector").cast("array<double>")
+        F.col("item_id").cast("bigint"), F.col("vector").cast("array<double>"), group.alias("_group")
     )
-    total = rows.count() if row_count is None else row_count
-    pairs = _block_pairs(rows, _blocks(total, left_rows), _blocks(total, right_rows), _dense_task(n))
+    largest = rows.groupBy("_group").count().agg(F.max("count")).first()[0] or 0
+    pairs = _block_pairs(rows, _blocks(largest, left_rows), _blocks(largest, right_rows), _dense_task(n), ["_group"])
     return _best(pairs, n)
 
 
@@ -114,7 +119,9 @@ def _best(pairs: DataFrame, n: int) -> DataFrame:
     return top_n(pairs, ["item_id"], [F.col("sim_ppm").desc(), F.col("other_id")], n)
 
 
-def _block_pairs(rows: DataFrame, left_blocks: int, right_blocks: int, task: Callable) -> DataFrame:
+def _block_pairs(
+    rows: DataFrame, left_blocks: int, right_blocks: int, task: Callable, within: Sequence[str] = ()
+) -> DataFrame:
     """Meet every left block with every right block, one Arrow group per pair."""
     home = F.xxhash64("item_id")
     # Fresh column names on both sides: the two are the same table.
@@ -127,9 +134,10 @@ def _block_pairs(rows: DataFrame, left_blocks: int, right_blocks: int, task: Cal
     )
     # An explicit number of partitions: a pair costs far more CPU than its bytes tell,
     # so adaptive coalescing must not put many pairs into one task.
-    tasks = 4 * left_blocks * right_blocks
-    left = left.repartition(tasks, "_left", "_right").groupBy("_left", "_right")
-    right = right.repartition(tasks, "_left", "_right").groupBy("_left", "_right")
+    keys = [*within, "_left", "_right"]
+    tasks = max(4 * left_blocks * right_blocks, rows.sparkSession.sparkContext.defaultParallelism)
+    left = left.repartition(tasks, *keys).groupBy(*keys)
+    right = right.repartition(tasks, *keys).groupBy(*keys)
     return left.cogroup(right).applyInArrow(task, _PARTNERS)
 
 

@@ -6,11 +6,12 @@ of the word it covers.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from lumenrec.functions.text import clean_title, title_tokens, word_terms
 from lumenrec.operators.lists import top_n
-from lumenrec.session import spread
 
 
 def suffix_words(titles: DataFrame, id_cols: list[str], title: str, max_length: int = 20) -> DataFrame:
@@ -43,7 +44,7 @@ def keywords_tfidf(docs: DataFrame, id_col: str, text: str, n: int = 5) -> DataF
     counted side of the join skewed, which AQE splits.
     """
     total = docs.select(F.count(F.lit(1))).scalar()
-    terms = spread(docs.select(id_col, text), id_col).select(id_col, F.explode(word_terms(F.col(text))).alias("term"))
+    terms = docs.select(id_col, F.explode(word_terms(F.col(text))).alias("term"))
     tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.col("tf") * F.log(total.cast("double") / F.col("df"))
@@ -52,7 +53,7 @@ def keywords_tfidf(docs: DataFrame, id_col: str, text: str, n: int = 5) -> DataF
     return best.select(id_col, "term", "score_ppm", "pos")
 
 
-def token_readings(words: DataFrame, readings: DataFrame | None) -> DataFrame:
+def token_readings(words: DataFrame, readings: DataFrame) -> DataFrame:
     """Distinct ``(word, tokens)`` → ``readings``: for each token the array of its readings.
 
     ``readings`` is a dictionary table ``(token, reading)``; a token that is not in
@@ -60,10 +61,6 @@ def token_readings(words: DataFrame, readings: DataFrame | None) -> DataFrame:
     transliterated once however many items carry it.
     """
     distinct = words.select("word", "tokens").distinct()
-    if readings is None:
-        return distinct.withColumn(
-            "readings", F.transform("tokens", lambda t: F.array(F.lower(t)))
-        )
     dictionary = readings.groupBy("token").agg(
         F.sort_array(F.collect_set(F.lower("reading"))).alias("_readings")
     )
@@ -84,8 +81,8 @@ def reading_prefixes(read: DataFrame) -> DataFrame:
 
     Adds ``i`` (tokens covered), ``n`` (all tokens) and ``syllables`` (one reading per
     covered token). The choices for i tokens are numbered 0 … product - 1 and each
-    number is decoded digit by digit, so no array of combinations is ever held and no
-    word is capped.
+    number is decoded digit by digit, so combinations are rows, never one array of
+    strings, and no word is capped.
     """
     sized = read.withColumn("n", F.size("readings")).withColumn(
         "i", F.explode(F.sequence(F.lit(1), F.col("n")))
@@ -109,7 +106,7 @@ def reading_prefixes(read: DataFrame) -> DataFrame:
     )
 
 
-def full_readings(words: DataFrame, readings: DataFrame | None) -> DataFrame:
+def full_readings(words: DataFrame, readings: DataFrame) -> DataFrame:
     """Every complete reading of a word, syllables separated by a space."""
     return (
         reading_prefixes(token_readings(words, readings))
@@ -118,29 +115,47 @@ def full_readings(words: DataFrame, readings: DataFrame | None) -> DataFrame:
     )
 
 
-def prefix_keys(words: DataFrame, readings: DataFrame | None = None) -> DataFrame:
-    """Keys a user may type on the way to a word → ``word, tokens, search_key, highlight, i, n, prefix_score``.
+def plain_prefixes(words: DataFrame) -> DataFrame:
+    """Leading parts of every word row when each token reads as itself in lower case.
 
-    For each leading part p1…pi: all of it, all but the last syllable plus that
-    syllable's first letter, and the initials alone. The score is ``i / n``; the
-    highlight is the covered tokens.
+    Works row by row: nothing is made distinct, joined or shuffled.
     """
-    parts = reading_prefixes(token_readings(words.where("size(tokens) > 0"), readings))
-    head = F.array_join(F.slice("syllables", 1, F.size("syllables") - 1), "")
+    return (
+        words.where("size(tokens) > 0").withColumn("n", F.size("tokens").cast("bigint"))
+        .withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
+        .withColumn(
+            "syllables", F.transform(F.slice("tokens", F.lit(1), F.col("i").cast("int")), lambda t: F.lower(t))
+        )
+    )
+
+
+def typed_keys(parts: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Leading parts → ``carry`` columns, ``search_key``, ``highlight``, ``i``, ``n``, ``prefix_score``."""
+    head = F.array_join(F.slice("syllables", F.lit(1), F.size("syllables") - 1), "")
     last = F.element_at("syllables", -1)
     whole = F.concat(head, last)
     abbreviated = F.when(F.length(last) > 1, F.concat(head, F.substring(last, 1, 1)))
     initials = F.array_join(F.transform("syllables", lambda s: F.substring(s, 1, 1)), "")
     keys = F.array_distinct(F.array_compact(F.array(whole, abbreviated, initials)))
-    return (
-        parts.select(
-            "word",
-            "tokens",
-            F.explode(keys).alias("search_key"),
-            F.array_join(F.slice("tokens", 1, F.col("i").cast("int")), "").alias("highlight"),
-            "i",
-            "n",
-        )
-        .distinct()
-        .withColumn("prefix_score", F.col("i") / F.col("n"))
+    return parts.select(
+        *carry,
+        F.explode(keys).alias("search_key"),
+        F.array_join(F.slice("tokens", F.lit(1), F.col("i").cast("int")), "").alias("highlight"),
+        "i",
+        "n",
+        (F.col("i") / F.col("n")).alias("prefix_score"),
     )
+
+
+def prefix_keys(words: DataFrame, readings: DataFrame | None = None) -> DataFrame:
+    """Keys a user may type on the way to each distinct word → ``word, tokens`` and the key columns.
+
+    For each leading part p1…pi: all of it, all but the last syllable plus that
+    syllable's first letter, and the initials alone. The score is ``i / n``; the
+    highlight is the covered tokens.
+    """
+    word = ["word", "tokens"]
+    if readings is None:
+        return typed_keys(plain_prefixes(words.select(*word).distinct()), word)
+    read = token_readings(words.where("size(tokens) > 0"), readings)
+    return typed_keys(reading_prefixes(read), word).distinct()

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lumenrec.operators.lists import top_n
 from lumenrec.operators.similar import similar_by_cluster
+from lumenrec.session import spread
 
 # Risk by the noun of the title, risk by region, candidate list length.
 NOUN_RISK = {"gizmo": 2, "anvil": 1, "rod": 1}
@@ -114,7 +115,7 @@ class Inputs:
 
     @cached_property
     def short_items(self) -> DataFrame:
-        docs = self.table("documents").select("doc_id", "lang", "text", "n_chars")
+        docs = spread(self.table("documents").select("doc_id", "lang", "text", "n_chars"), "doc_id")
         toxic = self.table("labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         return docs.join(toxic, "doc_id", "left").select(
             F.col("doc_id").alias("item_id"),
@@ -160,7 +161,9 @@ class Inputs:
     @cached_property
     def dense_vectors(self) -> DataFrame:
         return self.table("embeddings").select(
-            F.col("vec_id").alias("item_id"), F.col("embedding").cast("array<double>").alias("vector")
+            F.col("vec_id").alias("item_id"),
+            F.col("embedding").cast("array<double>").alias("vector"),
+            F.col("label").cast("bigint").alias("category"),
         )
 
     @cached_property

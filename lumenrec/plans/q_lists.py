@@ -8,6 +8,8 @@ from lumenrec.operators import filters, lists, similar
 from lumenrec.operators.mix import RATIO, STACKING, mix
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
+from lumenrec.session import new_scratch
+from lumenrec.sources import catalog, snapshots
 
 def by_total() -> list[Column]:
     return [F.col("total").desc(), F.col("item_id")]
@@ -204,3 +206,43 @@ def similar_sparse(inp: Inputs) -> DataFrame:
 )
 def similar_dense(inp: Inputs) -> DataFrame:
     return similar.similar_dense(inp.dense_vectors, 60)
+
+
+@query(
+    "job_similar_dense",
+    """
+    SELECT item_id, other_id, sim_ppm, row_number() OVER (PARTITION BY item_id ORDER BY sim_ppm DESC, other_id) AS pos FROM (
+      SELECT a.vec_id AS item_id, b.vec_id AS other_id,
+        CAST(floor(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) * 1000000.0 + 0.5) AS BIGINT) AS sim_ppm
+      FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id)
+    QUALIFY pos <= 60""",
+    valid="""SELECT * FROM embeddings WHERE vec_id IN (
+      SELECT item_id FROM items WHERE title IS NOT NULL AND status = 1 AND feature_type = 1)""",
+)
+def job_similar_dense(inp: Inputs) -> DataFrame:
+    """Valid items only, compared inside their category, published as a snapshot."""
+    checklist = catalog.scan(inp.items, ["item_id"], catalog.VALID_ITEM)
+    valid = filters.valid_only(inp.dense_vectors, checklist, "item_id")
+    partners = similar.similar_dense(valid, 60, within="category")
+    base = new_scratch(inp.spark, "similar-dense")
+    snapshots.write_snapshot(partners, base, "test", "demo", "similarDense")
+    return snapshots.read_snapshot(inp.spark, base, "test", "demo", "similarDense")
+
+
+@query(
+    "job_similar_default",
+    """SELECT a.item_id, b.item_id AS other_id, row_number() OVER (PARTITION BY a.item_id ORDER BY b.rating DESC, b.item_id) AS pos
+    FROM items a JOIN items b ON a.category = b.category AND a.item_id <> b.item_id
+    WHERE a.rating >= 40 AND a.risk = 0 AND a.status = 1
+      AND b.title IS NOT NULL AND b.status = 1 AND b.feature_type = 1
+    QUALIFY pos <= 70""",
+)
+def job_similar_default(inp: Inputs) -> DataFrame:
+    """Hot items against the valid items of their category (the category is the cluster)."""
+    prefer = filters.hot_items(inp.items, 0).withColumnRenamed("category", "cluster")
+    valid = inp.items.where(catalog.VALID_ITEM).select(
+        "item_id", F.col("category").alias("cluster"), F.col("rating").alias("popularity")
+    )
+    base = new_scratch(inp.spark, "similar-default")
+    snapshots.write_snapshot(similar.similar_by_cluster(prefer, valid), base, "test", "demo", "similarDefault")
+    return snapshots.read_snapshot(inp.spark, base, "test", "demo", "similarDefault")

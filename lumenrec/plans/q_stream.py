@@ -10,6 +10,7 @@ from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.q_search import _ITEM_WORDS, _POSTINGS, _PPM, _keys_sql, _suffix_sql, score_ppm
 from lumenrec.plans.registry import query
 from lumenrec.session import new_scratch
+from lumenrec.sources import snapshots
 from lumenrec.streaming import index_stream, joins, messages
 
 
@@ -153,9 +154,13 @@ _CHANGES = {
 )
 def stream_index_merge(inp: Inputs) -> DataFrame:
     """Messages → change log (streaming) → merge into the stored postings."""
-    log = _drain(inp, index_stream.window_changes(_programs(inp)), "changes")
+    path, checkpoint = new_scratch(inp.spark, "changes"), new_scratch(inp.spark, "changes-checkpoint")
+    changes = index_stream.window_changes(_programs(inp))
+    index_stream.append_log(changes, path, checkpoint, "changes", trigger=None).awaitTermination()
+
     valid = inp.items.where("status = 1 and feature_type = 1").withColumn("item_id", F.col("item_id").cast("string"))
     found = words.suffix_words(valid, ["item_id", "category", "risk"], "title")
-    stored = post.recall_words(found)
-    merged = index_stream.apply_log(stored, log)
+    base = new_scratch(inp.spark, "index")
+    snapshots.write_snapshot(post.recall_words(found), base, "test", "demo", "postings")
+    merged = index_stream.refresh_index(inp.spark, path, base, "test", "demo")
     return merged.select("search_key", "category", "item_id", "highlight", score_ppm(), "risk").distinct()

@@ -66,8 +66,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Shuffle a scan that has fewer splits than the session has cores.
 
-    For row-heavy CPU work on small inputs. A scan with enough splits, as any large
-    table has, is returned unchanged.
+    For CPU-heavy work on small inputs; only for a plain scan, whose splits are known
+    without running anything. A scan with enough splits, as any large table has, is
+    returned unchanged.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *keys)

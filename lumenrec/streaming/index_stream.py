@@ -9,22 +9,21 @@ query is one small row per item and open window; posting lists never enter state
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lumenrec.functions.text import title_tokens
 from lumenrec.operators.postings import merge_index, recall_words
 from lumenrec.operators.words import suffix_words
+from lumenrec.sources.snapshots import read_newest, write_snapshot
 
 # Window and trigger length, watermark of the aggregation.
 WINDOW, TRIGGER, DELAY = "3 minutes", "3 minutes", "10 minutes"
-CHANGE = ["item_id", "category", "title", "risk", "status"]
 
 
 def window_changes(changes: DataFrame, window: str = WINDOW, delay: str = DELAY) -> DataFrame:
     """Last change per item, category and tumbling window.
 
-    ``changes`` has the CHANGE columns and an instant ``ts``.
+    ``changes`` has ``item_id, category, title, risk, status`` and an instant ``ts``.
     """
     last = F.max(F.struct("ts", "status", "title", "risk")).alias("_last")
     return (
@@ -90,10 +89,17 @@ def apply_log(stored: DataFrame, log: DataFrame, readings: DataFrame | None = No
     return merge_index(stored, adds, deletes)
 
 
-def person_words(people: DataFrame) -> DataFrame:
-    """Changed people → search words (whole name, score 1)."""
-    return people.select(
-        F.col("person_id").alias("item_id"), F.lit("person").alias("category"),
-        F.lit(0).cast("bigint").alias("risk"), F.col("name").alias("word"),
-        title_tokens(F.col("name")).alias("tokens"), F.lit(1.0).alias("word_score"),
-    )
+def refresh_index(
+    spark: SparkSession, log_path: str, base: str, env: str, product: str, since: str | None = None
+) -> DataFrame:
+    """Merge the change log into the ``postings`` snapshot and publish a new version.
+
+    ``since`` leaves out windows merged before. Windows are applied in time order;
+    applying the newest ones again is harmless.
+    """
+    log = spark.read.parquet(log_path)
+    if since is not None:
+        log = log.where(F.col("window_start") >= F.lit(since).cast("timestamp_ntz"))
+    stored = read_newest(spark, base, env, product, "postings")
+    write_snapshot(apply_log(stored, log), base, env, product, "postings")
+    return read_newest(spark, base, env, product, "postings")

@@ -26,10 +26,20 @@ REQUIRED = {
 }
 
 
-def read_messages(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:
-    """Stream of ``(key, value, topic)`` strings; for Kafka pass servers and topics."""
-    defaults = {"failOnDataLoss": "false"} if fmt == "kafka" else {}
-    stream = spark.readStream.format(fmt).options(**{**defaults, **options}).load()
+def read_messages(
+    spark: SparkSession, fmt: str = "kafka", schema: str | None = None, **options: str
+) -> DataFrame:
+    """Stream of ``(key, value, topic)`` strings.
+
+    For Kafka pass ``kafka.bootstrap.servers`` and ``subscribe`` (a comma list of
+    topics); for files that hold messages pass their schema and ``path``.
+    """
+    reader = spark.readStream.format(fmt)
+    if fmt == "kafka":
+        reader = reader.option("failOnDataLoss", "false")
+    if schema is not None:
+        reader = reader.schema(schema)
+    stream = reader.options(**options).load()
     return stream.select(*[F.col(c).cast("string") for c in ("key", "value", "topic")])
 
 

@@ -47,6 +47,18 @@ def test_sparse_equals_brute_force(spark, options):
     assert sorted(map(tuple, got.collect())) == brute_force(dict(enumerate(matrix)), 5, 0.0, positive=True)
 
 
+def test_dense_inside_groups(spark):
+    rng = np.random.default_rng(6)
+    vectors = {i: rng.normal(size=6) for i in range(40)}
+    rows = [(i, v.tolist(), "hot" if i < 25 else f"g{i % 3}") for i, v in vectors.items()]
+    df = spark.createDataFrame(rows, "item_id bigint, vector array<double>, g string")
+    got = similar.similar_dense(df, 4, within="g", left_rows=5, right_rows=9)
+    want = []
+    for name in {r[2] for r in rows}:
+        want += brute_force({r[0]: vectors[r[0]] for r in rows if r[2] == name}, 4, 0.5, positive=False)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_sparse_of_nothing(spark):
     assert similar.similar_sparse(spark.createDataFrame([], "item_id bigint, feature bigint, weight bigint")).count() == 0
 

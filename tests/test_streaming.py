@@ -38,6 +38,14 @@ def test_incomplete_and_foreign_messages_are_dropped(frame):
     assert [r.item_id for r in messages.route(df, "p", messages.PROGRAM).collect()] == ["1"]
 
 
+def test_messages_are_read_from_files(spark, frame, tmp_path):
+    frame("key string, value string, topic string, extra int", ("k", "v", "t", 1)).write.parquet(str(tmp_path / "in"))
+    stream = messages.read_messages(
+        spark, "parquet", schema="key string, value string, topic string", path=str(tmp_path / "in")
+    )
+    assert [tuple(r) for r in drain(spark, stream, tmp_path, "out").collect()] == [("k", "v", "t")]
+
+
 CHANGE = "item_id string, category string, title string, risk bigint, status bigint, ts timestamp"
 
 
