@@ -7,7 +7,7 @@ large share of all postings.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -16,11 +16,12 @@ from lumenrec.operators.lists import fold_chunks, top_n
 from lumenrec.operators.words import keywords_tfidf, plain_prefixes, prefix_keys, suffix_words, typed_keys
 
 # List length, weights of the two match scores, short-title word score,
-# longest cached key, index names of the three risk views.
+# longest cached key, documents per bulk file, caller levels of the three risk views.
 LIST_SIZE = 25
 WORD_WEIGHT, PREFIX_WEIGHT = 0.7, 0.3
 SHORT_TITLE_SCORE = 0.5
 CACHE_KEY_LENGTH = 3
+BULK_SIZE = 5000
 RISK_LEVELS = {"low": 0, "middle": 1, "high": 2}
 
 POSTING = ["search_key", "category", "item_id", "highlight", "score", "risk"]
@@ -40,9 +41,9 @@ def search_words(
         "title",
     )
     subject_words = suffix_words(subjects, ids, "title")
-    terms = keywords_tfidf(short_items, "item_id", "title").withColumnRenamed("term", "word")
+    terms = keywords_tfidf(short_items, "item_id", "title", keep=["category", "risk"])
     short_words = (
-        terms.join(short_items.select(*ids), "item_id")
+        terms.withColumnRenamed("term", "word")
         .withColumn("item_id", F.col("item_id").cast("string"))
         .withColumn("tokens", title_tokens(F.col("word")))
         .withColumn("word_score", F.lit(SHORT_TITLE_SCORE))
@@ -153,6 +154,12 @@ def index_documents(contents: DataFrame, index: str, biz: str, alg: str) -> Data
     )
 
 
+def write_bulk(documents: DataFrame, path: str, batch: int = BULK_SIZE) -> None:
+    """Write action and source lines in turn, at most ``batch`` documents per file."""
+    lines = documents.select(F.concat_ws("\n", "action", "source").alias("value"))
+    lines.write.option("maxRecordsPerFile", batch).text(path)
+
+
 def short_keys(contents: DataFrame, length: int = CACHE_KEY_LENGTH) -> DataFrame:
     """The part of the index that also goes to the key-value cache."""
     return contents.where(F.length("search_key") <= length)
@@ -179,12 +186,3 @@ def merge_index(stored: DataFrame, adds: DataFrame, deletes: DataFrame) -> DataF
         live.join(gone, ["search_key", "category", "item_id"], "left")
         .where(survives).select(*POSTING)
     )
-
-
-def split_changes(postings: DataFrame, online: Column) -> tuple[DataFrame, DataFrame]:
-    """Recalled postings of changed items → (adds, deletes) by whether the item is online."""
-    return postings.where(online), postings.where(~online).select("search_key", "category", "item_id", "ts")
-
-
-def all_risk_views(postings: DataFrame) -> Mapping[str, DataFrame]:
-    return {name: risk_view(postings, level) for name, level in RISK_LEVELS.items()}

@@ -36,21 +36,25 @@ def suffix_words(titles: DataFrame, id_cols: list[str], title: str, max_length:
     )
 
 
-def keywords_tfidf(docs: DataFrame, id_col: str, text: str, n: int = 5) -> DataFrame:
+def keywords_tfidf(
+    docs: DataFrame, id_col: str, text: str, n: int = 5, keep: Sequence[str] = ()
+) -> DataFrame:
     """The ``n`` best terms of every text by ``tf * ln(N / df)`` → id, ``term``, ``score_ppm``, ``pos``.
 
-    Terms are counted over the whole text with partial aggregation. The document
-    frequency side has one row per term, so a term found everywhere only makes the
-    counted side of the join skewed, which AQE splits.
+    Terms are counted over the whole text with partial aggregation; ``keep`` names
+    further columns of the document to carry along. The document frequency side has
+    one row per term, so a term found everywhere only makes the counted side of the
+    join skewed, which AQE splits (the next step shuffles by document anyway).
     """
     total = docs.select(F.count(F.lit(1))).scalar()
-    terms = docs.select(id_col, F.explode(word_terms(F.col(text))).alias("term"))
-    tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    document = [id_col, *keep]
+    terms = docs.select(*document, F.explode(word_terms(F.col(text))).alias("term"))
+    tf = terms.groupBy(*document, "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.col("tf") * F.log(total.cast("double") / F.col("df"))
     scored = tf.join(df, "term").withColumn("score_ppm", F.floor(weight * 1000000.0).cast("bigint"))
     best = top_n(scored, [id_col], [F.col("score_ppm").desc(), F.col("term")], n)
-    return best.select(id_col, "term", "score_ppm", "pos")
+    return best.select(*document, "term", "score_ppm", "pos")
 
 
 def token_readings(words: DataFrame, readings: DataFrame) -> DataFrame:

@@ -134,6 +134,21 @@ class Inputs:
     def people(self) -> DataFrame:
         return self.table("supplier").select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("name"))
 
+    @cached_property
+    def collection_links(self) -> DataFrame:
+        """An item is in the collection of every nation that supplied it."""
+        supplied = self.table("lineitem").select("l_partkey", "l_suppkey").distinct()
+        supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
+        nation = self.table("nation").select("n_nationkey", "n_name")
+        kinds = self.items.select("item_id", "category")
+        return (
+            supplied.join(supplier, supplied.l_suppkey == supplier.s_suppkey)
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(F.col("l_partkey").alias("item_id"), F.col("n_name").alias("code"))
+            .distinct()
+            .join(kinds, "item_id")
+        )
+
     @cached_property
     def subjects(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
@@ -282,6 +297,9 @@ INPUT_SQL: dict[str, str] = {
         FROM documents d LEFT JOIN (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) l ON d.doc_id = l.doc_id""",
     "collections": "SELECT n_name AS code, n_name AS title FROM nation",
     "people": "SELECT s_suppkey AS person_id, s_name AS name FROM supplier",
+    "collection_links": """
+        SELECT DISTINCT l_partkey AS item_id, n_name AS code, category FROM lineitem
+        JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN items ON l_partkey = item_id""",
     "subjects": """
         SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS code, r_name AS category, CAST(n_regionkey AS BIGINT) AS copyright
         FROM nation JOIN region ON n_regionkey = r_regionkey""",

@@ -9,9 +9,10 @@ from lumenrec.operators import postings as post
 from lumenrec.operators import words
 from lumenrec.operators.canonical import canonical_map, dedup_by_canonical
 from lumenrec.operators.filters import drop_stale
+from lumenrec.operators.publish import pack_hash
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
-from lumenrec.session import materialize
+from lumenrec.session import materialize, new_scratch
 from lumenrec.sources import catalog
 from lumenrec.streaming import joins
 
@@ -255,6 +256,21 @@ def index_documents(inp: Inputs) -> DataFrame:
     return post.index_documents(_contents(post.tiered_top(recalled(inp)), 0), "search_low", "prefix_search", "rule0")
 
 
+@query(
+    "index_bulk_lines",
+    f"""SELECT unnest([action, source]) AS line FROM ({_document_sql(_view_sql("tiered", 1), "search_middle")})""",
+    **SEARCH,
+)
+def index_bulk_lines(inp: Inputs) -> DataFrame:
+    """The bulk files as an index server would read them."""
+    docs = post.index_documents(
+        _contents(post.tiered_top(recalled(inp)), 1), "search_middle", "prefix_search", "rule0"
+    )
+    path = new_scratch(inp.spark, "bulk")
+    post.write_bulk(docs, path)
+    return inp.spark.read.text(path).select(F.col("value").alias("line"))
+
+
 @query(
     "short_key_cache",
     f"""SELECT 'low:' || search_key AS key, count(*) AS n_categories,
@@ -263,8 +279,6 @@ def index_documents(inp: Inputs) -> DataFrame:
     **SEARCH,
 )
 def short_key_cache(inp: Inputs) -> DataFrame:
-    from lumenrec.operators.publish import pack_hash
-
     packed = pack_hash(
         post.short_keys(_contents(post.tiered_top(recalled(inp)), 0)), "search_key", "category", "content", "low:"
     )

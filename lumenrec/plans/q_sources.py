@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumenrec.functions.text import base64_text, clean_title, ppm
+from lumenrec.functions import dates
+from lumenrec.functions.text import base64_text, clean_keep_space, clean_title, has_cjk, ppm, unbase64_text
 from lumenrec.operators import activity, canonical, collections, filters
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
@@ -31,6 +32,7 @@ _VALID = "title IS NOT NULL AND status = 1 AND feature_type = 1"
     UNION ALL SELECT 'short_items', count(*) FROM short_items WHERE title IS NOT NULL
     UNION ALL SELECT 'collections', count(*) FROM collections
     UNION ALL SELECT 'people', count(*) FROM people
+    UNION ALL SELECT 'collection_links', count(*) FROM collection_links
     UNION ALL SELECT 'editor_picks', count(*) FROM items WHERE rating >= 48 AND status = 1
     UNION ALL SELECT 'available_' || lower(category), count(*) FROM items WHERE {_VALID} GROUP BY category""",
 )
@@ -38,6 +40,24 @@ def source_catalog(inp: Inputs) -> DataFrame:
     return catalog.catalog_counts(inp.named)
 
 
+@query("collection_links", "SELECT item_id, code, category FROM collection_links")
+def collection_links(inp: Inputs) -> DataFrame:
+    return catalog.source("collection_links").read(inp.named)
+
+
+@query(
+    "scan_sql",
+    """SELECT c_custkey AS user_id, n_regionkey AS region FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+    WHERE c_acctbal > 0 AND n_regionkey > 0""",
+)
+def scan_sql(inp: Inputs) -> DataFrame:
+    text = """
+        select c.c_custkey as user_id, n.n_regionkey as region
+        from {users} c left join {places} n on c.c_nationkey = n.n_nationkey
+        where c.c_acctbal > 0 and n.n_regionkey > 0"""
+    return catalog.sql_scan(inp.spark, text, users=inp.table("customer"), places=inp.table("nation"))
+
+
 @query("available_items", f"SELECT item_id, category FROM items WHERE {_VALID} AND category = 'PROMO'")
 def available_items(inp: Inputs) -> DataFrame:
     return catalog.available_items(inp.items, "PROMO")
@@ -425,3 +445,36 @@ def clean_titles(inp: Inputs) -> DataFrame:
 )
 def base64_codes(inp: Inputs) -> DataFrame:
     return inp.table("documents").select("doc_id", base64_text(F.col("text")).alias("code"))
+
+
+@query("base64_decode", "SELECT doc_id, nullif(text, '') AS text FROM documents")
+def base64_decode(inp: Inputs) -> DataFrame:
+    coded = inp.table("documents").select("doc_id", base64_text(F.col("text")).alias("code"))
+    return coded.select("doc_id", unbase64_text(F.col("code")).alias("text"))
+
+
+@query(
+    "clean_keep_space",
+    r"""SELECT conv_id, turn, trim(regexp_replace(text, '[^\x{4e00}-\x{9fa5}a-zA-Z0-9\s]+', '', 'g')) AS cleaned,
+      regexp_matches(text, '[\x{4e00}-\x{9fa5}]') AS has_cjk FROM conversations""",
+)
+def clean_keep_spaces(inp: Inputs) -> DataFrame:
+    return inp.table("conversations").select(
+        "conv_id", "turn", clean_keep_space(F.col("text")).alias("cleaned"), has_cjk(F.col("text")).alias("has_cjk")
+    )
+
+
+@query(
+    "date_keys",
+    """SELECT o_orderkey AS order_id, strftime(o_orderdate - INTERVAL 7 DAY, '%Y%m%d') AS day_key,
+      strftime(o_orderdate - INTERVAL 30 DAY, '%Y-%m-%d') AS month_before,
+      strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stamp FROM orders""",
+)
+def date_keys(inp: Inputs) -> DataFrame:
+    day = F.col("o_orderdate")
+    return inp.table("orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        dates.days_before(day, 7, dates.DAY_KEY).alias("day_key"),
+        dates.days_before(day, 30).alias("month_before"),
+        dates.days_before(day, 0, dates.SECONDS).alias("stamp"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,11 @@ CATALOG: dict[str, SourceSpec] = {
     ),
     "collections": SourceSpec("collections", ("code", "title"), "code is not null and title is not null"),
     "people": SourceSpec("people", ("person_id", "name"), "person_id is not null and name is not null"),
+    "collection_links": SourceSpec(
+        "collection_links",
+        ("item_id", "code", "category"),
+        "item_id is not null and code is not null and category is not null",
+    ),
     "editor_picks": SourceSpec("items", ("item_id", "category"), "rating >= 48 and status = 1"),
     **{
         f"available_{category.lower()}": SourceSpec(
@@ -62,6 +67,11 @@ def available_items(items: DataFrame, category: str) -> DataFrame:
     return items.where(VALID_ITEM).where(F.col("category") == category).select("item_id", "category")
 
 
+def sql_scan(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
+    """Warehouse scan in SQL; ``{name}`` in the text stands for the table passed as ``name``."""
+    return spark.sql(text, **tables)
+
+
 def only_category(df: DataFrame, category: str) -> DataFrame:
     """Category selector; ``"all"`` keeps every row."""
     return df if category == "all" else df.where(F.col("category") == category)
