@@ -108,18 +108,20 @@ def tiered_top(postings: DataFrame, size: int = LIST_SIZE) -> DataFrame:
     A posting with an empty highlight is a delete marker and always stays. A posting
     in some tier's top is also in the top of its own risk, so lists are first cut per
     exact risk (partial group limit) and the three tiers are counted over what is left.
+    Each delete marker is a window partition of its own: any number of them passes
+    both steps, in the same scan, without gathering at their key.
     """
-    distinct = postings.select(*POSTING).distinct()
-    live = distinct.where("highlight <> '' and risk <= 2")
-    short = top_n(live, ["search_key", "category", "risk"], _best_first(), size, "_own")
-    order = Window.partitionBy("search_key", "category").orderBy(*_best_first())
+    marker = F.when(F.col("highlight") == "", F.struct("item_id", "score"))
+    distinct = postings.select(*POSTING).distinct().where("highlight = '' or risk <= 2").withColumn("_marker", marker)
+    own_list = ["search_key", "category", "risk", "_marker"]
+    short = top_n(distinct, own_list, _best_first(), size, "_own")
+    order = Window.partitionBy("search_key", "category", "_marker").orderBy(*_best_first())
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    kept = F.lit(False)
+    kept = F.col("_marker").isNotNull()
     for level in (0, 1, 2):
         within = F.count_if(F.col("risk") <= level).over(so_far)
         kept = kept | ((F.col("risk") <= level) & (within <= size))
-    tiers = short.withColumn("_kept", kept).where("_kept").select(*POSTING)
-    return tiers.unionByName(distinct.where("highlight = ''"))
+    return short.withColumn("_kept", kept).where("_kept").select(*POSTING)
 
 
 def risk_view(postings: DataFrame, level: int, size: int = LIST_SIZE) -> DataFrame:

@@ -50,7 +50,9 @@ def keywords_tfidf(
     document = [id_col, *keep]
     terms = docs.select(*document, F.explode(word_terms(F.col(text))).alias("term"))
     tf = terms.groupBy(*document, "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Counting by the tf column keeps both sides' plans alike up to the shuffle, so the
+    # texts are split into terms once.
+    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     weight = F.col("tf") * F.log(total.cast("double") / F.col("df"))
     scored = tf.join(df, "term").withColumn("score_ppm", F.floor(weight * 1000000.0).cast("bigint"))
     best = top_n(scored, [id_col], [F.col("score_ppm").desc(), F.col("term")], n)

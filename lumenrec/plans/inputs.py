@@ -115,7 +115,7 @@ class Inputs:
 
     @cached_property
     def short_items(self) -> DataFrame:
-        docs = spread(self.table("documents").select("doc_id", "lang", "text", "n_chars"), "doc_id")
+        docs = spread(self.table("documents").select("doc_id", "lang", "text", "n_chars"))
         toxic = self.table("labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         return docs.join(toxic, "doc_id", "left").select(
             F.col("doc_id").alias("item_id"),

@@ -63,7 +63,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Shuffle a scan that has fewer splits than the session has cores.
 
     For CPU-heavy work on small inputs; only for a plain scan, whose splits are known
@@ -71,4 +71,4 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     returned unchanged.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *keys)
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

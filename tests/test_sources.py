@@ -72,8 +72,8 @@ def test_scratch_uses_the_configured_folder(spark):
 
 def test_spread_leaves_wide_scans_alone(spark):
     wide = spark.range(0, 100, 1, 64)
-    assert session.spread(wide, "id") is wide
-    assert session.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 4
+    assert session.spread(wide) is wide
+    assert session.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4
 
 
 def test_materialize_returns_the_same_rows(spark, frame, rows):
