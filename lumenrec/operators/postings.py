@@ -22,6 +22,7 @@ WORD_WEIGHT, PREFIX_WEIGHT = 0.7, 0.3
 SHORT_TITLE_SCORE = 0.5
 CACHE_KEY_LENGTH = 3
 BULK_SIZE = 5000
+COLLECTION_CATEGORY, PERSON_CATEGORY = "collection", "person"
 RISK_LEVELS = {"low": 0, "middle": 1, "high": 2}
 
 POSTING = ["search_key", "category", "item_id", "highlight", "score", "risk"]
@@ -36,29 +37,41 @@ def search_words(
     long_words = suffix_words(long_items.withColumn("item_id", F.col("item_id").cast("string")), ids, "title")
     subjects = collections.select(
         base64_text(F.col("code")).alias("item_id"),
-        F.lit("collection").alias("category"),
+        F.lit(COLLECTION_CATEGORY).alias("category"),
         F.lit(0).cast("bigint").alias("risk"),
         "title",
     )
     subject_words = suffix_words(subjects, ids, "title")
     terms = keywords_tfidf(short_items, "item_id", "title", keep=["category", "risk"])
-    short_words = (
-        terms.withColumnRenamed("term", "word")
-        .withColumn("item_id", F.col("item_id").cast("string"))
-        .withColumn("tokens", title_tokens(F.col("word")))
-        .withColumn("word_score", F.lit(SHORT_TITLE_SCORE))
+    short_words = keyword_words(
+        terms.withColumnRenamed("term", "word").withColumn("item_id", F.col("item_id").cast("string"))
     )
     names = people.select(
         F.col("person_id").cast("string").alias("item_id"),
-        F.lit("person").alias("category"),
+        F.lit(PERSON_CATEGORY).alias("category"),
         F.lit(0).cast("bigint").alias("risk"),
-        clean_title(F.col("name")).alias("word"),
-        title_tokens(F.col("name")).alias("tokens"),
-        F.lit(1.0).alias("word_score"),
+        "name",
     )
     return (
         long_words.select(*_WORD).unionByName(short_words.select(*_WORD))
-        .unionByName(subject_words.select(*_WORD)).unionByName(names)
+        .unionByName(subject_words.select(*_WORD)).unionByName(name_words(names, ids, "name").select(*_WORD))
+    )
+
+
+def keyword_words(terms: DataFrame) -> DataFrame:
+    """Keywords of short titles as search words."""
+    return terms.withColumn("tokens", title_tokens(F.col("word"))).withColumn(
+        "word_score", F.lit(SHORT_TITLE_SCORE)
+    )
+
+
+def name_words(names: DataFrame, id_cols: Sequence[str], name: str) -> DataFrame:
+    """A person's whole name as the only search word, score 1."""
+    return names.select(
+        *id_cols,
+        clean_title(F.col(name)).alias("word"),
+        title_tokens(F.col(name)).alias("tokens"),
+        F.lit(1.0).alias("word_score"),
     )
 
 
@@ -138,21 +151,40 @@ def join_view(view: DataFrame, score_text: Column) -> DataFrame:
     return view.groupBy("search_key", "category").agg(content.alias("content"))
 
 
+def _head(biz: str, alg: str) -> Column:
+    return F.create_map(
+        F.lit("key"), F.col("search_key"), F.lit("alg"), F.lit(alg), F.lit("biz"), F.lit(biz)
+    )
+
+
+def _action(index: str) -> Column:
+    target = F.struct(
+        F.lit("doc").alias("_type"), F.lit(index).alias("_index"), F.col("search_key").alias("_id")
+    )
+    return F.to_json(F.struct(target.alias("index")))
+
+
 def index_documents(contents: DataFrame, index: str, biz: str, alg: str) -> DataFrame:
     """One document per key with a field per category, plus the bulk action line."""
     fields = F.map_from_entries(
         F.sort_array(F.collect_list(F.struct(F.col("category").alias("key"), F.col("content").alias("value"))))
     )
-    head = F.create_map(
-        F.lit("key"), F.col("search_key"), F.lit("alg"), F.lit(alg), F.lit("biz"), F.lit(biz)
-    )
-    action = F.struct(
-        F.struct(F.lit("doc").alias("_type"), F.lit(index).alias("_index"), F.col("search_key").alias("_id")).alias("index")
-    )
     return contents.groupBy("search_key").agg(fields.alias("_fields")).select(
         F.col("search_key").alias("doc_id"),
-        F.to_json(action).alias("action"),
-        F.to_json(F.map_concat(head, F.col("_fields"))).alias("source"),
+        _action(index).alias("action"),
+        F.to_json(F.map_concat(_head(biz, alg), F.col("_fields"))).alias("source"),
+    )
+
+
+def update_documents(
+    keys: DataFrame, contents: DataFrame, index: str, biz: str, alg: str
+) -> DataFrame:
+    """Documents of the given keys only; a key without contents gets an empty document."""
+    documents = index_documents(contents, index, biz, alg).select(F.col("doc_id").alias("search_key"), "source")
+    return keys.select("search_key").distinct().join(documents, "search_key", "left").select(
+        F.col("search_key").alias("doc_id"),
+        _action(index).alias("action"),
+        F.coalesce("source", F.to_json(_head(biz, alg))).alias("source"),
     )
 
 
@@ -188,3 +220,13 @@ def merge_index(stored: DataFrame, adds: DataFrame, deletes: DataFrame) -> DataF
         live.join(gone, ["search_key", "category", "item_id"], "left")
         .where(survives).select(*POSTING)
     )
+
+
+def touched_postings(stored: DataFrame, adds: DataFrame, deletes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(keys, merged postings of these keys)`` for the keys that a batch of changes touches.
+
+    Only these keys' documents need to be sent out, so the rest of the stored index is
+    dropped by a semi join before the merge.
+    """
+    keys = adds.select("search_key").unionByName(deletes.select("search_key")).distinct()
+    return keys, merge_index(stored.join(keys, "search_key", "left_semi"), adds, deletes)

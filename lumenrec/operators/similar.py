@@ -74,7 +74,7 @@ def similar_sparse(
     entries: DataFrame,
     n: int = 60,
     left_rows: int = 2048,
-    right_entries: int = 2_000_000,
+    block_entries: int = 2_000_000,
     long_row: int = 200_000,
 ) -> DataFrame:
     """Cosine top-``n`` of ``(item_id, feature, weight)`` with whole-number weights.
@@ -96,8 +96,8 @@ def similar_sparse(
     ).first()
     if not size.items:
         return _best(rows.sparkSession.createDataFrame([], _PARTNERS), n)
-    left = _blocks(size.items, left_rows)
-    right = _blocks(size.entries, right_entries)
+    right = _blocks(size.entries, block_entries)
+    left = max(_blocks(size.items, left_rows), right)  # a left block obeys both limits
     if size.longest <= long_row:
         return _best(_block_pairs(_packed(rows), left, right, _sparse_task(n)), n)
     long_items = lengths.where(F.col("length") > long_row).select("item_id")

@@ -351,20 +351,20 @@ _MERGE = {
 }
 
 
-@query(
-    "index_merge",
-    f"""SELECT search_key, category, item_id, highlight, {_PPM} AS score_ppm, risk FROM (
-      SELECT l.* FROM (
-        SELECT search_key, category, item_id, highlight, max_by(score, o) AS score, max_by(risk, o) AS risk, max(on_ts) AS on_ts FROM (
-          SELECT search_key, category, item_id, highlight, score, risk, NULL AS on_ts, (TIMESTAMP '1900-01-01', score) AS o FROM stored
-          UNION ALL SELECT search_key, category, item_id, highlight, score, risk, on_ts, (on_ts, score) FROM changed_postings WHERE on_ts IS NOT NULL)
-        GROUP BY 1, 2, 3, 4) l
-      LEFT JOIN (SELECT search_key, category, item_id, max(off_ts) AS off_ts FROM changed_postings WHERE off_ts IS NOT NULL GROUP BY 1, 2, 3) d
-        ON l.search_key = d.search_key AND l.category = d.category AND l.item_id = d.item_id
-      WHERE d.off_ts IS NULL OR l.on_ts > d.off_ts)""",
-    **_MERGE,
-)
-def index_merge(inp: Inputs) -> DataFrame:
+_MERGED = """
+  SELECT l.* FROM (
+    SELECT search_key, category, item_id, highlight, max_by(score, o) AS score, max_by(risk, o) AS risk, max(on_ts) AS on_ts FROM (
+      SELECT search_key, category, item_id, highlight, score, risk, NULL AS on_ts, (TIMESTAMP '1900-01-01', score) AS o FROM stored
+      UNION ALL SELECT search_key, category, item_id, highlight, score, risk, on_ts, (on_ts, score) FROM changed_postings WHERE on_ts IS NOT NULL)
+    GROUP BY 1, 2, 3, 4) l
+  LEFT JOIN (SELECT search_key, category, item_id, max(off_ts) AS off_ts FROM changed_postings WHERE off_ts IS NOT NULL GROUP BY 1, 2, 3) d
+    ON l.search_key = d.search_key AND l.category = d.category AND l.item_id = d.item_id
+  WHERE d.off_ts IS NULL OR l.on_ts > d.off_ts"""
+
+
+def _stored_and_changes(inp: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Postings of the valid items, and the timed adds and deletes of the hot items."""
+
     def recall(items: DataFrame, keep: list[str]) -> DataFrame:
         ids = ["item_id", "category", "risk", *keep]
         found = words.suffix_words(items.withColumn("item_id", F.col("item_id").cast("string")), ids, "title")
@@ -378,10 +378,34 @@ def index_merge(inp: Inputs) -> DataFrame:
     changed = recall(inp.items.where("rating >= 40").join(times, "item_id"), ["on_ts", "off_ts"])
     adds = changed.where("on_ts is not null").withColumnRenamed("on_ts", "ts").drop("off_ts")
     deletes = changed.where("off_ts is not null").withColumnRenamed("off_ts", "ts")
-    merged = post.merge_index(stored, adds, deletes)
+    return stored, adds, deletes
+
+
+@query(
+    "index_merge",
+    f"SELECT search_key, category, item_id, highlight, {_PPM} AS score_ppm, risk FROM ({_MERGED})",
+    **_MERGE,
+)
+def index_merge(inp: Inputs) -> DataFrame:
+    merged = post.merge_index(*_stored_and_changes(inp))
     return merged.select("search_key", "category", "item_id", "highlight", score_ppm(), "risk")
 
 
+@query(
+    "index_update_documents",
+    f"""SELECT k.search_key AS doc_id, '{{"index":{{"_type":"doc","_index":"search_low","_id":"' || k.search_key || '"}}}}' AS action,
+      coalesce(d.source, '{{"key":"' || k.search_key || '","alg":"rule0","biz":"prefix_search"}}') AS source
+    FROM (SELECT DISTINCT search_key FROM changed_postings) k
+    LEFT JOIN ({_document_sql(_view_sql("merged", 0), "search_low")}) d ON k.search_key = d.doc_id""",
+    **_MERGE,
+    merged=_MERGED,
+)
+def index_update_documents(inp: Inputs) -> DataFrame:
+    """Only the documents of keys that the changes touch."""
+    keys, merged = post.touched_postings(*_stored_and_changes(inp))
+    return post.update_documents(keys, _contents(merged, 0), "search_low", "prefix_search", "rule0")
+
+
 @query("json_extract", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_extract(inp: Inputs) -> DataFrame:
     return inp.table("events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from lumenrec.operators import postings as post
 from lumenrec.operators import words
 from lumenrec.plans.inputs import Inputs
-from lumenrec.plans.q_search import _ITEM_WORDS, _POSTINGS, _PPM, _keys_sql, _suffix_sql, score_ppm
+from lumenrec.plans.q_search import (
+    _CLEAN, _ITEM_WORDS, _POSTINGS, _PPM, _TOKENS, _keys_sql, _suffix_sql, score_ppm,
+)
 from lumenrec.plans.registry import query
 from lumenrec.session import new_scratch
 from lumenrec.sources import snapshots
@@ -126,17 +128,25 @@ def stream_source_preference(inp: Inputs) -> DataFrame:
     return _drain(inp, once, "source-preference")
 
 
+TOPICS = {messages.PROGRAM: "view", messages.SUBJECT: "click", messages.PERSON: "signup"}
+
 _CHANGES = {
-    "closed": """SELECT * FROM programs
-      WHERE time_bucket(INTERVAL 3 MINUTE, ts) + INTERVAL 3 MINUTE <= (SELECT max(ts) FROM programs) - INTERVAL 10 MINUTE""",
-    "last_change": """SELECT user_id AS item_id, category, title, risk, status, ts FROM closed
-      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
+    "item_changes": """SELECT CAST(user_id AS VARCHAR) AS item_id, category, title, risk, status, ts FROM programs
+      UNION ALL SELECT base64(encode(CAST(user_id AS VARCHAR))), 'collection', title, 0, status, ts FROM messages WHERE topic = 'click' AND title IS NOT NULL
+      UNION ALL SELECT CAST(user_id AS VARCHAR), 'person', title, 0, status, ts FROM messages WHERE topic = 'signup' AND title IS NOT NULL""",
+    "closed": """SELECT * FROM item_changes
+      WHERE time_bucket(INTERVAL 3 MINUTE, ts) + INTERVAL 3 MINUTE <= (SELECT max(ts) FROM item_changes) - INTERVAL 10 MINUTE""",
+    "last_change": """SELECT * FROM closed QUALIFY row_number() OVER (PARTITION BY item_id, category ORDER BY ts DESC) = 1""",
     "stored_words": _suffix_sql("(SELECT * FROM items WHERE status = 1 AND feature_type = 1)", _ITEM_WORDS, "title"),
     "stored_keys": _keys_sql("stored_words"),
     "stored": _POSTINGS.format(words="stored_words", keys="stored_keys"),
-    "new_words": _suffix_sql("(SELECT * FROM last_change WHERE status = 1)", _ITEM_WORDS, "title"),
+    "new_words": f"""
+      SELECT * FROM ({_suffix_sql("(SELECT * FROM last_change WHERE category <> 'person')", _ITEM_WORDS + ", status", "title")})
+      UNION ALL SELECT item_id, category, risk, status, {_CLEAN.format(c="title")} AS word, {_TOKENS.format(c="title")} AS tokens, 0 AS "offset", 1.0 AS word_score
+      FROM last_change WHERE category = 'person'""",
     "new_keys": _keys_sql("new_words"),
-    "new_postings": _POSTINGS.format(words="new_words", keys="new_keys"),
+    "new_postings": _POSTINGS.format(words="(SELECT * FROM new_words WHERE status = 1)", keys="new_keys"),
+    "gone": "SELECT DISTINCT k.search_key, w.category, w.item_id FROM new_words w JOIN new_keys k ON w.word = k.word AND w.tokens = k.tokens WHERE w.status <> 1",
 }
 
 
@@ -144,7 +154,7 @@ _CHANGES = {
     "stream_index_merge",
     f"""SELECT search_key, category, item_id, highlight, {_PPM} AS score_ppm, risk FROM (
       SELECT * FROM stored s WHERE NOT EXISTS (
-        SELECT 1 FROM last_change c WHERE CAST(c.item_id AS VARCHAR) = s.item_id AND c.status <> 1)
+        SELECT 1 FROM gone g WHERE g.item_id = s.item_id AND g.category = s.category AND g.search_key = s.search_key)
       AND NOT EXISTS (SELECT 1 FROM new_postings n WHERE n.item_id = s.item_id AND n.search_key = s.search_key
         AND n.category = s.category AND n.highlight = s.highlight)
       UNION ALL
@@ -155,7 +165,7 @@ _CHANGES = {
 def stream_index_merge(inp: Inputs) -> DataFrame:
     """Messages → change log (streaming) → merge into the stored postings."""
     path, checkpoint = new_scratch(inp.spark, "changes"), new_scratch(inp.spark, "changes-checkpoint")
-    changes = index_stream.window_changes(_programs(inp))
+    changes = index_stream.window_changes(messages.changes(inp.message_stream(), TOPICS))
     index_stream.append_log(changes, path, checkpoint, "changes", trigger=None).awaitTermination()
 
     valid = inp.items.where("status = 1 and feature_type = 1").withColumn("item_id", F.col("item_id").cast("string"))

@@ -54,13 +54,18 @@ def _write_pointer(spark: SparkSession, root: str, content: dict[str, str | None
 
 
 def write_snapshot(df: DataFrame, base: str, env: str, product: str, dataset: str) -> str:
-    """Write a new version, then make it ``latest``; the previous one becomes ``backup``."""
+    """Write a new version, then make it ``latest``; the previous one becomes ``backup``.
+
+    The version before that is removed, after the pointer no longer names it.
+    """
     spark = df.sparkSession
     root = dataset_path(base, env, product, dataset)
     version = f"v-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(f"{root}/{version}")
-    previous = read_pointer(spark, root)["latest"]
-    _write_pointer(spark, root, {"latest": version, "backup": previous})
+    before = read_pointer(spark, root)
+    _write_pointer(spark, root, {"latest": version, "backup": before["latest"]})
+    if before["backup"] is not None:
+        delete_path(spark, f"{root}/{before['backup']}")
     return f"{root}/{version}"
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lumenrec.operators.postings import merge_index, recall_words
+from lumenrec.operators.postings import PERSON_CATEGORY, keyword_words, merge_index, name_words, recall_words
 from lumenrec.operators.words import suffix_words
 from lumenrec.sources.snapshots import read_newest, write_snapshot
 
@@ -68,25 +68,47 @@ def append_log(
     return writer.start()
 
 
-def recall_changes(changes: DataFrame, readings: DataFrame | None = None) -> DataFrame:
-    """Changed long titles → timed postings with the item's status."""
+def recall_changes(
+    changes: DataFrame, readings: DataFrame | None = None, keywords: DataFrame | None = None
+) -> DataFrame:
+    """Changed items → timed postings with the item's status.
+
+    People are found by their whole name, items listed in ``keywords (item_id, word)``
+    by these words, all others by the suffixes of their title.
+    """
     carried = ["status", "ts"]
-    words = suffix_words(changes, ["item_id", "category", "risk", *carried], "title")
+    ids = ["item_id", "category", "risk", *carried]
+    person = F.col("category") == PERSON_CATEGORY
+    titled = changes.where(~person)
+    words = name_words(changes.where(person), ids, "title")
+    if keywords is not None:
+        words = words.unionByName(keyword_words(titled.join(keywords, "item_id").select(*ids, "word")))
+        titled = titled.join(keywords.select("item_id").distinct(), "item_id", "left_anti")
+    words = words.unionByName(suffix_words(titled, ids, "title").drop("offset"))
     return recall_words(words, readings, carried)
 
 
-def apply_log(stored: DataFrame, log: DataFrame, readings: DataFrame | None = None) -> DataFrame:
-    """Stored postings after all changes of the log; running it again changes nothing.
+def log_changes(
+    log: DataFrame, readings: DataFrame | None = None, keywords: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Change log → ``(adds, deletes)`` of postings.
 
-    Within the log the latest change of an item wins; an online item's postings are
-    added at that time, an offline item's postings of its title are deleted.
+    The latest change of an item wins. An online item's postings are added at that
+    time; an offline item's postings are deleted from the keys of its title.
     """
     last = log.groupBy("item_id", "category").agg(F.max(F.struct("ts", "status", "title", "risk")).alias("_last"))
     latest = last.select("item_id", "category", "_last.title", "_last.risk", "_last.status", "_last.ts")
-    postings = recall_changes(latest, readings)
+    postings = recall_changes(latest, readings, keywords)
     adds = postings.where("status = 1").drop("status")
     deletes = postings.where("status <> 1").select("search_key", "category", "item_id", "ts")
-    return merge_index(stored, adds, deletes)
+    return adds, deletes
+
+
+def apply_log(
+    stored: DataFrame, log: DataFrame, readings: DataFrame | None = None, keywords: DataFrame | None = None
+) -> DataFrame:
+    """Stored postings after all changes of the log; running it again changes nothing."""
+    return merge_index(stored, *log_changes(log, readings, keywords))
 
 
 def refresh_index(
@@ -94,6 +116,8 @@ def refresh_index(
 ) -> DataFrame:
     """Merge the change log into the ``postings`` snapshot and publish a new version.
 
+    This rewrites the snapshot, so it runs now and then; what has to go out after every
+    trigger is the touched keys only (``postings.touched_postings``).
     ``since`` leaves out windows merged before. Windows are applied in time order;
     applying the newest ones again is harmless.
     """

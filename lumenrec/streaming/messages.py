@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lumenrec.functions.text import base64_text
 from lumenrec.operators.filters import require_fields
+from lumenrec.operators.postings import COLLECTION_CATEGORY, PERSON_CATEGORY
 
 PROGRAM, LINKED, SUBJECT, PERSON = "program", "linked", "subject", "person"
 
@@ -62,3 +66,25 @@ def explode_contents(linked: DataFrame) -> DataFrame:
 def event_time(column: str) -> Column:
     """Watermarks need an instant, not a local date-time."""
     return F.col(column).cast("timestamp")
+
+
+def changes(messages: DataFrame, topics: Mapping[str, str]) -> DataFrame:
+    """Program, subject and person messages as one stream of item changes.
+
+    ``topics`` maps the kinds to topic names. Columns: ``item_id, category, title,
+    risk, status, ts``. A subject or person message without its own time counts as of
+    now; both have risk 0.
+    """
+    program = route(messages, topics[PROGRAM], PROGRAM).withColumn("ts", event_time("update_ts"))
+    now = F.coalesce(event_time("update_ts"), F.current_timestamp())
+    none = F.lit(0).cast("bigint").alias("risk")
+    subject = route(messages, topics[SUBJECT], SUBJECT).select(
+        base64_text(F.col("code")).alias("item_id"), F.lit(COLLECTION_CATEGORY).alias("category"),
+        "title", none, "status", now.alias("ts"),
+    )
+    person = route(messages, topics[PERSON], PERSON).select(
+        F.col("person_id").alias("item_id"), F.lit(PERSON_CATEGORY).alias("category"),
+        F.col("name").alias("title"), none, "status", now.alias("ts"),
+    )
+    columns = ["item_id", "category", "title", "risk", "status", "ts"]
+    return program.select(*columns).unionByName(subject).unionByName(person)

@@ -111,6 +111,18 @@ def test_merge(frame, rows):
     assert rows(post.merge_index(merged, adds, deletes)) == want  # replay
 
 
+def test_only_touched_keys_are_sent_and_emptied_keys_too(frame, rows):
+    t = datetime.datetime(2024, 1, 1)
+    stored = frame(POSTING, ("a", "c", "1", "h", 0.5, 0), ("b", "c", "1", "h", 0.5, 0), ("z", "c", "9", "h", 0.5, 0))
+    adds = frame(POSTING + ", ts timestamp_ntz", ("a", "c", "2", "h", 0.9, 0, t))
+    deletes = frame("search_key string, category string, item_id string, ts timestamp_ntz", ("b", "c", "1", t))
+    keys, merged = post.touched_postings(stored, adds, deletes)
+    contents = post.join_view(post.risk_view(merged, 0), F.format_number("score", 1))
+    assert rows(post.update_documents(keys, contents, "i", "z", "y"), "doc_id", "source") == [
+        ("a", '{"key":"a","alg":"y","biz":"z","c":"2_h_0.9|1_h_0.5"}'), ("b", '{"key":"b","alg":"y","biz":"z"}'),
+    ]
+
+
 def test_short_keys(frame, rows):
     contents = frame("search_key string", ("abc",), ("abcd",), ("中",))
     assert rows(post.short_keys(contents)) == [("abc",), ("中",)]

@@ -32,7 +32,7 @@ def test_dense_equals_brute_force(spark, left, right):
     assert sorted(map(tuple, got.collect())) == brute_force(vectors, 6, 0.5, positive=False)
 
 
-@pytest.mark.parametrize("options", [{}, {"left_rows": 9, "right_entries": 40}, {"left_rows": 9, "long_row": 6}])
+@pytest.mark.parametrize("options", [{}, {"left_rows": 9, "block_entries": 40}, {"left_rows": 9, "long_row": 6}])
 def test_sparse_equals_brute_force(spark, options):
     """Feature 0 is in every vector; items 0 and 1 have every feature (long rows)."""
     rng = np.random.default_rng(4)

@@ -36,6 +36,9 @@ def test_snapshot_rotation(spark, frame, tmp_path):
         last = snapshots.write_snapshot(frame("x int", (value,)), *args)
     assert snapshots.read_snapshot(spark, *args).first().x == 3
     assert snapshots.read_snapshot(spark, *args, which="backup").first().x == 2
+    root = snapshots.dataset_path(*args)
+    assert sorted(f.name[:2] for f in (tmp_path / "test/demo/mix/a").iterdir() if f.is_dir()) == ["v-", "v-"]
+    assert snapshots.read_pointer(spark, root)["latest"] == last.rsplit("/", 1)[1]
     snapshots.delete_path(spark, last)
     assert snapshots.read_newest(spark, *args).first().x == 2
 

@@ -78,6 +78,22 @@ def test_log_merge_is_the_same_for_any_batching(spark, frame, rows):
     assert {r.item_id for r in at_once.collect()} == {"b"}
 
 
+def test_people_keywords_and_titles_are_recalled_differently(frame):
+    log = frame(
+        "item_id string, category string, title string, risk bigint, status bigint, ts timestamp_ntz",
+        ("p", "person", "Jo Doe", 0, 1, minute(1)), ("s", "short", "long text", 1, 1, minute(1)),
+        ("m", "movie", "red hat", 2, 1, minute(1)),
+    )
+    postings = index_stream.recall_changes(log, keywords=frame("item_id string, word string", ("s", "text")))
+    keys = {}
+    for r in postings.collect():
+        keys.setdefault(r.item_id, set()).add(r.search_key)
+    assert keys == {
+        "p": {"j", "jo", "jod", "jodoe", "jd"}, "s": {"t", "text"},
+        "m": {"r", "red", "redh", "redhat", "rh", "h", "hat"},
+    }
+
+
 def test_interval_join_bounds(spark, rows, tmp_path):
     left = "key string, ts timestamp, left_id bigint"
     right = "key string, ts timestamp, right_id bigint"
