@@ -75,7 +75,7 @@ def similar_sparse(
     n: int = 60,
     left_rows: int = 2048,
     block_entries: int = 2_000_000,
-    long_row: int = 200_000,
+    long_row: int = 1_000_000,
 ) -> DataFrame:
     """Cosine top-``n`` of ``(item_id, feature, weight)`` with whole-number weights.
 

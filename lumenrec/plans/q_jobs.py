@@ -116,11 +116,9 @@ def publish_group_map(inp: Inputs) -> DataFrame:
     FROM (SELECT item_id, rating FROM items WHERE rating >= 40 AND risk = 0 AND status = 1 ORDER BY rating DESC, item_id LIMIT 50) HAVING count(*) > 0""",
 )
 def default_list(inp: Inputs) -> DataFrame:
-    hot = filters.hot_items(inp.items, 0)
-    head = lists.top_n(
-        hot.withColumn("list", F.lit("default")), ["list"], [F.col("rating").desc(), F.col("item_id")], 50
-    )
-    return publish.default_list(head, "p:i:", "default", DATE, 50)
+    best = [F.col("rating").desc(), F.col("item_id")]
+    head = filters.hot_items(inp.items, 0).orderBy(*best).limit(50).withColumn("list", F.lit("default"))
+    return publish.default_list(lists.top_n(head, ["list"], best, 50), "p:i:", "default", DATE, 50)
 
 
 def _bought(inp: Inputs, predicate: str, n: int) -> DataFrame:

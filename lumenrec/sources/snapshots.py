@@ -63,6 +63,10 @@ def write_snapshot(df: DataFrame, base: str, env: str, product: str, dataset: st
     version = f"v-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(f"{root}/{version}")
     before = read_pointer(spark, root)
+    if before["latest"] is not None and not path_exists(spark, f"{root}/{before['latest']}"):
+        # The latest version was lost: the backup is still the best second copy.
+        _write_pointer(spark, root, {"latest": version, "backup": before["backup"]})
+        return f"{root}/{version}"
     _write_pointer(spark, root, {"latest": version, "backup": before["latest"]})
     if before["backup"] is not None:
         delete_path(spark, f"{root}/{before['backup']}")

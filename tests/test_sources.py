@@ -41,6 +41,9 @@ def test_snapshot_rotation(spark, frame, tmp_path):
     assert snapshots.read_pointer(spark, root)["latest"] == last.rsplit("/", 1)[1]
     snapshots.delete_path(spark, last)
     assert snapshots.read_newest(spark, *args).first().x == 2
+    snapshots.write_snapshot(frame("x int", (4,)), *args)
+    assert snapshots.read_snapshot(spark, *args).first().x == 4
+    assert snapshots.read_snapshot(spark, *args, which="backup").first().x == 2
 
 
 def test_missing_snapshot_is_an_error(spark, tmp_path):
