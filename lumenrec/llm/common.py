@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenrec.session import materialize, new_scratch
 
-__all__ = ["fold_of", "fresh", "materialize", "new_scratch", "read", "stream_groups", "text_rows", "width"]
+__all__ = ["filter_by_text", "fold_of", "fresh", "materialize", "new_scratch", "read", "stream_groups", "text_rows", "width"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,3 +72,21 @@ def stream_groups(
             yield from out.to_batches()
     if waiting is not None and (out := handle(waiting)) is not None:
         yield from out.to_batches()
+
+
+def filter_by_text(docs: DataFrame, prepare: Callable[[], Callable[[list[bytes]], np.ndarray]], rows: int = 2000) -> DataFrame:
+    """The rows whose text passes a test, all columns as they are, in one pass without a shuffle.
+
+    ``prepare`` runs once a task and returns the test: texts (UTF-8, null as empty) to booleans.
+    """
+    at = docs.columns.index(next(c for c in docs.columns if c.lower() == "text"))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = prepare()
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                passed = test([(t or "").encode() for t in part.column(at).to_pylist()])
+                yield part.filter(pa.array(passed, pa.bool_()))
+
+    return docs.mapInArrow(task, docs.schema)

@@ -202,16 +202,20 @@ def near_groups(
 def keep_first(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     """The documents whose doc_id is the smallest of their near-duplicate group, all columns kept.
 
-    Rows without a doc_id stay when no group member has one. Repeated rows with the kept id collapse
-    to one row.
+    Repeated rows with a kept id collapse to one of them. Rows without a doc_id take part in linking
+    but stay: they have no id to be dropped by.
     """
+    named = fresh(docs, "kept_id")
     groups = near_groups(docs, words, radius)
-    first = (
-        groups.where(F.coalesce("doc_id", F.lit(-1)).eqNullSafe(F.coalesce("component_id", F.lit(-1))))
-        .select(F.col("doc_id").alias(kept := fresh(docs, "kept_id"))).distinct()
+    first = materialize(
+        groups.where("doc_id is null or doc_id = component_id").groupBy(F.col("doc_id").alias(named)).count(), "kept"
     )
-    first = materialize(first, "kept")
-    return docs.dropDuplicates(["doc_id"]).join(first, F.col("doc_id").eqNullSafe(F.col(kept)), "left_semi")
+    kept = docs.join(first.select(named), F.col("doc_id").eqNullSafe(F.col(named)), "left_semi")
+    repeated = first.where(f"count > 1 and {named} is not null").select(named)
+    if repeated.isEmpty():
+        return kept
+    same = F.col("doc_id") == F.col(named)
+    return kept.join(repeated, same, "left_anti").union(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
 
 
 def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
