@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,13 +191,10 @@ def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks:
     return pa.RecordBatch.from_pydict(rows, _SCHEMA)
 
 
-_FOUND = "doc_id bigint, part int, spans binary"
-
-
 def parse_block(table: pa.Table) -> pa.Table:
     """Index one reference block and parse the windows of all documents in it against the index."""
-    passed = table.filter(pa.compute.is_valid(table["spans"])).select(["doc_id", "part", "spans"])
-    dealt = table.filter(pa.compute.is_valid(table["anchors"]))
+    passed = table.filter(pc.is_valid(table["spans"])).select(["doc_id", "part", "spans"])
+    dealt = table.filter(pc.is_valid(table["anchors"]))
     if not dealt.num_rows:
         return passed
 
@@ -235,12 +233,39 @@ def parse_block(table: pa.Table) -> pa.Table:
     return pa.concat_tables([passed, found])
 
 
+_PACKED = "bucket int, packed binary"
+
+
+def pack_found(found: pa.Table, buckets: int) -> pa.Table:
+    """Rows (doc_id, part, spans) as one row per bucket of documents, for the next shuffle."""
+    ids = found["doc_id"].to_numpy()
+    bucket = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    out = []
+    for b in np.unique(bucket):
+        part = found.filter(pa.array(bucket == b)).combine_chunks()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema) as writer:
+            writer.write_table(part)
+        out.append(sink.getvalue().to_pybytes())
+    return pa.table({"bucket": pa.array(np.unique(bucket)), "packed": pa.array(out, pa.binary())})
+
+
+def unpack_found(table: pa.Table) -> pa.Table:
+    """One row per document of a bucket, with all its spans."""
+    found = pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in table["packed"].to_pylist()])
+    found = found.group_by(["doc_id", "part"]).aggregate([("spans", "list")])
+    spans = [b"".join(x) for x in found["spans_list"].to_pylist()]
+    return pa.table({"doc_id": found["doc_id"], "part": found["part"], "spans": pa.array(spans, pa.binary())})
+
+
 def duplicate_spans(rows: DataFrame, blocks: int) -> DataFrame:
     """(doc_id, part, spans): word spans (first word, words; pairs of 32 bits) that occur earlier.
 
     ``rows`` has doc_id, text (binary) and part, which tells texts with one id apart. A null id comes
-    after all others. One shuffle, of hashes; texts stay where they are read.
+    after all others. Hashes are shuffled to the blocks, spans back to buckets of documents, each
+    document's as one row; texts stay where they are read.
     """
+    partitions = width(rows)
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, parts, texts, size = [], [], [], 0
@@ -262,19 +287,27 @@ def duplicate_spans(rows: DataFrame, blocks: int) -> DataFrame:
         "block int, doc_id bigint, part int, spans binary, anchors binary, docs binary, parts binary, "
         "places binary, counts binary, windows binary",
     )
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in stream_groups(batches, ["block"], parse_block):
+            if found.num_rows:
+                yield from pack_found(pa.Table.from_batches([found]), partitions).to_batches()
+
     return (
-        dealt.repartition(width(rows), "block")
+        dealt.repartition(partitions, "block")
         .sortWithinPartitions("block")
-        .mapInArrow(lambda batches: stream_groups(batches, ["block"], parse_block), _FOUND)
+        .mapInArrow(parse, _PACKED)
+        .repartition(partitions, "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(lambda batches: stream_groups(batches, ["bucket"], unpack_found), "doc_id bigint, part int, spans binary")
     )
 
 
-def kept_words(words: list[bytes], spans: list[bytes]) -> list[bytes]:
+def kept_words(words: list[bytes], spans: bytes | None) -> list[bytes]:
     """The words outside all spans."""
     if not spans:
         return words
     at, kept = 0, []
-    pairs = np.concatenate([np.frombuffer(s, "<u4").reshape(-1, 2) for s in spans])
+    pairs = np.frombuffer(spans, "<u4").reshape(-1, 2)
     for start, n in pairs[np.argsort(pairs[:, 0])].tolist():
         if start > at:
             kept += words[at:start]
@@ -285,8 +318,7 @@ def kept_words(words: list[bytes], spans: list[bytes]) -> list[bytes]:
 def _with_spans(docs: DataFrame, blocks: int | None) -> DataFrame:
     rows = text_rows(docs).withColumn("part", F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int"))
     last = F.lit(int(np.iinfo(np.int64).max))
-    found = duplicate_spans(rows, blocks or 4 * width(docs)).groupBy("doc_id", "part").agg(F.collect_list("spans").alias("spans"))
-    found = found.withColumnsRenamed({"doc_id": "key", "part": "key_part"})
+    found = duplicate_spans(rows, blocks or 4 * width(docs)).withColumnsRenamed({"doc_id": "key", "part": "key_part"})
     return rows.join(
         found.hint("shuffle_hash"), (F.coalesce("doc_id", last) == F.col("key")) & (F.col("part") == F.col("key_part")), "left"
     ).select("doc_id", "text", "spans")
@@ -309,14 +341,14 @@ def deduplicate(docs: DataFrame, blocks: int | None = None) -> DataFrame:
             n, removed, digest, text = [], [], [], []
             for k in range(batch.num_rows):
                 words = batch["text"][k].as_py().split()
-                kept = kept_words(words, batch["spans"][k].as_py() or [])
+                kept = kept_words(words, batch["spans"][k].as_py())
                 n.append(len(words))
                 removed.append(len(words) - len(kept))
                 text.append(b" ".join(kept))
                 digest.append(hashlib.sha256(text[-1]).hexdigest())
             yield pa.record_batch(
                 {"doc_id": batch["doc_id"], "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                 "kept_sha256": digest, "text": pa.array(text, pa.binary())}
+                 "kept_sha256": pa.array(digest, pa.string()), "text": pa.array(text, pa.binary())}
             )
 
     return (

@@ -119,13 +119,12 @@ class Lexicon:
     beginnings: dict[str, float]
 
     def weight(self, word: str) -> float:
-        """The word's own weight, or that of its longest known beginning; 0 without one."""
-        if (own := self.words.get(word)) is not None:
-            return own
-        for n in reversed(PREFIXES):
-            if len(word) > n and (w := self.beginnings.get(word[:n])) is not None:
-                return w
-        return 0.0
+        """The best path through the automaton: the word itself or one of its known beginnings; 0 without one."""
+        best = self.words.get(word, 0.0)
+        for n in PREFIXES:
+            if len(word) > n:
+                best = max(best, self.beginnings.get(word[:n], 0.0))
+        return best
 
     def read(self, token: str) -> tuple[str, float]:
         """Tag and weight of a lower-case token between blanks (its best word, if it has several)."""
@@ -154,7 +153,7 @@ def clauses(tokens: list[str]) -> Iterator[list[str]]:
 
 
 def attack(tags: list[tuple[str, float]]) -> dict[str, float]:
-    """Weight of each kind of attack in a clause: the largest among the words it was written for.
+    """Weight of each kind of attack in a clause: word weights add up along the path.
     A plain insult that a later target aims at counts as aimed with its own weight."""
     state, out, last = 0, {}, 0.0
     for tag, weight in tags:
@@ -162,26 +161,28 @@ def attack(tags: list[tuple[str, float]]) -> dict[str, float]:
         if tag == INSULT:
             last = weight
         if wrote in KINDS:
-            out[wrote] = max(out.get(wrote, 0.0), 1.0 if wrote == "threat" else last)
+            out[wrote] = out.get(wrote, 0.0) + (1.0 if wrote == "threat" else last)
     return out
 
 
 def document_features(text: str, lexicon: Lexicon, cache: dict[str, tuple[str, float]]) -> list[float]:
-    """For each kind the weight of the document's worst clause, and log(1 + attacking clauses)."""
+    """For each kind the weight of the document's worst clause; log(1 + x) of the attacking clauses'
+    number and of their weights' sum."""
     tokens = text.lower().split()
     if len(cache) > CACHE:
         cache.clear()
     distinct = set(tokens)
     for token in distinct.difference(cache):
         cache[token] = lexicon.read(token)
-    worst, n = dict.fromkeys(KINDS, 0.0), 0
+    worst, n, total = dict.fromkeys(KINDS, 0.0), 0, 0.0
     if any(cache[t][0] in (INSULT, THREAT) for t in distinct):
         for clause in clauses(tokens):
             found = attack([cache[t] for t in clause])
             n += bool(found)
+            total += max(found.values(), default=0.0)
             for kind, weight in found.items():
                 worst[kind] = max(worst[kind], weight)
-    return [*worst.values(), float(np.log1p(n))]
+    return [*worst.values(), float(np.log1p(n)), float(np.log1p(total))]
 
 
 @dataclass(frozen=True)
@@ -207,13 +208,13 @@ def arcs_of(text: str) -> Iterator[tuple[str, str]]:
                     yield word[:n], word
 
 
-def lexicons(sample: DataFrame, sure: float = 2.5, support: int = 3) -> list[Lexicon]:
+def lexicons(sample: DataFrame, sure: float = 2.5, support: int = 3, least: float = 0.1) -> list[Lexicon]:
     """A lexicon from all sampled rows, then one from each of the two parts (0 and 1) of the sample.
 
     An arc's weight is the lower confidence bound (``sure`` standard errors) of its log odds ratio
-    between toxic and other documents; arcs that are not above zero, or in fewer than ``support``
-    toxic documents, or beginnings of a single word are no arcs. Only arcs that are kept come to the
-    driver.
+    between toxic and other documents; arcs that are not above ``least``, or in fewer than ``support``
+    toxic documents, are no arcs; nor are beginnings that toxic documents do not use in several words
+    (1.5 on average, and two in all). Only arcs that are kept come to the driver.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,23 +222,25 @@ def lexicons(sample: DataFrame, sure: float = 2.5, support: int = 3) -> list[Lex
             for text, y, part in zip(*(batch[c].to_pylist() for c in ("text", "y", "part"))):
                 low: dict[str, int] = {}
                 high: dict[str, int] = {}
+                words: dict[str, int] = {}
                 for arc, word in arcs_of(text.decode()):
                     code = zlib.crc32(word.encode())
                     low[arc] = min(low.get(arc, code), code)
                     high[arc] = max(high.get(arc, code), code)
+                    words[arc] = words.get(arc, 0) + 1
                 n = len(low)
                 yield pa.record_batch(
-                    {"arc": list(low), "low": pa.array(low.values(), pa.int64()), "high": pa.array(high.values(), pa.int64()),
-                     "kind": pa.array([2 * part + y] * n, pa.int32())}
+                    {"arc": pa.array(list(low), pa.string()), "low": pa.array(low.values(), pa.int64()), "high": pa.array(high.values(), pa.int64()),
+                     "words": pa.array(words.values(), pa.int64()), "kind": pa.array([2 * part + y] * n, pa.int32())}
                 )
 
     kinds = range(4)  # part and label
     total = {r.kind: r.n for r in sample.groupBy((2 * F.col("part") + F.col("y")).alias("kind")).agg(F.count("*").alias("n")).collect()}
     counts = (
-        sample.mapInArrow(task, "arc string, low bigint, high bigint, kind int")
+        sample.mapInArrow(task, "arc string, low bigint, high bigint, words bigint, kind int")
         .groupBy("arc")
-        .agg(*(F.count(F.when(F.col("kind") == k, 1)).alias(f"c{k}") for k in kinds), F.min("low").alias("low"), F.max("high").alias("high"))
-        .where(F.col("arc").startswith("=") | (F.col("low") < F.col("high")))
+        .agg(*(F.count(F.when(F.col("kind") == k, 1)).alias(f"c{k}") for k in kinds), *(f(F.when(F.col("kind") % 2 == 1, F.col(c))).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "words"))))
+        .where(F.col("arc").startswith("=") | ((F.col("low") < F.col("high")) & (F.col("words") >= 1.5 * (F.col("c1") + F.col("c3")))))
     )
     weights = []
     for parts in ((0, 1), (0,), (1,)):
@@ -246,39 +249,54 @@ def lexicons(sample: DataFrame, sure: float = 2.5, support: int = 3) -> list[Lex
         odds = F.log((p + 0.5) / (toxic - p + 0.5)) - F.log((n + 0.5) / (other - n + 0.5))
         error = F.sqrt(1 / (p + 0.5) + 1 / (n + 0.5) + 1 / (toxic - p + 0.5) + 1 / (other - n + 0.5))
         weights.append(F.when(p >= support, odds - sure * error).otherwise(0.0))
-    kept = counts.select("arc", *(w.alias(f"w{k}") for k, w in enumerate(weights))).where("greatest(w0, w1, w2) > 0").collect()
+    kept = counts.select("arc", *(w.alias(f"w{k}") for k, w in enumerate(weights))).where(F.greatest("w0", "w1", "w2") > least).collect()
     return [
         Lexicon(
-            {r.arc[1:]: r[k] for r in kept if r.arc[0] == "=" and r[k] > 0},
-            {r.arc: r[k] for r in kept if r.arc[0] != "=" and r[k] > 0},
+            {r.arc[1:]: r[k] for r in kept if r.arc[0] == "=" and r[k] > least},
+            {r.arc: r[k] for r in kept if r.arc[0] != "=" and r[k] > least},
         )
         for k in (1, 2, 3)
     ]
 
 
-def fit_output(rows: np.ndarray, labels: np.ndarray, steps: int = 1500, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit_output(rows: np.ndarray, labels: np.ndarray, steps: int = 3000, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Logistic regression with weights of at least zero (an attack never makes a text less toxic), by
-    gradient descent with momentum. Each label weighs the same."""
+    gradient descent with momentum."""
     weights, bias = np.full(rows.shape[1], 0.5), -1.0
     if not len(labels) or labels.min() == labels.max():
         share = (labels.sum() + 0.5) / (len(labels) + 1)
         return weights, float(np.log(share / (1 - share))) if len(labels) and labels.max() else -3.0
-    weigh = np.where(labels == 1, len(labels) / (2 * labels.sum()), len(labels) / (2 * (1 - labels).sum()))
     speed, lift = np.zeros_like(weights), 0.0
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(rows @ weights + bias, -60, 60)))
-        g = weigh * (p - labels)
+        g = p - labels
         speed = 0.9 * speed - rate * ((rows * g[:, None]).mean(axis=0) + decay * weights)
         lift = 0.9 * lift - rate * g.mean()
         weights, bias = np.maximum(weights + speed, 0.0), bias + lift
     return weights, float(bias)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000) -> Model:
+def at_threshold(bias: float, logits: np.ndarray, labels: np.ndarray, threshold: float) -> float:
+    """The bias for which ``threshold`` is the cut with the best F1 on the given rows (their logits
+    include ``bias``): the middle between the last row above and the first below it."""
+    if not len(labels) or labels.min() == labels.max():
+        return bias
+    order = np.argsort(-logits, kind="stable")
+    x, y = logits[order], labels[order]
+    hits = np.cumsum(y)
+    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    ends = np.append(x[1:] < x[:-1], True)  # equal scores fall on one side
+    best = int(np.argmax(np.where(ends, f1, -1)))
+    cut = (x[best] + x[best + 1]) / 2 if best + 1 < len(x) else x[best]
+    return float(bias + np.log(threshold / (1 - threshold)) - cut)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, threshold: float = 0.7) -> Model:
     """Learn the insult automaton and the weights of the kinds from at most ``max_rows`` labelled rows.
 
     The weights are fitted to features that each half of the sample gets from the other half's
-    lexicon, so words seen in one document only do not look better than they are.
+    lexicon, so words seen in one document only do not look better than they are. The bias is then
+    moved so that ``threshold`` is the best cut on the sample.
     """
     sample = materialize(
         labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, max_rows).withColumn(
@@ -298,9 +316,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000) -> Model:
 
     rows = sample.mapInArrow(task, "doc_id bigint, x array<double>, y int").collect()
     rows.sort(key=lambda r: (r.doc_id, r.x))
-    x = np.array([r.x for r in rows]).reshape(len(rows), len(KINDS) + 1)
-    weights, bias = fit_output(x, np.array([r.y for r in rows], float))
-    return Model(whole, weights, bias)
+    x = np.array([r.x for r in rows]).reshape(len(rows), len(KINDS) + 2)
+    y = np.array([r.y for r in rows], float)
+    weights, bias = fit_output(x, y)
+    return Model(whole, weights, at_threshold(bias, x @ weights + bias, y, threshold))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, rows: int = 500) -> DataFrame:
