@@ -210,7 +210,8 @@ def keep_first(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     first = materialize(
         groups.where("doc_id is null or doc_id = component_id").groupBy(F.col("doc_id").alias(named)).count(), "kept"
     )
-    kept = docs.join(first.select(named), F.col("doc_id").eqNullSafe(F.col(named)), "left_semi")
+    # the ids grow with the documents: both sides are dealt by id at every size, never broadcast
+    kept = docs.join(first.select(named).hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(named)), "left_semi")
     repeated = first.where(f"count > 1 and {named} is not null").select(named)
     if repeated.isEmpty():
         return kept
