@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lumenrec.session import materialize, new_scratch
 
-__all__ = ["filter_by_text", "fold_of", "fresh", "materialize", "new_scratch", "read", "stream_groups", "text_rows", "width"]
+__all__ = ["filter_by_text", "fold_of", "fresh", "materialize", "mix", "new_scratch", "read", "stream_groups", "text_rows", "width"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,6 +40,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def width(df: DataFrame) -> int:
     """Partitions for a shuffle that an operator asks for by number: the session's setting."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -12,12 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenrec.llm.common import filter_by_text, fold_of, read, text_rows
+from lumenrec.llm.common import filter_by_text, fold_of, mix, read, text_rows
 
 FOLDS, HELD_OUT = 3, 1
-#: Word values kept per task; beyond it the cache starts anew.
+#: Word values that a task remembers.
 CACHE = 200_000
 
+_BYTE = np.random.default_rng(4).integers(1, 1 << 63, 256, np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
 
 @dataclass(frozen=True)
 class Subwords:
@@ -31,28 +34,42 @@ class Subwords:
     shortest: int = 3
     longest: int = 5
 
-    def of_word(self, word: bytes) -> list[int]:
-        """Buckets of a word and of its n-grams (over bytes, with word ends marked)."""
-        marked = b"<" + word + b">"
-        grams = [marked]
-        for n in range(self.shortest, self.longest + 1):
-            grams += [marked[i : i + n] for i in range(len(marked) - n + 1)]
-        return [zlib.crc32(g) % self.buckets for g in grams]
+    def of_words(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(number of the word, bucket) of the words themselves and of their n-grams, over bytes with word
+        ends marked: one pair of arrays for the words and one for each length."""
+        if not words:
+            return
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        data = _BYTE[np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8)]
+        start = np.cumsum(size) - size
+        word = np.repeat(np.arange(len(words)), size)
+        left = np.repeat(start + size, size) - np.arange(len(data))  # bytes to the end of the word
+        powers = np.cumprod(np.full(int(size.max()), _BASE))
+        whole = np.add.reduceat(data * powers[np.repeat(size, size) - left], start)
+        yield np.arange(len(words)), self._bucket(whole, 0)
+        gram = data
+        for n in range(2, self.longest + 1):
+            gram = gram[:-1] * _BASE + data[n - 1 :]
+            if n >= self.shortest:
+                at = np.flatnonzero(left[: len(gram)] >= n)
+                yield word[at], self._bucket(gram[at], n)
+
+    def _bucket(self, h: np.ndarray, n: int) -> np.ndarray:
+        return (mix(h + np.uint64(n)) % np.uint64(self.buckets)).astype(np.int64)
 
     @property
     def repeat(self) -> int:
-        return zlib.crc32(b"word pair: the same twice") % self.buckets
+        """Bucket of the word pairs."""
+        return self.buckets - 1
 
     def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Distinct buckets of a whole text and how often each occurs."""
         words = text.split()
-        number: dict[bytes, int] = {}
-        for w in words:
-            number[w] = number.get(w, 0) + 1
-        found = [self.of_word(w) for w in number]
-        flat = np.fromiter((b for f in found for b in f), np.int64)
-        times = np.repeat(np.fromiter(number.values(), np.int64), [len(f) for f in found])
-        total = np.bincount(flat, times, self.buckets).astype(np.int64)
+        number = Counter(words)
+        times = np.fromiter(number.values(), np.float64, len(number))
+        total = np.zeros(self.buckets)
+        for word, bucket in self.of_words(list(number)):
+            total += np.bincount(bucket, times[word], self.buckets)
         total[self.repeat] += sum(map(eq, words, words[1:]))
         kept = np.flatnonzero(total)
         return kept.astype(np.int32), total[kept].astype(np.int32)
@@ -71,23 +88,30 @@ class Model:
     def weights(self) -> np.ndarray:
         return (self.vectors.astype(np.float64) @ (self.output[:, 1] - self.output[:, 0])).round(9)
 
+    def learn(self, words: list[bytes], cache: dict[bytes, complex], weights: np.ndarray) -> None:
+        """Sum (real) and number (imaginary part) of the weights of each word's features."""
+        total, number = np.zeros(len(words)), np.zeros(len(words))
+        for word, bucket in self.features.of_words(words):
+            total += np.bincount(word, weights[bucket], len(words))
+            number += np.bincount(word, None, len(words))
+        cache.update(zip(words, (total + 1j * number).tolist()))
+
     def score_all(self, texts: list[bytes], cache: dict[bytes, complex], weights: np.ndarray) -> list[float]:
-        """Probability of label 1 for each text. ``cache`` holds sum (real) and number (imaginary part)
-        of the weights of a word's features."""
+        """Probability of label 1 for each text. ``cache`` remembers the values of up to CACHE words."""
         offset, repeat = float(self.bias[1] - self.bias[0]), float(weights[self.features.repeat])
-        out = []
-        for text in texts:
-            words = text.split()
-            if len(cache) > CACHE:
-                cache.clear()
-            for w in set(words).difference(cache):
-                found = self.features.of_word(w)
-                cache[w] = complex(float(weights[found].sum()), len(found))
-            both = sum(map(cache.__getitem__, words), 0j)
+        split = [text.split() for text in texts]
+        missing = sorted(set().union(*split).difference(cache))
+        self.learn(missing, cache, weights)
+        get = cache.__getitem__
+        mean = np.empty(len(texts))
+        for k, words in enumerate(split):
+            both = sum(map(get, words), 0j)
             again = sum(map(eq, words, words[1:]))
-            mean = (both.real + again * repeat) / max(1.0, both.imag + again)
-            out.append(1.0 / (1.0 + float(np.exp(np.clip(-(mean + offset), -60, 60)))))
-        return out
+            mean[k] = (both.real + again * repeat) / max(1.0, both.imag + again)
+        if len(cache) > CACHE:
+            for w in missing[max(0, CACHE - (len(cache) - len(missing))) :]:
+                del cache[w]
+        return (1 / (1 + np.exp(np.clip(-(mean + offset), -60, 60)))).tolist()
 
 
 def train(

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenrec.llm.common import read, stream_groups, text_rows, width
+from lumenrec.llm.common import mix, read, stream_groups, text_rows, width
 
 WINDOW = 20
 ANCHOR = 10
@@ -34,13 +34,6 @@ _WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and 64-bit hash of each word (run of bytes other than the six ASCII blanks)."""
     space = _SPACE[data]

@@ -66,9 +66,14 @@ def test_scoring_by_words_equals_the_network():
 
 def test_subword_features():
     f = quality.Subwords()
-    assert len(f.of_word(b"ab")) == 1 + 2 + 1  # <ab>; <ab, ab>; <ab>
+    size = lambda *words: sum(len(b) for _, b in f.of_words(list(words)))
+    assert size(b"ab") == 1 + 2 + 1  # <ab>; <ab, ab>; <ab>
+    one = sorted(b for _, found in f.of_words([b"abc"]) for b in found.tolist())
+    many = [b for w, found in f.of_words([b"x", b"abc", b"abcdef"]) for k, b in zip(w.tolist(), found.tolist()) if k == 1]
+    assert sorted(many) == one  # a word's features do not depend on its neighbours
     found, n = f.counts(b"x x x")
-    assert n.sum() == 3 * len(f.of_word(b"x")) + 2 and f.repeat in found
+    assert n.sum() == 3 * size(b"x") + 2 and f.repeat in found
+    assert list(f.of_words([])) == [] and len(f.counts(b"")[0]) == 0
 
 
 def test_edge_cases(hard, docs, labels):
