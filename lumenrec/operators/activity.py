@@ -7,12 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.operators.lists import fold_chunks
+from lumenrec.operators.reduced import distinct_keys
 
 
 def ntz(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
+def day_range(column: str, day: str) -> Column:
+    """Times of one day (``yyyyMMdd``) as a range of the column, which a scan can prune by."""
+    start = F.to_date(F.lit(day), "yyyyMMdd")
+    return (F.col(column) >= start.cast("timestamp_ntz")) & (F.col(column) < F.date_add(start, 1).cast("timestamp_ntz"))
+
+
 def active_any_counter(counters: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Users with at least one counter of 1 or more."""
     return counters.where(F.greatest(*columns) >= 1).select("user_id")
@@ -48,12 +55,12 @@ def watched_sets(
 
 def daily_scores_valid(daily: DataFrame, valid_items: DataFrame, day: str) -> DataFrame:
     """One day's scores of the items on the valid list."""
-    return daily.where(F.col("day") == day).join(valid_items.select("item_id"), "item_id", "left_semi")
+    return daily.where(F.col("day") == day).join(distinct_keys(valid_items, "item_id"), "item_id", "left_semi")
 
 
 def editor_weight(scores: DataFrame, picks: DataFrame, weight: Column) -> DataFrame:
     """Multiply the scores of editor-picked items by the weight, others by 1."""
-    tagged = picks.select("item_id").distinct().withColumn("_weight", weight)
+    tagged = distinct_keys(picks, "item_id").withColumn("_weight", weight)
     return (
         scores.join(tagged, "item_id", "left")
         .withColumn("weighted", F.col("score") * F.coalesce("_weight", F.lit(1)))
@@ -62,8 +69,17 @@ def editor_weight(scores: DataFrame, picks: DataFrame, weight: Column) -> DataFr
 
 
 def dataset_profile(df: DataFrame, user: str = "user_id") -> DataFrame:
-    """Row and distinct user counts in one pass."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(user).alias("n_users"))
+    """Row and distinct user counts in one pass, and the schema."""
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(user).alias("n_users"),
+        F.lit(df.schema.simpleString()).alias("schema"),
+    )
+
+
+def dataset_sample(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
+    """``n`` rows to look at, the same on every run: those whose digest is smallest."""
+    digest = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in columns]))
+    return df.orderBy(digest, *columns).limit(n)
 
 
 def blend_score(matches: DataFrame, quality: DataFrame) -> DataFrame:

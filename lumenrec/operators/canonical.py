@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from lumenrec.operators.reduced import per_key
+
 
 def one_row_per(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order`` values of every key.
@@ -21,7 +23,7 @@ def one_row_per(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 def canonical_map(relation: DataFrame) -> DataFrame:
     """One canonical id (the smallest) per raw id."""
-    return relation.groupBy("item_id").agg(F.min("canonical_id").alias("canonical_id"))
+    return per_key(relation, ["item_id"], F.min("canonical_id").alias("canonical_id"))
 
 
 def with_canonical(df: DataFrame, mapping: DataFrame, column: str = "item_id") -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lumenrec.operators.reduced import distinct_keys, per_key
+
 
 def conditional_episodes(category: str = "PROMO") -> Column:
     """Every category passes, but the given one needs at least one episode."""
@@ -81,12 +83,12 @@ def list_filter(base: DataFrame, other: DataFrame, on: Sequence[str], mode: str)
     how = {"black": "left_anti", "white": "left_semi"}.get(mode)
     if how is None:
         raise ValueError(f"unknown list mode {mode!r}")
-    return base.join(other.select(*on).distinct(), list(on), how)
+    return base.join(distinct_keys(other, *on), list(on), how)
 
 
 def valid_only(df: DataFrame, checklist: DataFrame, column: str) -> DataFrame:
     """Keep rows whose user or item is on the checklist."""
-    return df.join(checklist.select(column).distinct(), column, "left_semi")
+    return df.join(distinct_keys(checklist, column), column, "left_semi")
 
 
 def risk_filter(
@@ -102,8 +104,8 @@ def risk_filter(
     Each dimension is reduced to one row per key, so the joins never multiply rows.
     Zero risks change nothing and are left out of the join sides.
     """
-    users = user_risk.where("risk > 0").groupBy(user).agg(F.max("risk").alias("_user_risk"))
-    things = item_risk.where("risk > 0").groupBy(item).agg(F.max("risk").alias("_item_risk"))
+    users = per_key(user_risk.where("risk > 0"), [user], F.max("risk").alias("_user_risk"))
+    things = per_key(item_risk.where("risk > 0"), [item], F.max("risk").alias("_item_risk"))
     total = F.coalesce("_user_risk", F.lit(0)) + F.coalesce("_item_risk", F.lit(0))
     return (
         recommend.join(users, user, "left").join(things, item, "left").where(total <= limit)

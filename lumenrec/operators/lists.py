@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenrec.functions.ordering import digest_number, shuffle_digest
+from lumenrec.operators.reduced import per_key
 
 TAKE, RANDOM, TAKE_AND_RANDOM = "take", "random", "take_and_random"
 
@@ -26,36 +27,45 @@ def top_n(
     return ranked.withColumn(pos, F.col(pos).cast("bigint"))
 
 
-def shuffled_positions(
-    df: DataFrame, key: str, item: str, seed: int = 7, pos: str = "pos", slice_rows: int = 1_000_000
-) -> DataFrame:
+def shuffled_positions(df: DataFrame, key: str, item: str, seed: int = 7, pos: str = "pos", digits: int = 4) -> DataFrame:
     """Position of every row in a repeatable random order of its key's whole list.
 
-    A list may hold a large share of all rows, so no task ranks more than about
-    ``slice_rows`` of one list. Longer lists (there are at most total / slice_rows of
-    them, hence the broadcast) are cut into even slices by the leading digits of the
-    row digest; a row's position is the rows in earlier slices plus its rank inside
-    its own slice.
+    A list may hold a large share of all rows, so no task ranks a whole list. Rows are
+    folded by key and the leading ``digits`` of their hexadecimal digest; a slice's rows
+    are numbered in its array, and the rows before it come from a running sum over the
+    at most ``16 ** digits`` slices of the key. The input is read once.
     """
-    rows = df.where(F.col(key).isNotNull()).withColumn("_digest", shuffle_digest(seed, key, item))
-    long = (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > slice_rows)
-        .select(key, F.ceil(F.log(16.0, F.col("_size") / slice_rows)).cast("int").alias("_digits"))
-    )
-    sliced = rows.join(F.broadcast(long), key, "left").withColumn(
-        "_slice", F.substring("_digest", F.lit(1), F.coalesce("_digits", F.lit(0)))
+    digest = shuffle_digest(seed, key, item)
+    rows = df.where(F.col(key).isNotNull())
+    rest = [c for c in df.columns if c != key]
+    entry = F.struct(digest.alias("_digest"), F.col(item).alias("_item"), F.struct(*rest).alias("_row"))
+    slices = rows.groupBy(key, F.substring(digest, 1, digits).alias("_slice")).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
+    return _numbered(slices, key, [F.col("_slice")], pos).select(
+        *[F.col(key) if c == key else F.col(f"_entry._row.{c}").alias(c) for c in df.columns], pos
     )
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.where("_digits is not null").groupBy(key, "_slice")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select(key, "_slice", F.sum("_size").over(before).alias("_before"))
-    )
-    inside = Window.partitionBy(key, "_slice").orderBy("_digest", item)
-    place = F.coalesce("_before", F.lit(0)) + F.row_number().over(inside)
-    return (
-        sliced.join(offsets, [key, "_slice"], "left").withColumn(pos, place.cast("bigint"))
-        .drop("_digest", "_digits", "_slice", "_before")
+
+
+def ordered_positions(df: DataFrame, key: str, item: str, value: str, pos: str = "pos", width: int = 65536) -> DataFrame:
+    """``(key, item, pos)``: place of every row in its key's whole list, largest ``value`` first, then by item.
+
+    For values that repeat, such as counts, sums and days: rows are folded by key and
+    value (and by ranges of ``width`` ids), so a hot list is numbered in many tasks and
+    only its distinct values pass one window.
+    """
+    rows = df.where(F.col(key).isNotNull())
+    whole = dict(df.dtypes)[item] in ("int", "bigint", "smallint")
+    span = F.floor(F.col(item) / width) if whole else F.lit(0)
+    entry = F.struct(F.col(item).alias("_item"))
+    slices = rows.groupBy(key, F.col(value).alias("_value"), span.alias("_span")).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
+    return _numbered(slices, key, [F.col("_value").desc(), F.col("_span")], pos).select(key, F.col("_entry._item").alias(item), pos)
+
+
+def _numbered(slices: DataFrame, key: str, order: Sequence[Column], pos: str) -> DataFrame:
+    """Rows of ordered slices with their position in the key's list."""
+    before = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = slices.withColumn("_before", F.coalesce(F.sum(F.size("_rows")).over(before), F.lit(0)))
+    return placed.select(key, "_before", F.posexplode("_rows").alias("_at", "_entry")).withColumn(
+        pos, (F.col("_before") + F.col("_at") + 1).cast("bigint")
     )
 
 
@@ -115,23 +125,49 @@ def stratified_sample(
     )
 
 
-def fold_list(df: DataFrame, key: str, item: str, pos: str, n: int, out: str = "id") -> DataFrame:
-    """One row per key with the items of its first ``n`` positions in rank order."""
-    head = top_n(df, [key], [F.col(pos), F.col(item)], n, "_pos")
+def fold_list(
+    df: DataFrame, key: str, item: str, pos: str, n: int | None = None, out: str = "id", slice_rows: int = 100_000
+) -> DataFrame:
+    """One row per key with the items of its list in rank order.
+
+    With ``n`` only the first ``n``. Without, the whole list by its positions 1, 2, …; a
+    list longer than ``slice_rows`` gives several rows, numbered by ``slice``, so no array
+    holds a hot key's list.
+    """
     ordered = F.sort_array(F.collect_list(F.struct("_pos", F.col(item).alias("item"))))
-    return head.groupBy(key).agg(F.transform(ordered, lambda x: x["item"]).alias(out))
+    items = F.transform(ordered, lambda x: x["item"]).alias(out)
+    if n is not None:
+        return top_n(df, [key], [F.col(pos), F.col(item)], n, "_pos").groupBy(key).agg(items)
+    part = F.floor((F.col(pos) - 1) / slice_rows).cast("bigint").alias("slice")
+    return df.withColumn("_pos", F.col(pos)).groupBy(key, part).agg(items)
+
+
+def fold_scored(
+    df: DataFrame, key: str, item: str, score: str, n: int | None = None, name: str = "item", out: str = "items",
+    slice_rows: int = 100_000,
+) -> DataFrame:
+    """One row per key with ``(item, score)`` pairs, best first.
+
+    With ``n`` only the ``n`` best. Without, all of them; a list longer than
+    ``slice_rows`` gives several rows, numbered by ``slice``, each best first.
+    """
+    pair = lambda x: F.struct(x["item"].alias(name), x["score"].alias("score"))
+    if n is not None:
+        head = top_n(df, [key], [F.col(score).desc(), F.col(item)], n, "_pos")
+        ordered = F.sort_array(
+            F.collect_list(F.struct("_pos", F.col(item).alias("item"), F.col(score).alias("score")))
+        )
+        return head.groupBy(key).agg(F.transform(ordered, pair).alias(out))
+    entry = F.struct((-F.col(score)).alias("_order"), F.col(item).alias("item"), F.col(score).alias("score"))
+    chunks = fold_chunks(df, [key], [item], entry, slice_rows)
+    return chunks.select(key, F.col("chunk").alias("slice"), F.transform("entries", pair).alias(out))
 
 
 def fold_matrix(
-    df: DataFrame, key: str, item: str, score: str, n: int, out: str = "items"
+    df: DataFrame, key: str, item: str, score: str, n: int | None = None, out: str = "items", slice_rows: int = 100_000
 ) -> DataFrame:
-    """One row per key with ``(item, score)`` pairs, best first, at most ``n``."""
-    head = top_n(df, [key], [F.col(score).desc(), F.col(item)], n, "_pos")
-    ordered = F.sort_array(
-        F.collect_list(F.struct("_pos", F.col(item).alias("item"), F.col(score).alias("score")))
-    )
-    pairs = F.transform(ordered, lambda x: F.struct(x["item"].alias("item"), x["score"].alias("score")))
-    return head.groupBy(key).agg(pairs.alias(out))
+    """One row per key (and slice of a long list) with ``(item, score)`` pairs, best first."""
+    return fold_scored(df, key, item, score, n, out=out, slice_rows=slice_rows)
 
 
 def fold_chunks(
@@ -143,13 +179,13 @@ def fold_chunks(
     chunks, so no array and no task holds a whole hot list. Output: keys, ``chunk``,
     ``n`` and the sorted ``entries``.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = per_key(df, keys, F.count(F.lit(1)).alias("_size"))
     chunks = sizes.select(*keys, F.ceil(F.col("_size") / chunk_rows).cast("bigint").alias("_chunks"))
     placed = df.join(chunks, list(keys)).select(
         *keys, (digest_number(*parts) % F.col("_chunks")).alias("chunk"), payload.alias("_entry")
     )
-    # Grouping could go on in the join's own partitions, a hot key in one of them. The
-    # explicit shuffle on the chunk lets AQE split that key in the join as well.
+    # Grouping could go on in the join's own partitions, a hot key in one of them; the
+    # shuffle on the chunk spreads it.
     placed = placed.repartition(*keys, "chunk")
     return placed.groupBy(*keys, "chunk").agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("_entry")).alias("entries")

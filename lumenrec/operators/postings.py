@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenrec.functions.text import base64_text, clean_title, title_tokens
 from lumenrec.operators.lists import fold_chunks, top_n
+from lumenrec.operators.reduced import distinct_keys, per_key
 from lumenrec.operators.words import keywords_tfidf, plain_prefixes, prefix_keys, suffix_words, typed_keys
+from lumenrec.session import materialize
 
 # List length, weights of the two match scores, short-title word score,
 # longest cached key, documents per bulk file, caller levels of the three risk views.
@@ -30,9 +32,16 @@ _WORD = ["item_id", "category", "risk", "word", "tokens", "word_score"]
 
 
 def search_words(
-    long_items: DataFrame, short_items: DataFrame, collections: DataFrame, people: DataFrame
+    long_items: DataFrame,
+    short_items: DataFrame,
+    collections: DataFrame,
+    people: DataFrame,
+    keywords: int | None = None,
 ) -> DataFrame:
-    """Search words of the four sources with their word scores."""
+    """Search words of the four sources with their word scores.
+
+    Short items are found by all their terms, or by the ``keywords`` best of them.
+    """
     ids = ["item_id", "category", "risk"]
     long_words = suffix_words(long_items.withColumn("item_id", F.col("item_id").cast("string")), ids, "title")
     subjects = collections.select(
@@ -42,7 +51,7 @@ def search_words(
         "title",
     )
     subject_words = suffix_words(subjects, ids, "title")
-    terms = keywords_tfidf(short_items, "item_id", "title", keep=["category", "risk"])
+    terms = keywords_tfidf(short_items, "item_id", "title", keywords, ["category", "risk"])
     short_words = keyword_words(
         terms.withColumnRenamed("term", "word").withColumn("item_id", F.col("item_id").cast("string"))
     )
@@ -100,14 +109,17 @@ def search_recall(
     collections: DataFrame,
     people: DataFrame,
     readings: DataFrame | None = None,
+    keywords: int | None = None,
 ) -> DataFrame:
-    return recall_words(search_words(long_items, short_items, collections, people), readings)
+    return recall_words(search_words(long_items, short_items, collections, people, keywords), readings)
 
 
 def posting_lists(postings: DataFrame, entry: Column, chunk_rows: int = 10000) -> DataFrame:
     """Postings folded per (key, category), long lists in several chunks."""
+    # The chunk sizes and the rows both come from the postings, which are recalled once.
+    recalled = materialize(postings, "postings")
     return fold_chunks(
-        postings, ["search_key", "category"], ["item_id", "highlight"], entry, chunk_rows
+        recalled, ["search_key", "category"], ["item_id", "highlight"], entry, chunk_rows
     )
 
 
@@ -125,9 +137,10 @@ def tiered_top(postings: DataFrame, size: int = LIST_SIZE) -> DataFrame:
     both steps, in the same scan, without gathering at their key.
     """
     marker = F.when(F.col("highlight") == "", F.struct("item_id", "score"))
-    distinct = postings.select(*POSTING).distinct().where("highlight = '' or risk <= 2").withColumn("_marker", marker)
-    own_list = ["search_key", "category", "risk", "_marker"]
-    short = top_n(distinct, own_list, _best_first(), size, "_own")
+    rows = postings.select(*POSTING).where("highlight = '' or risk <= 2").withColumn("_marker", marker)
+    # Equal postings share a dense rank, so copies are dropped from the short lists only.
+    own_list = Window.partitionBy("search_key", "category", "risk", "_marker").orderBy(*_best_first())
+    short = rows.withColumn("_own", F.dense_rank().over(own_list)).where(F.col("_own") <= size).drop("_own").distinct()
     order = Window.partitionBy("search_key", "category", "_marker").orderBy(*_best_first())
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     kept = F.col("_marker").isNotNull()
@@ -143,12 +156,24 @@ def risk_view(postings: DataFrame, level: int, size: int = LIST_SIZE) -> DataFra
     return top_n(allowed, ["search_key", "category"], _best_first(), size)
 
 
+def risk_views(postings: DataFrame, size: int = LIST_SIZE) -> DataFrame:
+    """The views of all caller levels in one pass, told apart by ``view``."""
+    levels = F.array(*[F.struct(F.lit(name).alias("view"), F.lit(level).alias("level")) for name, level in RISK_LEVELS.items()])
+    allowed = F.filter(levels, lambda x: F.col("risk") + x["level"] <= 2)
+    rows = postings.where("highlight <> ''").select(*POSTING, F.explode(allowed).alias("_x")).select(*POSTING, "_x.view")
+    return top_n(rows, ["view", "search_key", "category"], _best_first(), size)
+
+
 def join_view(view: DataFrame, score_text: Column) -> DataFrame:
-    """One ``item_highlight_score|…`` string per (key, category) of a risk view."""
+    """One ``item_highlight_score|…`` string per (key, category) of a risk view, or of each view."""
+    which = [c for c in ("view",) if c in view.columns]
     entry = F.concat_ws("_", F.col("item_id"), F.col("highlight"), score_text)
     ordered = F.sort_array(F.collect_list(F.struct("pos", entry.alias("entry"))))
     content = F.array_join(F.transform(ordered, lambda x: x["entry"]), "|")
-    return view.groupBy("search_key", "category").agg(content.alias("content"))
+    return view.groupBy(*which, "search_key", "category").agg(content.alias("content"))
+
+
+_HEAD = ("key", "alg", "biz")
 
 
 def _head(biz: str, alg: str) -> Column:
@@ -157,20 +182,25 @@ def _head(biz: str, alg: str) -> Column:
     )
 
 
-def _action(index: str) -> Column:
+def _action(index: str | Column) -> Column:
+    name = F.lit(index) if isinstance(index, str) else index
     target = F.struct(
-        F.lit("doc").alias("_type"), F.lit(index).alias("_index"), F.col("search_key").alias("_id")
+        F.lit("doc").alias("_type"), name.alias("_index"), F.col("search_key").alias("_id")
     )
     return F.to_json(F.struct(target.alias("index")))
 
 
-def index_documents(contents: DataFrame, index: str, biz: str, alg: str) -> DataFrame:
-    """One document per key with a field per category, plus the bulk action line."""
+def index_documents(contents: DataFrame, index: str | Column, biz: str, alg: str) -> DataFrame:
+    """One document per key (and view) with a field per category, plus the bulk action line."""
+    which = [c for c in ("view",) if c in contents.columns]
+    category = F.col("category")
+    # A category named like a field of the head is told apart by a leading underscore.
+    name = F.when(category.isin(*_HEAD), F.concat(F.lit("_"), category)).otherwise(category)
     fields = F.map_from_entries(
-        F.sort_array(F.collect_list(F.struct(F.col("category").alias("key"), F.col("content").alias("value"))))
+        F.sort_array(F.collect_list(F.struct(name.alias("key"), F.col("content").alias("value"))))
     )
-    return contents.groupBy("search_key").agg(fields.alias("_fields")).select(
-        F.col("search_key").alias("doc_id"),
+    return contents.groupBy(*which, "search_key").agg(fields.alias("_fields")).select(
+        *which, F.col("search_key").alias("doc_id"),
         _action(index).alias("action"),
         F.to_json(F.map_concat(_head(biz, alg), F.col("_fields"))).alias("source"),
     )
@@ -200,25 +230,27 @@ def short_keys(contents: DataFrame, length: int = CACHE_KEY_LENGTH) -> DataFrame
 
 
 def merge_index(stored: DataFrame, adds: DataFrame, deletes: DataFrame) -> DataFrame:
-    """Apply timed adds and deletes to stored postings.
-
-    ``adds`` has the posting columns and ``ts``; ``deletes`` has ``search_key,
-    category, item_id, ts``. The latest add of a posting wins; a delete removes the
-    item's postings of its key and category added up to its own time. Adds to a new
-    key or category create it, deletes of absent items do nothing, and a replayed
-    batch changes nothing.
+    """Apply timed adds and deletes to stored postings; the result keeps the times.
+
+    ``adds`` has the posting columns and ``ts``; ``deletes`` has ``search_key, category,
+    item_id, ts``; ``stored`` has the posting columns and, from an earlier merge, ``ts``
+    (null or missing for postings of unknown age, which every change outdates). The
+    latest add of a posting wins; a delete removes the item's postings of its key and
+    category added up to its own time. Adds to a new key or category create it, deletes
+    of absent items do nothing, and a replayed batch changes nothing.
     """
     identity = ["search_key", "category", "item_id", "highlight"]
-    # A stored posting has no time; as the first struct field null sorts lowest.
-    old = stored.select(*POSTING).withColumn("ts", F.lit(None).cast(adds.schema["ts"].dataType))
-    new = adds.select(*POSTING, "ts")
-    latest = old.unionByName(new).groupBy(*identity).agg(F.max(F.struct("ts", "score", "risk")).alias("_last"))
+    kind = adds.schema["ts"].dataType
+    when = F.col("ts") if "ts" in stored.columns else F.lit(None)
+    # As the first struct field null sorts lowest.
+    old = stored.select(*POSTING, when.cast(kind).alias("ts"))
+    latest = old.unionByName(adds.select(*POSTING, "ts")).groupBy(*identity).agg(F.max(F.struct("ts", "score", "risk")).alias("_last"))
     live = latest.select(*identity, "_last.score", "_last.risk", "_last.ts")
-    gone = deletes.groupBy("search_key", "category", "item_id").agg(F.max("ts").alias("_gone"))
+    gone = per_key(deletes, ["search_key", "category", "item_id"], F.max("ts").alias("_gone"))
     survives = F.col("_gone").isNull() | (F.col("ts") > F.col("_gone"))
     return (
         live.join(gone, ["search_key", "category", "item_id"], "left")
-        .where(survives).select(*POSTING)
+        .where(survives).select(*POSTING, "ts")
     )
 
 
@@ -228,5 +260,5 @@ def touched_postings(stored: DataFrame, adds: DataFrame, deletes: DataFrame) ->
     Only these keys' documents need to be sent out, so the rest of the stored index is
     dropped by a semi join before the merge.
     """
-    keys = adds.select("search_key").unionByName(deletes.select("search_key")).distinct()
+    keys = distinct_keys(adds.select("search_key").unionByName(deletes.select("search_key")), "search_key")
     return keys, merge_index(stored.join(keys, "search_key", "left_semi"), adds, deletes)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumenrec.operators.lists import fold_list, top_n
+from lumenrec.operators.lists import fold_list, fold_scored
 
 # Seconds a published entry lives.
 TTL_DEFAULT_VIP = 172800
@@ -33,16 +33,15 @@ def pack_slot(df: DataFrame, key: str, slot: str, extras: Mapping[str, str]) ->
     return df.select(F.col(key).cast("string").alias("key"), F.struct(*fields).alias(slot))
 
 
-def pack_zset(df: DataFrame, key: str, item: str, score: str, n: int, alg: str) -> DataFrame:
-    """Key with its members ``(member, score)``, best first, at most ``n``."""
-    head = top_n(df, [key], [F.col(score).desc(), F.col(item)], n, "_pos")
-    ordered = F.sort_array(
-        F.collect_list(F.struct("_pos", F.col(item).cast("string").alias("member"), F.col(score).alias("score")))
-    )
-    members = F.transform(ordered, lambda x: F.struct(x["member"].alias("member"), x["score"].alias("score")))
-    return head.groupBy(key).agg(members.alias("members")).select(
-        F.col(key).cast("string").alias("key"), "members", F.lit(alg).alias("alg")
-    )
+def pack_zset(df: DataFrame, key: str, item: str, score: str, alg: str, n: int | None = None) -> DataFrame:
+    """Key with its members ``(member, score)``, best first, all of them or the ``n`` best.
+
+    A very long list comes as several rows with the same key: a sorted set takes members
+    in any number of messages.
+    """
+    text = df.select(key, F.col(item).cast("string").alias("_member"), F.col(score).alias("_score"))
+    folded = fold_scored(text, key, "_member", "_score", n, "member", "members")
+    return folded.select(F.col(key).cast("string").alias("key"), "members", F.lit(alg).alias("alg"))
 
 
 def pack_hash(df: DataFrame, key: str, field: str, value: str, prefix: str = "") -> DataFrame:
@@ -60,8 +59,18 @@ def publish_fanout(packed: DataFrame, targets: Sequence[str], ttl: int) -> DataF
     )
 
 
+ENVELOPE = "target string, ttl bigint, payload string"
+
+
 def write_messages(messages: DataFrame, fmt: str, topic: str, mode: str = "append", **options: str) -> None:
-    """Send ``(key, value)`` messages to Kafka, or to files for replay."""
+    """Send messages to Kafka, or to files for replay.
+
+    ``(key, value)`` go as they are; with ``target`` and ``ttl`` the value sent is an
+    envelope that holds both and the payload, so the consumer knows where it belongs.
+    """
+    if {"target", "ttl"} <= set(messages.columns):
+        envelope = _json([F.col("target"), F.col("ttl"), F.col("value").alias("payload")])
+        messages = messages.select("key", envelope.alias("value"))
     out = messages.withColumn("topic", F.lit(topic))
     writer = out.write.format(fmt).options(**options)
     if fmt == "kafka":
@@ -70,9 +79,24 @@ def write_messages(messages: DataFrame, fmt: str, topic: str, mode: str = "appen
         writer.mode(mode).save()
 
 
-def user_lists(df: DataFrame, prefix: str, alg: str, date: str, n: int) -> DataFrame:
-    """Fold ``(user_id, item_id, pos)`` per user and pack it."""
-    folded = fold_list(df, "user_id", "item_id", "pos", n)
+def open_envelopes(messages: DataFrame) -> DataFrame:
+    """Sent messages → ``(key, value, target, ttl)``."""
+    inside = F.from_json("value", ENVELOPE)
+    return messages.select("key", inside["payload"].alias("value"), inside["target"].alias("target"), inside["ttl"].alias("ttl"))
+
+
+def sliced_key(folded: DataFrame, key: str) -> DataFrame:
+    """Key column of folded lists as text; the second and later slices of a long list get ``#slice``."""
+    text = F.col(key).cast("string")
+    if "slice" not in folded.columns:
+        return folded.withColumn(key, text)
+    name = F.when(F.col("slice") == 0, text).otherwise(F.concat_ws("#", text, F.col("slice").cast("string")))
+    return folded.withColumn(key, name).drop("slice")
+
+
+def user_lists(df: DataFrame, prefix: str, alg: str, date: str, n: int | None = None) -> DataFrame:
+    """Fold ``(user_id, item_id, pos)`` per user, the whole list or its first ``n``, and pack it."""
+    folded = sliced_key(fold_list(df, "user_id", "item_id", "pos", n), "user_id")
     return pack_kv(folded, "user_id", prefix, {"date": date, "alg": alg})
 
 

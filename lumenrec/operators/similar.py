@@ -1,27 +1,26 @@
 """Item-to-item similarity: by cluster, from sparse vectors, from dense vectors.
 
-The vector forms are exact. Items are hashed into left blocks (few rows) and right
-blocks (many rows); one Arrow group per (left, right) pair multiplies the two
-blocks with numpy and hands back only the best ``n`` partners of each left row.
-No pair rows are shuffled, every group has a bounded size, and a feature or a
-vector shared by a third of all items changes nothing in the layout.
+The vector forms are exact. Sparse vectors meet on their features; a feature that very
+many items share is cut into slices that meet in separate tasks. Dense vectors meet in
+blocks: one Arrow group per pair of blocks multiplies them with numpy and hands back only
+the best ``n`` partners of each left row.
 
 Scores are compared in whole millionths, so near ties rank the same on any CPU.
 """
 
 from __future__ import annotations
 
-import math
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from lumenrec.operators.lists import top_n
-from lumenrec.session import materialize
+from lumenrec.operators.reduced import per_key
 
 # The block functions travel with the job; executors need numpy and pyarrow only.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,7 +28,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SCALE = 1_000_000.0
 # Sorts after every real cell, and can be negated.
 _SELF = -(2**62)
-_PARTNERS = "item_id bigint, other_id bigint, sim_ppm bigint"
 
 
 def similar_by_cluster(prefer: DataFrame, detail: DataFrame, n: int = 70) -> DataFrame:
@@ -49,132 +47,74 @@ def similar_by_cluster(prefer: DataFrame, detail: DataFrame, n: int = 70) -> Dat
     )
 
 
-def similar_dense(
-    vectors: DataFrame,
-    n: int = 60,
-    within: str | None = None,
-    left_rows: int = 2048,
-    right_rows: int = 131072,
-) -> DataFrame:
+def similar_dense(vectors: DataFrame, n: int = 60, within: str | None = None, block_rows: int = 8192) -> DataFrame:
     """Cosine top-``n`` of ``(item_id, vector)`` → ``(item_id, other_id, sim_ppm, pos)``.
 
-    With ``within`` only items that share that column's value are compared; a value
-    held by a third of the items is cut into blocks like any other set.
+    With ``within`` only items that share that column's value are compared. Each group is
+    cut into as many blocks as its own size asks for, and every block meets every block of
+    its group, so a small group is not copied on behalf of a large one. Item ids may be of
+    any type that can be ordered. The number of partitions does not depend on the number
+    of blocks: a task multiplies several pairs one after the other.
     """
     group = F.lit(0) if within is None else F.col(within)
     rows = vectors.where("item_id is not null and vector is not null").select(
-        F.col("item_id").cast("bigint"), F.col("vector").cast("array<double>"), group.alias("_group")
+        "item_id", F.col("vector").cast("array<double>").alias("vector"), group.alias("_group")
     )
-    largest = rows.groupBy("_group").count().agg(F.max("count")).first()[0] or 0
-    pairs = _block_pairs(rows, _blocks(largest, left_rows), _blocks(largest, right_rows), _dense_task(n), ["_group"])
-    return _best(pairs, n)
-
-
-def similar_sparse(
-    entries: DataFrame,
-    n: int = 60,
-    left_rows: int = 2048,
-    block_entries: int = 2_000_000,
-    long_row: int = 1_000_000,
-) -> DataFrame:
+    sizes = per_key(rows, ["_group"], F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks"))
+    sized = rows.join(sizes.withColumnRenamed("_group", "_g"), F.col("_group").eqNullSafe(F.col("_g"))).drop("_g")
+    # A salt keeps a group with many rows from being dealt to one task before it is cut.
+    home = F.pmod(F.xxhash64("item_id"), F.col("_blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    left = sized.withColumn("_left", home).withColumn("_right", every).drop("_blocks")
+    again = sized.select([F.col(c).alias(c) for c in sized.columns])  # fresh names: both sides are one table
+    right = again.withColumn("_right", home).withColumn("_left", every).drop("_blocks")
+    keys = ["_group", "_left", "_right"]
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    met = left.repartition(tasks, *keys).groupBy(*keys).cogroup(right.repartition(tasks, *keys).groupBy(*keys))
+    kind = rows.schema["item_id"].dataType.simpleString()
+    return _best(met.applyInArrow(_dense_task(n), f"item_id {kind}, other_id {kind}, sim_ppm bigint"), n)
+
+
+def similar_sparse(entries: DataFrame, n: int = 60, feature_rows: int = 4096) -> DataFrame:
     """Cosine top-``n`` of ``(item_id, feature, weight)`` with whole-number weights.
 
-    Pairs without a common feature do not count. One row per (item, feature) is
-    expected. An item with more than ``long_row`` features would make its block too
-    big; such items are few (total / long_row) and are paired by a plain join and
-    aggregate instead, see ``_long_row_pairs``. Other items are packed into one row.
+    Items that share a feature meet on it; products are summed per pair (map-side first)
+    and each pair is computed once for both directions. Pairs whose products cancel to 0
+    do not count. A feature of more than ``feature_rows`` items is cut into slices by a
+    hash of the item, and each slice meets each, so no task pairs a hot feature alone.
+    One row per (item, feature) is expected; ids of any type that can be ordered.
     """
-    rows = materialize(
-        entries.where("weight <> 0 and item_id is not null and feature is not null").select(
-            F.col("item_id").cast("bigint"), F.col("feature").cast("bigint"), F.col("weight").cast("double")
-        ),
-        "sparse-entries",
+    rows = entries.where("weight <> 0 and item_id is not null and feature is not null").select(
+        "item_id", "feature", F.col("weight").cast("double").alias("w")
     )
-    lengths = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("length"))
-    size = lengths.agg(
-        F.count(F.lit(1)).alias("items"), F.sum("length").alias("entries"), F.max("length").alias("longest")
-    ).first()
-    if not size.items:
-        return _best(rows.sparkSession.createDataFrame([], _PARTNERS), n)
-    right = _blocks(size.entries, block_entries)
-    left = max(_blocks(size.items, left_rows), right)  # a left block obeys both limits
-    if size.longest <= long_row:
-        return _best(_block_pairs(_packed(rows), left, right, _sparse_task(n)), n)
-    long_items = lengths.where(F.col("length") > long_row).select("item_id")
-    short = _packed(rows.join(long_items, "item_id", "left_anti"))
-    pairs = _block_pairs(short, left, right, _sparse_task(n)).unionByName(_long_row_pairs(rows, long_items))
-    return _best(pairs, n)
-
-
-def _packed(rows: DataFrame) -> DataFrame:
-    """One row per item; only for items known to be short."""
-    return rows.groupBy("item_id").agg(F.collect_list(F.struct("feature", "weight")).alias("entries"))
-
-
-def _blocks(total: int, per_block: int) -> int:
-    return max(1, math.ceil(total / per_block))
-
-
-def _best(pairs: DataFrame, n: int) -> DataFrame:
-    return top_n(pairs, ["item_id"], [F.col("sim_ppm").desc(), F.col("other_id")], n)
-
-
-def _block_pairs(
-    rows: DataFrame, left_blocks: int, right_blocks: int, task: Callable, within: Sequence[str] = ()
-) -> DataFrame:
-    """Meet every left block with every right block, one Arrow group per pair."""
-    home = F.xxhash64("item_id")
-    # Fresh column names on both sides: the two are the same table.
-    again = rows.select([F.col(c).alias(c) for c in rows.columns])
-    left = rows.withColumn("_left", F.pmod(home, F.lit(left_blocks))).withColumn(
-        "_right", F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1)).cast("array<bigint>"))
-    )
-    right = again.withColumn("_right", F.pmod(home, F.lit(right_blocks))).withColumn(
-        "_left", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)).cast("array<bigint>"))
+    norms = per_key(rows, ["item_id"], F.sum(F.col("w") * F.col("w")).alias("norm"))
+    slices = per_key(rows, ["feature"], F.ceil(F.count(F.lit(1)) / feature_rows).cast("int").alias("slices"))
+    known = rows.join(norms, "item_id").join(slices.where("slices > 1"), "feature", "left")
+    known = known.withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn(
+        "own", F.pmod(F.xxhash64("item_id"), "slices").cast("int")
     )
-    # An explicit number of partitions: a pair costs far more CPU than its bytes tell,
-    # so adaptive coalescing must not put many pairs into one task.
-    keys = [*within, "_left", "_right"]
-    tasks = max(4 * left_blocks * right_blocks, rows.sparkSession.sparkContext.defaultParallelism)
-    left = left.repartition(tasks, *keys).groupBy(*keys)
-    right = right.repartition(tasks, *keys).groupBy(*keys)
-    return left.cogroup(right).applyInArrow(task, _PARTNERS)
-
-
-def _long_row_pairs(rows: DataFrame, long_items: DataFrame) -> DataFrame:
-    """All partners of the few very long items, in both directions.
-
-    A feature meets at most ``count(long_items)`` long rows, so the join grows with
-    the entries, not with their square; products are summed map-side.
-    """
-    flagged = long_items.withColumn("_long", F.lit(True))
-    norms = rows.groupBy("item_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("norm2"))
-    long_rows = rows.join(long_items, "item_id", "left_semi").select(
-        "feature", F.col("item_id").alias("a"), F.col("weight").alias("wa")
+    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    left = known.withColumn("other", every).select("feature", "own", "other", F.col("item_id").alias("a"), F.col("w").alias("wa"), F.col("norm").alias("na"))
+    right = known.withColumn("back", every).select(
+        F.col("feature").alias("f"), F.col("own").alias("other_"), F.col("back").alias("own_"),
+        F.col("item_id").alias("b"), F.col("w").alias("wb"), F.col("norm").alias("nb"),
     )
-    other = rows.select("feature", F.col("item_id").alias("b"), F.col("weight").alias("wb"))
+    met = (F.col("feature") == F.col("f")) & (F.col("own") == F.col("own_")) & (F.col("other") == F.col("other_"))
     dots = (
-        other.join(long_rows, "feature").where("a <> b")
-        .groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
+        left.join(right, met & (F.col("a") < F.col("b")))
+        .groupBy("a", "b", "na", "nb").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
+        .where("dot <> 0")
     )
-    scored = (
-        dots.join(norms.select(F.col("item_id").alias("a"), F.col("norm2").alias("na")), "a")
-        .join(norms.select(F.col("item_id").alias("b"), F.col("norm2").alias("nb")), "b")
-        .join(flagged.select(F.col("item_id").alias("b"), "_long"), "b", "left")
-        .withColumn(
-            "sim_ppm",
-            F.floor(F.col("dot") / F.sqrt(F.col("na") * F.col("nb")) * SCALE).cast("bigint"),
-        )
-    )
-    forth = scored.select(F.col("a").alias("item_id"), F.col("b").alias("other_id"), "sim_ppm")
-    back = scored.where("_long is null").select(
-        F.col("b").alias("item_id"), F.col("a").alias("other_id"), "sim_ppm"
-    )
-    return forth.unionByName(back)
+    ppm = F.floor(F.col("dot") / F.sqrt(F.col("na") * F.col("nb")) * SCALE).cast("bigint")
+    both = F.explode(F.array(
+        F.struct(F.col("a").alias("item_id"), F.col("b").alias("other_id")), F.struct(F.col("b").alias("item_id"), F.col("a").alias("other_id"))
+    ))
+    pairs = dots.select(ppm.alias("sim_ppm"), both.alias("x")).select("x.item_id", "x.other_id", "sim_ppm")
+    return _best(pairs, n)
 
 
-def _partner_table(items: np.ndarray, others: np.ndarray, ppm: np.ndarray) -> pa.Table:
-    return pa.table({"item_id": items, "other_id": others, "sim_ppm": ppm})
+def _best(pairs: DataFrame, n: int) -> DataFrame:
+    return top_n(pairs, ["item_id"], [F.col("sim_ppm").desc(), F.col("other_id")], n)
 
 
 def _keep_best(row: np.ndarray, col: np.ndarray, ppm: np.ndarray, n: int):
@@ -187,117 +127,48 @@ def _keep_best(row: np.ndarray, col: np.ndarray, ppm: np.ndarray, n: int):
     return row[keep], col[keep], ppm[keep]
 
 
-def _floor_of_list(row: np.ndarray, ppm: np.ndarray, rows: int, n: int) -> np.ndarray:
-    """Score a new cell has to beat: the row's n-th best so far, if it has n."""
-    floor = np.full(rows, -(2**21), dtype=np.int64)
-    if len(row):
-        start = np.searchsorted(row, np.arange(rows))
-        full = np.bincount(row, minlength=rows) >= n
-        floor[full] = ppm[start[full] + n - 1]
-    return floor
-
-
-def _unit_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and length-1 vectors, ordered by id; zero vectors are left out."""
+def _unit_rows(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """Ids in order, and length-1 vectors; zero vectors are left out."""
     table = table.combine_chunks().sort_by("item_id")
-    ids = table.column("item_id").to_numpy()
+    ids = table.column("item_id").combine_chunks()
     flat = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     matrix = flat.reshape(len(ids), -1)
     norm = np.sqrt((matrix * matrix).sum(axis=1))
     good = norm > 0
-    return ids[good], matrix[good] / norm[good, None]
-
-
-def _sparse_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids in order, and per entry: index of its id, feature, weight."""
-    table = table.combine_chunks().sort_by("item_id")
-    ids = table.column("item_id").to_numpy()
-    lists = table.column("entries").combine_chunks()
-    row = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
-    entries = lists.flatten()
-    return ids, row, entries.field("feature").to_numpy(), entries.field("weight").to_numpy()
+    return ids.filter(pa.array(good)), matrix[good] / norm[good, None]
 
 
-def _dense_task(n: int, chunk: int = 4096) -> Callable:
+def _dense_task(n: int, chunk: int = 1024) -> Callable:
     def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
+        kind = (left if left.num_rows else right).schema.field("item_id").type
         none = np.empty(0, dtype=np.int64)
-        if left.num_rows == 0 or right.num_rows == 0:
-            return _partner_table(none, none, none)
-        ids, a = _unit_rows(left)
-        others, b = _unit_rows(right)
-        best = (none, none, none)
-        for start in range(0, len(others), chunk):
-            ppm = np.floor(a @ b[start : start + chunk].T * SCALE + 0.5).astype(np.int64)
-            width = ppm.shape[1]
-            col = np.arange(start, start + width)
-            # One number per cell that orders by score, then by lower id; no ties.
-            order = ppm * width - np.arange(width)
-            order[ids[:, None] == others[None, start : start + chunk]] = _SELF
-            k = min(n + 1, width)
-            cell = np.sort(np.argpartition(-order, k - 1, axis=1)[:, :k], axis=1).ravel()
-            row = np.repeat(np.arange(len(ids)), k)
-            real = order[row, cell] != _SELF
-            row, cell = row[real], cell[real]
-            best = _keep_best(
-                np.concatenate([best[0], row]),
-                np.concatenate([best[1], col[cell]]),
-                np.concatenate([best[2], ppm[row, cell]]),
-                n,
-            )
-        return _partner_table(ids[best[0]], others[best[1]], best[2])
-
-    return multiply
-
-
-def _sparse_task(n: int, chunk: int = 2048, expand: int = 4_000_000) -> Callable:
-    def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
-        none = np.empty(0, dtype=np.int64)
-        if left.num_rows == 0 or right.num_rows == 0:
-            return _partner_table(none, none, none)
-        ids, a_row, a_feature, a_weight = _sparse_rows(left)
-        features, a_feature = np.unique(a_feature, return_inverse=True)
-        a_norm = np.bincount(a_row, a_weight * a_weight)
-        # Left entries grouped by feature.
-        order = np.argsort(a_feature, kind="stable")
-        a_row, a_weight = a_row[order], a_weight[order]
-        a_count = np.bincount(a_feature, minlength=len(features))
-        a_start = np.concatenate([[0], np.cumsum(a_count)[:-1]])
-
-        others, b_col, b_feature, b_weight = _sparse_rows(right)
-        b_norm = np.bincount(b_col, b_weight * b_weight)
-        # Only right entries whose feature occurs on the left can add to a product.
-        at = np.minimum(np.searchsorted(features, b_feature), len(features) - 1)
-        shared = features[at] == b_feature
-        b_col, at, b_weight = b_col[shared], at[shared], b_weight[shared]
-
         best = (none, none, none)
-        for start in range(0, len(others), chunk):
-            width = min(chunk, len(others) - start)
-            lo, hi = np.searchsorted(b_col, [start, start + width])
-            if lo == hi:
-                continue
-            # Cut the entries so that no step expands to many more than `expand` products.
-            grown = np.cumsum(a_count[at[lo:hi]])
-            cuts = lo + np.searchsorted(grown, np.arange(expand, grown[-1], expand), side="right")
-            dot = np.zeros(len(ids) * width)
-            for p, q in zip([lo, *cuts], [*cuts, hi]):
-                times = a_count[at[p:q]]
-                which = np.repeat(np.arange(p, q), times)
-                offset = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-                entry = a_start[at[which]] + offset
-                cell = a_row[entry] * width + (b_col[which] - start)
-                dot += np.bincount(cell, a_weight[entry] * b_weight[which], minlength=len(dot))
-            cell = np.flatnonzero(dot)
-            row, col = cell // width, cell % width + start
-            ppm = np.floor(dot[cell] / np.sqrt(a_norm[row] * b_norm[col]) * SCALE).astype(np.int64)
-            # Later columns have higher ids, so a tie with the n-th best loses.
-            better = (ppm > _floor_of_list(best[0], best[2], len(ids), n)[row]) & (ids[row] != others[col])
-            best = _keep_best(
-                np.concatenate([best[0], row[better]]),
-                np.concatenate([best[1], col[better]]),
-                np.concatenate([best[2], ppm[better]]),
-                n,
-            )
-        return _partner_table(ids[best[0]], others[best[1]], best[2])
+        ids = others = pa.array([], kind)
+        if left.num_rows and right.num_rows:
+            ids, a = _unit_rows(left)
+            others, b = _unit_rows(right)
+            # Where the right block holds a left item itself (ids are unique).
+            found = pc.index_in(ids, value_set=others)
+            mine = np.flatnonzero(pc.is_valid(found).to_numpy(zero_copy_only=False))
+            itself = pc.drop_null(found).to_numpy()
+            for start in range(0, len(others), chunk):
+                ppm = np.floor(a @ b[start : start + chunk].T * SCALE + 0.5).astype(np.int64)
+                width = ppm.shape[1]
+                # One number per cell that orders by score, then by lower id; no ties.
+                order = ppm * width - np.arange(width)
+                here = (itself >= start) & (itself < start + width)
+                order[mine[here], itself[here] - start] = _SELF
+                k = min(n + 1, width)
+                cell = np.sort(np.argpartition(-order, k - 1, axis=1)[:, :k], axis=1).ravel()
+                row = np.repeat(np.arange(len(ids)), k)
+                real = order[row, cell] != _SELF
+                row, cell = row[real], cell[real]
+                best = _keep_best(
+                    np.concatenate([best[0], row]),
+                    np.concatenate([best[1], start + cell]),
+                    np.concatenate([best[2], ppm[row, cell]]),
+                    n,
+                )
+        return pa.table({"item_id": ids.take(pa.array(best[0])), "other_id": others.take(pa.array(best[1])), "sim_ppm": best[2]})
 
     return multiply

@@ -8,43 +8,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.functions.text import clean_title, title_tokens, word_terms
 from lumenrec.operators.lists import top_n
+from lumenrec.operators.reduced import per_key
 
 
-def suffix_words(titles: DataFrame, id_cols: list[str], title: str, max_length: int = 20) -> DataFrame:
+def suffix_words(titles: DataFrame, id_cols: list[str], title: str, max_length: int | None = None) -> DataFrame:
     """The title from every token start on → id columns, ``word``, ``tokens``, ``offset``, ``word_score``.
 
-    Tokens that begin within the first ``max_length`` characters start a word; the
-    word itself runs to the end of the whole title. Score: ``1 - offset / length``.
+    Every token starts a word, which runs to the end of the title; with ``max_length``
+    only tokens that begin within so many characters do. Score: ``1 - offset / length``.
     """
     split = titles.select(*id_cols, clean_title(F.col(title)).alias("_clean"), title_tokens(F.col(title)).alias("_tokens"))
     starts = split.select(*id_cols, "_clean", "_tokens", F.posexplode("_tokens").alias("_at", "_token"))
     offset = F.length(F.array_join(F.slice("_tokens", 1, F.col("_at")), ""))
-    return (
-        starts.withColumn("offset", offset.cast("bigint"))
-        .where(F.col("offset") < max_length)
-        .select(
-            *id_cols,
-            F.expr("substring(_clean, offset + 1)").alias("word"),
-            F.slice("_tokens", F.col("_at") + 1, F.size("_tokens")).alias("tokens"),
-            "offset",
-            (F.lit(1.0) - F.col("offset") / F.length("_clean")).alias("word_score"),
-        )
+    placed = starts.withColumn("offset", offset.cast("bigint"))
+    if max_length is not None:
+        placed = placed.where(F.col("offset") < max_length)
+    return placed.select(
+        *id_cols,
+        F.expr("substring(_clean, offset + 1)").alias("word"),
+        F.slice("_tokens", F.col("_at") + 1, F.size("_tokens")).alias("tokens"),
+        "offset",
+        (F.lit(1.0) - F.col("offset") / F.length("_clean")).alias("word_score"),
     )
 
 
 def keywords_tfidf(
-    docs: DataFrame, id_col: str, text: str, n: int = 5, keep: Sequence[str] = ()
+    docs: DataFrame, id_col: str, text: str, n: int | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """The ``n`` best terms of every text by ``tf * ln(N / df)`` → id, ``term``, ``score_ppm``, ``pos``.
+    """The terms of every text by ``tf * ln(N / df)`` → id, ``term``, ``score_ppm``.
 
-    Terms are counted over the whole text with partial aggregation; ``keep`` names
-    further columns of the document to carry along. The document frequency side has
-    one row per term, so a term found everywhere only makes the counted side of the
-    join skewed, which AQE splits (the next step shuffles by document anyway).
+    With ``n`` only the ``n`` best of a text, and their ``pos``. Terms are counted over
+    the whole text with partial aggregation; ``keep`` names further columns of the
+    document to carry along. The document frequency side has one row per term and an
+    exchange of its own, so Spark can split a term found everywhere.
     """
     total = docs.select(F.count(F.lit(1))).scalar()
     document = [id_col, *keep]
@@ -52,9 +52,11 @@ def keywords_tfidf(
     tf = terms.groupBy(*document, "term").agg(F.count(F.lit(1)).alias("tf"))
     # Counting by the tf column keeps both sides' plans alike up to the shuffle, so the
     # texts are split into terms once.
-    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    df = per_key(tf, ["term"], F.count_if(F.col("tf") > 0).alias("df"))
     weight = F.col("tf") * F.log(total.cast("double") / F.col("df"))
     scored = tf.join(df, "term").withColumn("score_ppm", F.floor(weight * 1000000.0).cast("bigint"))
+    if n is None:
+        return scored.select(*document, "term", "score_ppm")
     best = top_n(scored, [id_col], [F.col("score_ppm").desc(), F.col("term")], n)
     return best.select(*document, "term", "score_ppm", "pos")
 
@@ -82,13 +84,24 @@ def token_readings(words: DataFrame, readings: DataFrame) -> DataFrame:
     )
 
 
+def _whole_part(number: Column, by: Column) -> Column:
+    """Integer division; a quotient of doubles is wrong beyond 2^53."""
+    return ((number - number % by) / by).cast("bigint")
+
+
+# Choices that one array of the reading product may hold.
+_WIDTH = 4096
+
+
 def reading_prefixes(read: DataFrame) -> DataFrame:
     """Every choice of readings for every leading part of a word.
 
     Adds ``i`` (tokens covered), ``n`` (all tokens) and ``syllables`` (one reading per
     covered token). The choices for i tokens are numbered 0 … product - 1 and each
-    number is decoded digit by digit, so combinations are rows, never one array of
-    strings, and no word is capped.
+    number is decoded digit by digit. Numbers are made step by step: starts of wide
+    ranges, of ranges of ``_WIDTH`` numbers, the numbers. Rows are dealt anew between the
+    steps, so no array and no input row of a stage gives more than about ``_WIDTH``
+    rows, a word with very many choices is spread over tasks, and none is capped.
     """
     sized = read.withColumn("n", F.size("readings")).withColumn(
         "i", F.explode(F.sequence(F.lit(1), F.col("n")))
@@ -100,12 +113,17 @@ def reading_prefixes(read: DataFrame) -> DataFrame:
         F.array(F.lit(1).cast("bigint")),
         lambda acc, size: F.concat(F.array(F.element_at(acc, 1) * size), acc),
     )
-    numbered = part.withColumn("_strides", strides).withColumn(
-        "_choice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.element_at("_strides", 1) - 1))
-    )
+    numbered = part.withColumn("_strides", strides).withColumn("_total", F.element_at("_strides", 1))
+    numbered = numbered.withColumn("_choice", F.lit(0).cast("bigint"))
+    for step in (_WIDTH**4, _WIDTH**3, _WIDTH**2, _WIDTH, 1):
+        # From each number so far, the next ones in strides of ``step`` up to the next wider stride.
+        last = F.least(F.col("_choice") + step * (_WIDTH - 1), F.col("_total") - 1)
+        numbered = numbered.withColumn("_choice", F.explode(F.sequence(F.col("_choice"), last, F.lit(step).cast("bigint"))))
+        if 1 < step <= _WIDTH**2:
+            numbered = numbered.repartition("word", "i", "_choice")
     syllables = F.transform(
         "_part",
-        lambda r, j: F.get(r, ((F.col("_choice") / F.get("_strides", j + 1)).cast("bigint") % F.size(r)).cast("int")),
+        lambda r, j: F.get(r, (_whole_part(F.col("_choice"), F.get("_strides", j + 1)) % F.size(r)).cast("int")),
     )
     return numbered.select(
         "word", "tokens", F.col("i").cast("bigint"), F.col("n").cast("bigint"), syllables.alias("syllables")

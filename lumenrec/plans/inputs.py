@@ -11,14 +11,13 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lumenrec.operators.lists import top_n
+from lumenrec.operators.lists import ordered_positions
 from lumenrec.operators.similar import similar_by_cluster
-from lumenrec.session import spread
+from lumenrec.session import materialize, spread
 
-# Risk by the noun of the title, risk by region, candidate list length.
+# Risk by the noun of the title, risk by region.
 NOUN_RISK = {"gizmo": 2, "anvil": 1, "rod": 1}
 REGION_RISK = {1: 1, 2: 2, 4: 1}
-CANDIDATES = 100
 
 EVENT_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -183,25 +182,31 @@ class Inputs:
 
     @cached_property
     def taken(self) -> DataFrame:
-        """Per user and item: total score and last time."""
+        """Per user and item: total score, last time, number of times, and whether it ever came back."""
         return self.purchases.groupBy("user_id", "item_id").agg(
-            F.sum("score").alias("total"), F.max("ts").alias("last_ts")
+            F.sum("score").alias("total"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("times"),
+            F.max(F.col("flag").isin("R", "A")).alias("returned"),
         )
 
+    def share_taken(self) -> Inputs:
+        """Write ``taken`` once for a job that derives many inputs from it."""
+        self.taken = materialize(self.taken, "taken")
+        return self
+
     @cached_property
     def cluster_candidates(self) -> DataFrame:
-        order = [F.col("total").desc(), F.col("item_id")]
-        return top_n(self.taken, ["user_id"], order, CANDIDATES, "rank").select("user_id", "item_id", "rank")
+        """Everything the user took, most first."""
+        return ordered_positions(self.taken, "user_id", "item_id", "total", "rank")
 
     @cached_property
     def series_candidates(self) -> DataFrame:
-        order = [F.col("last_ts").desc(), F.col("item_id")]
-        return top_n(self.taken, ["user_id"], order, CANDIDATES, "rank").select("user_id", "item_id", "rank")
+        """Everything the user took, latest first."""
+        return ordered_positions(self.taken, "user_id", "item_id", "last_ts", "rank")
 
     @cached_property
     def similar_candidates(self) -> DataFrame:
         """Partners of the user's last item."""
-        last = self.purchases.groupBy("user_id").agg(F.max(F.struct("ts", "item_id")).alias("_last"))
+        last = self.taken.groupBy("user_id").agg(F.max(F.struct("last_ts", "item_id")).alias("_last"))
         last = last.select("user_id", F.col("_last.item_id").alias("item_id"))
         partners = similar_by_cluster(
             self.items, self.items.select("item_id", "cluster", F.col("rating").alias("popularity")), 70
@@ -211,12 +216,13 @@ class Inputs:
         )
 
     def _favourites(self, shelf: DataFrame) -> DataFrame:
-        """The user's most used category and the first items of that category's shelf."""
-        counts = self.interactions.groupBy("user_id", "category").agg(F.count(F.lit(1)).alias("n"))
-        best = counts.groupBy("user_id").agg(F.max(F.struct("n", "category")).alias("_best"))
-        liked = best.select("user_id", F.col("_best.category").alias("category"))
-        head = top_n(shelf, ["category"], [F.col("rating").desc(), F.col("item_id")], CANDIDATES, "rank")
-        return liked.join(head, "category").select("user_id", "item_id", "rank")
+        """The whole shelf of the cluster and category the user took most from."""
+        kinds = self.items.select("item_id", F.concat_ws("/", "category", "cluster").alias("shelf"))
+        counts = self.taken.join(kinds, "item_id").groupBy("user_id", "shelf").agg(F.sum("times").alias("n"))
+        best = counts.groupBy("user_id").agg(F.max(F.struct("n", "shelf")).alias("_best"))
+        liked = best.select("user_id", F.col("_best.shelf").alias("shelf"))
+        named = shelf.withColumn("shelf", F.concat_ws("/", "category", "cluster"))
+        return liked.join(ordered_positions(named, "shelf", "item_id", "rating", "rank"), "shelf").select("user_id", "item_id", "rank")
 
     @cached_property
     def model_candidates(self) -> DataFrame:
@@ -311,10 +317,10 @@ INPUT_SQL: dict[str, str] = {
         SELECT user_id, item_id, CAST(sum(score) AS BIGINT) AS total, max(ts) AS last_ts FROM purchases GROUP BY 1, 2""",
     "cluster_candidates": """
         SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY total DESC, item_id) AS rank
-        FROM taken QUALIFY rank <= 100""",
+        FROM taken""",
     "series_candidates": """
         SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY last_ts DESC, item_id) AS rank
-        FROM taken QUALIFY rank <= 100""",
+        FROM taken""",
     "cluster_partners": """
         SELECT a.item_id, b.item_id AS other_id,
           row_number() OVER (PARTITION BY a.item_id ORDER BY b.rating DESC, b.item_id) AS pos
@@ -325,16 +331,17 @@ INPUT_SQL: dict[str, str] = {
           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id DESC) = 1)
         JOIN cluster_partners USING (item_id)""",
     "liked": """
-        SELECT user_id, category FROM (SELECT user_id, category, count(*) AS n FROM interactions GROUP BY 1, 2)
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, category DESC) = 1""",
+        SELECT user_id, shelf FROM (
+          SELECT user_id, category || '/' || cluster AS shelf, count(*) AS n FROM purchases JOIN items USING (item_id) GROUP BY 1, 2)
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, shelf DESC) = 1""",
     "model_candidates": """
         SELECT user_id, item_id, rank FROM liked JOIN (
-          SELECT item_id, category, row_number() OVER (PARTITION BY category ORDER BY rating DESC, item_id) AS rank
-          FROM items WHERE status = 1 QUALIFY rank <= 100) USING (category)""",
+          SELECT item_id, category || '/' || cluster AS shelf, row_number() OVER (PARTITION BY category, cluster ORDER BY rating DESC, item_id) AS rank
+          FROM items WHERE status = 1) USING (shelf)""",
     "vip_candidates": """
         SELECT user_id, item_id, rank FROM liked JOIN (
-          SELECT item_id, category, row_number() OVER (PARTITION BY category ORDER BY rating DESC, item_id) AS rank
-          FROM items WHERE status = 1 AND vip QUALIFY rank <= 100) USING (category)""",
+          SELECT item_id, category || '/' || cluster AS shelf, row_number() OVER (PARTITION BY category, cluster ORDER BY rating DESC, item_id) AS rank
+          FROM items WHERE status = 1 AND vip) USING (shelf)""",
     "messages": """
         SELECT event_id, e.ts, e.user_id, event_type AS topic, i.category, CASE WHEN value >= 2 THEN i.title END AS title,
           i.title AS item_title, k, CAST(k // 34 AS BIGINT) AS risk, CAST(CASE WHEN k >= 50 THEN 1 ELSE 0 END AS BIGINT) AS status

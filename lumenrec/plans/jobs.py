@@ -1,7 +1,7 @@
 """Whole jobs: recommendation lists and their messages.
 
-Each job is one lazy plan with the category as a column; writing happens in the
-caller, one action per sink.
+Each job handles all categories at once. A list that several outputs read is written to
+the shared folder once; sinks are written by the caller, one action each.
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ from lumenrec.operators import filters, lists, publish
 from lumenrec.operators.mix import RATIO, STACKING, mix
 from lumenrec.session import materialize
 
-# List lengths, mixing weights, key prefixes and provenance tags.
+# List lengths and mixing weights.
 CANDIDATES, MIXED, SHOWN, VIP_SHOWN = 100, 200, 50, 20
 FRONT_RATIO = (3, 1, 1, 1)
 SIMILAR_MIXED, DETAIL_SHOWN, DEFAULT_SHOWN = 60, 24, 200
-FRONT_PREFIX, DEFAULT_PREFIX, VIP_PREFIX = "p:a:", "p:i:", "p:v:"
+# Key prefixes of the messages.
+FRONT_PREFIX, DEFAULT_PREFIX = "front:", "interest:"
 
 
 def similar_mix(tag_similar: DataFrame, default_similar: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def similar_mix(tag_similar: DataFrame, default_similar: DataFrame) -> DataFrame
 def similar_mix_messages(mixed: DataFrame, score: Column) -> DataFrame:
     """Ordered members per item for a sorted-set store."""
     scored = mixed.withColumn("_score", score)
-    return publish.pack_zset(scored, "item_id", "other_id", "_score", SIMILAR_MIXED, "mix")
+    return publish.pack_zset(scored, "item_id", "other_id", "_score", "mix")
 
 
 def detail_page(mixed: DataFrame, date: str) -> DataFrame:
@@ -125,21 +126,21 @@ def front_page(
     return {"interest": interest.select(*columns), "vip": vip.select(*columns), "vip_shown": vip_shown.select(*columns)}
 
 
-def front_union(slots: Mapping[str, tuple[DataFrame, str]], date: str, n: int = SHOWN) -> DataFrame:
-    """Per user one message with a sub-document per slot (list and provenance tag)."""
-    packed = {
-        name: publish.pack_slot(lists.fold_list(df, "user_id", "item_id", "pos", n), "user_id", name, {"alg": alg})
-        for name, (df, alg) in slots.items()
-    }
+def front_union(slots: Mapping[str, tuple[DataFrame, str]], date: str) -> DataFrame:
+    """Per user one message with a sub-document per slot (whole list and provenance tag)."""
+    packed = {name: publish.pack_slot(_folded(df), "user_id", name, {"alg": alg}) for name, (df, alg) in slots.items()}
     return publish.pack_kv(publish.slot_union(packed), "key", FRONT_PREFIX, {"date": date})
 
 
-def slot_table(slots: Mapping[str, tuple[DataFrame, Mapping[str, str]]], n: int) -> DataFrame:
-    """Keyed union of packed lists: one row per key, one JSON column per slot (null if absent)."""
+def _folded(df: DataFrame) -> DataFrame:
+    return publish.sliced_key(lists.fold_list(df, "user_id", "item_id", "pos"), "user_id")
+
+
+def slot_table(slots: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """Keyed union of packed whole lists: one row per key, one JSON column per slot (null if absent)."""
     packed = {}
     for name, (df, tags) in slots.items():
-        folded = lists.fold_list(df, "user_id", "item_id", "pos", n)
-        slot = publish.pack_slot(folded, "user_id", name, tags)
+        slot = publish.pack_slot(_folded(df), "user_id", name, tags)
         packed[name] = slot.withColumn(name, F.to_json(name))
     return publish.slot_union(packed)
 

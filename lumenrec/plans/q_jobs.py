@@ -10,13 +10,32 @@ from lumenrec.plans import jobs
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.q_lists import QUOTAS, SPARSE_SQL, _MIXED
 from lumenrec.plans.registry import query
+from lumenrec.session import new_scratch
+from lumenrec.sources import snapshots
 
 DATE = "20010630"
 HOSTS = "cache-a, cache-b,cache-c"
 
 
-def _top(inp: Inputs, n: int = 10) -> DataFrame:
-    return inp.cluster_candidates.where(F.col("rank") <= n).withColumnRenamed("rank", "pos")
+def _ranked(inp: Inputs) -> DataFrame:
+    """Each user's whole list."""
+    return inp.cluster_candidates.withColumnRenamed("rank", "pos")
+
+
+def _sent(inp: Inputs, packed: DataFrame, name: str, hosts: str = HOSTS) -> DataFrame:
+    """Messages for every host, sent to a file sink and read back from it."""
+    path = new_scratch(inp.spark, name)
+    fanned = publish.publish_fanout(packed, jobs.targets(hosts), publish.TTL_LISTS)
+    publish.write_messages(fanned, "parquet", name, path=path)
+    return publish.open_envelopes(inp.spark.read.parquet(path))
+
+
+def _snapshot(inp: Inputs, *versions: DataFrame) -> str:
+    """A dataset with the given versions written one after the other; its base folder."""
+    base = new_scratch(inp.spark, "snapshots")
+    for df in versions:
+        snapshots.write_snapshot(df, base, "test", "demo", "lists")
+    return base
 
 
 @query(
@@ -34,27 +53,25 @@ def pack_kv(inp: Inputs) -> DataFrame:
 
 @query(
     "pack_kv_nested",
-    """SELECT 'p:a:' || user_id AS key,
+    """SELECT 'front:' || user_id AS key,
       CAST(to_json({'portal': {'id': list(item_id ORDER BY rank), 'alg': 'mix'}, 'date': '20010630'}) AS VARCHAR) AS value
-    FROM cluster_candidates WHERE rank <= 10 GROUP BY user_id""",
+    FROM cluster_candidates GROUP BY user_id""",
 )
 def pack_kv_nested(inp: Inputs) -> DataFrame:
-    folded = lists.fold_list(_top(inp), "user_id", "item_id", "pos", 10)
+    folded = publish.sliced_key(lists.fold_list(_ranked(inp), "user_id", "item_id", "pos"), "user_id")
     slot = publish.pack_slot(folded, "user_id", "portal", {"alg": "mix"})
-    return publish.pack_kv(slot, "key", "p:a:", {"date": DATE})
+    return publish.pack_kv(slot, "key", "front:", {"date": DATE})
 
 
 _ZSET = """SELECT CAST(user_id AS VARCHAR) AS key,
       string_agg(item_id || ':' || total, ',' ORDER BY total DESC, CAST(item_id AS VARCHAR)) AS members, 'mix' AS alg
-    FROM (SELECT * FROM taken QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY total DESC, CAST(item_id AS VARCHAR)) <= 60)
-    GROUP BY user_id"""
+    FROM taken GROUP BY user_id"""
 
 
 @query("pack_zset", _ZSET)
 def pack_zset(inp: Inputs) -> DataFrame:
     """Members are strings in the store, so equal scores are ordered as text."""
-    rows = inp.taken.withColumn("member", F.col("item_id").cast("string"))
-    packed = publish.pack_zset(rows, "user_id", "member", "total", 60, "mix")
+    packed = publish.pack_zset(inp.taken, "user_id", "item_id", "total", "mix")
     return packed.select("key", _member_string().alias("members"), "alg")
 
 
@@ -65,76 +82,75 @@ def _member_string() -> Column:
 
 _LISTS = """SELECT '{prefix}' || user_id AS key,
       CAST(to_json({{'id': list(item_id ORDER BY rank), 'date': '20010630', 'alg': '{alg}'}}) AS VARCHAR) AS value
-    FROM cluster_candidates WHERE rank <= 50 GROUP BY user_id"""
+    FROM cluster_candidates GROUP BY user_id"""
 
 
-@query("publish_user_lists", _LISTS.format(prefix="p:p:", alg="original.cluster"))
+@query("publish_user_lists", _LISTS.format(prefix="page:", alg="cluster"))
 def publish_user_lists(inp: Inputs) -> DataFrame:
-    return publish.user_lists(_top(inp, 50), "p:p:", "original.cluster", DATE, 50)
+    return publish.user_lists(_ranked(inp), "page:", "cluster", DATE)
 
 
 @query(
     "publish_fanout",
     f"""SELECT key, value, unnest(['cache-a', 'cache-b', 'cache-c']) AS target, CAST(1728000 AS BIGINT) AS ttl
-    FROM ({_LISTS.format(prefix="p:v:", alg="ALS")})""",
+    FROM ({_LISTS.format(prefix="vip:", alg="factors")})""",
 )
 def publish_fanout(inp: Inputs) -> DataFrame:
-    packed = publish.user_lists(_top(inp, 50), "p:v:", "ALS", DATE, 50)
-    return publish.publish_fanout(packed, jobs.targets(HOSTS), publish.TTL_LISTS)
+    """Target and lifetime travel inside the message: the rows are read back from the sink."""
+    return _sent(inp, publish.user_lists(_ranked(inp), "vip:", "factors", DATE), "fanout")
 
 
 @query(
     "publish_group_map",
-    """SELECT 'o:msru:' || c_custkey AS key, CAST(to_json({'groupId': c_mktsegment}) AS VARCHAR) AS value FROM customer
+    """SELECT 'group:' || c_custkey AS key, CAST(to_json({'groupId': c_mktsegment}) AS VARCHAR) AS value FROM customer
     UNION ALL
-    SELECT 'o:mt:' || category || '_' || segment AS key,
-      CAST(to_json({'id': list(item_id ORDER BY n DESC, item_id), 'alg': 'reorderALS'}) AS VARCHAR) AS value
+    SELECT 'shelf:' || category || '_' || segment AS key,
+      CAST(to_json({'id': list(item_id ORDER BY n DESC, item_id), 'alg': 'regrouped'}) AS VARCHAR) AS value
     FROM (SELECT category, c_mktsegment AS segment, item_id, count(*) AS n
-      FROM interactions JOIN customer ON user_id = c_custkey GROUP BY 1, 2, 3
-      QUALIFY row_number() OVER (PARTITION BY category, segment ORDER BY n DESC, item_id) <= 50)
+      FROM interactions JOIN customer ON user_id = c_custkey GROUP BY 1, 2, 3)
     GROUP BY category, segment""",
 )
 def publish_group_map(inp: Inputs) -> DataFrame:
-    """User → group, and (category, group) → that group's most taken items."""
+    """User → group, and (category, group) → that group's items, most taken first."""
     groups = inp.table("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("groupId"))
     counts = (
         inp.interactions.join(groups, "user_id")
         .groupBy(F.concat_ws("_", "category", "groupId").alias("shelf"), "item_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = lists.top_n(counts, ["shelf"], [F.col("n").desc(), F.col("item_id")], 50)
-    shelves = lists.fold_list(ranked, "shelf", "item_id", "pos", 50)
-    return publish.pack_kv(groups, "user_id", "o:msru:").unionByName(
-        publish.pack_kv(shelves, "shelf", "o:mt:", {"alg": "reorderALS"})
+    ranked = lists.ordered_positions(counts, "shelf", "item_id", "n")
+    shelves = publish.sliced_key(lists.fold_list(ranked, "shelf", "item_id", "pos"), "shelf")
+    return publish.pack_kv(groups, "user_id", "group:").unionByName(
+        publish.pack_kv(shelves, "shelf", "shelf:", {"alg": "regrouped"})
     )
 
 
 @query(
     "default_list",
-    """SELECT 'p:i:default' AS key,
+    """SELECT 'interest:default' AS key,
       CAST(to_json({'id': list(item_id ORDER BY rating DESC, item_id), 'date': '20010630', 'alg': 'default'}) AS VARCHAR) AS value
     FROM (SELECT item_id, rating FROM items WHERE rating >= 40 AND risk = 0 AND status = 1 ORDER BY rating DESC, item_id LIMIT 50) HAVING count(*) > 0""",
 )
 def default_list(inp: Inputs) -> DataFrame:
     best = [F.col("rating").desc(), F.col("item_id")]
     head = filters.hot_items(inp.items, 0).orderBy(*best).limit(50).withColumn("list", F.lit("default"))
-    return publish.default_list(lists.top_n(head, ["list"], best, 50), "p:i:", "default", DATE, 50)
+    return publish.default_list(lists.top_n(head, ["list"], best, 50), "interest:", "default", DATE, 50)
 
 
-def _bought(inp: Inputs, predicate: str, n: int) -> DataFrame:
-    """The user's most taken items among the items that satisfy the predicate."""
+def _bought(inp: Inputs, predicate: str) -> DataFrame:
+    """What the user took among the items that satisfy the predicate, most first."""
     kept = inp.taken.join(inp.items.where(predicate).select("item_id"), "item_id")
-    return lists.top_n(kept, ["user_id"], [F.col("total").desc(), F.col("item_id")], n)
+    return lists.ordered_positions(kept, "user_id", "item_id", "total")
 
 
 _BOUGHT = """SELECT user_id, to_json({{'id': list(item_id ORDER BY pos), {tags}}}) AS doc FROM (
       SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY total DESC, item_id) AS pos
-      FROM taken WHERE item_id IN (SELECT item_id FROM items WHERE {where}) QUALIFY pos <= {n}) GROUP BY user_id"""
+      FROM taken WHERE item_id IN (SELECT item_id FROM items WHERE {where})) GROUP BY user_id"""
 
 
-def _slots_sql(slots: dict[str, tuple[str, str]], n: int) -> str:
+def _slots_sql(slots: dict[str, tuple[str, str]]) -> str:
     rows = " UNION ALL ".join(
-        f"SELECT user_id, '{slot}' AS slot, CAST(doc AS VARCHAR) AS doc FROM ({_BOUGHT.format(where=where, tags=tags, n=n)})"
+        f"SELECT user_id, '{slot}' AS slot, CAST(doc AS VARCHAR) AS doc FROM ({_BOUGHT.format(where=where, tags=tags)})"
         for slot, (where, tags) in slots.items()
     )
     columns = ", ".join(f"max(CASE WHEN slot = '{slot}' THEN doc END) AS {slot}" for slot in slots)
@@ -146,20 +162,18 @@ def _slots_sql(slots: dict[str, tuple[str, str]], n: int) -> str:
     _slots_sql(
         {
             "portal": ("category = 'PROMO'", "'alg': 'mix'"),
-            "vip": ("vip AND rating >= 45", "'alg': 'ALS'"),
+            "vip": ("vip AND rating >= 45", "'alg': 'factors'"),
             "hot": ("rating >= 48", "'alg': 'random'"),
         },
-        10,
     ),
 )
 def slot_union3(inp: Inputs) -> DataFrame:
     return jobs.slot_table(
         {
-            "portal": (_bought(inp, "category = 'PROMO'", 10), {"alg": "mix"}),
-            "vip": (_bought(inp, "vip and rating >= 45", 10), {"alg": "ALS"}),
-            "hot": (_bought(inp, "rating >= 48", 10), {"alg": "random"}),
-        },
-        10,
+            "portal": (_bought(inp, "category = 'PROMO'"), {"alg": "mix"}),
+            "vip": (_bought(inp, "vip and rating >= 45"), {"alg": "factors"}),
+            "hot": (_bought(inp, "rating >= 48"), {"alg": "random"}),
+        }
     )
 
 
@@ -173,13 +187,11 @@ _DETAIL_SLOTS = {
 
 @query(
     "slot_union4",
-    _slots_sql({s: (w, f"'alg': '{a}', 'title': '{t}'") for s, (w, a, t) in _DETAIL_SLOTS.items()}, 5),
+    _slots_sql({s: (w, f"'alg': '{a}', 'title': '{t}'") for s, (w, a, t) in _DETAIL_SLOTS.items()}),
 )
 def slot_union4(inp: Inputs) -> DataFrame:
     """Every slot carries its own tag and title."""
-    return jobs.slot_table(
-        {s: (_bought(inp, w, 5), {"alg": a, "title": t}) for s, (w, a, t) in _DETAIL_SLOTS.items()}, 5
-    )
+    return jobs.slot_table({s: (_bought(inp, w), {"alg": a, "title": t}) for s, (w, a, t) in _DETAIL_SLOTS.items()})
 
 
 _SIMILAR_MIX = """
@@ -201,13 +213,19 @@ def _similar_mix(inp: Inputs) -> DataFrame:
 @query(
     "job_similar_mix",
     """SELECT CAST(item_id AS VARCHAR) AS key, string_agg(other_id || ':' || CAST(floor(1000000.0 / pos + 0.5) AS BIGINT), ',' ORDER BY pos) AS members,
-      'mix' AS alg FROM similar_mix GROUP BY item_id""",
+      'mix' AS alg, unnest(['cache-a', 'cache-b', 'cache-c']) AS target, CAST(1728000 AS BIGINT) AS ttl FROM similar_mix GROUP BY item_id""",
     sparse_pairs=SPARSE_SQL,
     similar_mix=_SIMILAR_MIX,
 )
 def job_similar_mix(inp: Inputs) -> DataFrame:
-    packed = jobs.similar_mix_messages(_similar_mix(inp), ppm(F.col("score")))
-    return packed.select("key", _member_string().alias("members"), "alg")
+    """The mix is saved, sent to every host from the saved version, and read back from the sink."""
+    base = _snapshot(inp, _similar_mix(inp))
+    saved = snapshots.read_newest(inp.spark, base, "test", "demo", "lists")
+    packed = jobs.similar_mix_messages(saved, ppm(F.col("score")))
+    sent = _sent(inp, publish.pack_kv(packed, "key"), "similar-mix")
+    value = F.from_json("value", "members array<struct<member: string, score: bigint>>, alg string")
+    opened = sent.select("key", value["members"].alias("members"), value["alg"].alias("alg"), "target", "ttl")
+    return opened.select("key", _member_string().alias("members"), "alg", "target", "ttl")
 
 
 @query(
@@ -219,7 +237,9 @@ def job_similar_mix(inp: Inputs) -> DataFrame:
     similar_mix=_SIMILAR_MIX,
 )
 def job_detail_page(inp: Inputs) -> DataFrame:
-    return jobs.detail_page(_similar_mix(inp), DATE)
+    """Reads the snapshot that the similarity job saved."""
+    base = _snapshot(inp, _similar_mix(inp))
+    return jobs.detail_page(snapshots.read_newest(inp.spark, base, "test", "demo", "lists"), DATE)
 
 
 @query(
@@ -237,14 +257,14 @@ def job_detail_default(inp: Inputs) -> DataFrame:
 @query(
     "job_default",
     """
-    SELECT 'p:i:default' AS key, CAST(to_json({'id': list(item_id ORDER BY md5('7:' || item_id), item_id), 'date': '20010630', 'alg': 'hotRandom'}) AS VARCHAR) AS value
+    SELECT 'interest:default' AS key, CAST(to_json({'id': list(item_id ORDER BY md5('7:' || item_id), item_id), 'date': '20010630', 'alg': 'hotRandom'}) AS VARCHAR) AS value
     FROM (SELECT item_id FROM (
         SELECT item_id FROM items WHERE rating >= 40 AND risk = 0 AND status = 1
         QUALIFY row_number() OVER (PARTITION BY category ORDER BY md5('7:' || category || ':' || item_id), item_id)
           <= CASE WHEN category IN ('ECONOMY', 'LARGE') THEN 400 ELSE 200 END)
       ORDER BY md5('7:' || item_id), item_id LIMIT 200) HAVING count(*) > 0
     UNION ALL
-    SELECT 'p:a:default', CAST(to_json({'vip': {'id': list(item_id ORDER BY md5('7:' || item_id), item_id), 'alg': 'randomVip'}, 'date': '20010630'}) AS VARCHAR)
+    SELECT 'front:default', CAST(to_json({'vip': {'id': list(item_id ORDER BY md5('7:' || item_id), item_id), 'alg': 'randomVip'}, 'date': '20010630'}) AS VARCHAR)
     FROM (SELECT item_id FROM items WHERE rating >= 40 AND risk = 0 AND status = 1 AND vip AND feature_type = 1
       ORDER BY md5('7:' || item_id), item_id LIMIT 200) HAVING count(*) > 0""",
 )
@@ -257,11 +277,12 @@ _RISK_OK = """LEFT JOIN user_risk u ON t.user_id = u.user_id LEFT JOIN item_risk
 
 _FRONT = {
     "cluster_list": """SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY md5('7:' || user_id || ':' || item_id), item_id) AS rank
-      FROM cluster_candidates""",
+      FROM cluster_candidates WHERE rank <= 100""",
     "model_list": """SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY md5('7:' || user_id || ':' || item_id), item_id) AS rank
       FROM model_candidates""",
     "mixed": _MIXED.format(turn="CASE src WHEN 0 THEN (rank - 1) // 3 ELSE rank - 1 END", n=200)
-    .replace("cluster_candidates", "cluster_list").replace("model_candidates", "model_list"),
+    .replace("cluster_candidates", "cluster_list").replace("model_candidates", "model_list")
+    .replace("FROM series_candidates", "FROM (SELECT * FROM series_candidates WHERE rank <= 100)"),
     "safe": f"""SELECT t.user_id, t.item_id, t.pos AS place FROM (
         SELECT * FROM mixed m WHERE NOT EXISTS (SELECT 1 FROM purchases p
           WHERE p.flag IN ('R', 'A') AND p.user_id = m.user_id AND p.item_id = m.item_id)) t {_RISK_OK}""",
@@ -276,10 +297,15 @@ _FRONT = {
 
 
 def _front_page(inp: Inputs) -> dict[str, DataFrame]:
+    """Exposures are the job's own last two outputs, which stand in the snapshot when it starts."""
+    inp.share_taken()
+    earlier = inp.taken.where("returned").select("user_id", "item_id")
+    halves = [earlier.where(F.pmod(F.xxhash64("user_id", "item_id"), F.lit(2)) == k) for k in (0, 1)]
+    base = _snapshot(inp, *halves)
+    read = [snapshots.read_snapshot(inp.spark, base, "test", "demo", "lists", which) for which in ("latest", "backup")]
     return jobs.front_page(
         inp.cluster_candidates, inp.series_candidates, inp.similar_candidates, inp.model_candidates,
-        inp.vip_candidates, filters.union_exposures(inp.latest_exposures, inp.backup_exposures),
-        inp.user_risk, inp.item_risk,
+        inp.vip_candidates, filters.union_exposures(*read), inp.user_risk, inp.item_risk,
     )
 
 
@@ -291,33 +317,51 @@ def _front_page(inp: Inputs) -> dict[str, DataFrame]:
     **_FRONT,
 )
 def job_front_page(inp: Inputs) -> DataFrame:
+    """The lists are saved as a new version and read back."""
     out = None
     for name, df in _front_page(inp).items():
         part = df.withColumn("list", F.lit(name))
         out = part if out is None else out.unionByName(part)
-    return out
+    return snapshots.read_newest(inp.spark, _snapshot(inp, out), "test", "demo", "lists")
+
+
+@query(
+    "job_front_page_messages",
+    """SELECT 'interest:' || user_id AS key, CAST(to_json({'id': list(item_id ORDER BY pos), 'date': '20010630', 'alg': 'mix'}) AS VARCHAR) AS value,
+      unnest(['cache-a', 'cache-b', 'cache-c']) AS target, CAST(1728000 AS BIGINT) AS ttl FROM interest GROUP BY user_id
+    UNION ALL
+    SELECT 'vip:' || user_id, CAST(to_json({'id': list(item_id ORDER BY pos), 'date': '20010630', 'alg': 'factors'}) AS VARCHAR),
+      unnest(['cache-a', 'cache-b', 'cache-c']), 1728000 FROM vip_shown GROUP BY user_id""",
+    **_FRONT,
+)
+def job_front_page_messages(inp: Inputs) -> DataFrame:
+    """What the front-page job sends: per user the interest list and the shuffled VIP list."""
+    found = _front_page(inp)
+    packed = publish.user_lists(found["interest"], "interest:", "mix", DATE).unionByName(
+        publish.user_lists(found["vip_shown"], "vip:", "factors", DATE)
+    )
+    return _sent(inp, packed, "front-page")
 
 
 @query(
     "job_front_union",
-    """SELECT 'p:a:' || user_id AS key, CAST(to_json({'portal': any_value(portal), 'vip': any_value(vip_doc), 'hot': any_value(hot), 'date': '20010630'}) AS VARCHAR) AS value
+    """SELECT 'front:' || user_id AS key, CAST(to_json({'portal': any_value(portal), 'vip': any_value(vip_doc), 'hot': any_value(hot), 'date': '20010630'}) AS VARCHAR) AS value
     FROM (
-      SELECT user_id, {'id': list(item_id ORDER BY rank), 'alg': 'mix-ACSS'} AS portal, NULL AS vip_doc, NULL AS hot
-      FROM cluster_candidates WHERE rank <= 50 GROUP BY 1
+      SELECT user_id, {'id': list(item_id ORDER BY rank), 'alg': 'mix'} AS portal, NULL AS vip_doc, NULL AS hot
+      FROM cluster_candidates GROUP BY 1
       UNION ALL
-      SELECT user_id, NULL, {'id': list(item_id ORDER BY rank), 'alg': 'ALS'}, NULL FROM vip_candidates WHERE rank <= 50 GROUP BY 1
+      SELECT user_id, NULL, {'id': list(item_id ORDER BY rank), 'alg': 'factors'}, NULL FROM vip_candidates GROUP BY 1
       UNION ALL
       SELECT user_id, NULL, NULL, {'id': list(item_id ORDER BY total DESC, item_id), 'alg': 'random'} FROM (
-        SELECT * FROM taken WHERE item_id IN (SELECT item_id FROM items WHERE rating >= 48)
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY total DESC, item_id) <= 50) GROUP BY 1)
+        SELECT * FROM taken WHERE item_id IN (SELECT item_id FROM items WHERE rating >= 48)) GROUP BY 1)
     GROUP BY user_id""",
 )
 def job_front_union(inp: Inputs) -> DataFrame:
     return jobs.front_union(
         {
-            "portal": (inp.cluster_candidates.withColumnRenamed("rank", "pos"), "mix-ACSS"),
-            "vip": (inp.vip_candidates.withColumnRenamed("rank", "pos"), "ALS"),
-            "hot": (_bought(inp, "rating >= 48", 50), "random"),
+            "portal": (inp.cluster_candidates.withColumnRenamed("rank", "pos"), "mix"),
+            "vip": (inp.vip_candidates.withColumnRenamed("rank", "pos"), "factors"),
+            "hot": (_bought(inp, "rating >= 48"), "random"),
         },
         DATE,
     )

@@ -41,21 +41,20 @@ def _popularity(inp: Inputs) -> DataFrame:
 @query(
     "fold_list",
     """SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS items
-    FROM cluster_candidates WHERE rank <= 50 GROUP BY user_id""",
+    FROM cluster_candidates GROUP BY user_id""",
 )
 def fold_list(inp: Inputs) -> DataFrame:
-    folded = lists.fold_list(inp.cluster_candidates, "user_id", "item_id", "rank", 50)
+    folded = lists.fold_list(inp.cluster_candidates, "user_id", "item_id", "rank")
     return folded.select("user_id", id_string("id").alias("items"))
 
 
 @query(
     "fold_matrix",
-    """SELECT user_id, string_agg(item_id || ':' || total, ',' ORDER BY total DESC, item_id) AS items FROM (
-      SELECT * FROM taken QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY total DESC, item_id) <= 60)
+    """SELECT user_id, string_agg(item_id || ':' || total, ',' ORDER BY total DESC, item_id) AS items FROM taken
     GROUP BY user_id""",
 )
 def fold_matrix(inp: Inputs) -> DataFrame:
-    folded = lists.fold_matrix(inp.taken, "user_id", "item_id", "total", 60)
+    folded = lists.fold_matrix(inp.taken, "user_id", "item_id", "total")
     pairs = F.transform("items", lambda x: F.concat_ws(":", x["item"].cast("string"), x["score"].cast("string")))
     return folded.select("user_id", F.array_join(pairs, ",").alias("items"))
 

@@ -12,7 +12,7 @@ from lumenrec.operators.filters import drop_stale
 from lumenrec.operators.publish import pack_hash
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
-from lumenrec.session import materialize, new_scratch
+from lumenrec.session import new_scratch
 from lumenrec.sources import catalog
 from lumenrec.streaming import joins
 
@@ -27,8 +27,7 @@ def _suffix_sql(source: str, columns: str, title: str) -> str:
     return f"""SELECT {columns}, substr(cleaned, o + 1) AS word, tokens[p:] AS tokens, CAST(o AS BIGINT) AS "offset", 1.0 - o / length(cleaned) AS word_score
     FROM (SELECT *, coalesce(length(array_to_string(tokens[1:p - 1], '')), 0) AS o FROM (
       SELECT *, unnest(range(1, len(tokens) + 1)) AS p FROM (
-        SELECT *, {_CLEAN.format(c=title)} AS cleaned, {_TOKENS.format(c=title)} AS tokens FROM {source})))
-    WHERE o < 20"""
+        SELECT *, {_CLEAN.format(c=title)} AS cleaned, {_TOKENS.format(c=title)} AS tokens FROM {source})))"""
 
 
 _TFIDF = r"""
@@ -40,6 +39,7 @@ _TFIDF = r"""
           SELECT item_id, unnest(regexp_split_to_array(lower(title), '[^\p{L}\p{N}]+')) AS term FROM short_items)
         WHERE term <> '' GROUP BY 1, 2))
     QUALIFY pos <= 5"""
+_TERMS = _TFIDF.replace("QUALIFY pos <= 5", "")
 
 
 def _keys_sql(source: str) -> str:
@@ -75,7 +75,7 @@ _POSTINGS = """
 _VALID_LONG = "(SELECT * FROM items WHERE title IS NOT NULL AND status = 1 AND feature_type = 1)"
 
 SEARCH = {
-    "tfidf": _TFIDF,
+    "tfidf": _TERMS,
     "words": _words_sql(_VALID_LONG, "short_items"),
     "word_keys": _keys_sql("words"),
     "postings": _POSTINGS.format(words="words", keys="word_keys"),
@@ -205,6 +205,31 @@ def search_recall(inp: Inputs) -> DataFrame:
     return recalled(inp).select("search_key", "category", "item_id", "highlight", score_ppm(), "risk")
 
 
+@query(
+    "search_recall_readings",
+    f"""SELECT k.search_key, w.category, w.item_id, k.highlight,
+      CAST(floor((0.7 * w.word_score + 0.3 * (k.i / k.n)) * 1000000.0 + 0.5) AS BIGINT) AS score_ppm, w.risk FROM (
+      {_suffix_sql("(SELECT * FROM items WHERE status = 1)", _ITEM_WORDS, "title")}) w
+    JOIN dictionary_keys k ON w.word = k.word AND w.tokens = k.tokens""",
+    readings=_READINGS,
+    title_words=_suffix_sql("(SELECT * FROM items WHERE status = 1)", _ITEM_WORDS, "title"),
+    dictionary_keys="""SELECT DISTINCT word, tokens, key AS search_key, highlight, i, n FROM (
+      SELECT word, tokens, i, n, array_to_string(tokens[1:i], '') AS highlight, unnest(CASE WHEN i = 1
+        THEN [r1, CASE WHEN length(r1) > 1 THEN substr(r1, 1, 1) END]
+        ELSE [r1 || r2, CASE WHEN length(r2) > 1 THEN r1 || substr(r2, 1, 1) END, substr(r1, 1, 1) || substr(r2, 1, 1)] END) AS key
+      FROM (SELECT w.word, w.tokens, CAST(len(w.tokens) AS BIGINT) AS n, CAST(unnest(range(1, len(w.tokens) + 1)) AS BIGINT) AS i,
+          coalesce(lower(a.reading), lower(w.tokens[1])) AS r1, coalesce(lower(b.reading), lower(w.tokens[2])) AS r2
+        FROM (SELECT DISTINCT word, tokens FROM title_words) w
+        LEFT JOIN readings a ON a.token = w.tokens[1] LEFT JOIN readings b ON b.token = w.tokens[2])) WHERE key IS NOT NULL""",
+)
+def search_recall_readings(inp: Inputs) -> DataFrame:
+    """Recall with a dictionary: every reading of a title's words can be typed."""
+    items = inp.items.where("status = 1").withColumn("item_id", F.col("item_id").cast("string"))
+    found = words.suffix_words(items, ["item_id", "category", "risk"], "title")
+    recall = post.recall_words(found, _readings(inp))
+    return recall.select("search_key", "category", "item_id", "highlight", score_ppm(), "risk")
+
+
 @query(
     "posting_lists",
     f"""SELECT search_key, category, chunk, count(*) AS n, string_agg(entry, '|' ORDER BY entry) AS postings FROM (
@@ -297,7 +322,7 @@ _BATCH = {
       QUALIFY row_number() OVER (PARTITION BY cid ORDER BY item_id) = 1""",
     "batch_short": """SELECT * FROM all_short WHERE NOT (category IN ('short-fr', 'short-de')
         AND update_ts < TIMESTAMP '2001-10-01' - INTERVAL 180 DAY)""",
-    "tfidf": _TFIDF.replace("short_items", "batch_short"),
+    "tfidf": _TERMS.replace("short_items", "batch_short"),
     "words": _words_sql("batch_long", "batch_short"),
     **{k: SEARCH[k] for k in ("word_keys", "postings", "tiered")},
 }
@@ -321,14 +346,9 @@ def search_index_batch(inp: Inputs) -> DataFrame:
     postings = post.search_recall(
         long_items, short.select("item_id", "category", "title", "risk"), inp.collections, inp.people
     )
-    # Three views read the lists, so they are written once.
-    tiered = materialize(post.tiered_top(postings), "tiered-postings")
-    out = None
-    for name, level in post.RISK_LEVELS.items():
-        docs = post.index_documents(_contents(tiered, level), f"search_{name}", "prefix_search", "rule0")
-        part = docs.select(F.lit(name).alias("view"), "doc_id", "source")
-        out = part if out is None else out.unionByName(part)
-    return out
+    views = post.join_view(post.risk_views(post.tiered_top(postings)), ppm(F.col("score")).cast("string"))
+    index = F.concat(F.lit("search_"), F.col("view"))
+    return post.index_documents(views, index, "prefix_search", "rule0").select("view", "doc_id", "source")
 
 
 # Hot items change: each is taken offline when it was last returned and put online

@@ -315,7 +315,8 @@ def available_collections(inp: Inputs) -> DataFrame:
 )
 def daily_scores_valid(inp: Inputs) -> DataFrame:
     daily = (
-        inp.purchases.groupBy("item_id", F.date_format("ts", "yyyyMMdd").alias("day"))
+        inp.purchases.where(activity.day_range("ts", "20000115"))
+        .groupBy("item_id", F.date_format("ts", "yyyyMMdd").alias("day"))
         .agg(F.sum("score").alias("score"))
     )
     return activity.daily_scores_valid(daily, catalog.scan(inp.items, ["item_id"], catalog.VALID_ITEM), "20000115")
@@ -398,11 +399,23 @@ def watched_sets_category(inp: Inputs) -> DataFrame:
     return sets.select("user_id", "chunk", "n", _joined("entries").alias("items"))
 
 
-@query("dataset_profile", "SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM purchases")
+@query("dataset_profile", """SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
+    'struct<user_id:bigint,item_id:bigint,score:bigint,ts:timestamp_ntz,flag:string>' AS schema FROM purchases""")
 def dataset_profile(inp: Inputs) -> DataFrame:
     return activity.dataset_profile(inp.purchases)
 
 
+@query(
+    "dataset_sample",
+    """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+    ORDER BY md5(l_orderkey || ':' || l_linenumber || ':' || l_partkey), l_orderkey, l_linenumber, l_partkey LIMIT 20""",
+)
+def dataset_sample(inp: Inputs) -> DataFrame:
+    """A look at a few rows, the same ones on every run."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey"]
+    return activity.dataset_sample(inp.table("lineitem").select(*columns), columns, 20)
+
+
 @query(
     "editor_weight",
     """SELECT t.user_id, t.item_id, t.total * CASE WHEN i.item_id IS NULL THEN 10 ELSE 11 END AS weighted_x10

@@ -64,16 +64,27 @@ def stream_dedup(inp: Inputs) -> DataFrame:
     return _drain(inp, once, "dedup")
 
 
+_CHANGED_TITLES = "CAST(user_id AS VARCHAR) AS item_id, category, risk, status, ts"
+
+
 @query(
     "stream_tumbling_postings",
-    """SELECT time_bucket(INTERVAL 3 MINUTE, ts) AS window_start, split_part(title, ' ', 1) AS search_key, category,
-      CAST(user_id AS VARCHAR) AS item_id, max_by(status, ts) AS status, count(*) AS n FROM programs
+    f"""SELECT time_bucket(INTERVAL 3 MINUTE, ts) AS window_start, search_key, category, item_id, highlight,
+      max_by({_PPM}, (ts, status, score, risk)) AS score_ppm, max_by(risk, (ts, status, score, risk)) AS risk,
+      CASE WHEN max_by(status, (ts, status, score, risk)) = 1 THEN 'add' ELSE 'delete' END AS mark, count(*) AS n FROM (
+        SELECT w.ts, k.search_key, w.category, w.item_id, k.highlight, w.status, w.risk,
+          0.7 * CAST(w.word_score AS DOUBLE) + 0.3 * (k.i / k.n) AS score
+        FROM title_words w JOIN title_keys k ON w.word = k.word AND w.tokens = k.tokens)
     WHERE time_bucket(INTERVAL 3 MINUTE, ts) + INTERVAL 3 MINUTE <= (SELECT max(ts) FROM programs) - INTERVAL 10 MINUTE
-    GROUP BY 1, 2, 3, 4""",
+    GROUP BY 1, 2, 3, 4, 5""",
+    title_words=_suffix_sql("programs", _CHANGED_TITLES, "title"),
+    title_keys=_keys_sql("title_words"),
 )
 def stream_tumbling_postings(inp: Inputs) -> DataFrame:
-    keyed = _programs(inp).withColumn("search_key", F.split_part("title", F.lit(" "), F.lit(1)))
-    return _drain(inp, index_stream.window_postings(keyed), "tumbling")
+    """Recalled postings of changed titles, marked to be added or deleted."""
+    recalled = index_stream.recall_changes(_programs(inp))
+    marked = index_stream.window_postings(recalled)
+    return _drain(inp, marked.withColumn("score_ppm", score_ppm()).drop("score"), "tumbling")
 
 
 _JOINED = """
@@ -128,44 +139,47 @@ def stream_source_preference(inp: Inputs) -> DataFrame:
     return _drain(inp, once, "source-preference")
 
 
-TOPICS = {messages.PROGRAM: "view", messages.SUBJECT: "click", messages.PERSON: "signup"}
+TOPICS = {messages.PROGRAM: "view", messages.LINKED: "purchase", messages.SUBJECT: "click", messages.PERSON: "signup"}
 
 _CHANGES = {
-    "item_changes": """SELECT CAST(user_id AS VARCHAR) AS item_id, category, title, risk, status, ts FROM programs
+    "met": """
+      SELECT v.*, l.event_id AS linked_id, l.k AS linked_k, l.user_id AS linked_user, l.item_title AS linked_title, l.category AS linked_category
+      FROM programs v LEFT JOIN linked l ON v.user_id = l.user_id AND l.ts BETWEEN v.ts AND v.ts + INTERVAL 1 HOUR""",
+    "emitted": """SELECT * FROM met WHERE linked_id IS NOT NULL
+      OR ts < (SELECT least((SELECT max(ts) FROM programs), (SELECT max(ts) FROM linked))) - INTERVAL 2 HOUR""",
+    "item_changes": """
+      SELECT CAST(user_id AS VARCHAR) AS item_id, category, title, risk, CAST(CASE WHEN status = 1 THEN 1 ELSE -1 END AS BIGINT) AS status, ts
+      FROM emitted WHERE linked_id IS NULL
+      UNION ALL SELECT CAST(linked_user + n AS VARCHAR), linked_category, linked_title, risk,
+        CASE WHEN linked_k >= 60 THEN CASE WHEN n = 0 THEN 1 ELSE -1 END WHEN status = 1 THEN 1 ELSE -1 END, ts
+      FROM emitted, (SELECT unnest([0, 1]) AS n) WHERE linked_id IS NOT NULL
       UNION ALL SELECT base64(encode(CAST(user_id AS VARCHAR))), 'collection', title, 0, status, ts FROM messages WHERE topic = 'click' AND title IS NOT NULL
       UNION ALL SELECT CAST(user_id AS VARCHAR), 'person', title, 0, status, ts FROM messages WHERE topic = 'signup' AND title IS NOT NULL""",
-    "closed": """SELECT * FROM item_changes
-      WHERE time_bucket(INTERVAL 3 MINUTE, ts) + INTERVAL 3 MINUTE <= (SELECT max(ts) FROM item_changes) - INTERVAL 10 MINUTE""",
-    "last_change": """SELECT * FROM closed QUALIFY row_number() OVER (PARTITION BY item_id, category ORDER BY ts DESC) = 1""",
+    "last_change": """SELECT * FROM item_changes
+      QUALIFY row_number() OVER (PARTITION BY item_id, category ORDER BY ts DESC, status DESC, title DESC, risk DESC) = 1""",
     "stored_words": _suffix_sql("(SELECT * FROM items WHERE status = 1 AND feature_type = 1)", _ITEM_WORDS, "title"),
     "stored_keys": _keys_sql("stored_words"),
     "stored": _POSTINGS.format(words="stored_words", keys="stored_keys"),
     "new_words": f"""
-      SELECT * FROM ({_suffix_sql("(SELECT * FROM last_change WHERE category <> 'person')", _ITEM_WORDS + ", status", "title")})
-      UNION ALL SELECT item_id, category, risk, status, {_CLEAN.format(c="title")} AS word, {_TOKENS.format(c="title")} AS tokens, 0 AS "offset", 1.0 AS word_score
-      FROM last_change WHERE category = 'person'""",
+      SELECT * FROM ({_suffix_sql("(SELECT * FROM last_change WHERE status = 1 AND category <> 'person')", _ITEM_WORDS, "title")})
+      UNION ALL SELECT item_id, category, risk, {_CLEAN.format(c="title")} AS word, {_TOKENS.format(c="title")} AS tokens, 0 AS "offset", 1.0 AS word_score
+      FROM last_change WHERE status = 1 AND category = 'person'""",
     "new_keys": _keys_sql("new_words"),
-    "new_postings": _POSTINGS.format(words="(SELECT * FROM new_words WHERE status = 1)", keys="new_keys"),
-    "gone": "SELECT DISTINCT k.search_key, w.category, w.item_id FROM new_words w JOIN new_keys k ON w.word = k.word AND w.tokens = k.tokens WHERE w.status <> 1",
+    "new_postings": _POSTINGS.format(words="new_words", keys="new_keys"),
 }
 
 
 @query(
     "stream_index_merge",
     f"""SELECT search_key, category, item_id, highlight, {_PPM} AS score_ppm, risk FROM (
-      SELECT * FROM stored s WHERE NOT EXISTS (
-        SELECT 1 FROM gone g WHERE g.item_id = s.item_id AND g.category = s.category AND g.search_key = s.search_key)
-      AND NOT EXISTS (SELECT 1 FROM new_postings n WHERE n.item_id = s.item_id AND n.search_key = s.search_key
-        AND n.category = s.category AND n.highlight = s.highlight)
-      UNION ALL
-      SELECT search_key, category, item_id, highlight, max(score), any_value(risk) FROM new_postings GROUP BY 1, 2, 3, 4
-    ) GROUP BY 1, 2, 3, 4, 5, 6""",
+      SELECT * FROM stored s WHERE NOT EXISTS (SELECT 1 FROM last_change c WHERE c.item_id = s.item_id AND c.category = s.category)
+      UNION ALL SELECT DISTINCT * FROM new_postings)""",
     **_CHANGES,
 )
 def stream_index_merge(inp: Inputs) -> DataFrame:
-    """Messages → change log (streaming) → merge into the stored postings."""
+    """Messages of all four kinds → change log (streaming) → merge into the stored postings."""
     path, checkpoint = new_scratch(inp.spark, "changes"), new_scratch(inp.spark, "changes-checkpoint")
-    changes = index_stream.window_changes(messages.changes(inp.message_stream(), TOPICS))
+    changes = messages.changes(inp.message_stream(), TOPICS, "premium")
     index_stream.append_log(changes, path, checkpoint, "changes", trigger=None).awaitTermination()
 
     valid = inp.items.where("status = 1 and feature_type = 1").withColumn("item_id", F.col("item_id").cast("string"))
@@ -173,4 +187,4 @@ def stream_index_merge(inp: Inputs) -> DataFrame:
     base = new_scratch(inp.spark, "index")
     snapshots.write_snapshot(post.recall_words(found), base, "test", "demo", "postings")
     merged = index_stream.refresh_index(inp.spark, path, base, "test", "demo")
-    return merged.select("search_key", "category", "item_id", "highlight", score_ppm(), "risk").distinct()
+    return merged.select("search_key", "category", "item_id", "highlight", score_ppm(), "risk")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,13 +46,33 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="lumenrec-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+# Folders made by this process, so that a caller can give their space back.
+_MADE: list[str] = []
+
+
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder path of the shared folder (not created yet)."""
-    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    _MADE.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove all scratch folders of this process, once their results have been used; their number.
+
+    Frames that still read from them fail afterwards.
+    """
+    hadoop = spark._jsc.hadoopConfiguration()
+    gone = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += bool(path.getFileSystem(hadoop).delete(path, True))
+    return gone
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -40,23 +40,31 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def read_pointer(spark: SparkSession, root: str) -> dict[str, str | None]:
     pointer = f"{root}/{POINTER}"
     if not path_exists(spark, pointer):
-        return {"latest": None, "backup": None}
+        return {"latest": None, "backup": None, "retired": None}
     return json.loads(spark.read.text(pointer, wholetext=True).first()[0])
 
 
 def _write_pointer(spark: SparkSession, root: str, content: dict[str, str | None]) -> None:
-    fs, jpath = _hadoop(spark, f"{root}/{POINTER}")
-    stream = fs.create(jpath, True)
+    """Write the new pointer aside and rename it over the old one, which is atomic."""
+    fs, aside = _hadoop(spark, f"{root}/.{POINTER}.{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
     try:
         stream.write(bytearray(json.dumps(content), "utf-8"))
     finally:
         stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(aside.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(aside), fs.makeQualified(hadoop.Path(f"{root}/{POINTER}")), options)
 
 
 def write_snapshot(df: DataFrame, base: str, env: str, product: str, dataset: str) -> str:
     """Write a new version, then make it ``latest``; the previous one becomes ``backup``.
 
-    The version before that is removed, after the pointer no longer names it.
+    The version before the backup is kept as ``retired`` until the next write, so a reader
+    that has just resolved the backup still finds its files. One writer per dataset.
     """
     spark = df.sparkSession
     root = dataset_path(base, env, product, dataset)
@@ -65,11 +73,11 @@ def write_snapshot(df: DataFrame, base: str, env: str, product: str, dataset: st
     before = read_pointer(spark, root)
     if before["latest"] is not None and not path_exists(spark, f"{root}/{before['latest']}"):
         # The latest version was lost: the backup is still the best second copy.
-        _write_pointer(spark, root, {"latest": version, "backup": before["backup"]})
+        _write_pointer(spark, root, {**before, "latest": version})
         return f"{root}/{version}"
-    _write_pointer(spark, root, {"latest": version, "backup": before["latest"]})
-    if before["backup"] is not None:
-        delete_path(spark, f"{root}/{before['backup']}")
+    _write_pointer(spark, root, {"latest": version, "backup": before["latest"], "retired": before["backup"]})
+    if before.get("retired") is not None:
+        delete_path(spark, f"{root}/{before['retired']}")
     return f"{root}/{version}"
 
 

@@ -46,7 +46,7 @@ def prefer_source(joined: DataFrame, provider: str) -> DataFrame:
 
     If a linked item of the preferred provider is online, that provider's items go
     online and the others offline; else all follow the program's own status. Without
-    contents the program stands for itself. The program's risk is kept.
+    contents, or with an empty list, the program stands for itself. The program's risk is kept.
     """
     own = F.array(
         F.struct(
@@ -54,7 +54,7 @@ def prefer_source(joined: DataFrame, provider: str) -> DataFrame:
             F.lit(None).cast("string").alias("provider"),
         )
     )
-    contents = F.coalesce("contents", own)
+    contents = F.when(F.size("contents") > 0, F.col("contents")).otherwise(own)
     preferred = F.exists(
         contents, lambda c: (c["provider"] == provider) & (c["status"].cast("bigint") == 1)
     )
@@ -78,7 +78,7 @@ def prefer_source_batch(programs: DataFrame, contents: DataFrame, provider: str)
     items is never held as an array.
     """
     flag = contents.groupBy("canonical_id").agg(
-        F.max((F.col("provider") == provider) & (F.col("status") == 1)).alias("_preferred")
+        F.max(F.coalesce((F.col("provider") == provider) & (F.col("status") == 1), F.lit(False))).alias("_preferred")
     )
     heads = programs.join(
         flag.withColumnRenamed("canonical_id", "item_id"), "item_id", "left"
@@ -88,7 +88,7 @@ def prefer_source_batch(programs: DataFrame, contents: DataFrame, provider: str)
         F.col("title").alias("t"), "provider",
     )
     linked = heads.where("_preferred is not null").drop("category", "title").join(members, "program_id")
-    online = F.when(F.col("_preferred"), F.col("provider") == provider).otherwise(F.col("_own") == 1)
+    online = F.when(F.col("_preferred"), F.coalesce(F.col("provider") == provider, F.lit(False))).otherwise(F.col("_own") == 1)
     status = F.when(online, 1).otherwise(-1).cast("bigint").alias("status")
     alone = heads.where("_preferred is null").select(
         "program_id", F.col("program_id").alias("item_id"), "category", "title", "risk",

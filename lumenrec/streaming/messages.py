@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lumenrec.functions.text import base64_text
 from lumenrec.operators.filters import require_fields
 from lumenrec.operators.postings import COLLECTION_CATEGORY, PERSON_CATEGORY
+from lumenrec.streaming.joins import interval_left_join, prefer_source
 
 PROGRAM, LINKED, SUBJECT, PERSON = "program", "linked", "subject", "person"
 
@@ -68,14 +69,23 @@ def event_time(column: str) -> Column:
     return F.col(column).cast("timestamp")
 
 
-def changes(messages: DataFrame, topics: Mapping[str, str]) -> DataFrame:
-    """Program, subject and person messages as one stream of item changes.
+def changes(messages: DataFrame, topics: Mapping[str, str], provider: str | None = None) -> DataFrame:
+    """Messages of all kinds as one stream of item changes.
 
     ``topics`` maps the kinds to topic names. Columns: ``item_id, category, title,
-    risk, status, ts``. A subject or person message without its own time counts as of
-    now; both have risk 0.
+    risk, status, ts``. With a topic for linked contents, programs are joined with the
+    contents that follow within an hour, and the ``provider``'s items are preferred;
+    programs without contents wait until the watermark has passed that hour. A subject
+    or person message without its own time counts as of now; both have risk 0.
     """
+    columns = ["item_id", "category", "title", "risk", "status", "ts"]
     program = route(messages, topics[PROGRAM], PROGRAM).withColumn("ts", event_time("update_ts"))
+    if LINKED in topics:
+        linked = route(messages, topics[LINKED], LINKED).select(
+            F.col("canonical_id").alias("key"), event_time("update_ts").alias("ts"), "contents"
+        )
+        heads = program.drop("update_ts").withColumn("key", F.col("item_id"))
+        program = prefer_source(interval_left_join(heads, linked, "1 HOUR", "1 hour"), provider)
     now = F.coalesce(event_time("update_ts"), F.current_timestamp())
     none = F.lit(0).cast("bigint").alias("risk")
     subject = route(messages, topics[SUBJECT], SUBJECT).select(
@@ -86,5 +96,4 @@ def changes(messages: DataFrame, topics: Mapping[str, str]) -> DataFrame:
         F.col("person_id").alias("item_id"), F.lit(PERSON_CATEGORY).alias("category"),
         F.col("name").alias("title"), none, "status", now.alias("ts"),
     )
-    columns = ["item_id", "category", "title", "risk", "status", "ts"]
     return program.select(*columns).unionByName(subject).unionByName(person)

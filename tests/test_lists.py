@@ -40,14 +40,14 @@ def test_unknown_operation_is_an_error(frame):
         lists.list_operation(frame(SCORED), "user_id", "item_id", order(), "other")
 
 
-@pytest.mark.parametrize("slice_rows", [1_000_000, 50, 3])
-def test_shuffled_positions_do_not_depend_on_slicing(spark, rows, slice_rows):
+@pytest.mark.parametrize("digits", [0, 1, 4])
+def test_shuffled_positions_do_not_depend_on_slicing(spark, rows, digits):
     """Key 0 holds most rows; sliced ranking equals ranking the whole list at once."""
     df = spark.range(600).select(
         F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 7).alias("user_id"), F.col("id").alias("item_id")
     )
     whole = lists.top_n(df, ["user_id"], [lists.shuffle_digest(7, "user_id", "item_id"), F.col("item_id")], 10**6)
-    sliced = lists.shuffled_positions(df, "user_id", "item_id", slice_rows=slice_rows)
+    sliced = lists.shuffled_positions(df, "user_id", "item_id", digits=digits)
     assert rows(sliced, "user_id", "item_id", "pos") == rows(whole, "user_id", "item_id", "pos")
 
 
@@ -70,6 +70,36 @@ def test_fold_list_keeps_rank_order(frame, rows):
     assert lists.fold_list(df, "k", "item", "pos", 3).first().id == [30, 20, 10]
 
 
+def test_whole_lists_are_folded_in_slices(frame, rows):
+    df = frame("k int, item bigint, pos int", *[(1, 100 - i, i) for i in range(1, 8)], (2, 5, 1))
+    got = rows(lists.fold_list(df, "k", "item", "pos", slice_rows=3), "k", "slice", "id")
+    assert got == [(1, 0, [99, 98, 97]), (1, 1, [96, 95, 94]), (1, 2, [93]), (2, 0, [5])]
+    whole = lists.fold_matrix(df, "k", "item", "pos").collect()
+    assert {r.k: [(x.item, x.score) for x in r["items"]] for r in whole} == {1: [(100 - i, i) for i in range(7, 0, -1)], 2: [(5, 1)]}
+    parts = lists.fold_matrix(df, "k", "item", "pos", slice_rows=2).collect()
+    assert sorted((x.item, x.score) for r in parts if r.k == 1 for x in r["items"]) == sorted((100 - i, i) for i in range(1, 8))
+    assert all([x.score for x in r["items"]] == sorted((x.score for x in r["items"]), reverse=True) for r in parts)
+
+
+def test_long_lists_get_a_key_per_slice(frame):
+    from lumenrec.operators import publish
+
+    df = frame("user_id int, item_id bigint, pos int", *[(1, i, i) for i in range(1, 6)])
+    folded = lists.fold_list(df, "user_id", "item_id", "pos", slice_rows=2)
+    assert sorted(r.user_id for r in publish.sliced_key(folded, "user_id").collect()) == ["1", "1#1", "1#2"]
+
+
+@pytest.mark.parametrize("width", [3, 65536])
+def test_ordered_positions_equal_one_ranking(spark, rows, width):
+    df = spark.range(600).select(
+        F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 7).alias("user_id"), F.col("id").alias("item_id"),
+        (F.col("id") % 11).alias("total"),
+    )
+    whole = lists.top_n(df, ["user_id"], [F.col("total").desc(), F.col("item_id")], 10**6)
+    got = lists.ordered_positions(df, "user_id", "item_id", "total", width=width)
+    assert rows(got) == rows(whole, "user_id", "item_id", "pos")
+
+
 def test_fold_chunks_splits_a_hot_key_and_loses_nothing(spark):
     df = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("item"))
     got = lists.fold_chunks(df, ["k"], ["item"], F.col("item"), 100).collect()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 
@@ -20,19 +22,19 @@ def brute_force(vectors: dict[int, np.ndarray], n: int, rounding: float, positiv
     return sorted(out)
 
 
-@pytest.mark.parametrize("left,right", [(1000, 1000), (7, 11)])
-def test_dense_equals_brute_force(spark, left, right):
+@pytest.mark.parametrize("block", [1000, 7])
+def test_dense_equals_brute_force(spark, block):
     rng = np.random.default_rng(3)
     vectors = {i: rng.normal(size=8) for i in range(60)}
     vectors[60] = np.zeros(8)
     for copy in range(61, 81):  # a group of copies: all tie with each other
         vectors[copy] = vectors[5].copy()
     df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "item_id bigint, vector array<double>")
-    got = similar.similar_dense(df, 6, left_rows=left, right_rows=right)
+    got = similar.similar_dense(df, 6, block_rows=block)
     assert sorted(map(tuple, got.collect())) == brute_force(vectors, 6, 0.5, positive=False)
 
 
-@pytest.mark.parametrize("options", [{}, {"left_rows": 9, "block_entries": 40}, {"left_rows": 9, "long_row": 6}])
+@pytest.mark.parametrize("options", [{}, {"feature_rows": 5}])
 def test_sparse_equals_brute_force(spark, options):
     """Feature 0 is in every vector; items 0 and 1 have every feature (long rows)."""
     rng = np.random.default_rng(4)
@@ -52,7 +54,7 @@ def test_dense_inside_groups(spark):
     vectors = {i: rng.normal(size=6) for i in range(40)}
     rows = [(i, v.tolist(), "hot" if i < 25 else f"g{i % 3}") for i, v in vectors.items()]
     df = spark.createDataFrame(rows, "item_id bigint, vector array<double>, g string")
-    got = similar.similar_dense(df, 4, within="g", left_rows=5, right_rows=9)
+    got = similar.similar_dense(df, 4, within="g", block_rows=6)
     want = []
     for name in {r[2] for r in rows}:
         want += brute_force({r[0]: vectors[r[0]] for r in rows if r[2] == name}, 4, 0.5, positive=False)
@@ -63,22 +65,32 @@ def test_sparse_of_nothing(spark):
     assert similar.similar_sparse(spark.createDataFrame([], "item_id bigint, feature bigint, weight bigint")).count() == 0
 
 
-def test_small_expansion_steps_give_the_same(spark):
-    """The kernel's product steps are cut by size; the cut must not matter."""
-    import pyarrow as pa
-
-    rng = np.random.default_rng(5)
-    entry = pa.struct([("feature", pa.int64()), ("weight", pa.float64())])
-    lists = [
-        [{"feature": int(f), "weight": float(rng.integers(1, 5))} for f in rng.choice(12, 5, replace=False)]
-        for _ in range(30)
-    ]
-    table = pa.table({"item_id": pa.array(range(30), pa.int64()), "entries": pa.array(lists, pa.list_(entry))})
-    whole = similar._sparse_task(4)(table, table)
-    cut = similar._sparse_task(4, chunk=7, expand=10)(table, table)
-    key = ["item_id", "other_id"]
-    order = [(k, "ascending") for k in key]
-    assert whole.sort_by(order).equals(cut.sort_by(order))
+@pytest.mark.parametrize("feature_rows", [1, 100])
+def test_products_that_cancel_are_no_partners(spark, feature_rows):
+    """Whatever the length of the lists and the slices of the features."""
+    rows = [("a", 1, 2), ("a", 2, 3), ("b", 1, 3), ("b", 2, -2), ("c", 1, 1), ("c", 3, 5), ("d", 4, 1)]
+    df = spark.createDataFrame(rows, "item_id string, feature int, weight int")
+    got = {(r.item_id, r.other_id) for r in similar.similar_sparse(df, 5, feature_rows).collect()}
+    assert got == {("a", "c"), ("c", "a"), ("b", "c"), ("c", "b")}
+
+
+def test_text_ids(spark):
+    """Vector lines → valid items → similarity, with ids as they stand in the lines."""
+    from lumenrec.operators.filters import valid_only
+    from lumenrec.sources.vectors import parse_vector_lines
+
+    lines = spark.createDataFrame([("a1,1,0",), ("b2,1,0.1",), ("c3,0,1",), ("off,1,0",)], "value string")
+    known = spark.createDataFrame([("a1",), ("b2",), ("c3",), ("c3",)], "item_id string")
+    got = similar.similar_dense(valid_only(parse_vector_lines(lines, 2), known, "item_id"), 1).collect()
+    assert {(r.item_id, r.other_id) for r in got} == {("a1", "b2"), ("b2", "a1"), ("c3", "b2")}
+    assert dict(similar.similar_dense(valid_only(parse_vector_lines(lines, 2), known, "item_id"), 1).dtypes)["other_id"] == "string"
+
+
+def test_partitions_do_not_grow_with_the_blocks(spark):
+    df = spark.range(40).selectExpr("id as item_id", "array(double(id), 1.0) as vector")
+    plans = [similar.similar_dense(df, 2, block_rows=b)._jdf.queryExecution().executedPlan().toString() for b in (40, 1)]
+    numbers = [set(re.findall(r"REPARTITION_BY_NUM|hashpartitioning\([^)]*, (\d+)\)", p)) for p in plans]
+    assert numbers[0] == numbers[1]
 
 
 def test_cluster_lists_leave_out_the_item_itself(frame, rows):

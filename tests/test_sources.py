@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime
+import json
+import types
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,7 +39,12 @@ def test_snapshot_rotation(spark, frame, tmp_path):
     assert snapshots.read_snapshot(spark, *args).first().x == 3
     assert snapshots.read_snapshot(spark, *args, which="backup").first().x == 2
     root = snapshots.dataset_path(*args)
-    assert sorted(f.name[:2] for f in (tmp_path / "test/demo/mix/a").iterdir() if f.is_dir()) == ["v-", "v-"]
+    assert sorted(f.name[:2] for f in (tmp_path / "test/demo/mix/a").iterdir() if f.is_dir()) == ["v-", "v-", "v-"]
+    snapshots.write_snapshot(frame("x int", (3,)), *args)
+    assert len([f for f in (tmp_path / "test/demo/mix/a").iterdir() if f.is_dir()]) == 3  # latest, backup, retired
+    last = snapshots.write_snapshot(frame("x int", (3,)), *args)
+    snapshots.write_snapshot(frame("x int", (2,)), *args)
+    last = snapshots.write_snapshot(frame("x int", (3,)), *args)
     assert snapshots.read_pointer(spark, root)["latest"] == last.rsplit("/", 1)[1]
     snapshots.delete_path(spark, last)
     assert snapshots.read_newest(spark, *args).first().x == 2
@@ -46,6 +53,39 @@ def test_snapshot_rotation(spark, frame, tmp_path):
     assert snapshots.read_snapshot(spark, *args, which="backup").first().x == 2
 
 
+def test_a_reader_during_the_swap_sees_a_whole_pointer(spark, frame, tmp_path, monkeypatch):
+    args = (str(tmp_path), "test", "demo", "d")
+    root = snapshots.dataset_path(*args)
+    snapshots.write_snapshot(frame("x int", (1,)), *args)
+    reader = snapshots.read_snapshot(spark, *args)
+    snapshots.write_snapshot(frame("x int", (2,)), *args)
+    backup = snapshots.read_snapshot(spark, *args, which="backup")
+    # a write that breaks off before the rename leaves the old pointer as it was
+    before = snapshots.read_pointer(spark, root)
+    monkeypatch.setattr(snapshots, "json", types.SimpleNamespace(dumps=lambda content: 1 / 0, loads=json.loads))
+    with pytest.raises(ZeroDivisionError):
+        snapshots.write_snapshot(frame("x int", (9,)), *args)
+    monkeypatch.undo()
+    assert snapshots.read_pointer(spark, root) == before
+    snapshots.write_snapshot(frame("x int", (3,)), *args)
+    assert backup.first().x == 1 and reader.first().x == 1  # files of resolved versions are still there
+
+
+def test_scratch_folders_can_be_removed(spark, frame, tmp_path):
+    from pathlib import Path
+
+    kept = session.materialize(frame("a int", (1,)), "mine")
+    folder = Path(kept.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists() and session.clear_scratch(spark) >= 1 and not folder.exists()
+
+
+def test_one_day_is_a_range_of_the_scan(spark):
+    from lumenrec.plans import catalogue
+
+    plan = catalogue.QUERIES["daily_scores_valid"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThan" in plan
+
+
 def test_missing_snapshot_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         snapshots.read_newest(spark, str(tmp_path), "test", "demo", "none")

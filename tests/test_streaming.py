@@ -66,16 +66,80 @@ def test_windows_close_behind_the_watermark(spark, rows, tmp_path):
     assert got == [(minute(0), "a", 0, 2), (minute(12), "a", 1, 1), (minute(18), "b", 1, 2)]
 
 
-def test_log_merge_is_the_same_for_any_batching(spark, frame, rows):
-    posting = "search_key string, category string, item_id string, highlight string, score double, risk bigint"
-    stored = frame(posting, ("t", "c", "a", "title", 0.5, 0), ("title", "c", "a", "title", 0.9, 0))
-    log = "item_id string, category string, title string, risk bigint, status bigint, ts timestamp_ntz"
+POSTING = "search_key string, category string, item_id string, highlight string, score double, risk bigint"
+LOG = "item_id string, category string, title string, risk bigint, status bigint, ts timestamp"
+
+
+def merged(frame, stored, *batches):
+    """The postings after the batches, one after the other."""
+    state = frame(LOG)
+    for batch in batches:
+        stored, state = index_stream.apply_log(stored, state, frame(LOG, *batch))
+        stored, state = stored.persist(), state.persist()
+    return stored
+
+
+def test_log_merge_is_the_same_for_any_batching(frame, rows):
+    stored = frame(POSTING, ("t", "c", "a", "title", 0.5, 0), ("title", "c", "a", "title", 0.9, 0), ("old", "c", "r", "old", 0.9, 0))
     off, on = ("a", "c", "title a", 0, 0, minute(1)), ("b", "c", "title b", 1, 1, minute(2))
-    at_once = index_stream.apply_log(stored, frame(log, off, on))
-    in_turn = index_stream.apply_log(index_stream.apply_log(stored, frame(log, off)), frame(log, on))
-    replayed = index_stream.apply_log(at_once, frame(log, off, on))
-    assert rows(at_once) == rows(in_turn) == rows(replayed)
-    assert {r.item_id for r in at_once.collect()} == {"b"}
+    renamed, gone = ("r", "c", "new", 0, 1, minute(3)), ("r", "c", "new", 0, 0, minute(4))
+    late = ("b", "c", "title b", 1, 0, minute(0))  # older than the add: comes late, does nothing
+    log = [off, on, renamed, gone, late]
+    want = rows(merged(frame, stored, log))
+    assert {r[2] for r in want} == {"b"}
+    for batches in ([[x] for x in log], [log[::-1]], [[x] for x in log[::-1]], [log[:2], log[2:]], [log, log], [[renamed], [gone], [off, on], [late]]):
+        assert rows(merged(frame, stored, *batches)) == want
+    assert {r[0] for r in rows(merged(frame, stored, [renamed]))} >= {"new", "n"} and "old" not in {r[0] for r in rows(merged(frame, stored, [renamed]))}
+
+
+def test_refresh_without_and_with_changes(spark, frame, rows, tmp_path):
+    from lumenrec.sources import snapshots
+
+    base, log = str(tmp_path / "index"), str(tmp_path / "log")
+    snapshots.write_snapshot(frame(POSTING, ("x", "c", "1", "x", 0.5, 0)), base, "test", "demo", "postings")
+    assert rows(index_stream.refresh_index(spark, log, base, "test", "demo")) == [("x", "c", "1", "x", 0.5, 0)]
+    stream = replay(spark, tmp_path, LOG, [[("1", "c", "y", 0, 1, minute(1))], [("2", "c", "z", 0, 1, minute(2000))]])
+    index_stream.append_log(stream, log, str(tmp_path / "ck"), "log", trigger=None).awaitTermination()
+    assert sorted(p.name for p in (tmp_path / "log").glob("day=*")) == ["day=2024-01-01", "day=2024-01-02"]
+    assert {r.search_key for r in index_stream.refresh_index(spark, log, base, "test", "demo", since="2024-01-02").collect()} == {"x", "z"}
+    assert {r.search_key for r in index_stream.refresh_index(spark, log, base, "test", "demo").collect()} == {"y", "z"}
+
+
+def test_documents_of_touched_keys_after_each_trigger(spark, frame, tmp_path):
+    from lumenrec.operators import postings as post
+    from lumenrec.sources import snapshots
+
+    base = str(tmp_path / "index")
+    snapshots.write_snapshot(
+        frame(POSTING, ("x", "c", "1", "x", 0.5, 0), ("x", "c", "9", "x", 0.5, 0), ("q", "c", "9", "q", 0.5, 0)), base, "test", "demo", "postings"
+    )
+
+    def documents(keys, found):
+        return post.update_documents(keys, post.join_view(post.risk_view(found, 0), F.lit("s")), "i", "z", "y")
+
+    stream = replay(spark, tmp_path, LOG, [[("1", "c", "y", 0, 1, minute(1))], [("1", "c", "y", 0, 0, minute(2))]])
+    index_stream.send_documents(
+        stream, str(tmp_path / "log"), base, "test", "demo", documents, str(tmp_path / "out"), str(tmp_path / "ck"), trigger=None
+    ).awaitTermination()
+    sent = [{r.doc_id: json.loads(r.source).get("c") for r in spark.read.parquet(f"{tmp_path}/out/batch={b}").collect()} for b in (0, 1)]
+    assert sent == [{"x": "9_x_s", "y": "1_y_s"}, {"x": "9_x_s", "y": None}]
+
+
+def test_all_four_kinds_of_messages(frame):
+    def message(kind, **body):
+        return ("k", json.dumps({"update_ts": "2024-01-01 00:00:00", "status": 1, **body}), kind)
+
+    df = frame(
+        "key string, value string, topic string",
+        message("p", item_id="1", category="c", title="t", risk=1),
+        message("l", canonical_id="1", contents=[
+            {"item_id": "1", "category": "c", "title": "t", "status": "1", "provider": "best"},
+            {"item_id": "5", "category": "c", "title": "u", "status": "1", "provider": "other"}]),
+        message("s", code="x", title="subject"), message("h", person_id="7", name="name"),
+    )
+    topics = {messages.PROGRAM: "p", messages.LINKED: "l", messages.SUBJECT: "s", messages.PERSON: "h"}
+    got = {(r.category, r.title, r.status) for r in messages.changes(df, topics, "best").collect()}
+    assert got == {("c", "t", 1), ("c", "u", -1), ("collection", "subject", 1), ("person", "name", 1)}
 
 
 def test_people_keywords_and_titles_are_recalled_differently(frame):
@@ -141,7 +205,24 @@ def test_source_preference(frame, rows):
         schema,
         ("p1", "c", "t", 2, 0, T0, [content("1", 1, "best"), content("2", 1, "other")]),
         ("p2", "c", "t", 1, 1, T0, [content("3", 0, "best"), content("4", 0, "other")]),
-        ("p3", "c", "t", 0, 0, T0, None),
+        ("p3", "c", "t", 0, 0, T0, None), ("p4", "c", "t", 0, 1, T0, []),
+        ("p5", "c", "t", 0, 1, T0, [("5", "c", "t5", "0", None)]),
     )
     got = rows(joins.prefer_source(df, "best"), "program_id", "item_id", "risk", "status")
-    assert got == [("p1", "1", 2, 1), ("p1", "2", 2, -1), ("p2", "3", 1, 1), ("p2", "4", 1, 1), ("p3", "p3", 0, -1)]
+    assert got == [("p1", "1", 2, 1), ("p1", "2", 2, -1), ("p2", "3", 1, 1), ("p2", "4", 1, 1), ("p3", "p3", 0, -1), ("p4", "p4", 0, 1), ("p5", "5", 0, 1)]
+
+
+def test_batch_and_stream_preference_agree(frame, rows):
+    """Also for groups without any provider."""
+    programs = [("p", "c", "t", 0, 1), ("q", "c", "t", 0, 1), ("n", "c", "t", 0, 0)]
+    linked = [("p", "m", "c", "tm", 1, None), ("q", "b", "c", "tb", 1, "best"), ("q", "o", "c", "to", 1, None)]
+    batch = joins.prefer_source_batch(
+        frame("item_id string, category string, title string, risk bigint, status bigint", *programs),
+        frame("canonical_id string, item_id string, category string, title string, status bigint, provider string", *linked), "best",
+    )
+    stream = frame(
+        f"item_id string, category string, title string, risk bigint, status bigint, ts timestamp, contents {CONTENT}",
+        *[(*p, T0, [(i, c, t, str(s), v) for k, i, c, t, s, v in linked if k == p[0]] or None) for p in programs],
+    )
+    columns = ["program_id", "item_id", "status"]
+    assert rows(batch, *columns) == rows(joins.prefer_source(stream, "best"), *columns)
