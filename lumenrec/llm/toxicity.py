@@ -153,9 +153,10 @@ def clauses(tokens: list[str]) -> Iterator[list[str]]:
 
 
 def attack(tags: list[tuple[str, float]]) -> dict[str, float]:
-    """Weight of each kind of attack in a clause: word weights add up along the path.
+    """Weight of each kind of attack in a clause: the weights of different words add up along the path.
     A plain insult that a later target aims at counts as aimed with its own weight."""
-    state, out, last = 0, {}, 0.0
+    state, last = 0, 0.0
+    out: dict[str, float] = {}
     for tag, weight in tags:
         state, wrote = GRAMMAR.step(state, tag)
         if tag == INSULT:
@@ -167,7 +168,7 @@ def attack(tags: list[tuple[str, float]]) -> dict[str, float]:
 
 def document_features(text: str, lexicon: Lexicon, cache: dict[str, tuple[str, float]]) -> list[float]:
     """For each kind the weight of the document's worst clause; log(1 + x) of the attacking clauses'
-    number and of their weights' sum."""
+    number and of their weights' sum. A word repeated in its clause counts once."""
     tokens = text.lower().split()
     if len(cache) > CACHE:
         cache.clear()
@@ -177,7 +178,7 @@ def document_features(text: str, lexicon: Lexicon, cache: dict[str, tuple[str, f
     worst, n, total = dict.fromkeys(KINDS, 0.0), 0, 0.0
     if any(cache[t][0] in (INSULT, THREAT) for t in distinct):
         for clause in clauses(tokens):
-            found = attack([cache[t] for t in clause])
+            found = attack([cache[t] for t in dict.fromkeys(clause)])
             n += bool(found)
             total += max(found.values(), default=0.0)
             for kind, weight in found.items():
@@ -208,13 +209,19 @@ def arcs_of(text: str) -> Iterator[tuple[str, str]]:
                     yield word[:n], word
 
 
-def lexicons(sample: DataFrame, sure: float = 2.5, support: int = 3, least: float = 0.1) -> list[Lexicon]:
-    """A lexicon from all sampled rows, then one from each of the two parts (0 and 1) of the sample.
+#: Standard errors that an arc's log odds have to exceed zero by: the choice that labels decide between.
+SURE = (2.5, 3.0, 3.5, 4.0, 4.5)
+PARTS = 8
 
-    An arc's weight is the lower confidence bound (``sure`` standard errors) of its log odds ratio
-    between toxic and other documents; arcs that are not above ``least``, or in fewer than ``support``
-    toxic documents, are no arcs; nor are beginnings that toxic documents do not use in several words
-    (1.5 on average, and two in all). Only arcs that are kept come to the driver.
+
+def lexicons(sample: DataFrame, support: int = 3, least: float = 0.1) -> list[list[Lexicon]]:
+    """For each value of ``SURE`` a lexicon from all sampled rows, then one for each part (0, 1, …) from
+    the rows outside it.
+
+    An arc's weight is the lower confidence bound of its log odds ratio between toxic and other
+    documents; arcs that are not above ``least``, or in fewer than ``support`` toxic documents, are no
+    arcs; nor are beginnings that toxic documents do not use in several words (1.5 on average, and two
+    in all). Only counts of arcs that pass the least sure bound come to the driver.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,29 +241,41 @@ def lexicons(sample: DataFrame, sure: float = 2.5, support: int = 3, least: floa
                      "words": pa.array(words.values(), pa.int64()), "kind": pa.array([2 * part + y] * n, pa.int32())}
                 )
 
-    kinds = range(4)  # part and label
+    kinds = range(2 * PARTS)  # part and label
     total = {r.kind: r.n for r in sample.groupBy((2 * F.col("part") + F.col("y")).alias("kind")).agg(F.count("*").alias("n")).collect()}
     counts = (
         sample.mapInArrow(task, "arc string, low bigint, high bigint, words bigint, kind int")
         .groupBy("arc")
         .agg(*(F.count(F.when(F.col("kind") == k, 1)).alias(f"c{k}") for k in kinds), *(f(F.when(F.col("kind") % 2 == 1, F.col(c))).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "words"))))
-        .where(F.col("arc").startswith("=") | ((F.col("low") < F.col("high")) & (F.col("words") >= 1.5 * (F.col("c1") + F.col("c3")))))
+        .where(F.col("arc").startswith("=") | ((F.col("low") < F.col("high")) & (F.col("words") >= 1.5 * sum((F.col(f"c{2 * k + 1}") for k in range(1, PARTS)), F.col("c1")))))
     )
-    weights = []
-    for parts in ((0, 1), (0,), (1,)):
-        p, n = (sum((F.col(f"c{2 * k + y}") for k in parts), F.lit(0)) for y in (1, 0))
-        toxic, other = (sum(total.get(2 * k + y, 0) for k in parts) for y in (1, 0))
-        odds = F.log((p + 0.5) / (toxic - p + 0.5)) - F.log((n + 0.5) / (other - n + 0.5))
-        error = F.sqrt(1 / (p + 0.5) + 1 / (n + 0.5) + 1 / (toxic - p + 0.5) + 1 / (other - n + 0.5))
-        weights.append(F.when(p >= support, odds - sure * error).otherwise(0.0))
-    kept = counts.select("arc", *(w.alias(f"w{k}") for k, w in enumerate(weights))).where(F.greatest("w0", "w1", "w2") > least).collect()
-    return [
-        Lexicon(
-            {r.arc[1:]: r[k] for r in kept if r.arc[0] == "=" and r[k] > least},
-            {r.arc: r[k] for r in kept if r.arc[0] != "=" and r[k] > least},
-        )
-        for k in (1, 2, 3)
-    ]
+
+    def odds(p, n, toxic: int, other: int, log, root):
+        """Log odds ratio and its standard error, half a document added to each count."""
+        rest = (toxic - p + 0.5), (other - n + 0.5)
+        return log((p + 0.5) / rest[0]) - log((n + 0.5) / rest[1]), root(1 / (p + 0.5) + 1 / (n + 0.5) + 1 / rest[0] + 1 / rest[1])
+
+    p, n = (sum((F.col(f"c{2 * k + y}") for k in range(1, PARTS)), F.col(f"c{y}")) for y in (1, 0))
+    toxic, other = (sum(total.get(2 * k + y, 0) for k in range(PARTS)) for y in (1, 0))
+    ratio, error = odds(p, n, toxic, other, F.log, F.sqrt)
+    # a part's own rows can hide an arc of the others by little, hence the margin of half an error
+    kept = counts.where((p >= support) & (ratio > (SURE[0] - 0.5) * error)).select("arc", *(f"c{k}" for k in kinds)).collect()
+    kept.sort(key=lambda r: r.arc)
+    seen = np.array([r[1:] for r in kept], float).reshape(len(kept), len(kinds))
+    out = []
+    for sure in SURE:
+        found = []
+        for left_out in (None, *range(PARTS)):
+            used = [k for k in range(PARTS) if k != left_out]
+            p, n = (seen[:, [2 * k + y for k in used]].sum(axis=1) for y in (1, 0))
+            toxic, other = (sum(total.get(2 * k + y, 0) for k in used) for y in (1, 0))
+            with np.errstate(invalid="ignore"):
+                ratio, error = odds(p, n, toxic, other, np.log, np.sqrt)
+            weight = np.where(p >= support, ratio - sure * error, 0.0)
+            arcs = [(r.arc, float(w)) for r, w in zip(kept, weight) if w > least]
+            found.append(Lexicon({a[1:]: w for a, w in arcs if a[0] == "="}, {a: w for a, w in arcs if a[0] != "="}))
+        out.append(found)
+    return out
 
 
 def fit_output(rows: np.ndarray, labels: np.ndarray, steps: int = 3000, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -276,50 +295,54 @@ def fit_output(rows: np.ndarray, labels: np.ndarray, steps: int = 3000, rate: fl
     return weights, float(bias)
 
 
-def at_threshold(bias: float, logits: np.ndarray, labels: np.ndarray, threshold: float) -> float:
-    """The bias for which ``threshold`` is the cut with the best F1 on the given rows (their logits
-    include ``bias``): the middle between the last row above and the first below it."""
-    if not len(labels) or labels.min() == labels.max():
-        return bias
+def best_cut(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """The cut with the best F1 (the middle between the last row above and the first below), and that F1."""
     order = np.argsort(-logits, kind="stable")
     x, y = logits[order], labels[order]
-    hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    f1 = 2 * np.cumsum(y) / (np.arange(1, len(y) + 1) + y.sum())
     ends = np.append(x[1:] < x[:-1], True)  # equal scores fall on one side
     best = int(np.argmax(np.where(ends, f1, -1)))
-    cut = (x[best] + x[best + 1]) / 2 if best + 1 < len(x) else x[best]
-    return float(bias + np.log(threshold / (1 - threshold)) - cut)
+    return float((x[best] + x[best + 1]) / 2 if best + 1 < len(x) else x[best]), float(f1[best])
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, threshold: float = 0.7) -> Model:
     """Learn the insult automaton and the weights of the kinds from at most ``max_rows`` labelled rows.
 
-    The weights are fitted to features that each half of the sample gets from the other half's
-    lexicon, so words seen in one document only do not look better than they are. The bias is then
-    moved so that ``threshold`` is the best cut on the sample.
+    The weights are fitted to features that each part of the sample gets from the other parts'
+    lexicon, so words seen in few documents do not look better than they are. How sure an arc has to
+    be is the choice with the best F1 on those features; then the bias is moved so that ``threshold``
+    is the best cut.
     """
     sample = materialize(
         labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, max_rows).withColumn(
-            "part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(2)).cast("int")
+            "part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int")
         ),
         "labelled",
     )
-    whole, *others = lexicons(sample)
-    halves = others[::-1]  # a row's features come from the lexicon of the part it is not in
+    choices = lexicons(sample)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        caches: list[dict] = [{} for _ in halves]
+        caches: dict = {}
         for batch in batches:
-            parts = batch["part"].to_pylist()
-            rows = [document_features(t.decode(), halves[p], caches[p]) for t, p in zip(batch["text"].to_pylist(), parts)]
+            rows = []
+            for text, part in zip(batch["text"].to_pylist(), batch["part"].to_pylist()):
+                text = text.decode()
+                rows.append([
+                    x for k, (_, *outside) in enumerate(choices)
+                    for x in document_features(text, outside[part], caches.setdefault((k, part), {}))
+                ])
             yield pa.record_batch({"doc_id": batch["doc_id"], "x": pa.array(rows, pa.list_(pa.float64())), "y": batch["y"]})
 
     rows = sample.mapInArrow(task, "doc_id bigint, x array<double>, y int").collect()
     rows.sort(key=lambda r: (r.doc_id, r.x))
-    x = np.array([r.x for r in rows]).reshape(len(rows), len(KINDS) + 2)
+    x = np.array([r.x for r in rows]).reshape(len(rows), len(choices), len(KINDS) + 2)
     y = np.array([r.y for r in rows], float)
-    weights, bias = fit_output(x, y)
-    return Model(whole, weights, at_threshold(bias, x @ weights + bias, y, threshold))
+    fits = [fit_output(x[:, k], y) for k in range(len(choices))]
+    if not len(y) or y.min() == y.max():
+        return Model(choices[0][0], *fits[0])
+    cuts = [best_cut(x[:, k] @ w, y) for k, (w, _) in enumerate(fits)]
+    k = max(range(len(choices)), key=lambda k: (round(cuts[k][1], 3), SURE[k]))
+    return Model(choices[k][0], fits[k][0], float(np.log(threshold / (1 - threshold)) - cuts[k][0]))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, rows: int = 500) -> DataFrame:
