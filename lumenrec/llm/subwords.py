@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -30,7 +33,10 @@ class Encoder:
     text, and one with a special token in it, goes to the tokenizer as a whole.
     """
 
-    def __init__(self, name: str = TOKENIZER, keep: int = 300_000) -> None:
+    #: Most frequent words of the first texts, in a small dictionary that stays in the CPU's cache.
+    HOT = 16_000
+
+    def __init__(self, name: str = TOKENIZER, keep: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
@@ -42,6 +48,8 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep = keep
         self.known: dict[str, bytes] = {}
+        self.hot: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -63,35 +71,62 @@ class Encoder:
         bare = word[1:] if word[:1] == "\n" else word
         return bool(bare) and bare.split() == [bare] and not any(s in bare for s in self.special)
 
+    def first(self, word: str) -> bytes:
+        """Ids of a text's first word, which has no blank in front."""
+        found = self.firsts.get(word)
+        if found is None:
+            if len(self.firsts) >= self.HOT:
+                self.firsts.clear()
+            found = self.firsts[word] = self.whole(word)
+        return found
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``kind``."""
-        out: list = []
-        waiting: list[tuple[int, list[str]]] = []
+        split = [text.replace("\n", " \n").split(" ") for text in texts]
+        out: list = [None] * len(split)
+        waiting: list[tuple[int, list[int]]] = []
         fresh: set[str] = set()
-        get = self.known.get
-        for text in texts:
-            first, *words = text.replace("\n", " \n").split(" ")
-            ids = list(map(get, words))
-            if None in ids:
-                missing = {w for w, i in zip(words, ids) if i is None}
-                if not all(w in fresh or self.clean(w) for w in missing):
-                    out.append(self.whole(text))
-                    continue
-                fresh |= missing
-                waiting.append((len(out), words))
-            # no blank stands before the first word, so it is not one of the known words
-            if not (first and self.clean(first) and first[0] != "\n"):
-                if waiting and waiting[-1][0] == len(out):
-                    waiting.pop()
-                out.append(self.whole(text))
+        hot, get = self.hot.get, self.known.get
+        for k, words in enumerate(split):
+            if not self.clean(words[0]) or words[0][0] == "\n":
+                out[k] = self.whole(" ".join(words).replace(" \n", "\n"))
                 continue
-            ids.insert(0, self.whole(first))
-            out.append(ids)
+            ids = list(map(hot, words))
+            cold = [i for i, found in enumerate(ids) if found is None]
+            missing = []
+            for i in cold:
+                found = get(words[i])
+                if found is None:
+                    missing.append(i)
+                else:
+                    ids[i] = found
+            ids[0] = b""
+            missing = [i for i in missing if i]
+            if missing:
+                new = {words[i] for i in missing}
+                if not all(w in fresh or self.clean(w) for w in new):
+                    out[k] = self.whole(" ".join(words).replace(" \n", "\n"))
+                    continue
+                fresh |= new
+                waiting.append((k, missing))
+            ids[0] = self.first(words[0])
+            out[k] = ids
         added = sorted(fresh)
         self.learn(added)
-        for k, words in waiting:
-            out[k] = [out[k][0], *map(get, words)]
+        for k, missing in waiting:
+            ids, words = out[k], split[k]
+            for i in missing:
+                ids[i] = self.known[words[i]]
+        if not self.hot and added:
+            often = Counter(chain.from_iterable(split[k][1:] for k, ids in enumerate(out) if not isinstance(ids, bytes)))
+            self.hot = {w: self.known[w] for w, _ in often.most_common(self.HOT)}
         if len(self.known) > self.keep:
             for w in added[max(0, self.keep - (len(self.known) - len(added))) :]:
                 del self.known[w]
         return [ids if isinstance(ids, bytes) else b"".join(ids) for ids in out]
+
+
+@lru_cache(maxsize=2)
+def encoder(name: str = TOKENIZER) -> Encoder:
+    """The encoder of this process: Python workers that serve several tasks keep what they have learned."""
+    return Encoder(name)

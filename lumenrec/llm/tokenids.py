@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenrec.llm import subwords
 from lumenrec.llm.common import new_scratch, read, width
-from lumenrec.llm.subwords import TOKENIZER, Encoder
+from lumenrec.llm.subwords import TOKENIZER
 
 END_ID = 0
 #: Ids after which a file is closed (at the end of a document).
@@ -182,7 +183,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, file_ids
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer)
+        encoder = subwords.encoder(tokenizer)
         shard, number = TaskContext.get().partitionId(), 0
         end = np.array([END_ID], encoder.kind).tobytes()
         ids, ends, doc_ids, total = [], [], [], 0
