@@ -150,7 +150,7 @@ def in_ranges(docs: DataFrame) -> DataFrame:
         rows.withColumn("p", place("key"))
         .withColumn("x", F.explode(F.when(F.col("p") < 0, F.array(own, before)).otherwise(F.array(own))))
         .select("doc_id", "text", "key", "x.range", "x.after")
-        .repartition(partitions, "range")
+        .repartitionById(ranges, F.col("range").cast("int"))
         .sortWithinPartitions("range", "after", F.col("key").desc(), F.xxhash64("text"), "text")
         .select("doc_id", "text", "range", "after")
     )
