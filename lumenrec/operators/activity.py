@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.operators.lists import fold_chunks
 from lumenrec.operators.reduced import distinct_keys
+from lumenrec.sources.catalog import only_category
 
 
 def ntz(value: str) -> Column:
@@ -34,7 +35,7 @@ def ratings_in_range(scores: DataFrame, start: str, end: str) -> DataFrame:
 
 def active_users(scores: DataFrame, since: str, threshold: float = 0.6, category: str = "all") -> DataFrame:
     """Users with a (user, item) score sum above the threshold since the given time."""
-    rows = scores if category == "all" else scores.where(F.col("category") == category)
+    rows = only_category(scores, category)
     sums = rows.where(F.col("ts") > ntz(since)).groupBy("user_id", "item_id").agg(F.sum("score").alias("_sum"))
     return sums.where(F.col("_sum") > threshold).select("user_id").distinct()
 
@@ -43,7 +44,7 @@ def watched_sets(
     scores: DataFrame, start: str, end: str, category: str = "all", chunk_rows: int = 10000
 ) -> DataFrame:
     """Distinct items each user watched in the range, folded into sorted chunks."""
-    rows = scores if category == "all" else scores.where(F.col("category") == category)
+    rows = only_category(scores, category)
     pairs = (
         rows.where(F.col("ts").between(ntz(start), ntz(end)))
         .where("user_id is not null and item_id is not null")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenrec.functions.ordering import digest_number, shuffle_digest
 from lumenrec.operators.reduced import per_key
+from lumenrec.sources.catalog import only_category
 
 TAKE, RANDOM, TAKE_AND_RANDOM = "take", "random", "take_and_random"
 
@@ -196,6 +197,6 @@ def popularity_top_n(
     scores: DataFrame, item: str, n: int, min_score: float = 0.1, category: str = "all"
 ) -> DataFrame:
     """Items by number of scores above the floor, most first."""
-    rows = scores if category == "all" else scores.where(F.col("category") == category)
+    rows = only_category(scores, category)
     counts = rows.where(F.col("score") > min_score).groupBy(item).agg(F.count(F.lit(1)).alias("cnt"))
     return counts.orderBy(F.col("cnt").desc(), F.col(item)).limit(n)

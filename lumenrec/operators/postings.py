@@ -123,6 +123,21 @@ def posting_lists(postings: DataFrame, entry: Column, chunk_rows: int = 10000) -
     )
 
 
+def unpack_postings(packed: DataFrame, column: str, separator: str = "[|]") -> DataFrame:
+    """Packed lists of another index (``item_highlight_score_risk`` entries) → posting rows.
+
+    ``packed`` has ``search_key``, ``category`` and the text ``column``, in one row or in
+    several per list. An item id may hold the inner separator, the other parts do not.
+    Entries that are not whole are left out.
+    """
+    entry = packed.select("search_key", "category", F.explode(F.split(column, separator)).alias("_entry"))
+    part = lambda k: F.regexp_extract("_entry", "^(.*)_([^_]*)_([^_]+)_([^_]+)$", k)
+    return entry.select(
+        "search_key", "category", part(1).alias("item_id"), part(2).alias("highlight"),
+        part(3).try_cast("double").alias("score"), part(4).try_cast("bigint").alias("risk"),
+    ).where("item_id <> '' and score is not null and risk is not null")
+
+
 def _best_first() -> list[Column]:
     return [F.col("score").desc(), F.col("item_id"), F.col("highlight")]
 

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.operators.lists import fold_list, fold_scored
 
-# Seconds a published entry lives.
-TTL_DEFAULT_VIP = 172800
+# Fixed value: seconds a published list lives.
 TTL_LISTS = 1728000
 
 

@@ -246,6 +246,18 @@ def posting_lists(inp: Inputs) -> DataFrame:
     return lists.select("search_key", "category", "chunk", "n", F.array_join("entries", "|").alias("postings"))
 
 
+@query(
+    "import_packed_postings",
+    """SELECT search_key, category, item_id, highlight, CAST(floor(score * 1000000.0 + 0.5) AS DOUBLE) AS score, risk FROM postings""",
+    **SEARCH,
+)
+def import_packed_postings(inp: Inputs) -> DataFrame:
+    """The whole index packed as text, in chunks of 100 entries, and read back."""
+    entry = F.concat_ws("_", "item_id", "highlight", ppm(F.col("score")).cast("string"), F.col("risk").cast("string"))
+    packed = post.posting_lists(recalled(inp), entry, 100).select("search_key", "category", F.array_join("entries", "|").alias("packed"))
+    return post.unpack_postings(packed, "packed")
+
+
 @query(
     "tiered_top25",
     f"SELECT search_key, category, item_id, highlight, {_PPM} AS score_ppm, risk FROM tiered",

@@ -75,6 +75,11 @@ def test_all_views_in_one_pass(frame, rows):
         assert rows(together.where(F.col("view") == name), "item_id", "pos") == rows(one, "item_id", "pos")
 
 
+def test_packed_lists_are_read_back(frame, rows):
+    df = frame("search_key string, category string, t string", ("k", "c", "a_b_hi_0.5_1|x__0.25_0|broken|y_h_no_1"), ("k", "d", ""))
+    assert rows(post.unpack_postings(df, "t")) == [("k", "c", "a_b", "hi", 0.5, 1), ("k", "c", "x", "", 0.25, 0)]
+
+
 def test_category_named_like_a_head_field(frame):
     doc = post.index_documents(frame("search_key string, category string, content string", ("k", "alg", "1")), "i", "z", "y").first()
     assert doc.source == '{"key":"k","alg":"y","biz":"z","_alg":"1"}'

@@ -125,6 +125,14 @@ def test_documents_of_touched_keys_after_each_trigger(spark, frame, tmp_path):
     assert sent == [{"x": "9_x_s", "y": "1_y_s"}, {"x": "9_x_s", "y": None}]
 
 
+def test_a_message_without_a_time_counts_as_of_now(frame):
+    body = json.dumps({"code": "x", "title": "t", "status": 1})
+    df = frame("key string, value string, topic string", ("k", body, "s"))
+    topics = {messages.PROGRAM: "p", messages.SUBJECT: "s", messages.PERSON: "h"}
+    now = messages.changes(df, topics).select(F.abs(F.unix_timestamp("ts") - F.unix_timestamp(F.current_timestamp())).alias("away"))
+    assert now.first().away < 60
+
+
 def test_all_four_kinds_of_messages(frame):
     def message(kind, **body):
         return ("k", json.dumps({"update_ts": "2024-01-01 00:00:00", "status": 1, **body}), kind)
