@@ -148,8 +148,8 @@ def plain_log10(ids, classes, inner, model):
 def test_windows_score_each_token_once(toy):
     classes, inner, model = toy
     rng = np.random.default_rng(5)
-    texts = [np.append(rng.integers(0, 300, n), 300) for n in (0, 1, 5, 30, 31, 32, 33, 54, 55, 56, 57, 200)]
-    got = language.score_ids(texts, model, classes, inner, batch=3)
+    texts = [np.append(rng.integers(0, 300, n), 300) for n in (0, 1, 5, 22, 23, 24, 25, 40, 41, 42, 43, 200)]
+    got = language.score_stream(np.concatenate(texts), np.array([len(t) for t in texts]), model, classes, inner, batch=3)
     assert got == pytest.approx([plain_log10(t.tolist(), classes, inner, model) for t in texts], rel=1e-4)
 
 
@@ -162,6 +162,20 @@ def test_probabilities_add_up(toy):
     assert np.exp(logs).sum(axis=0) == pytest.approx([1, 1], rel=1e-4)
 
 
+def log_softmax(z):
+    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+
+def test_fast_and_plain_forward_agree(toy):
+    classes, _, model = toy
+    rng = np.random.default_rng(8)
+    rows, targets = rng.integers(0, 300, (6, 9)), rng.integers(0, 12, (6, 9))
+    plain = log_softmax(model.forward(rows)[0])[np.arange(54), targets.ravel()].reshape(6, 9)
+    live = rng.random((6, 9)) < 0.5
+    assert model.log_probs(rows, targets) == pytest.approx(plain, abs=1e-4)
+    assert model.log_probs(rows, targets, live) == pytest.approx(np.where(live, plain, 0), abs=1e-4)
+
+
 def test_gradient(toy):
     classes, _, model = toy
     rng = np.random.default_rng(6)
@@ -180,7 +194,7 @@ def test_gradient(toy):
             a = getattr(exact, n)
             setattr(exact, n, f[at : at + a.size].reshape(a.shape))
             at += a.size
-        return -(exact.log_probs(rows, targets) * weight).sum() / weight.sum()
+        return -(log_softmax(exact.forward(rows)[0])[np.arange(10), targets.ravel()].reshape(2, 5) * weight).sum() / weight.sum()
 
     for k in [*rng.choice(np.flatnonzero(np.abs(grad) > 1e-3), 30), len(flat) - 1]:
         step = np.zeros_like(flat)
