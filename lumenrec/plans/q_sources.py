@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.functions import dates
 from lumenrec.functions.text import base64_text, clean_keep_space, clean_title, has_cjk, ppm, unbase64_text
-from lumenrec.operators import activity, canonical, collections, filters
+from lumenrec.operators import activity, canonical, collections, filters, similar
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
 from lumenrec.session import new_scratch
@@ -118,6 +118,15 @@ def scan_categories(inp: Inputs) -> DataFrame:
 )
 def parse_vector_text(inp: Inputs) -> DataFrame:
     """The vectors are written as ``id,label,v1,…`` lines and read back."""
+    return _vector_lines(inp).select(
+        "item_id",
+        F.size("vector").cast("bigint").alias("dim"),
+        ppm(F.element_at("vector", 1)).alias("first_ppm"),
+        ppm(F.element_at("vector", -1)).alias("last_ppm"),
+    )
+
+
+def _vector_lines(inp: Inputs) -> DataFrame:
     path = new_scratch(inp.spark, "vector-text")
     source = inp.table("embeddings").withColumn("dim", F.size("embedding"))
     line = F.concat_ws(
@@ -127,12 +136,24 @@ def parse_vector_text(inp: Inputs) -> DataFrame:
         F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), ","),
     )
     source.select(line.alias("value")).write.text(path)
-    return vectors.read_vector_text(inp.spark, path, dim=64).select(
-        "item_id",
-        F.size("vector").cast("bigint").alias("dim"),
-        ppm(F.element_at("vector", 1)).alias("first_ppm"),
-        ppm(F.element_at("vector", -1)).alias("last_ppm"),
-    )
+    return vectors.read_vector_text(inp.spark, path, dim=64)
+
+
+@query(
+    "similar_vector_text",
+    """
+    SELECT item_id, other_id, sim_ppm, row_number() OVER (PARTITION BY item_id ORDER BY sim_ppm DESC, other_id) AS pos FROM (
+      SELECT CAST(a.vec_id AS VARCHAR) AS item_id, CAST(b.vec_id AS VARCHAR) AS other_id,
+        CAST(floor(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) * 1000000.0 + 0.5) AS BIGINT) AS sim_ppm
+      FROM valid a JOIN valid b ON a.vec_id <> b.vec_id)
+    QUALIFY pos <= 60""",
+    valid="""SELECT * FROM embeddings WHERE vec_id IN (
+      SELECT item_id FROM items WHERE title IS NOT NULL AND status = 1 AND feature_type = 1)""",
+)
+def similar_vector_text(inp: Inputs) -> DataFrame:
+    """Vector lines → valid items → similarity, with the ids as they stand in the lines."""
+    checklist = catalog.scan(inp.items, ["item_id"], catalog.VALID_ITEM).withColumn("item_id", F.col("item_id").cast("string"))
+    return similar.similar_dense(filters.valid_only(_vector_lines(inp), checklist, "item_id"), 60)
 
 
 @query(
