@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 from functools import lru_cache
 from itertools import chain
 
@@ -74,6 +74,12 @@ class Encoder:
         bare = word[1:] if word[:1] == "\n" else word
         return bool(bare) and bare.split() == [bare] and not any(s in bare for s in self.special)
 
+    def all_clean(self, words: Collection[str]) -> bool:
+        """Whether all words are clean, in one look at all of them (never true if one is not)."""
+        bare = [w[1:] if w[:1] == "\n" else w for w in words]
+        joined = "".join(bare)
+        return all(bare) and joined.split() == [joined] and not any(s in joined for s in self.special)
+
     def first(self, word: str) -> bytes:
         """Ids of a text's first word, which has no blank in front."""
         found = self.firsts.get(word)
@@ -107,14 +113,15 @@ class Encoder:
             missing = [i for i in missing if i]
             if missing:
                 new = {words[i] for i in missing}
-                if not all(w in fresh or self.clean(w) for w in new):
+                new -= fresh
+                if new and not self.all_clean(new) and not all(map(self.clean, new)):
                     out[k] = self.whole(" ".join(words).replace(" \n", "\n"))
                     continue
                 fresh |= new
                 waiting.append((k, missing))
             ids[0] = self.first(words[0])
             out[k] = ids
-        added = sorted(fresh)
+        added = list(fresh)
         self.learn(added)
         for k, missing in waiting:
             ids, words = out[k], split[k]
