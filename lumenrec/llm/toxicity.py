@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -152,23 +152,38 @@ def clauses(tokens: list[str]) -> Iterator[list[str]]:
         yield tokens[start:]
 
 
-def attack(tags: list[tuple[str, float]]) -> dict[str, float]:
-    """Weight of each kind of attack in a clause: the weights of different words add up along the path.
-    A plain insult that a later target aims at counts as aimed with its own weight."""
-    state, last = 0, 0.0
+def attack(tags: list[tuple[str, float]], tokens: Sequence | None = None) -> dict[str, float]:
+    """Weight of each kind of attack in a clause: the machine reads every token, and the weights of
+    different words add up along the path. A word of ``tokens`` (default: all differ) counts once for each
+    kind, a threat by the word that opened it, however often it comes. A plain insult that a later target
+    aims at counts as aimed with its own weight."""
+    state, plain, threat = 0, (None, 0.0), None
+    counted = set()
     out: dict[str, float] = {}
-    for tag, weight in tags:
-        state, wrote = GRAMMAR.step(state, tag)
-        if tag == INSULT:
-            last = weight
-        if wrote in KINDS:
-            out[wrote] = out.get(wrote, 0.0) + (1.0 if wrote == "threat" else last)
+    for token, (tag, weight) in zip(range(len(tags)) if tokens is None else tokens, tags):
+        before = state
+        state, wrote = GRAMMAR.step(before, tag)
+        if tag == THREAT and state != GRAMMAR.step(before, OTHER)[0]:
+            threat = token  # neither negated nor reported, and no other threat waits for its target
+        if wrote not in KINDS:
+            continue
+        if wrote == "threat":
+            word, weight = threat, 1.0
+        elif tag == INSULT:
+            word = token
+            if wrote == "plain":
+                plain = token, weight
+        else:
+            word, weight = plain
+        if (wrote, word) not in counted:
+            counted.add((wrote, word))
+            out[wrote] = out.get(wrote, 0.0) + weight
     return out
 
 
 def document_features(text: str, lexicon: Lexicon, cache: dict[str, tuple[str, float]]) -> list[float]:
     """For each kind the weight of the document's worst clause; log(1 + x) of the attacking clauses'
-    number and of their weights' sum. A word repeated in its clause counts once."""
+    number and of their weights' sum."""
     tokens = text.lower().split()
     if len(cache) > CACHE:
         cache.clear()
@@ -178,7 +193,10 @@ def document_features(text: str, lexicon: Lexicon, cache: dict[str, tuple[str, f
     worst, n, total = dict.fromkeys(KINDS, 0.0), 0, 0.0
     if any(cache[t][0] in (INSULT, THREAT) for t in distinct):
         for clause in clauses(tokens):
-            found = attack([cache[t] for t in dict.fromkeys(clause)])
+            tags = [cache[t] for t in clause]
+            if not any(tag in (INSULT, THREAT) for tag, _ in tags):
+                continue  # the machine writes no attack
+            found = attack(tags, clause)
             n += bool(found)
             total += max(found.values(), default=0.0)
             for kind, weight in found.items():

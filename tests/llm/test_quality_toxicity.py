@@ -144,3 +144,19 @@ def test_words_alone_do_not_cross_clauses():
     at = toxicity.KINDS.index("aimed")
     assert one[at] == 0.0 and two[at] == 2.0
     assert toxicity.document_features("", LEXICON, {}) == [0.0] * (len(toxicity.KINDS) + 2)
+
+
+@pytest.mark.parametrize(
+    "clause, want",
+    [
+        ("if you talk i will kill you tonight", {"threat": 1.0}),  # the target comes a second time
+        ("it is not late and you are not an idiot", {"negated": 2.0}),  # the negation does
+        ("he said it was late and the idiot is what he said", {"reported": 2.0}),
+        ("you are not an idiot but today you are an idiot", {"negated": 2.0, "aimed": 2.0}),
+        ("you idiot idiot idiot", {"aimed": 2.0}), ("i will kill you and kill you and stab you", {"threat": 2.0}),
+        ("kill and not hurt you and kill him", {"threat": 1.0}), ("idiot and not scum you see", {"plain": 2.0, "negated": 1.5, "aimed": 2.0}),
+    ],
+)
+def test_a_clause_is_read_whole_and_a_word_counts_once(clause, want):
+    found = toxicity.document_features(clause, LEXICON, {})
+    assert dict(zip(toxicity.KINDS, found)) == {k: want.get(k, 0.0) for k in toxicity.KINDS}
