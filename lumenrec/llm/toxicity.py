@@ -218,13 +218,13 @@ class Model:
 
 
 def arcs_of(text: str) -> Iterator[tuple[str, str]]:
-    """(arc, word) of every distinct word of a text: the word itself (marked) and its beginnings."""
+    """(arc, word) of every distinct word of a text: the word itself (marked), however short, and its
+    beginnings."""
     for word in set(_WORD.findall(text.lower())):
-        if len(word) >= PREFIXES[0]:
-            yield "=" + word, word
-            for n in PREFIXES:
-                if len(word) > n:
-                    yield word[:n], word
+        yield "=" + word, word
+        for n in PREFIXES:
+            if len(word) > n:
+                yield word[:n], word
 
 
 #: Standard errors that an arc's log odds have to exceed zero by: the choice that labels decide between.

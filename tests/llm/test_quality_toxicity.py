@@ -160,3 +160,14 @@ def test_words_alone_do_not_cross_clauses():
 def test_a_clause_is_read_whole_and_a_word_counts_once(clause, want):
     found = toxicity.document_features(clause, LEXICON, {})
     assert dict(zip(toxicity.KINDS, found)) == {k: want.get(k, 0.0) for k in toxicity.KINDS}
+
+
+def test_short_insults_are_learned(docs, labels):
+    assert {a for a, _ in toxicity.arcs_of("oaf 阿呆 abcde")} == {"=oaf", "=阿呆", "=abcde", "abcd"}
+    bad = [(i, f"the {w} of number {i} is here") for i in range(240) for w in [("oaf", "阿呆")[i % 2]]]
+    good = [(1000 + i, f"the day of number {i} is here") for i in range(240)]
+    table = docs(*bad, *good)
+    model = toxicity.fit(table, labels(*((i, 0, 1) for i, _ in bad), *((i, 1, 0) for i, _ in good)))
+    assert set(model.lexicon.words) == {"oaf", "阿呆"}
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs((1, "what an oaf"), (2, "阿呆 !"), (3, "the day is here")), model).collect()}
+    assert got == {1: 1, 2: 1, 3: 0}
