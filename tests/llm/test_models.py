@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -202,6 +203,38 @@ def test_gradient(toy):
         assert grad[k] == pytest.approx((loss(flat + step) - loss(flat - step)) / 2e-5, rel=2e-2, abs=2e-4)
 
 
+def test_every_id_of_every_document_is_a_target(docs):
+    texts = ["one two three", "", "alpha beta gamma delta " * 20_000, "日本語の長い文" * 400, "x" * 5000 + " y"]
+    encoder = language.subwords.encoder()
+    want = sorted([*(i for ids in language.encode_words(encoder, language.words_of(t.encode())) for i in np.frombuffer(ids, encoder.kind).tolist()), encoder.size] for t in texts)
+    rows = language.training_ids(language.text_rows(docs(*enumerate(texts))).select("text"), language.TOKENIZER).collect()
+    found, windows = [], 0
+    for r in rows:  # parts of a document come in a row
+        part = language.cut(r.first, np.frombuffer(r.ids, encoder.kind))
+        assert part.shape[1] == language.WINDOW + 1 and (part[0, 0] == -1) == r.first
+        windows += len(part)
+        if r.first:
+            found.append([])
+        else:
+            assert part[0, 0] == found[-1][-1]
+        found[-1] += [i for line in part.tolist() for i in line[1:] if i != -2]
+    assert sorted(found) == want and len(rows) > len(texts)
+    batch = pa.record_batch({"first": [r.first for r in rows], "ids": pa.array([bytes(r.ids) for r in rows], pa.binary())})
+    assert sum(map(len, language.buffers(iter([batch]), encoder.kind))) == windows
+
+
+def test_each_round_holds_other_windows_back(toy):
+    classes, _, model = toy
+    windows = np.random.default_rng(2).integers(0, 300, (24, language.WINDOW + 1)).astype(np.int32)
+    import unittest.mock as mock
+
+    seen = []
+    with mock.patch.object(language, "loss", lambda model, kept, classes: seen.append(kept) or 0.0):
+        for r in range(3):
+            language.descend(model, windows, classes, 1, 0.01, 0, held=r)
+    assert [s.tolist() for s in seen[::2]] == [windows[r::8].tolist() for r in range(3)]
+
+
 def test_language_edge_cases(hard, docs):
     rows = language.score(hard).collect()
     assert len(rows) == 13
