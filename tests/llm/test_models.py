@@ -154,6 +154,14 @@ def test_windows_score_each_token_once(toy):
     assert got == pytest.approx([plain_log10(t.tolist(), classes, inner, model) for t in texts], rel=1e-4)
 
 
+def test_tokens_have_enough_context():
+    n = np.array([1, 31, 32, 33, 200, 1000])
+    doc, start, scored = language.windows_of(n)
+    assert language.WINDOW >= 32 and all(seen >= 8 for seen, at in zip(scored, start) if at)
+    last = np.minimum(start + language.WINDOW, n[doc])
+    assert np.bincount(doc, last - start - scored).tolist() == n.tolist()
+
+
 def test_probabilities_add_up(toy):
     classes, inner, model = toy
     table = 10 ** inner.reshape(40, 301).astype(float)
