@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenrec.llm import simhash
 from lumenrec.llm.common import materialize, read
 
 CAPACITY = 2048
@@ -94,7 +95,8 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, n_tokens, bin_id, start.
 
-    ``length`` defaults to words and an end mark, ``cluster`` to a hash of the text (exact copies).
+    ``length`` defaults to words and an end mark, so ``capacity`` is in words; ``cluster`` to the
+    document's SimHash group (near copies, and texts linked by them).
     A document longer than ``capacity`` is cut into full pieces and a rest; full pieces fill a bin each.
     Null texts have length 1, a null source is a source, a null doc_id stays null. Repeated rows are
     documents of one cluster. An empty table gives an empty result. Other columns are ignored.
@@ -103,11 +105,13 @@ def pack(
     hash of their own, so neither a hot source nor a hot cluster gathers in a task; each shard of about
     ``shard`` pieces is packed by itself, which costs at most the last bins of each shard.
     """
-    measured = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        (cluster if cluster is not None else F.xxhash64(F.coalesce("text", F.lit("")))).alias("cluster"),
-        (length if length is not None else n_words()).alias("n"),
-    )
+    source, n = F.col("source").cast("string"), length if length is not None else n_words()
+    if cluster is not None:
+        measured = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), source.alias("source"), cluster.alias("cluster"), n.alias("n"))
+    else:
+        prints = materialize(simhash.fingerprints(docs, extra={"source": source, "n": n}), "measured")
+        labelled = materialize(simhash.with_labels(prints.select("fp").distinct()), "clusters").withColumnRenamed("fp", "code")
+        measured = prints.join(labelled, F.col("fp") == F.col("code"), "left").select("doc_id", "source", F.col("label").alias("cluster"), "n")
     pieces = materialize(
         measured.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / capacity) - 1, F.lit(0)))))
         .select(

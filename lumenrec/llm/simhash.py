@@ -9,8 +9,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lumenrec.llm.common import fresh, materialize, read, stream_groups, text_rows, width
 from lumenrec.llm.components import components
@@ -29,15 +30,18 @@ def fingerprint(text: bytes, words: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * votes.astype(np.int64) > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp bigint): one row per document, in one pass without a shuffle."""
+def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, fp bigint, ``extra`` columns): one row per document, in one pass without a shuffle."""
+    rows = text_rows(docs, *(c.alias(name) for name, c in (extra or {}).items()), id_col=id_col, text_col=text_col)
+    fields = [rows.schema["doc_id"], *rows.schema.fields[2:]]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = np.array([fingerprint(t.as_py(), words) for t in batch["text"]], np.uint64)
-            yield pa.record_batch([batch["doc_id"], pa.array(codes.view(np.int64))], names=["doc_id", "fp"])
+            columns, names = [batch["doc_id"], *batch.columns[2:]], [f.name for f in fields]
+            yield pa.record_batch([*columns, pa.array(codes.view(np.int64))], names=[*names, "fp"])
 
-    return text_rows(docs, id_col=id_col, text_col=text_col).mapInArrow(task, "doc_id bigint, fp bigint")
+    return rows.mapInArrow(task, StructType([*fields, StructField("fp", LongType())]))
 
 
 class BKTree:
@@ -170,6 +174,12 @@ def near_links(codes: DataFrame, radius: int = 2, blocks: int = 4, shard: int =
     )
 
 
+def with_labels(codes: DataFrame, radius: int = 2) -> DataFrame:
+    """Distinct ``fp`` codes and their other columns, with the ``label`` that linked codes share."""
+    labels = components(near_links(codes.select("fp"), radius))
+    return codes.join(labels, codes.fp == labels.node, "left").select(*codes.columns, F.coalesce("label", "fp").alias("label"))
+
+
 def near_groups(
     docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -185,11 +195,7 @@ def near_groups(
     """
     prints = materialize(fingerprints(docs, words, id_col, text_col), "simhash")
     codes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "codes")
-    labels = components(near_links(codes.select("fp"), radius))
-    labelled = codes.join(labels, codes.fp == labels.node, "left").select(
-        "fp", "first_id", F.coalesce("label", "fp").alias("label")
-    )
-    labelled = materialize(labelled, "labelled_codes")
+    labelled = materialize(with_labels(codes, radius), "labelled_codes")
     firsts = materialize(labelled.groupBy("label").agg(F.min("first_id").alias("component_id")), "firsts")
     named = materialize(
         labelled.join(firsts, "label").select(F.col("fp").alias("code"), "component_id"), "components"

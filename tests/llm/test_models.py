@@ -311,6 +311,23 @@ def test_packing_shards_and_edge_cases(hard, docs):
     assert packing.pack(docs()).count() == 0
 
 
+def test_near_copies_do_not_share_a_bin(spark, docs):
+    base = [f"w{k}" for k in range(300)]
+    near = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in range(100, 106)]
+    codes = {slow_print(t) for t in near}
+    group = slow_groups(list(enumerate(slow_print(t) for t in near)))
+    assert len(set(near)) == 6 and len(codes) > 1 and len(set(group.values())) < 6
+    table = docs(*enumerate(near), (None, near[0]), (None, "short one"), (None, "another"), (6, None))
+    table = table.selectExpr("doc_id", "text", "concat('s', monotonically_increasing_id()) as source")
+    rows = packing.pack(table).collect()
+    bins = {}
+    for r in rows:
+        if r.doc_id is not None and r.doc_id < 6:
+            bins.setdefault(r.bin_id, []).append(group[r.doc_id])
+    assert len(rows) == 10 and all(len(set(b)) == len(b) for b in bins.values())
+    assert max(Counter(r.bin_id for r in rows).values()) > 1
+
+
 # ---------------------------------------------------------------- pipeline
 
 
