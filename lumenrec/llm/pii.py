@@ -335,6 +335,19 @@ def valid(kind: str, text: str) -> bool:
     return 7 <= len(number) <= 15 and bool(re.fullmatch(r"\+?[(0-9][\x20().0-9-]*[0-9]", text)) and any(c in "( -" for c in text)
 
 
+def decode_batches(order: list[int], size: list[int], most: int = 512, cells: int = 500_000) -> Iterator[list[int]]:
+    """``order`` (by rising size) in batches of at most ``most`` sequences and ``cells`` tokens, padding
+    included; a longer sequence is a batch of its own."""
+    part: list[int] = []
+    for i in order:
+        if part and (len(part) == most or (len(part) + 1) * size[i] > cells):
+            yield part
+            part = []
+        part.append(i)
+    if part:
+        yield part
+
+
 def find_spans(texts: list[str], crf: Crf) -> list[tuple[list[Span], list[Span]]]:
     """For each text the exact spans and the spans the model adds (those that touch no exact one)."""
     out = [(base_spans(t), []) for t in texts]
@@ -345,8 +358,7 @@ def find_spans(texts: list[str], crf: Crf) -> list[tuple[list[Span], list[Span]]
         sequences += found
     # similar lengths together, so that little of a batch is padding
     order = sorted(range(len(sequences)), key=lambda i: len(sequences[i].rows))
-    for start in range(0, len(order), 512):
-        part = order[start : start + 512]
+    for part in decode_batches(order, [len(s.rows) for s in sequences]):
         for i, tags in zip(part, crf.decode([sequences[j] for j in part])):
             base, added = out[owners[i]]
             text, s = texts[owners[i]], sequences[i]

@@ -134,3 +134,21 @@ def test_redact(hard, docs):
     masked = pii.redact(docs((1, "mail a@b.c now"), (2, None))).select("doc_id", "text", "n_chars").collect()
     assert sorted(map(tuple, masked)) == [(1, "mail <EMAIL> now", 16), (2, None, None)]
     assert pii.mask("0123456789", [("ip", 2, 5), ("card", 4, 8)]) == "01<IP>89"
+
+
+def test_batches_are_bounded_in_tokens(crf):
+    size = sorted([3] * 1200 + [400_000, 600_000, 1_000_000] + [2000] * 600)
+    batches = list(pii.decode_batches(list(range(len(size))), size))
+    assert [i for b in batches for i in b] == list(range(len(size)))
+    assert all(len(b) == 1 or len(b) <= 512 and len(b) * size[b[-1]] <= 500_000 for b in batches)
+    asked = []
+
+    class Watched(pii.Crf):
+        def decode(self, sequences):
+            asked.append(len(sequences) * max(len(s.rows) for s in sequences))
+            return super().decode(sequences)
+
+    table = "12 34 5.6 " * 1500
+    texts = [table] * 120 + ["call (404) 555-8812 now"]
+    found = pii.find_spans(texts, Watched(crf.number, crf.emit, crf.step))
+    assert max(asked) <= 500_000 and found == [pii.find_spans([t], crf)[0] for t in texts]
