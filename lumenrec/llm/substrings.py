@@ -1,12 +1,9 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against indexed reference blocks.
-
-The text of all documents, in order of doc_id, is its own reference. Each document is parsed greedily
-into factors that occur earlier; factors of at least ``WINDOW`` words are duplicates. The reference is
-cut into blocks by content: a window of 20 words belongs to the block of its *anchor*, the smallest
-hash among its runs of 10 words, so equal windows meet in one block wherever they stand. A block
-indexes its windows by hash with the first place of each; parsing a document against a block extends a
-factor window by window, and each window at a factor's boundary is looked up by itself, so a duplicate
-that no single factor holds is found too.
+"""Substring deduplication by hashes of word windows, compared in blocks of content.
+
+In the order of doc_id, each window of ``WINDOW`` words that occurs earlier is a duplicate; neighbours
+merge to spans. There is no greedy Lempel-Ziv parse: its factors would depend on where blocks end. A
+window belongs to the block of its *anchor*, the smallest hash among its runs of 10 words, so equal
+windows meet in one block wherever they stand. Windows are equal if one 64-bit hash is.
 """
 
 from __future__ import annotations
@@ -118,7 +115,7 @@ _SCHEMA = pa.schema(
 
 
 def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks: int) -> pa.RecordBatch:
-    """Parse a chunk's documents against each other; deal what is first in the chunk to the blocks.
+    """Compare a chunk's windows with each other; deal what is first in the chunk to the blocks.
 
     The rows are spans already found (block, doc_id, part, spans), and for each block the windows that
     no earlier place in the chunk has, as runs: anchor, document, place, number of windows, and 48
@@ -185,7 +182,7 @@ def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks:
 
 
 def parse_block(table: pa.Table) -> pa.Table:
-    """Index one reference block and parse the windows of all documents in it against the index."""
+    """Find the windows of one block that have an equal one earlier; neighbours merge to spans."""
     passed = table.filter(pc.is_valid(table["spans"])).select(["doc_id", "part", "spans"])
     dealt = table.filter(pc.is_valid(table["anchors"]))
     if not dealt.num_rows:
@@ -207,7 +204,7 @@ def parse_block(table: pa.Table) -> pa.Table:
     inner = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
     _, rank = np.unique(ids, return_inverse=True)
     order = (rank[run] << 32) + place[run] + inner
-    # anchor and window hash together: 112 bits, folded to 64 within a block
+    # 64 bits of anchor and window hash together
     hit = np.flatnonzero(later(mix(anchor[run] + window * _WORD_BASE), order))
     if not len(hit):
         return passed
@@ -325,8 +322,8 @@ def deduplicate(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     are one document and come out alike; other texts under one id are places of the same document, told
     apart by their hash. A null id comes last. An empty table gives an empty result.
 
-    Windows are compared by 112 bits of hash. ``blocks`` (default: four a shuffle partition) bounds what
-    a task holds: one block's windows.
+    Windows are compared by 64 bits of hash. ``blocks`` (default: four a shuffle partition) deals anchors,
+    and a task holds one block's windows; those of a single anchor are not split.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
