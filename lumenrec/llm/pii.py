@@ -25,6 +25,13 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+# What a whole decoded span of each kind has to look like; ASCII only, like the exact patterns.
+_WHOLE = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+" + _DOMAIN.pattern),
+    "ip": re.compile(r"[0-9]+(?:\.[0-9]+){3}"),
+    "card": re.compile(r"[0-9](?:[\x20.-]?[0-9])+"),
+    "phone": re.compile(r"\+?[(0-9][\x20().0-9-]*[0-9]"),
+}
 
 
 def digits(text: str) -> str:
@@ -43,8 +50,10 @@ def luhn(number: str) -> bool:
 
 
 def is_ip(text: str) -> bool:
-    parts = text.split(".")
-    return len(parts) == 4 and all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in parts)
+    """Four runs of ASCII digits between dots, each at most 255."""
+    if not _WHOLE["ip"].fullmatch(text):
+        return False
+    return all(len(p) <= 3 and int(p or 0) <= 255 for p in (part.lstrip("0") for part in text.split(".")))
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -324,15 +333,14 @@ def train(lines: list[tuple[str, list[Span]]], rounds: int = 300, rate: float =
 
 
 def valid(kind: str, text: str) -> bool:
-    """The checks that a decoded span has to pass, the same as for the exact patterns where they apply."""
-    number = digits(text)
+    """The checks that a decoded span has to pass: its kind's whole pattern, and those of the exact patterns."""
+    if not _WHOLE[kind].fullmatch(text):
+        return False
     if kind == "card":
-        return luhn(number)
+        return luhn(digits(text))
     if kind == "ip":
         return is_ip(text)
-    if kind == "email":
-        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+" + _DOMAIN.pattern, text))
-    return 7 <= len(number) <= 15 and bool(re.fullmatch(r"\+?[(0-9][\x20().0-9-]*[0-9]", text)) and any(c in "( -" for c in text)
+    return kind == "email" or (7 <= len(digits(text)) <= 15 and any(c in "( -" for c in text))
 
 
 def decode_batches(order: list[int], size: list[int], most: int = 512, cells: int = 500_000) -> Iterator[list[int]]:

@@ -3,7 +3,8 @@
 In the order of doc_id, each window of ``WINDOW`` words that occurs earlier is a duplicate; neighbours
 merge to spans. There is no greedy Lempel-Ziv parse: its factors would depend on where blocks end. A
 window belongs to the block of its *anchor*, the smallest hash among its runs of 10 words, so equal
-windows meet in one block wherever they stand. Windows are equal if one 64-bit hash is.
+windows meet in one block wherever they stand. Windows are equal if their anchor (64 bits) and their own
+hash (64 bits in a chunk, 48 in a block) are; a word's hash has 64 bits.
 """
 
 from __future__ import annotations
@@ -38,10 +39,11 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return starts, np.zeros(0, np.uint64)
     size = np.diff(np.append(starts, len(data)))
-    powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full(int(size.max()), _BASE))])
+    # a random odd factor for each place: powers of a base, modulo 2^64, would collide on long letter runs
+    factors = mix(np.arange(1, int(size.max()) + 2, dtype=np.uint64) * _BASE) | np.uint64(1)
     tail = data[starts[0] :]
     place = np.arange(len(tail), dtype=np.int32) - np.repeat((starts - starts[0]).astype(np.int32), size)
-    values = _BYTE[tail] * powers[place]
+    values = _BYTE[tail] * factors[place]
     values[space[starts[0] :]] = 0
     return starts, mix(np.add.reduceat(values, starts - starts[0]))
 
@@ -95,13 +97,17 @@ def spans_of(marks: np.ndarray, extra: int) -> tuple[np.ndarray, np.ndarray]:
     return marks[starts], np.diff(np.append(starts, len(marks))) + extra
 
 
-def later(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Index lookup: whether an equal key has a smaller ``order``."""
+def later(keys: np.ndarray, more: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Index lookup: whether an equal key (both parts of it) has a smaller ``order``."""
     if not len(keys):
         return np.zeros(0, bool)
     by = np.argsort(keys)
-    sorted_keys = keys[by]
-    starts = np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1]))
+    k, m = keys[by], more[by]
+    # equal first parts stand together; only where their second parts differ are they sorted again
+    if np.any((k[1:] == k[:-1]) & (m[1:] != m[:-1])):
+        by = np.lexsort((more, keys))
+        k, m = keys[by], more[by]
+    starts = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (m[1:] != m[:-1])))
     first = np.minimum.reduceat(order[by], starts)
     out = np.empty(len(keys), bool)
     out[by] = order[by] > np.repeat(first, np.diff(np.append(starts, len(keys))))
@@ -109,7 +115,7 @@ def later(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 _SCHEMA = pa.schema(
-    [("block", pa.int32()), ("doc_id", pa.int64()), ("part", pa.int32()), ("spans", pa.binary()),
+    [("block", pa.int32()), ("doc_id", pa.int64()), ("part", pa.int64()), ("spans", pa.binary()),
      *((c, pa.binary()) for c in ("anchors", "docs", "parts", "places", "counts", "windows"))]
 )
 
@@ -141,7 +147,7 @@ def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks:
     at, window, anchor, doc = at[unique], window[unique], anchor[unique], doc[unique]
     place = at - first_word[doc]
     rank = np.cumsum(np.append(0, ids[1:] != ids[:-1]))  # equal ids are one document for the order
-    found = later(window, (rank[doc] << 32) + place)
+    found = later(window, anchor, (rank[doc] << 32) + place)
 
     rows: dict[str, list] = {c: [] for c in _SCHEMA.names}
 
@@ -175,7 +181,7 @@ def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks:
             emit(
                 block=int(block), anchors=anchor[head].tobytes(),
                 docs=planes(np.diff(ids[d].view(np.uint64), prepend=np.uint64(0))),
-                parts=parts[d].astype("<u2").tobytes(), places=planes(place[head].astype("<u4")),
+                parts=parts[d].tobytes(), places=planes(place[head].astype("<u4")),
                 counts=planes(many.astype("<u4")), windows=low[each].tobytes(),
             )
     return pa.RecordBatch.from_pydict(rows, _SCHEMA)
@@ -193,7 +199,7 @@ def parse_block(table: pa.Table) -> pa.Table:
 
     anchor = joined("anchors", lambda b: np.frombuffer(b, np.uint64))
     ids = joined("docs", lambda b: np.cumsum(unplanes(b, "<u8")).view(np.int64))
-    part = joined("parts", lambda b: np.frombuffer(b, "<u2"))
+    part = joined("parts", lambda b: np.frombuffer(b, "<i8"))
     place = joined("places", lambda b: unplanes(b, "<u4")).astype(np.int64)
     many = joined("counts", lambda b: unplanes(b, "<u4")).astype(np.int64)
     low = np.frombuffer(b"".join(dealt["windows"].to_pylist()), np.uint8).reshape(-1, 6)
@@ -204,8 +210,8 @@ def parse_block(table: pa.Table) -> pa.Table:
     inner = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
     _, rank = np.unique(ids, return_inverse=True)
     order = (rank[run] << 32) + place[run] + inner
-    # 64 bits of anchor and window hash together
-    hit = np.flatnonzero(later(mix(anchor[run] + window * _WORD_BASE), order))
+    # 64 bits of the anchor and 48 of the window
+    hit = np.flatnonzero(later(window, anchor[run], order))
     if not len(hit):
         return passed
     by = np.lexsort((order[hit], part[run[hit]]))
@@ -219,7 +225,7 @@ def parse_block(table: pa.Table) -> pa.Table:
     cuts = np.flatnonzero(new_doc[starts])
     docs = starts[cuts]
     spans = [pairs[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(pairs)])]
-    found = pa.table({"doc_id": pa.array(ids[r[docs]]), "part": pa.array(part[r[docs]].astype(np.int32)), "spans": pa.array(spans, pa.binary())})
+    found = pa.table({"doc_id": pa.array(ids[r[docs]]), "part": pa.array(part[r[docs]]), "spans": pa.array(spans, pa.binary())})
     return pa.concat_tables([passed, found])
 
 
@@ -267,14 +273,14 @@ def duplicate_spans(rows: DataFrame, blocks: int) -> DataFrame:
                 texts.append(text)
                 size += len(text) + 1
                 if size >= CHUNK:
-                    yield parse_chunk(np.array(ids, np.int64), np.array(parts), texts, blocks)
+                    yield parse_chunk(np.array(ids, np.int64), np.array(parts, np.int64), texts, blocks)
                     ids, parts, texts, size = [], [], [], 0
         if texts:
-            yield parse_chunk(np.array(ids, np.int64), np.array(parts), texts, blocks)
+            yield parse_chunk(np.array(ids, np.int64), np.array(parts, np.int64), texts, blocks)
 
     dealt = rows.mapInArrow(
         chunks,
-        "block int, doc_id bigint, part int, spans binary, anchors binary, docs binary, parts binary, "
+        "block int, doc_id bigint, part bigint, spans binary, anchors binary, docs binary, parts binary, "
         "places binary, counts binary, windows binary",
     )
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +294,7 @@ def duplicate_spans(rows: DataFrame, blocks: int) -> DataFrame:
         .mapInArrow(parse, _PACKED)
         .repartition(partitions, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(lambda batches: stream_groups(batches, ["bucket"], unpack_found), "doc_id bigint, part int, spans binary")
+        .mapInArrow(lambda batches: stream_groups(batches, ["bucket"], unpack_found), "doc_id bigint, part bigint, spans binary")
     )
 
 
@@ -306,7 +312,7 @@ def kept_words(words: list[bytes], spans: bytes | None) -> list[bytes]:
 
 
 def _with_spans(docs: DataFrame, blocks: int | None) -> DataFrame:
-    rows = text_rows(docs).withColumn("part", F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int"))
+    rows = text_rows(docs).withColumn("part", F.xxhash64("text"))
     last = F.lit(int(np.iinfo(np.int64).max))
     found = duplicate_spans(rows, blocks or 4 * width(docs)).withColumnsRenamed({"doc_id": "key", "part": "key_part"})
     return rows.join(
@@ -322,7 +328,7 @@ def deduplicate(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     are one document and come out alike; other texts under one id are places of the same document, told
     apart by their hash. A null id comes last. An empty table gives an empty result.
 
-    Windows are compared by 64 bits of hash. ``blocks`` (default: four a shuffle partition) deals anchors,
+    Windows are compared by 112 bits or more of hashes. ``blocks`` (default: four a shuffle partition) deals anchors,
     and a task holds one block's windows; those of a single anchor are not split.
     """
 

@@ -231,3 +231,12 @@ def test_token_query_over_the_whole_table(spark, encoder):
         ids = encoder.tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [0]
         assert got[r["doc_id"]] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_long_words_that_differ_keep_their_documents(docs):
+    """Two words of 1,024 letters, one the other's complement: polynomials modulo 2^64 cannot tell them apart."""
+    first = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    rest = " ".join(f"w{k}" for k in range(19))
+    other = first.translate(str.maketrans("ab", "ba"))
+    rows = substrings.deduplicate(docs((1, f"{first} {rest}"), (2, f"{other} {rest}"), (3, f"{first} {rest}"))).collect()
+    assert {r.doc_id: r.n_removed for r in rows} == {1: 0, 2: 0, 3: 20}

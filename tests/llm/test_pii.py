@@ -152,3 +152,37 @@ def test_batches_are_bounded_in_tokens(crf):
     texts = [table] * 120 + ["call (404) 555-8812 now"]
     found = pii.find_spans(texts, Watched(crf.number, crf.emit, crf.step))
     assert max(asked) <= 500_000 and found == [pii.find_spans([t], crf)[0] for t in texts]
+
+
+WHOLE = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"([0-9]+\.){3}[0-9]+"),
+    "card": re.compile(r"[0-9][0-9 .-]*[0-9]"),
+    "phone": re.compile(r"[+(0-9][0-9().\x20-]*[0-9]"),
+}
+MODEL = pii.model()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from(pii.KINDS), st.text(alphabet="a.@+-_ ()0123456789é²٣Ç\n", max_size=24))
+def test_valid_takes_any_text(kind, text):
+    if pii.valid(kind, text):
+        assert WHOLE[kind].fullmatch(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from(["ping ", "host ", "card ", "Call ", ""]), st.text(alphabet="a.@+-_ ()0123456789é²٣Ç\n", max_size=60))
+def test_decoded_spans_have_their_kinds_pattern(before, text):
+    text = before + text
+    base, added = pii.find_spans([text], MODEL)[0]
+    assert base == plain_spans(text)
+    for kind, a, b in added:
+        assert WHOLE[kind].fullmatch(text[a:b])
+
+
+def test_numbers_that_are_no_addresses():
+    for text in ("...", " 1.2.3.4", "1_0.2.3.4", "٣.1.1.1", "8.8.4.Ç", "192.168.0.²", "1.2.3", "1.2.3.4.5", "256.1.1.1", "1.1.1.\n"):
+        assert not pii.valid("ip", text)
+    assert pii.valid("ip", "008.8.4.255")
+    for text in ("ping 8.8.4.Ç twice", "host 192.168.0.² was down"):
+        assert pii.find_spans([text], MODEL) == [([], [])]
