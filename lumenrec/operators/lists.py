@@ -41,7 +41,7 @@ def shuffled_positions(df: DataFrame, key: str, item: str, seed: int = 7, pos: s
     rest = [c for c in df.columns if c != key]
     entry = F.struct(digest.alias("_digest"), F.col(item).alias("_item"), F.struct(*rest).alias("_row"))
     slices = rows.groupBy(key, F.substring(digest, 1, digits).alias("_slice")).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
-    return _numbered(slices, key, [F.col("_slice")], pos).select(
+    return _numbered(slices, key, ["_slice"], [F.col("_slice")], pos).select(
         *[F.col(key) if c == key else F.col(f"_entry._row.{c}").alias(c) for c in df.columns], pos
     )
 
@@ -58,16 +58,25 @@ def ordered_positions(df: DataFrame, key: str, item: str, value: str, pos: str =
     span = F.floor(F.col(item) / width) if whole else F.lit(0)
     entry = F.struct(F.col(item).alias("_item"))
     slices = rows.groupBy(key, F.col(value).alias("_value"), span.alias("_span")).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
-    return _numbered(slices, key, [F.col("_value").desc(), F.col("_span")], pos).select(key, F.col("_entry._item").alias(item), pos)
+    return _numbered(slices, key, ["_value", "_span"], [F.col("_value").desc(), F.col("_span")], pos).select(key, F.col("_entry._item").alias(item), pos)
 
 
-def _numbered(slices: DataFrame, key: str, order: Sequence[Column], pos: str) -> DataFrame:
-    """Rows of ordered slices with their position in the key's list."""
-    before = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = slices.withColumn("_before", F.coalesce(F.sum(F.size("_rows")).over(before), F.lit(0)))
-    return placed.select(key, "_before", F.posexplode("_rows").alias("_at", "_entry")).withColumn(
-        pos, (F.col("_before") + F.col("_at") + 1).cast("bigint")
+def _numbered(slices: DataFrame, key: str, parts: Sequence[str], order: Sequence[Column], pos: str) -> DataFrame:
+    """Rows of ordered slices (``key``, ``parts``, ``_rows``) with their position in the key's list.
+
+    Only the slices' sizes meet at their key; the rows stay where their slice was folded and get the offset by
+    a join on key and slice.
+    """
+    before = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = slices.select(F.col(key).alias("_key"), *parts, F.size("_rows").alias("_n"))
+    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select(
+        "_key", "_before", *[F.col(c).alias(f"_of{c}") for c in parts]
     )
+    same = F.col(key) == F.col("_key")
+    for c in parts:
+        same &= F.col(c).eqNullSafe(F.col(f"_of{c}"))
+    placed = slices.join(offsets, same).select(key, "_before", F.posexplode("_rows").alias("_at", "_entry"))
+    return placed.withColumn(pos, (F.col("_before") + F.col("_at") + 1).cast("bigint"))
 
 
 def list_operation(

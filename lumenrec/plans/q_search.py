@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.functions.text import ppm, title_tokens
 from lumenrec.operators import postings as post
-from lumenrec.operators import words
+from lumenrec.operators import reserve, words
 from lumenrec.operators.canonical import canonical_map, dedup_by_canonical
 from lumenrec.operators.filters import drop_stale
 from lumenrec.operators.publish import pack_hash
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
-from lumenrec.session import new_scratch
+from lumenrec.session import materialize, new_scratch
 from lumenrec.sources import catalog
 from lumenrec.streaming import joins
 
@@ -269,6 +269,26 @@ def tiered_top25(inp: Inputs) -> DataFrame:
     )
 
 
+_LATER = """SELECT * FROM postings WHERE item_id NOT LIKE '%7'"""
+
+
+@query(
+    "tiered_top_kept",
+    f"SELECT search_key, category, item_id, highlight, {_PPM} AS score_ppm, risk FROM later_tiers",
+    **{**SEARCH, "later": _LATER, "later_tiers": SEARCH["tiered"].replace("postings", "later")},
+)
+def tiered_top_kept(inp: Inputs) -> DataFrame:
+    """The tiers after a batch of adds (ids ending in 3) and one of deletes (ids ending in 7), by the reserves."""
+    whole = materialize(recalled(inp), "recalled")
+    ends = lambda digit: F.col("item_id").endswith(digit)
+    none = whole.limit(0)
+    kept = reserve.stored(reserve.build(whole.where(~ends("3"))))
+    kept, _ = reserve.change(kept, whole.where(ends("3")), none)
+    kept, short = reserve.change(reserve.stored(kept), none, whole.where(ends("7")))
+    kept = reserve.refill(reserve.stored(kept), short, whole.where(~ends("7")))
+    return reserve.top(kept).select("search_key", "category", "item_id", "highlight", score_ppm(), "risk")
+
+
 def _contents(postings: DataFrame, level: int) -> DataFrame:
     return post.join_view(post.risk_view(postings, level), ppm(F.col("score")).cast("string"))
 

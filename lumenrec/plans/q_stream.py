@@ -13,7 +13,7 @@ from lumenrec.plans.q_search import (
 from lumenrec.plans.registry import query
 from lumenrec.session import new_scratch
 from lumenrec.sources import snapshots
-from lumenrec.streaming import index_stream, joins, messages
+from lumenrec.streaming import index_stream, joins, keyed_index, messages
 
 
 def _drain(inp: Inputs, stream: DataFrame, name: str) -> DataFrame:
@@ -188,3 +188,62 @@ def stream_index_merge(inp: Inputs) -> DataFrame:
     snapshots.write_snapshot(post.recall_words(found), base, "test", "demo", "postings")
     merged = index_stream.refresh_index(inp.spark, path, base, "test", "demo")
     return merged.select("search_key", "category", "item_id", "highlight", score_ppm(), "risk")
+
+
+_AFTER_STREAM = f"""SELECT search_key, category, item_id, highlight, {_PPM} AS score_ppm, risk FROM (
+      SELECT * FROM stored s WHERE NOT EXISTS (SELECT 1 FROM last_change c WHERE c.item_id = s.item_id AND c.category = s.category)
+      UNION ALL SELECT DISTINCT * FROM new_postings)"""
+
+
+def _kept_index(inp: Inputs, documents=None, out: str | None = None):
+    """The bucketed index after all messages, item by item through the keyed state."""
+    path, checkpoint = new_scratch(inp.spark, "changes"), new_scratch(inp.spark, "changes-checkpoint")
+    changes = messages.changes(inp.message_stream(), TOPICS, "premium")
+    index_stream.append_log(changes, path, checkpoint, "changes", trigger=None).awaitTermination()
+
+    valid = inp.items.where("status = 1 and feature_type = 1").withColumn("item_id", F.col("item_id").cast("string"))
+    indexed = post.recall_words(words.suffix_words(valid, ["item_id", "category", "risk"], "title"))
+    table = keyed_index.index_table(inp.spark, new_scratch(inp.spark, "bucketed"), buckets=16)
+    table.create(indexed.withColumn("ts", F.lit(None).cast("timestamp")))
+    log = inp.spark.readStream.schema(index_stream.LOG_SCHEMA).parquet(path)
+    # the log's days come in any order, so the watermark waits for all of them
+    keyed_index.keep_index(
+        log, table, new_scratch(inp.spark, "state"), documents, out, trigger=None, indexed=indexed, forget="3650 days"
+    ).awaitTermination()
+    return table
+
+
+@query("stream_index_state", _AFTER_STREAM, **_CHANGES)
+def stream_index_state(inp: Inputs) -> DataFrame:
+    """Messages → keyed state → marked postings → deltas of the bucketed index, read with waiting changes."""
+    merged = _kept_index(inp).read()
+    return merged.select("search_key", "category", "item_id", "highlight", score_ppm(), "risk")
+
+
+@query("index_bucket_merge", _AFTER_STREAM, **_CHANGES)
+def index_bucket_merge(inp: Inputs) -> DataFrame:
+    """The same after the touched buckets were rewritten."""
+    table = _kept_index(inp)
+    table.merge_deltas()
+    return table.read().select("search_key", "category", "item_id", "highlight", score_ppm(), "risk")
+
+
+_TOUCHED = """SELECT search_key FROM stored s WHERE EXISTS (SELECT 1 FROM last_change c WHERE c.item_id = s.item_id AND c.category = s.category)
+      UNION SELECT search_key FROM new_postings"""
+
+
+@query(
+    "stream_touched_lists",
+    f"""SELECT search_key, category, item_id, pos, {_PPM} AS score_ppm FROM (
+      SELECT *, row_number() OVER (PARTITION BY search_key, category ORDER BY score DESC, item_id, highlight) AS pos FROM (
+        SELECT * FROM stored s WHERE NOT EXISTS (SELECT 1 FROM last_change c WHERE c.item_id = s.item_id AND c.category = s.category)
+        UNION ALL SELECT DISTINCT * FROM new_postings)
+      WHERE risk <= 2 AND search_key IN ({_TOUCHED})) WHERE pos <= 25""",
+    **_CHANGES,
+)
+def stream_touched_lists(inp: Inputs) -> DataFrame:
+    """What the stream sends for the keys it touches: their lists, as they are after the last batch."""
+    out = new_scratch(inp.spark, "touched-lists")
+    _kept_index(inp, lambda keys, postings: post.risk_view(postings, 0), out)
+    sent = inp.spark.read.parquet(f"{out}/batch=0")
+    return sent.select("search_key", "category", "item_id", "pos", score_ppm())

@@ -1,0 +1,67 @@
+"""Tiers kept by reserves against tiers of the whole lists."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from lumenrec.operators import postings as post
+from lumenrec.operators import reserve
+from lumenrec.session import materialize
+
+SCHEMA = "search_key string, category string, item_id string, highlight string, score double, risk bigint"
+
+
+def plain_tiers(rows, size):
+    out = set()
+    for key in {r[:2] for r in rows}:
+        for level in (0, 1, 2):
+            own = sorted((-r[4], r[2], r[3], r[5]) for r in rows if r[:2] == key and r[5] <= level)
+            out |= {(*key, item, highlight, -less, risk) for less, item, highlight, risk in own[:size]}
+    return out
+
+
+@pytest.mark.parametrize("size, spare", [(3, 2), (2, 6)])
+def test_random_batches(spark, size, spare):
+    rng = random.Random(size)
+
+    def posting():
+        item = str(rng.randrange(400))
+        return (rng.choice(["a", "a", "a", "b"]), "c", item, "h", float(rng.randrange(12)), rng.randrange(4))
+
+    frame = lambda rows: spark.createDataFrame(sorted(rows), SCHEMA)
+    live = {posting() for _ in range(120)}
+    kept, refills, lists = reserve.stored(reserve.build(frame(live), size, spare)), 0, 0
+    for batch in range(6):
+        # the best go first, so that reserves run dry
+        gone = set(sorted((r for r in live if r[5] < 3), key=lambda r: -r[4])[: 12 if batch % 2 else 3])
+        new = {posting() for _ in range(4)} - live
+        live = live - gone | new
+        kept, short = reserve.change(kept, frame(new), frame(gone))
+        short = materialize(short, "short")
+        n = short.count()
+        refills, lists = refills + n, lists + 6
+        if n:
+            kept = reserve.refill(kept, short, frame(live))
+        kept = reserve.stored(kept)
+        assert {tuple(r) for r in reserve.top(kept).collect()} == plain_tiers(live, size)
+        per_list = kept.rows.groupBy(*reserve.LIST).count().collect()
+        assert max(r["count"] for r in per_list) <= size + 2 * spare
+    assert 0 < refills < lists  # some lists were ranked again, most were not
+
+
+def test_reserve_edge_cases(spark):
+    frame = lambda *rows: spark.createDataFrame(list(rows), SCHEMA)
+    none, one = frame(), ("k", "c", "1", "h", 1.0, 0)
+    empty = reserve.build(none)
+    assert reserve.top(empty).collect() == []
+    kept, short = reserve.change(empty, frame(one, one, ("k", "c", "2", "", 1.0, 0), ("k", "c", "3", "h", 1.0, 3)), none)
+    assert [tuple(r) for r in reserve.top(kept).collect()] == [one] and short.isEmpty()
+    marker = ("k", "c", "9", "", 0.0, 5)
+    assert {tuple(r) for r in reserve.top(kept, frame(marker)).collect()} == {one, marker}
+    kept, short = reserve.change(kept, none, frame(one, ("z", "c", "1", "h", 1.0, 0)))
+    assert reserve.top(kept).collect() == [] and short.isEmpty() and kept.bounds.isEmpty()
+    same = reserve.build(frame(*[("k", "c", str(i), "h", 1.0, 0) for i in range(200)]))
+    want = post.tiered_top(frame(*[("k", "c", str(i), "h", 1.0, 0) for i in range(200)])).collect()
+    assert sorted(reserve.top(same).collect()) == sorted(want)
