@@ -28,14 +28,16 @@ class Encoder:
     The tokenizer splits a text before a blank that is followed by a word, and on both sides of a line
     feed between two words, whatever stands around; so where all white space is single blanks and line
     feeds between words, a text's ids are those of its words (each with its blank or line feed) in a
-    row. Words are encoded together, once each, and up to ``keep`` of them are remembered. Any other
-    text, and one with a special token in it, goes to the tokenizer as a whole.
+    row. Words are encoded together, once each, and up to ``keep`` of them, and ``room`` bytes, are remembered.
+    Any other text, and one with a special token in it, goes to the tokenizer as a whole.
     """
 
+    #: What a remembered word takes besides its letters and ids: two objects and a place in the dictionary.
+    ENTRY = 160
     #: Most frequent words of the first texts, in a small dictionary that stays in the CPU's cache.
     HOT = 16_000
 
-    def __init__(self, name: str = TOKENIZER, keep: int = 600_000) -> None:
+    def __init__(self, name: str = TOKENIZER, keep: int = 600_000, room: int = 80 << 20) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one thread
         from tokenizers import Tokenizer
 
@@ -46,8 +48,9 @@ class Encoder:
         self.opens = np.zeros(self.size, bool)  # tokens that start with a blank or a line feed
         self.opens[[i for t, i in vocabulary.items() if t[0] in "ĠĊ"]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.keep = keep
+        self.keep, self.room = keep, room
         self.known: dict[str, bytes] = {}
+        self.held = self.kept = 0  # bytes and number of the known words
         self.hot: dict[str, bytes] = {}
         self.firsts: dict[str, bytes] = {}
 
@@ -130,9 +133,13 @@ class Encoder:
         if not self.hot and added:
             often = Counter(chain.from_iterable(split[k][1:] for k, ids in enumerate(out) if not isinstance(ids, bytes)))
             self.hot = {w: self.known[w] for w, _ in often.most_common(self.HOT)}
-        if len(self.known) > self.keep:
-            for w in added[max(0, self.keep - (len(self.known) - len(added))) :]:
+        for w in added:
+            size = self.ENTRY + len(w) + len(self.known[w])
+            if self.held + size > self.room or self.kept >= self.keep:
                 del self.known[w]
+            else:
+                self.held += size
+                self.kept += 1
         return [ids if isinstance(ids, bytes) else b"".join(ids) for ids in out]
 
 

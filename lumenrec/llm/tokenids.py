@@ -25,6 +25,8 @@ from lumenrec.llm.subwords import TOKENIZER
 END_ID = 0
 #: Ids after which a file is closed (at the end of a document).
 FILE_IDS = 4 << 20
+#: Ids that a reader holds at once.
+READ_IDS = 1 << 20
 _MAGIC = b"IDEF0001"
 _HEAD = struct.Struct("<BQQQq")
 _PART = struct.Struct("<QBQQ")
@@ -125,28 +127,63 @@ def to_file(ids: bytes, kind: np.dtype, ends: list[int], doc_ids: list[int | Non
 
 @dataclass(frozen=True)
 class IdFile:
-    """A file read back: its ids, document ends, and doc_ids (None for null)."""
+    """An open file of ids: document ends and doc_ids (None for null) are read, the ids when asked for."""
 
-    ids: np.ndarray
+    source: pa.NativeFile  # open for random access
+    at: int  # where the ids start
+    kind: np.dtype
+    total: int
     ends: EliasFano
     doc_ids: list[int | None]
 
     @classmethod
-    def of(cls, data: bytes) -> IdFile:
-        view = memoryview(data)
-        if bytes(view[:8]) != _MAGIC:
+    def of(cls, source) -> IdFile:
+        """``source``: an open file, or a file's bytes."""
+        source = pa.BufferReader(source) if isinstance(source, bytes) else source
+        at = len(_MAGIC) + _HEAD.size
+        head = bytes(source.read_at(at, 0))
+        if head[: len(_MAGIC)] != _MAGIC:
             raise ValueError("not an id file")
-        size, nulls, n, total, first = _HEAD.unpack_from(view, 8)
-        at = 8 + _HEAD.size
-        ids = np.frombuffer(view, f"<u{size}", total, at)
-        ends, at = EliasFano.unpack(view, at + size * total)
-        away, _ = EliasFano.unpack(view, at)
+        size, nulls, n, total, first = _HEAD.unpack_from(head, len(_MAGIC))
+        rest = at + size * total
+        tail = memoryview(source.read_at(source.size() - rest, rest))
+        ends, after = EliasFano.unpack(tail, 0)
+        away, _ = EliasFano.unpack(tail, after)
         known = (away.values().astype(np.uint64) + np.uint64(first % (1 << 64))).view(np.int64)
-        return cls(ids, ends, [None] * nulls + known.tolist())
+        return cls(source, at, np.dtype(f"<u{size}"), total, ends, [None] * nulls + known.tolist())
+
+    @property
+    def ids(self) -> np.ndarray:
+        """All ids of the file."""
+        return self.part(0, self.total)
+
+    def part(self, start: int, stop: int) -> np.ndarray:
+        """Ids number ``start`` to ``stop`` of the file."""
+        size = self.kind.itemsize
+        return np.frombuffer(self.source.read_at((stop - start) * size, self.at + start * size), self.kind)
 
     def document(self, k: int) -> np.ndarray:
-        """Ids of document ``k``, by two select calls."""
-        return self.ids[self.ends.select(k - 1) if k else 0 : self.ends.select(k)]
+        """Ids of document ``k``, by two select calls and one read."""
+        return self.part(self.ends.select(k - 1) if k else 0, self.ends.select(k))
+
+    def checksums(self, most: int) -> Iterator[tuple[int, int, list[int]]]:
+        """Documents ``a`` to ``b`` and the crc32 of the ids of each, holding at most ``most`` ids at once."""
+        ends = self.ends.values()
+        a = 0
+        while a < len(ends):
+            start = int(ends[a - 1]) if a else 0
+            b = max(a + 1, int(np.searchsorted(ends, start + most, "right")))
+            if ends[a] - start > most:
+                crc = 0
+                for at in range(start, int(ends[a]), most):
+                    crc = zlib.crc32(self.part(at, min(at + most, int(ends[a]))).astype("<u4"), crc)
+                yield a, a + 1, [crc]
+                a += 1
+                continue
+            ids = self.part(start, int(ends[b - 1])).astype("<u4")
+            cuts = [0, *(ends[a:b] - start).tolist()]
+            yield a, b, [zlib.crc32(ids[x:y]) for x, y in zip(cuts, cuts[1:])]
+            a = b
 
 
 def put(uri: str, data: bytes) -> None:
@@ -218,30 +255,31 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, file_ids
 def read_ids(spark: SparkSession, folder: str, files: list[tuple[str, int]]) -> DataFrame:
     """One row per document from the files alone: doc_id, start, n_tokens, ids_crc32.
 
-    ``files`` lists (file, ids before it): two small values per file, none per document.
+    ``files`` lists (file, ids before it): two small values per file, none per document. File names are dealt to
+    the tasks, which read the files by ranges of READ_IDS ids and give out their documents range by range.
     """
-    before = dict(files)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         for batch in batches:
-            for path, content in zip(batch["path"].to_pylist(), batch["content"]):
-                found = IdFile.of(content.as_py())
-                ends = found.ends.values()
-                starts = np.append(0, ends[:-1])
-                ids = found.ids.astype("<u4")
-                crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-                yield pa.record_batch(
-                    {
-                        "doc_id": pa.array(found.doc_ids, pa.int64()),
-                        "start": pa.array(starts + before[path.rpartition("/")[2]], pa.int64()),
-                        "n_tokens": pa.array(ends - starts, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
-                    }
-                )
-
-    loaded = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
-    return (
-        loaded.option("pathGlobFilter", "*.ids").load(folder).select("path", "content")
-        .mapInArrow(task, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+            for name, before in zip(batch["file"].to_pylist(), batch["before"].to_pylist()):
+                where, path = fs.FileSystem.from_uri(f"{folder}/{name}")
+                with where.open_input_file(path) as source:
+                    found = IdFile.of(source)
+                    ends = found.ends.values()
+                    starts = np.append(0, ends[:-1])
+                    for a, b, crc in found.checksums(READ_IDS):
+                        yield pa.record_batch(
+                            {
+                                "doc_id": pa.array(found.doc_ids[a:b], pa.int64()), "start": pa.array(starts[a:b] + before, pa.int64()),
+                                "n_tokens": pa.array(ends[a:b] - starts[a:b], pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
+                            }
+                        )
+
+    listed = spark.createDataFrame(files, "file string, before bigint")
+    return listed.repartition(min(len(files), 4 * width(listed)), "file").mapInArrow(
+        task, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
 
 
