@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lumenrec.operators.lists import fold_chunks
 from lumenrec.operators.reduced import distinct_keys
@@ -77,6 +77,17 @@ def dataset_profile(df: DataFrame, user: str = "user_id") -> DataFrame:
     )
 
 
+def observed_profile(df: DataFrame, user: str = "user_id") -> tuple[DataFrame, Observation]:
+    """``(the same rows, their profile)``: counted while the job that uses the rows runs, in no pass of its own.
+
+    The profile (``.get``, once a job over the rows has ended) has ``n_rows``, a ``null_<column>`` count for each
+    column and ``about_users``, the distinct users within some percent; ``dataset_profile`` counts them exactly.
+    """
+    seen = Observation()
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns]
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.approx_count_distinct(user).alias("about_users"), *counts), seen
+
+
 def dataset_sample(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
     """``n`` rows to look at, the same on every run: those whose digest is smallest."""
     digest = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in columns]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.functions.text import ppm
-from lumenrec.operators import filters, lists, publish, similar
+from lumenrec.operators import filters, lists, outbox, publish, similar
 from lumenrec.plans import jobs
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.q_lists import QUOTAS, SPARSE_SQL, _MIXED
@@ -100,6 +100,27 @@ def publish_fanout(inp: Inputs) -> DataFrame:
     return _sent(inp, publish.user_lists(_ranked(inp), "vip:", "factors", DATE), "fanout")
 
 
+_OUTBOX = "SELECT key, value, unnest(['cache-a', 'cache-b', 'cache-c']) AS target, CAST(1728000 AS BIGINT) AS ttl, CAST({batch} AS BIGINT) AS batch FROM ({lists})"
+
+
+@query(
+    "publish_outbox",
+    f"""{_OUTBOX.format(batch=0, lists=_LISTS.format(prefix="vip:", alg="factors"))}
+    UNION ALL {_OUTBOX.format(batch=1, lists=_LISTS.format(prefix="vip:", alg="fresh").replace("GROUP BY", "WHERE user_id % 2 = 0 GROUP BY"))}""",
+)
+def publish_outbox(inp: Inputs) -> DataFrame:
+    """Two days' lists through an outbox, the first day's job run twice; on the second day half of them are new."""
+    root, out = new_scratch(inp.spark, "outbox"), new_scratch(inp.spark, "delivered")
+    fanned = lambda df, alg: publish.publish_fanout(publish.user_lists(df, "vip:", alg, DATE), jobs.targets(HOSTS), publish.TTL_LISTS)
+    lists_, even = _ranked(inp), F.col("user_id") % 2 == 0
+    first = fanned(lists_, "factors")
+    second = fanned(lists_.where(even), "fresh").unionByName(fanned(lists_.where(~even), "factors"))
+    for messages, batch in ((first, 0), (first, 0), (second, 1)):
+        outbox.put(messages, root, batch)
+    outbox.deliver(inp.spark, root, lambda df: df.write.mode("append").parquet(out))
+    return outbox.drop_repeats(inp.spark.read.parquet(out)).drop("digest")
+
+
 @query(
     "publish_group_map",
     """SELECT 'group:' || c_custkey AS key, CAST(to_json({'groupId': c_mktsegment}) AS VARCHAR) AS value FROM customer

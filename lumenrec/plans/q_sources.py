@@ -9,7 +9,7 @@ from lumenrec.functions.text import base64_text, clean_keep_space, clean_title,
 from lumenrec.operators import activity, canonical, collections, filters, similar
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
-from lumenrec.session import new_scratch
+from lumenrec.session import materialize, new_scratch
 from lumenrec.sources import catalog, history, snapshots, vectors
 
 
@@ -426,6 +426,21 @@ def dataset_profile(inp: Inputs) -> DataFrame:
     return activity.dataset_profile(inp.purchases)
 
 
+@query(
+    "dataset_profile_observed",
+    """SELECT count(*) AS n_rows, CAST(sum(CASE WHEN score IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_score,
+      count(DISTINCT item_id) AS items_written FROM purchases""",
+)
+def dataset_profile_observed(inp: Inputs) -> DataFrame:
+    """The counts of a job's input, gathered while the job writes its own result."""
+    rows, profile = activity.observed_profile(inp.purchases)
+    written = materialize(rows.groupBy("item_id").agg(F.sum("score").alias("score")), "scores")
+    seen = profile.get
+    return written.agg(F.count(F.lit(1)).alias("items_written")).select(
+        F.lit(seen["n_rows"]).cast("bigint").alias("n_rows"), F.lit(seen["null_score"]).cast("bigint").alias("null_score"), "items_written"
+    )
+
+
 @query(
     "dataset_sample",
     """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem

@@ -13,7 +13,7 @@ from lumenrec.plans.q_search import (
 from lumenrec.plans.registry import query
 from lumenrec.session import new_scratch
 from lumenrec.sources import snapshots
-from lumenrec.streaming import index_stream, joins, keyed_index, messages
+from lumenrec.streaming import index_stream, joins, keyed_index, messages, update_windows
 
 
 def _drain(inp: Inputs, stream: DataFrame, name: str) -> DataFrame:
@@ -247,3 +247,23 @@ def stream_touched_lists(inp: Inputs) -> DataFrame:
     _kept_index(inp, lambda keys, postings: post.risk_view(postings, 0), out)
     sent = inp.spark.read.parquet(f"{out}/batch=0")
     return sent.select("search_key", "category", "item_id", "pos", score_ppm())
+
+
+@query(
+    "stream_update_windows",
+    f"""SELECT search_key, category, item_id, highlight, max_by({_PPM}, (ts, status, score, risk)) AS score_ppm,
+      max_by(risk, (ts, status, score, risk)) AS risk,
+      CASE WHEN max_by(status, (ts, status, score, risk)) = 1 THEN 'add' ELSE 'delete' END AS mark, count(*) AS n FROM (
+        SELECT w.ts, k.search_key, w.category, w.item_id, k.highlight, w.status, w.risk,
+          0.7 * CAST(w.word_score AS DOUBLE) + 0.3 * (k.i / k.n) AS score
+        FROM title_words w JOIN title_keys k ON w.word = k.word AND w.tokens = k.tokens)
+    GROUP BY 1, 2, 3, 4""",
+    title_words=_suffix_sql("programs", _CHANGED_TITLES, "title"),
+    title_keys=_keys_sql("title_words"),
+)
+def stream_update_windows(inp: Inputs) -> DataFrame:
+    """Windows of arrival time in update mode; all messages arrive at once, in one window."""
+    table = update_windows.window_table(inp.spark, new_scratch(inp.spark, "windows"))
+    recalled = index_stream.recall_changes(_programs(inp))
+    update_windows.keep_windows(recalled, table, new_scratch(inp.spark, "windows-checkpoint"), trigger=None).awaitTermination()
+    return table.read().select("search_key", "category", "item_id", "highlight", score_ppm(), "risk", "mark", "n")

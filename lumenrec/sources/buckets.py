@@ -121,12 +121,13 @@ class BucketTable:
         rows, changes = self._parts(content, touched, deltas)
         path, found = self._write(self.merge(rows, changes).select(*self.rows.names), "base")
         done = {d["path"] for d in deltas}
-        before = {str(b): content["base"].get(str(b)) for b in touched}
+        before = {str(b): content.get("base", {}).get(str(b)) for b in touched}
 
         def edit(now: dict) -> dict:
-            if any(now["base"].get(b) != p for b, p in before.items()) or not done <= {d["path"] for d in now["deltas"]}:
+            held = now.get("base", {})
+            if any(held.get(b) != p for b, p in before.items()) or not done <= {d["path"] for d in now["deltas"]}:
                 raise manifests.Conflict(f"{self.root}: another merge was first")
-            base = {b: p for b, p in now["base"].items() if b not in before} | {str(b): path for b in found}
+            base = {b: p for b, p in held.items() if b not in before} | {str(b): path for b in found}
             gone = [f"{p}/{BUCKET}={b}" for b, p in before.items() if p is not None] + sorted(done)
             return {
                 **now, "base": base, "deltas": [d for d in now["deltas"] if d["path"] not in done],

@@ -18,8 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from lumenrec.operators.postings import PERSON_CATEGORY, POSTING, keyword_words, name_words, recall_words
 from lumenrec.operators.reduced import distinct_keys
 from lumenrec.operators.words import suffix_words
-from lumenrec.session import materialize
-from lumenrec.sources.snapshots import dataset_path, path_exists, read_newest, read_pointer, write_snapshot
+from lumenrec.session import materialize, new_scratch
+from lumenrec.sources.snapshots import dataset_path, delete_path, path_exists, read_newest, read_pointer, write_snapshot
 
 # Window and trigger length, watermark of the aggregation.
 WINDOW, TRIGGER, DELAY = "3 minutes", "3 minutes", "10 minutes"
@@ -212,7 +212,8 @@ def send_documents(
 
     ``documents(keys, postings)`` makes documents; each batch's go to ``out/batch=<id>``. The
     log part of a batch is overwritten when the batch is repeated, so a restart neither loses
-    nor doubles a change. Postings of other keys are dropped before anything is merged.
+    nor doubles a change. Postings of other keys are dropped before anything is merged. Every trigger reads the
+    whole log; ``keyed_index.keep_index`` keeps the keys of every item as state instead.
     """
 
     def send(batch: DataFrame, number: int) -> None:
@@ -222,10 +223,15 @@ def send_documents(
         logged = spark.read.schema(LOG_SCHEMA).parquet(part)
         stored = read_newest(spark, base, env, product, "postings")
         state = read_state(spark, base, env, product)
-        keys = materialize(touched_keys(stored, logged, readings, keywords), "touched-keys")
         log = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(log_path)
+        # Also the keys of earlier changes that no refresh has merged: their documents may name the item.
+        earlier = log.join(distinct_keys(logged, *ITEM), ITEM, "left_semi")
+        path = new_scratch(spark, "touched-keys")
+        touched_keys(stored, earlier, readings, keywords).write.parquet(path)
+        keys = spark.read.parquet(path)
         merged, _ = apply_log(stored.join(keys, "search_key", "left_semi"), state, log, readings, keywords)
         documents(keys, merged.join(keys, "search_key", "left_semi")).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        delete_path(spark, path)
 
     writer = stream.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)

@@ -55,3 +55,24 @@ def test_hot_key_is_split(spark, small_thresholds, name):
     assert len(df.collect()) > 0
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in plan and "skew=true" in plan
+
+
+def _most_rows_of_a_task(df, columns):
+    """Rows of the largest partition that a numbering leaves behind, and the number of all rows."""
+    sizes = [r["count"] for r in df.select(*columns).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes), sum(sizes)
+
+
+@pytest.mark.parametrize("name", ["shuffled_positions", "ordered_positions"])
+def test_a_hot_list_is_numbered_in_many_tasks(spark, small_thresholds, name):
+    """Three quarters of all rows are one user's list; no task may hold much more than its share."""
+    user = F.when(F.col("id") % 4 < 3, 0).otherwise(F.col("id") % 1000 + 1)
+    rows = spark.range(0, 80_000, 1, 8).select(user.alias("user_id"), F.col("id").alias("item_id"), (F.xxhash64("id") % 5000).alias("score"))
+    if name == "shuffled_positions":
+        df = lists.shuffled_positions(rows, "user_id", "item_id")
+    else:
+        df = lists.ordered_positions(rows, "user_id", "item_id", "score")
+    most, whole = _most_rows_of_a_task(df, ["user_id", "pos"])
+    assert whole == 80_000 and most < 0.4 * whole
+    hot = df.where("user_id = 0").agg(F.count("*").alias("n"), F.count_distinct("pos").alias("d"), F.max("pos").alias("m")).first()
+    assert (hot.n, hot.d, hot.m) == (60_000,) * 3

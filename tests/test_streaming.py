@@ -234,3 +234,21 @@ def test_batch_and_stream_preference_agree(frame, rows):
     )
     columns = ["program_id", "item_id", "status"]
     assert rows(batch, *columns) == rows(joins.prefer_source(stream, "best"), *columns)
+
+
+def test_a_rename_between_refreshes_is_sent_for_the_old_keys_too(spark, frame, tmp_path):
+    from lumenrec.operators import postings as post
+    from lumenrec.sources import snapshots
+
+    base = str(tmp_path / "index")
+    snapshots.write_snapshot(frame(POSTING, ("q", "c", "9", "q", 0.5, 0)), base, "test", "demo", "postings")
+
+    def documents(keys, found):
+        return post.update_documents(keys, post.join_view(post.risk_view(found, 0), F.lit("s")), "i", "z", "y")
+
+    stream = replay(spark, tmp_path, LOG, [[("1", "c", "xx", 0, 1, minute(1))], [("1", "c", "yy", 0, 1, minute(2))]])
+    index_stream.send_documents(
+        stream, str(tmp_path / "log"), base, "test", "demo", documents, str(tmp_path / "out"), str(tmp_path / "ck"), trigger=None
+    ).awaitTermination()
+    second = {r.doc_id: "1_" in r.source for r in spark.read.parquet(str(tmp_path / "out" / "batch=1")).collect()}
+    assert second == {"x": False, "xx": False, "y": True, "yy": True}
