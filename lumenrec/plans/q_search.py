@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.functions.text import ppm, title_tokens
 from lumenrec.operators import postings as post
-from lumenrec.operators import reserve, words
+from lumenrec.operators import reserve, segment, words
 from lumenrec.operators.canonical import canonical_map, dedup_by_canonical
 from lumenrec.operators.filters import drop_stale
 from lumenrec.operators.publish import pack_hash
@@ -269,6 +269,29 @@ def tiered_top25(inp: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "title_segments",
+    """SELECT title, words FROM (
+    WITH RECURSIVE names AS (SELECT DISTINCT replace(p_name, ' ', '') AS title FROM part),
+    counts AS (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) WHERE word <> '' GROUP BY word),
+    weights AS (
+      SELECT word, CAST(floor(ln(n / (SELECT sum(n) FROM counts WHERE length(word) <= 12)) * 1000000.0 + 0.5) AS BIGINT) AS weight
+      FROM counts WHERE length(word) <= 12),
+    paths AS (
+      SELECT title, 0 AS place, CAST(0 AS BIGINT) AS weight, CAST([] AS VARCHAR[]) AS cut FROM names
+      UNION ALL SELECT title, CAST(place + length(word) AS INTEGER), paths.weight + weights.weight, list_append(cut, word)
+      FROM paths JOIN weights ON substr(title, place + 1, length(word)) = word WHERE place < length(title))
+    SELECT title, array_to_string(cut, ' ') AS words FROM paths WHERE place = length(title)
+    QUALIFY row_number() OVER (PARTITION BY title ORDER BY weight DESC, len(cut), array_to_string(cut, ' ')) = 1)""",
+)
+def title_segments(inp: Inputs) -> DataFrame:
+    """Part names without their blanks, cut by the words of all names; every name can be cut into known words."""
+    names = inp.table("part").select("p_name")
+    counts = names.select(F.explode(F.split("p_name", " ")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    found = segment.segment(names.select(F.replace("p_name", F.lit(" "), F.lit("")).alias("title")), counts)
+    return found.select("title", F.array_join("words", " ").alias("words"))
+
+
 _LATER = """SELECT * FROM postings WHERE item_id NOT LIKE '%7'"""
 
 

@@ -8,9 +8,11 @@ bucketed index and writes the documents of the keys they touch. Neither the chan
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
@@ -21,6 +23,9 @@ from lumenrec.operators.words import suffix_words
 from lumenrec.sources.buckets import BucketTable
 from lumenrec.streaming.index_stream import CHANGE, ITEM, TRIGGER
 
+# What tasks run travels with the job; executors need the packages imported above only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 IDENTITY = ["search_key", "category", "item_id", "highlight"]
 ROWS = (
     StructType().add("search_key", "string").add("category", "string").add("item_id", "string").add("highlight", "string")
