@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.functions import dates
 from lumenrec.functions.text import base64_text, clean_keep_space, clean_title, has_cjk, ppm, unbase64_text
-from lumenrec.operators import activity, canonical, collections, filters, similar
+from lumenrec.operators import activity, canonical, collections, exposures, filters, similar
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
 from lumenrec.session import materialize, new_scratch
@@ -244,6 +244,20 @@ def blacklist_anti_join(inp: Inputs) -> DataFrame:
     return filters.list_filter(pairs, inp.latest_exposures, ["user_id", "item_id"], "black")
 
 
+@query(
+    "exposures_in_buckets",
+    """SELECT user_id, item_id FROM taken t
+    WHERE NOT EXISTS (SELECT 1 FROM latest_exposures e WHERE e.user_id = t.user_id AND e.item_id = t.item_id)""",
+)
+def exposures_in_buckets(inp: Inputs) -> DataFrame:
+    """The same list filter with exposures that were stored in buckets, in two writes."""
+    path = new_scratch(inp.spark, "exposures")
+    name = "exposures_" + path.rpartition("-")[2]
+    for even in (0, 1):
+        exposures.store(inp.latest_exposures.where(F.col("item_id") % 2 == even), name, path, buckets=16)
+    return exposures.drop_seen(inp.taken.select("user_id", "item_id"), name)
+
+
 @query(
     "risk_filter",
     """
