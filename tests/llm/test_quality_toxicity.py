@@ -171,3 +171,17 @@ def test_short_insults_are_learned(docs, labels):
     assert set(model.lexicon.words) == {"oaf", "阿呆"}
     got = {r.doc_id: r.predicted for r in toxicity.score(docs((1, "what an oaf"), (2, "阿呆 !"), (3, "the day is here")), model).collect()}
     assert got == {1: 1, 2: 1, 3: 0}
+
+
+def test_quality_score_of_a_whole_table_against_the_network(spark):
+    """The query's scores are those of averaging the fitted vectors of every whole text and applying the output layer."""
+    docs = read(spark, SMALL, "documents")
+    model = quality.fit(docs, read(spark, SMALL, "labels"))
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.select("doc_id", "text").collect()}
+    got = {r.doc_id: r.score for r in quality.op4_subword_quality(spark, SMALL).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        found, n = model.features.counts(text)
+        hidden = (n / max(1, n.sum())) @ model.vectors[found].astype(np.float64)
+        z = hidden @ model.output + model.bias
+        assert got[i] == pytest.approx(1 / (1 + np.exp(z[0] - z[1])), abs=1e-6)
