@@ -36,9 +36,11 @@ def similar_by_cluster(prefer: DataFrame, detail: DataFrame, n: int = 70) -> Dat
     The detail side is cut to ``n + 1`` per cluster (one may be the item itself) and
     folded before the join, so the join meets one short row per cluster.
     """
-    best = top_n(detail, ["cluster"], [F.col("popularity").desc(), F.col("item_id")], n + 1)
+    # Ranked and folded by the cluster and a hash of it, for the reason given in ``reduced``.
+    keys = ["cluster", "_spread"]
+    best = top_n(detail.withColumn("_spread", F.hash("cluster")), keys, [F.col("popularity").desc(), F.col("item_id")], n + 1)
     ordered = F.sort_array(F.collect_list(F.struct("pos", "item_id")))
-    lists = best.groupBy("cluster").agg(F.transform(ordered, lambda x: x["item_id"]).alias("_list"))
+    lists = best.groupBy(*keys).agg(F.transform(ordered, lambda x: x["item_id"]).alias("_list")).drop("_spread")
     others = F.slice(F.filter("_list", lambda other: other != F.col("item_id")), 1, n)
     return (
         prefer.select("item_id", "cluster").join(lists, "cluster")

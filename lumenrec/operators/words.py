@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lumenrec.functions.text import clean_title, title_tokens, word_terms
 from lumenrec.operators.lists import top_n
 from lumenrec.operators.reduced import per_key
+from lumenrec.session import materialize
 
 
 def suffix_words(titles: DataFrame, id_cols: list[str], title: str, max_length: int | None = None) -> DataFrame:
@@ -65,12 +66,12 @@ def token_readings(words: DataFrame, readings: DataFrame) -> DataFrame:
     """Distinct ``(word, tokens)`` → ``readings``: for each token the array of its readings.
 
     ``readings`` is a dictionary table ``(token, reading)``; a token that is not in
-    it reads as itself in lower case. Words are made distinct first, so each title is
+    it, or has no reading there, reads as itself in lower case. Words are made distinct first, so each title is
     transliterated once however many items carry it.
     """
     distinct = words.select("word", "tokens").distinct()
-    dictionary = readings.groupBy("token").agg(
-        F.sort_array(F.collect_set(F.lower("reading"))).alias("_readings")
+    dictionary = per_key(
+        readings.where("reading is not null"), ["token"], F.sort_array(F.collect_set(F.lower("reading"))).alias("_readings")
     )
     placed = distinct.select("word", "tokens", F.posexplode("tokens").alias("_at", "token"))
     looked_up = placed.join(dictionary, "token", "left").select(
@@ -171,6 +172,92 @@ def typed_keys(parts: DataFrame, carry: Sequence[str]) -> DataFrame:
     )
 
 
+def _segments(options: Column) -> Column:
+    """Where the walk over a word's tokens pauses: the tokens before each pause, and all tokens.
+
+    Between two pauses the options multiply to at most ``_WIDTH``, or there is one token only.
+    """
+    start = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(1).cast("bigint").alias("product"), F.lit(0).alias("at"))
+
+    def step(acc: Column, choices: Column) -> Column:
+        product = acc["product"] * F.size(choices)
+        pause = (product > _WIDTH) & (acc["product"] > 1)
+        return F.struct(
+            F.when(pause, F.concat(acc["ends"], F.array(acc["at"]))).otherwise(acc["ends"]).alias("ends"),
+            F.when(pause, F.size(choices).cast("bigint")).otherwise(product).alias("product"),
+            (acc["at"] + 1).alias("at"),
+        )
+
+    return F.aggregate(options, start, step, lambda acc: F.concat(acc["ends"], F.array(acc["at"])))
+
+
+def spelled(read: DataFrame, options: str) -> DataFrame:
+    """What the leading tokens of a word spell → ``word, tokens, n, i, spelled``, each text once.
+
+    ``options`` names the array of every token's options. The choices of a word share a graph whose nodes are
+    (tokens covered, text so far): two ways to one node are one from there on, so the work follows the distinct
+    texts and not the product of the options. A row walks as many tokens as ``_WIDTH`` choices allow; the nodes
+    where it pauses are made distinct, written and dealt anew for the next round. A word with few choices is
+    walked in one round without a shuffle.
+    """
+    word = ["word", "tokens"]
+    front = read.where("size(tokens) > 0").select(
+        *word, F.col(options).alias("_options"), _segments(F.col(options)).alias("_ends"), F.lit(0).alias("_at"), F.lit("").alias("spelled")
+    )
+    rounds = front.agg(F.max(F.size("_ends"))).first()[0] or 1
+    found = None
+    for number in range(rounds):
+        end = F.get("_ends", F.lit(number))
+        ahead = F.slice("_options", F.col("_at") + 1, end - F.col("_at"))
+        levels = F.aggregate(
+            ahead, F.array(F.array("spelled")),
+            lambda acc, choices: F.concat(acc, F.array(F.array_distinct(F.flatten(
+                F.transform(F.element_at(acc, -1), lambda text: F.transform(choices, lambda c: F.concat(text, c)))
+            )))),
+        )
+        walked = front.select(*word, "_options", "_ends", "_at", F.posexplode(F.slice(levels, 2, F.size(levels))).alias("_step", "_texts"))
+        nodes = walked.select(
+            *word, "_options", "_ends", (F.col("_at") + F.col("_step") + 1).alias("i"), F.explode("_texts").alias("spelled")
+        )
+        got = nodes.select(*word, F.size("_options").cast("bigint").alias("n"), F.col("i").cast("bigint").alias("i"), "spelled")
+        # From the second round on two rows may reach one node.
+        found = got if found is None else found.unionByName(got.distinct())
+        if number + 1 < rounds:
+            paused = nodes.where((F.col("i") == end) & (F.size("_ends") > number + 1))
+            front = materialize(paused.withColumnRenamed("i", "_at").distinct(), "spelled")
+    return found
+
+
+def dictionary_keys(read: DataFrame) -> DataFrame:
+    """The keys of words with ``readings``, from the shared graph of each word → as ``prefix_keys``."""
+    first = lambda reading: F.substring(reading, 1, 1)
+    known = materialize(
+        read.withColumn("_initials", F.transform("readings", lambda r: F.array_distinct(F.transform(r, first)))), "readings"
+    )
+    whole = spelled(known, "readings")
+    initials = spelled(known, "_initials")
+    # A last syllable of more than one letter may be begun only: the text before it and its first letter.
+    begun = known.where("size(tokens) > 0").select(
+        "word", "tokens",
+        F.posexplode(F.transform("readings", lambda r: F.array_distinct(F.transform(F.filter(r, lambda x: F.length(x) > 1), first)))).alias("_at", "_letters"),
+    ).where("size(_letters) > 0")
+    none = known.where("size(tokens) > 0").select(
+        "word", "tokens", F.size("tokens").cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("i"), F.lit("").alias("spelled")
+    )
+    heads = whole.where("i < n").unionByName(none)
+    abbreviated = (
+        heads.join(begun.withColumnRenamed("_at", "i"), ["word", "tokens", "i"])
+        .select("word", "tokens", "n", (F.col("i") + 1).alias("i"), "spelled", F.explode("_letters").alias("_letter"))
+        .withColumn("spelled", F.concat("spelled", "_letter")).drop("_letter")
+    )
+    keys = whole.unionByName(abbreviated).unionByName(initials).distinct()
+    highlight = F.array_join(F.slice("tokens", F.lit(1), F.col("i").cast("int")), "")
+    return keys.select(
+        "word", "tokens", F.col("spelled").alias("search_key"), highlight.alias("highlight"), "i", "n",
+        (F.col("i") / F.col("n")).alias("prefix_score"),
+    )
+
+
 def prefix_keys(words: DataFrame, readings: DataFrame | None = None) -> DataFrame:
     """Keys a user may type on the way to each distinct word → ``word, tokens`` and the key columns.
 
@@ -181,5 +268,4 @@ def prefix_keys(words: DataFrame, readings: DataFrame | None = None) -> DataFram
     word = ["word", "tokens"]
     if readings is None:
         return typed_keys(plain_prefixes(words.select(*word).distinct()), word)
-    read = token_readings(words.where("size(tokens) > 0"), readings)
-    return typed_keys(reading_prefixes(read), word).distinct()
+    return dictionary_keys(token_readings(words.where("size(tokens) > 0"), readings))

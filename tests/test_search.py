@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import datetime
+import itertools
 
+import pytest
 from pyspark.sql import functions as F
 
 from lumenrec.functions import text
@@ -95,6 +97,37 @@ def test_prefix_keys_of_two_tokens(frame, rows):
     ]
 
 
+def _plain_keys(tokens, readings):
+    """Every choice written out."""
+    keys = set()
+    for i in range(1, len(tokens) + 1):
+        for choice in itertools.product(*[readings.get(t, [t]) for t in tokens[:i]]):
+            head, last = "".join(choice[:-1]), choice[-1]
+            found = {head + last, "".join(c[:1] for c in choice)} | ({head + last[:1]} if len(last) > 1 else set())
+            keys |= {(k, "".join(tokens[:i]), i, len(tokens)) for k in found}
+    return sorted(keys)
+
+
+@pytest.mark.parametrize("width", [4096, 3, 1])
+def test_keys_of_the_shared_graph_are_those_of_all_choices(frame, rows, monkeypatch, width):
+    monkeypatch.setattr(words, "_WIDTH", width)
+    known = {"a": ["x", "xy", "yx"], "b": ["y", "yy"], "c": ["cc"], "d": ["x", "", "y"], "e": ["eins", "ein"]}
+    table = frame("token string, reading string", *[(t, r) for t, rs in known.items() for r in rs], ("q", None))
+    titles = [("abc", ["a", "b", "c"]), ("dab", ["d", "a", "b", "e"]), ("q", ["q"]), ("none", []), ("ebb", ["e", "b", "b"])]
+    got = words.prefix_keys(frame("word string, tokens array<string>", *titles, titles[0]), table)
+    for word, tokens in titles:
+        assert rows(got.where(F.col("word") == word), "search_key", "highlight", "i", "n") == _plain_keys(tokens, known)
+
+
+def test_a_word_of_sixty_tokens_with_two_readings_finishes(frame):
+    """2^60 choices, but only i + 1 texts from i tokens: keys are as many as the distinct texts."""
+    tokens = ["t"] * 60
+    table = frame("token string, reading string", ("t", "a"), ("t", "aa"))
+    got = words.prefix_keys(frame("word string, tokens array<string>", ("w", tokens)), table)
+    # i tokens give a^i … a^2i; the begun last syllable and the initials are among them.
+    assert {(r.i, r.n) for r in got.groupBy("i").agg(F.count("*").alias("n")).collect()} == {(i, i + 1) for i in range(1, 61)}
+
+
 def test_all_readings_are_combined(frame, rows):
     tokens = ["a", "b", "c"]
     readings = frame(

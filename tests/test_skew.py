@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from lumenrec.operators import activity, canonical, filters, lists, words
+from lumenrec.operators import activity, canonical, filters, lists, similar, words
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -38,6 +38,10 @@ def cases(spark):
     rows, items = hot(spark), spark.range(1000).select(F.col("id").alias("item_id"))
     risk = items.withColumn("risk", F.lit(1).cast("bigint"))
     docs = rows.select("user_id", F.concat(F.lit("hot w"), (F.col("user_id") % 500).cast("string")).alias("t")).where("user_id % 3 = 0")
+    tokens = F.array(F.lit("hot"), F.concat(F.lit("w"), F.col("user_id").cast("string")))
+    titles = rows.select(F.col("user_id").cast("string").alias("word"), tokens.alias("tokens"))
+    readings = spark.range(1000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("token"), F.lit("r").alias("reading"))
+    detail = items.select((F.col("item_id") + 5000).alias("item_id"), F.col("item_id").alias("cluster"), F.col("item_id").alias("popularity"))
     relation = items.withColumn("canonical_id", F.col("item_id") % 10)
     return {
         "valid_only": filters.valid_only(rows, items, "item_id"),
@@ -46,10 +50,12 @@ def cases(spark):
         "editor_weight": activity.editor_weight(rows, items, F.lit(2)),
         "fold_chunks": lists.fold_chunks(rows, ["item_id"], ["user_id"], F.col("user_id"), 1000),
         "keywords_tfidf": words.keywords_tfidf(docs, "user_id", "t"),
+        "token_readings": words.token_readings(titles, readings),
+        "similar_by_cluster": similar.similar_by_cluster(rows.select(F.col("score").alias("item_id"), F.col("item_id").alias("cluster")), detail, 2),
     }
 
 
-@pytest.mark.parametrize("name", ["valid_only", "risk_filter", "canonical_max_score", "editor_weight", "fold_chunks", "keywords_tfidf"])
+@pytest.mark.parametrize("name", ["valid_only", "risk_filter", "canonical_max_score", "editor_weight", "fold_chunks", "keywords_tfidf", "token_readings", "similar_by_cluster"])
 def test_hot_key_is_split(spark, small_thresholds, name):
     df = cases(spark)[name]
     assert len(df.collect()) > 0
