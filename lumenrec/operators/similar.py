@@ -1,7 +1,8 @@
 """Item-to-item similarity: by cluster, from sparse vectors, from dense vectors.
 
-The vector forms are exact. Sparse vectors meet on their features; a feature that very
-many items share is cut into slices that meet in separate tasks. Dense vectors meet in
+The vector forms are exact. Sparse vectors meet on their features; on a feature that very
+many items share only those meet that bounds of their cosine leave over, in slices of their
+own tasks. Dense vectors meet in
 blocks: one Arrow group per pair of blocks multiplies them with numpy and hands back only
 the best ``n`` partners of each left row.
 
@@ -17,10 +18,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenrec.operators.lists import top_n
-from lumenrec.operators.reduced import per_key
+from lumenrec.operators.reduced import distinct_keys, per_key
+from lumenrec.session import materialize
 
 # The block functions travel with the job; executors need numpy and pyarrow only.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -82,37 +84,140 @@ def similar_sparse(entries: DataFrame, n: int = 60, feature_rows: int = 4096) ->
 
     Items that share a feature meet on it; products are summed per pair (map-side first)
     and each pair is computed once for both directions. Pairs whose products cancel to 0
-    do not count. A feature of more than ``feature_rows`` items is cut into slices by a
-    hash of the item, and each slice meets each, so no task pairs a hot feature alone.
-    One row per (item, feature) is expected; ids of any type that can be ordered.
+    do not count. One row per (item, feature) is expected; ids of any type that can be ordered.
+
+    Features of more than ``feature_rows`` items are hot. Pairs are first made from the other,
+    rare features. By Cauchy-Schwarz the hot ones add at most the product of the two items'
+    lengths in them, so every item gets a lower bound of its ``n``-th best partner, and pairs
+    that cannot reach the bound of either item never meet on a hot feature (``hot_products``).
+    """
+    rows = materialize(
+        entries.where("weight <> 0 and item_id is not null and feature is not null").select(
+            "item_id", "feature", F.col("weight").cast("double").alias("w")
+        ), "entries",
+    )
+    hot = materialize(_hot_features(rows, feature_rows), "hot-features")
+    if hot.isEmpty():
+        parts = _rare_products(rows.join(_lengths(rows, hot), "item_id")).drop("ha", "hb")
+    else:
+        rare, met = hot_products(rows, hot, n)
+        parts = rare.unionByName(met)
+    dots = parts.groupBy("a", "b", "na", "nb").agg(F.sum("dot").alias("dot")).where("dot <> 0")
+    return _best(_both(dots, F.floor(_cosine() * SCALE).cast("bigint").alias("sim_ppm")), n)
+
+
+def _hot_features(rows: DataFrame, feature_rows: int) -> DataFrame:
+    """Features of more than ``feature_rows`` items, and in how many slices each is compared."""
+    counts = rows.groupBy("feature").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > feature_rows).select("feature", F.ceil(F.col("_n") / feature_rows).cast("int").alias("slices"))
+
+
+def _lengths(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Per item the squared length ``norm`` and ``h``, the share of its length that lies in hot features.
+
+    ``h`` is negative for an item with a negative weight there.
+    """
+    told = rows.join(hot.select("feature", F.lit(True).alias("_hot")), "feature", "left")
+    square = F.when(F.col("_hot"), F.col("w") * F.col("w")).otherwise(0.0)
+    sums = per_key(
+        told, ["item_id"], F.sum(F.col("w") * F.col("w")).alias("norm"), F.sum(square).alias("_square"),
+        F.max(F.coalesce(F.col("_hot") & (F.col("w") < 0), F.lit(False))).alias("_below"),
+    )
+    share = F.sqrt(F.col("_square") / F.col("norm"))
+    return sums.select("item_id", "norm", F.when(F.col("_below"), -share).otherwise(share).alias("h"))
+
+
+def _rare_products(known: DataFrame) -> DataFrame:
+    """Products of the pairs that share a feature → ``a, b, na, nb, ha, hb, dot`` (not summed), with a < b."""
+    side = lambda mine: [F.col(c).alias(x + mine) for c, x in (("w", "w"), ("norm", "n"), ("h", "h"))]
+    left = known.select("feature", F.col("item_id").alias("a"), *side("a"))
+    right = known.select(F.col("feature").alias("_f"), F.col("item_id").alias("b"), *side("b"))
+    met = left.join(right, (F.col("feature") == F.col("_f")) & (F.col("a") < F.col("b")))
+    return met.select("a", "b", "na", "nb", "ha", "hb", (F.col("wa") * F.col("wb")).alias("dot"))
+
+
+def _cosine() -> Column:
+    return F.col("dot") / F.sqrt(F.col("na") * F.col("nb"))
+
+
+def _both(pairs: DataFrame, *columns: Column) -> DataFrame:
+    """Every pair in both directions, as ``item_id`` and ``other_id``."""
+    ways = F.array(*[F.struct(F.col(x).alias("item_id"), F.col(y).alias("other_id")) for x, y in ("ab", "ba")])
+    return pairs.select(F.explode(ways).alias("_x"), *columns).select("_x.*", *[c for c in pairs.select(*columns).columns])
+
+
+# Items are told apart by their length in hot features in steps of the square root of 2; the last step has no end.
+_STEPS = 10
+
+
+def _step(length: Column) -> Column:
+    return F.least(F.floor(-2.0 * F.log2(length) + 1e-9), F.lit(_STEPS)).cast("int")
+
+
+def hot_products(rows: DataFrame, hot: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``(rare, met)``: summed rare products and single hot products of all pairs that may be among an ``n`` best.
+
+    Both have ``a, b, na, nb, dot``; a pair that occurs has all its products. An item asks for the others whose
+    hot length reaches what its bound wants from pairs without rare features; only these meet it on a hot feature
+    (the steps of hot lengths are part of the join key, so others are not even compared). A pair with rare
+    features that did not meet so, and whose upper bound reaches a bound, gets its hot products by its ids.
     """
-    rows = entries.where("weight <> 0 and item_id is not null and feature is not null").select(
-        "item_id", "feature", F.col("weight").cast("double").alias("w")
+    known = rows.join(_lengths(rows, hot), "item_id")
+    cold = known.join(distinct_keys(hot, "feature"), "feature", "left_anti")
+    sums = _rare_products(cold).groupBy("a", "b", "na", "nb", "ha", "hb").agg(F.sum("dot").alias("dot"))
+    rare = materialize(sums, "rare-pairs")
+    # What hot features add at most; without negative weights they take nothing away.
+    reach = F.abs(F.col("ha") * F.col("hb"))
+    least = _cosine() - F.when((F.col("ha") < 0) | (F.col("hb") < 0), reach).otherwise(0.0)
+    sure = _both(rare, least.alias("least")).where("least > 0")
+    last = top_n(sure, ["item_id"], [F.col("least").desc(), F.col("other_id")], n).where(F.col("pos") == n)
+    # One millionth of slack on either side keeps rounding on the safe side.
+    bounds = last.select("item_id", (F.col("least") - 2 / SCALE).alias("bound"))
+    items = distinct_keys(known, "item_id", "norm", "h").join(bounds, "item_id", "left")
+    length = F.abs("h")
+    wanted = F.col("bound") / length
+    asks = F.when(F.col("bound").isNull() | (F.col("bound") <= 0), _STEPS).when(wanted <= 1.0, _step(wanted)).otherwise(-1)
+    stats = materialize(
+        items.select("item_id", "norm", "h", "bound", F.when(length > 0, _step(length)).alias("at"), F.when(length > 0, asks).otherwise(-1).alias("asks")),
+        "hot-lengths",
     )
-    norms = per_key(rows, ["item_id"], F.sum(F.col("w") * F.col("w")).alias("norm"))
-    slices = per_key(rows, ["feature"], F.ceil(F.count(F.lit(1)) / feature_rows).cast("int").alias("slices"))
-    known = rows.join(norms, "item_id").join(slices.where("slices > 1"), "feature", "left")
-    known = known.withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn(
+
+    warm = rows.join(hot, "feature").join(stats.where("at is not null").drop("bound", "h"), "item_id").withColumn(
         "own", F.pmod(F.xxhash64("item_id"), "slices").cast("int")
     )
     every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
-    left = known.withColumn("other", every).select("feature", "own", "other", F.col("item_id").alias("a"), F.col("w").alias("wa"), F.col("norm").alias("na"))
-    right = known.withColumn("back", every).select(
-        F.col("feature").alias("f"), F.col("own").alias("other_"), F.col("back").alias("own_"),
-        F.col("item_id").alias("b"), F.col("w").alias("wb"), F.col("norm").alias("nb"),
+    asking = warm.where("asks >= 0").withColumn("other", every).withColumn("step", F.explode(F.sequence(F.lit(0), F.col("asks"))))
+    left = asking.select("feature", "own", "other", "step", *[F.col(c).alias(c + "_x") for c in ("item_id", "w", "norm", "at", "asks")])
+    right = warm.withColumn("back", every).select(
+        F.col("feature").alias("f"), F.col("own").alias("other_"), F.col("back").alias("own_"), F.col("at").alias("step_"),
+        *[F.col(c).alias(c + "_y") for c in ("item_id", "w", "norm", "asks")],
+    )
+    x, y = F.col("item_id_x"), F.col("item_id_y")
+    place = (F.col("feature") == F.col("f")) & (F.col("own") == F.col("own_")) & (F.col("other") == F.col("other_"))
+    # Of two items that ask for each other the smaller one makes the product.
+    once = (x < y) | ((x > y) & (F.col("asks_y") < F.col("at_x")))
+    pairs = left.join(right, place & (F.col("step") == F.col("step_")) & once)
+    first = x < y
+    asked = pairs.select(
+        F.when(first, x).otherwise(y).alias("a"), F.when(first, y).otherwise(x).alias("b"),
+        F.when(first, F.col("norm_x")).otherwise(F.col("norm_y")).alias("na"),
+        F.when(first, F.col("norm_y")).otherwise(F.col("norm_x")).alias("nb"), (F.col("w_x") * F.col("w_y")).alias("dot"),
     )
-    met = (F.col("feature") == F.col("f")) & (F.col("own") == F.col("own_")) & (F.col("other") == F.col("other_"))
-    dots = (
-        left.join(right, met & (F.col("a") < F.col("b")))
-        .groupBy("a", "b", "na", "nb").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-        .where("dot <> 0")
+
+    side = lambda mine: stats.select(
+        F.col("item_id").alias(mine), F.col("bound").alias("t" + mine), F.col("at").alias("at_" + mine), F.col("asks").alias("asks_" + mine)
     )
-    ppm = F.floor(F.col("dot") / F.sqrt(F.col("na") * F.col("nb")) * SCALE).cast("bigint")
-    both = F.explode(F.array(
-        F.struct(F.col("a").alias("item_id"), F.col("b").alias("other_id")), F.struct(F.col("b").alias("item_id"), F.col("a").alias("other_id"))
-    ))
-    pairs = dots.select(ppm.alias("sim_ppm"), both.alias("x")).select("x.item_id", "x.other_id", "sim_ppm")
-    return _best(pairs, n)
+    judged = rare.join(side("a"), "a").join(side("b"), "b")
+    meets = F.coalesce((F.col("asks_a") >= F.col("at_b")) | (F.col("asks_b") >= F.col("at_a")), F.lit(False))
+    most = _cosine() + reach
+    may = (most >= F.coalesce("ta", most)) | (most >= F.coalesce("tb", most))
+    judged = materialize(judged.withColumn("_meets", meets).where(F.col("_meets") | may), "judged-pairs")
+    by_id = judged.where(~F.col("_meets") & (F.col("ha") != 0) & (F.col("hb") != 0)).select("a", "b", "na", "nb")
+    of_a = warm.select(F.col("item_id").alias("a"), "feature", F.col("w").alias("wa"))
+    of_b = warm.select(F.col("item_id").alias("b"), "feature", F.col("w").alias("wb"))
+    looked_up = by_id.join(of_a, "a").join(of_b, ["b", "feature"]).select("a", "b", "na", "nb", (F.col("wa") * F.col("wb")).alias("dot"))
+    columns = ["a", "b", "na", "nb", "dot"]
+    return judged.select(*columns), asked.select(*columns).unionByName(looked_up.select(*columns))
 
 
 def _best(pairs: DataFrame, n: int) -> DataFrame:

@@ -194,6 +194,25 @@ def similar_sparse(inp: Inputs) -> DataFrame:
     return similar.similar_sparse(inp.sparse_vectors, 60)
 
 
+@query(
+    "similar_sparse_shared",
+    """SELECT item_id, other_id, sim_ppm, row_number() OVER (PARTITION BY item_id ORDER BY sim_ppm DESC, other_id) AS pos
+    FROM described_pairs QUALIFY pos <= 20""",
+    described="""SELECT item_id, 'u' || feature AS feature, weight FROM sparse_vectors
+      UNION ALL SELECT item_id, 'c' || cluster, 3 FROM items WHERE cluster IS NOT NULL
+      UNION ALL SELECT item_id, 'k' || category, 2 FROM items WHERE category IS NOT NULL""",
+    described_pairs=SPARSE_SQL.replace("sparse_vectors", "described"),
+)
+def similar_sparse_shared(inp: Inputs) -> DataFrame:
+    """Vectors with features that a large part of the items share: cluster and category next to the users."""
+    users = inp.sparse_vectors.select("item_id", F.concat(F.lit("u"), F.col("feature").cast("string")).alias("feature"), "weight")
+    traits = inp.items.select("item_id", F.explode(F.array(
+        F.struct(F.concat(F.lit("c"), F.col("cluster").cast("string")).alias("feature"), F.lit(3).cast("bigint").alias("weight")),
+        F.struct(F.concat(F.lit("k"), F.col("category").cast("string")).alias("feature"), F.lit(2).cast("bigint").alias("weight")),
+    )).alias("t")).select("item_id", "t.*")
+    return similar.similar_sparse(users.unionByName(traits.where("feature is not null")), 20, feature_rows=200)
+
+
 @query(
     "similar_dense",
     """

@@ -49,6 +49,35 @@ def test_sparse_equals_brute_force(spark, options):
     assert sorted(map(tuple, got.collect())) == brute_force(dict(enumerate(matrix)), 5, 0.0, positive=True)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_sparse_bounds_lose_no_partner(spark, seed):
+    """Two hot features; groups of close items elsewhere, negative weights, items with hot features only, ties."""
+    rng = np.random.default_rng(seed)
+    matrix = np.zeros((90, 60))
+    for i in range(80):
+        group = 2 + 5 * (i % 8)
+        matrix[i, group : group + 5] = rng.integers(3, 9, 5)
+        matrix[i, rng.choice(60, 2, replace=False)] = rng.integers(-4, 9, 2)
+    matrix[:70, 0] = rng.integers(1, 3, 70)
+    matrix[30:88, 1] = rng.integers(-2, 6, 58)
+    matrix[85] = matrix[84]
+    entries = [(int(i), int(f), int(matrix[i, f])) for i, f in zip(*np.nonzero(matrix))]
+    df = spark.createDataFrame(entries, "item_id bigint, feature bigint, weight bigint")
+    got = similar.similar_sparse(df, 4, feature_rows=25)
+    assert sorted(map(tuple, got.collect())) == brute_force(dict(enumerate(matrix)), 4, 0.0, positive=True)
+
+
+def test_sparse_bounds_spare_products(spark):
+    """All items share feature 0, but find their best partners on rare features."""
+    rows = [(i, 0, 1.0) for i in range(300)] + [(i, 1 + i // 6 * 3 + k, 5.0) for i in range(300) for k in range(3)]
+    df = spark.createDataFrame(rows, "item_id bigint, feature bigint, w double")
+    hot = similar._hot_features(df, 50)
+    rare, met = similar.hot_products(df, hot, 5)
+    assert [r.feature for r in hot.collect()] == [0]
+    # Within the 50 groups of six, 15 pairs each; all pairs of feature 0 would be 44,850.
+    assert rare.count() == 750 and met.count() == 750
+
+
 def test_dense_inside_groups(spark):
     rng = np.random.default_rng(6)
     vectors = {i: rng.normal(size=6) for i in range(40)}
