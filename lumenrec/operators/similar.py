@@ -3,7 +3,7 @@
 The vector forms are exact. Sparse vectors meet on their features; on a feature that very
 many items share only those meet that bounds of their cosine leave over, in slices of their
 own tasks. Dense vectors meet in
-blocks: one Arrow group per pair of blocks multiplies them with numpy and hands back only
+blocks, and only in those that angles to pivots leave open: one Arrow group per pair of blocks multiplies them with numpy and hands back only
 the best ``n`` partners of each left row.
 
 Scores are compared in whole millionths, so near ties rank the same on any CPU.
@@ -12,7 +12,7 @@ Scores are compared in whole millionths, so near ties rank the same on any CPU.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,32 +51,111 @@ def similar_by_cluster(prefer: DataFrame, detail: DataFrame, n: int = 70) -> Dat
     )
 
 
-def similar_dense(vectors: DataFrame, n: int = 60, within: str | None = None, block_rows: int = 8192) -> DataFrame:
+def similar_dense(
+    vectors: DataFrame, n: int = 60, within: str | None = None, block_rows: int = 8192, pivots: int = 64
+) -> DataFrame:
     """Cosine top-``n`` of ``(item_id, vector)`` → ``(item_id, other_id, sim_ppm, pos)``.
 
-    With ``within`` only items that share that column's value are compared. Each group is
-    cut into as many blocks as its own size asks for, and every block meets every block of
-    its group, so a small group is not copied on behalf of a large one. Item ids may be of
-    any type that can be ordered. The number of partitions does not depend on the number
-    of blocks: a task multiplies several pairs one after the other.
+    With ``within`` only items that share that column's value are compared. A group of more
+    than ``block_rows`` items is cut into blocks of items that lie near one pivot. A block first
+    meets itself; it then meets those blocks of its group that the angles between pivots and the
+    radii of the blocks do not put behind the ``n``-th best of all its rows (``block_pairs``). So
+    nothing is lost, and how much is skipped depends on how far the vectors cluster. Pivots are
+    the ``pivots`` rows with the smallest id hash, the only rows that the driver gets. Blocks should
+    be well over ``n`` rows: a row with fewer partners in its own block has no bound.
+    Item ids may be of any type that can be ordered. The number of partitions does not depend
+    on the number of blocks: a task multiplies several pairs one after the other.
     """
     group = F.lit(0) if within is None else F.col(within)
     rows = vectors.where("item_id is not null and vector is not null").select(
         "item_id", F.col("vector").cast("array<double>").alias("vector"), group.alias("_group")
     )
-    sizes = per_key(rows, ["_group"], F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks"))
-    sized = rows.join(sizes.withColumnRenamed("_group", "_g"), F.col("_group").eqNullSafe(F.col("_g"))).drop("_g")
-    # A salt keeps a group with many rows from being dealt to one task before it is cut.
-    home = F.pmod(F.xxhash64("item_id"), F.col("_blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    left = sized.withColumn("_left", home).withColumn("_right", every).drop("_blocks")
-    again = sized.select([F.col(c).alias(c) for c in sized.columns])  # fresh names: both sides are one table
-    right = again.withColumn("_right", home).withColumn("_left", every).drop("_blocks")
+    many = per_key(rows, ["_group"], F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).select(F.col("_group").alias("_g"))
+    many = materialize(many, "large-groups")
+    if many.isEmpty():
+        whole = rows.withColumn("_block", F.lit("0"))
+        return _best(_multiplied(whole, whole, ["_group", "_block"], n), n)
+    placed, angles = _in_blocks(rows, many, block_rows, pivots)
+    near, pairs = block_pairs(placed, angles, n)
+    pairs = pairs.where("meets").select("_group", F.col("left").alias("_left"), F.col("right").alias("_right"))
     keys = ["_group", "_left", "_right"]
-    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    base = placed.select("item_id", "vector", F.col("_group").alias("_g"), "_block")
+    side = lambda mine: base.join(
+        pairs, F.col("_g").eqNullSafe(F.col("_group")) & (F.col("_block") == F.col(mine))
+    ).select("item_id", "vector", *keys)
+    return _best(near.unionByName(_multiplied(side("_left"), side("_right"), keys, n)), n)
+
+
+def _multiplied(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The ``n`` best right partners of every left row, among the rows with equal keys."""
+    tasks = 4 * left.sparkSession.sparkContext.defaultParallelism
+    right = right.select([F.col(c).alias(c) for c in right.columns])  # fresh names: both sides may be one table
     met = left.repartition(tasks, *keys).groupBy(*keys).cogroup(right.repartition(tasks, *keys).groupBy(*keys))
-    kind = rows.schema["item_id"].dataType.simpleString()
-    return _best(met.applyInArrow(_dense_task(n), f"item_id {kind}, other_id {kind}, sim_ppm bigint"), n)
+    kind = left.schema["item_id"].dataType.simpleString()
+    return met.applyInArrow(_dense_task(n), f"item_id {kind}, other_id {kind}, sim_ppm bigint")
+
+
+def _in_blocks(rows: DataFrame, many: DataFrame, block_rows: int, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_cell`` (nearest pivot), ``_angle`` to it and ``_block``, and the angles between the pivots.
+
+    A small group is one block. Zero vectors have no partners and are left out.
+    """
+    known = rows.where(F.exists("vector", lambda x: x != 0) & ~F.exists("vector", F.isnan))
+    first = known.orderBy(F.xxhash64("item_id"), "item_id").limit(pivots).select("vector").collect()
+    centres = np.array([r.vector for r in first], dtype=np.float64)
+    if len(centres):
+        centres /= np.sqrt((centres * centres).sum(axis=1))[:, None]
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
+            matrix = flat.reshape(batch.num_rows, -1)
+            cosine = matrix @ centres.T / np.sqrt((matrix * matrix).sum(axis=1))[:, None]
+            cell = cosine.argmax(axis=1)
+            angle = np.arccos(np.clip(cosine[np.arange(len(cell)), cell], -1.0, 1.0))
+            yield batch.append_column("_cell", pa.array(cell.astype(np.int32))).append_column("_angle", pa.array(angle))
+
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in known.schema.fields]
+    dealt = known.mapInArrow(nearest, ", ".join([*columns, "_cell int", "_angle double"]))
+    large = dealt.join(many.withColumn("_large", F.lit(True)), F.col("_group").eqNullSafe(F.col("_g")), "left").drop("_g")
+    large = large.withColumn("_cell", F.when(F.col("_large"), F.col("_cell")).otherwise(-1)).drop("_large")
+    sizes = per_key(large, ["_group", "_cell"], F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_parts"))
+    sizes = sizes.select(F.col("_group").alias("_g"), F.col("_cell").alias("_c"), "_parts")
+    sized = large.join(sizes, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_cell") == F.col("_c"))).drop("_g", "_c")
+    part = F.pmod(F.xxhash64("item_id"), F.col("_parts"))
+    block = F.concat_ws(":", F.col("_cell").cast("string"), part.cast("string"))
+    between = [
+        (p, q, float(np.arccos(np.clip(centres[p] @ centres[q], -1.0, 1.0))) if p != q else 0.0)
+        for p in range(len(centres)) for q in range(len(centres))
+    ]
+    angles = rows.sparkSession.createDataFrame(between, "_left_cell int, _right_cell int, _between double")
+    return materialize(sized.withColumn("_block", block).drop("_parts"), "blocks"), angles
+
+
+def block_pairs(placed: DataFrame, angles: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``(near, pairs)``: the best partners of every row in its own block, and all other ordered pairs of blocks.
+
+    ``pairs`` has ``_group, left, right, meets``. For a row x of the left block with pivot p and a row y of the
+    right one with pivot q, angle(x, y) >= angle(p, q) - angle(p, x) - angle(q, y). A right block does not meet
+    the left one if the cosine so bounded lies behind the ``n``-th best that each left row has in its own block.
+    """
+    keys = ["_group", "_block"]
+    plain = placed.select("item_id", "vector", *keys)
+    near = materialize(_multiplied(plain, plain, keys, n), "near")
+    # A row with fewer than n partners in its own block takes any other.
+    last = per_key(near, ["item_id"], F.when(F.count(F.lit(1)) >= n, F.min("sim_ppm")).alias("_last"))
+    worst = F.min(F.coalesce("_last", F.lit(-2 * int(SCALE)))).alias("_worst")
+    told = placed.select("item_id", *keys, "_cell", "_angle").join(last, "item_id", "left")
+    blocks = materialize(told.groupBy(*keys, "_cell").agg(F.max("_angle").alias("_radius"), worst), "block-bounds")
+    left = blocks.select("_group", F.col("_block").alias("left"), F.col("_cell").alias("_left_cell"), F.col("_radius").alias("_r"), "_worst")
+    right = blocks.select(
+        F.col("_group").alias("_g"), F.col("_block").alias("right"), F.col("_cell").alias("_right_cell"), F.col("_radius").alias("_s")
+    )
+    others = left.join(right, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("left") != F.col("right")))
+    least = F.greatest(F.lit(0.0), F.col("_between") - F.col("_r") - F.col("_s"))
+    # One millionth of slack covers the rounding of the angles.
+    meets = F.floor(F.cos(least) * SCALE + 0.5) + 1 >= F.col("_worst")
+    return near, others.join(angles, ["_left_cell", "_right_cell"]).select("_group", "left", "right", meets.alias("meets"))
 
 
 def similar_sparse(entries: DataFrame, n: int = 60, feature_rows: int = 4096) -> DataFrame:

@@ -226,6 +226,20 @@ def similar_dense(inp: Inputs) -> DataFrame:
     return similar.similar_dense(inp.dense_vectors, 60)
 
 
+@query(
+    "similar_dense_blocks",
+    """
+    SELECT item_id, other_id, sim_ppm, row_number() OVER (PARTITION BY item_id ORDER BY sim_ppm DESC, other_id) AS pos FROM (
+      SELECT a.vec_id AS item_id, b.vec_id AS other_id,
+        CAST(floor(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) * 1000000.0 + 0.5) AS BIGINT) AS sim_ppm
+      FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
+    QUALIFY pos <= 5""",
+)
+def similar_dense_blocks(inp: Inputs) -> DataFrame:
+    """The same in blocks around eight pivots, small enough that several are made of a small table."""
+    return similar.similar_dense(inp.dense_vectors, 5, block_rows=256, pivots=8)
+
+
 @query(
     "job_similar_dense",
     """

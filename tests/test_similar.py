@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumenrec.operators import similar
 
@@ -90,6 +91,22 @@ def test_dense_inside_groups(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_dense_blocks_far_from_each_other_are_skipped(spark):
+    """Twelve tight bunches: blocks of different bunches never meet, and the result is the whole one."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 10))
+    vectors = {i: centres[i % 12] + 0.02 * rng.normal(size=10) for i in range(360)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "item_id bigint, vector array<double>")
+    got = similar.similar_dense(df, 5, block_rows=40, pivots=24)
+    assert sorted(map(tuple, got.collect())) == brute_force(vectors, 5, 0.5, positive=False)
+    many = spark.createDataFrame([(0,)], "_g int")
+    placed, angles = similar._in_blocks(df.withColumn("_group", F.lit(0)), many, 40, 24)
+    _, pairs = similar.block_pairs(placed, angles, 5)
+    counts = {r.meets: r["count"] for r in pairs.groupBy("meets").count().collect()}
+    blocks = placed.select("_block").distinct().count()
+    assert sum(counts.values()) == blocks * (blocks - 1) and counts[False] > counts[True]
+
+
 def test_sparse_of_nothing(spark):
     assert similar.similar_sparse(spark.createDataFrame([], "item_id bigint, feature bigint, weight bigint")).count() == 0
 
