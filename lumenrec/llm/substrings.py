@@ -4,7 +4,8 @@ In the order of doc_id, each window of ``WINDOW`` words that occurs earlier is a
 merge to spans. There is no greedy Lempel-Ziv parse: its factors would depend on where blocks end. A
 window belongs to the block of its *anchor*, the smallest hash among its runs of 10 words, so equal
 windows meet in one block wherever they stand. Windows are equal if their anchor (64 bits) and their own
-hash (64 bits in a chunk, 48 in a block) are; a word's hash has 64 bits.
+hash (64 bits in a chunk, 48 in a block) are; a word's hash has 64 bits. The windows of anchors that
+are too frequent for one block (``hot_anchors``) are dealt by anchor and window hash instead.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenrec.llm.common import mix, read, stream_groups, text_rows, width
+from lumenrec.llm.common import materialize, mix, read, stream_groups, text_rows, width
 
 WINDOW = 20
 ANCHOR = 10
@@ -80,6 +81,19 @@ def least_of(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (n - length)], x[n - length :]) if n > length else x
 
 
+def frequent(keys: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with the sums of their counts; of more than ``n`` keys, the others' largest sum is taken off each.
+
+    Repeated calls on what is left and new keys miss at most the total divided by ``n`` of any key's sum.
+    """
+    keys, at = np.unique(keys, return_inverse=True)
+    counts = np.bincount(at, counts, len(keys)).astype(np.int64)
+    if len(keys) > n:
+        counts -= np.partition(counts, len(keys) - n - 1)[len(keys) - n - 1]
+        keys, counts = keys[counts > 0], counts[counts > 0]
+    return keys, counts
+
+
 def planes(x: np.ndarray) -> bytes:
     """The bytes of an array of numbers, first all lowest ones, and so on: what is small compresses well."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
@@ -120,12 +134,18 @@ _SCHEMA = pa.schema(
 )
 
 
-def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks: int) -> pa.RecordBatch:
+def anchors_of(h: np.ndarray) -> np.ndarray:
+    """The anchor of each window over the word hashes ``h``."""
+    return least_of(mix(runs_of(h, ANCHOR)), WINDOW - ANCHOR + 1)
+
+
+def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks: int, hot: np.ndarray) -> pa.RecordBatch:
     """Compare a chunk's windows with each other; deal what is first in the chunk to the blocks.
 
     The rows are spans already found (block, doc_id, part, spans), and for each block the windows that
     no earlier place in the chunk has, as runs: anchor, document, place, number of windows, and 48
     bits of the hash of each window. So a passage that many documents share is dealt once a chunk.
+    A window whose anchor is in ``hot`` (sorted) is a run by itself and goes where its own hash sends it.
     """
     by = np.lexsort((parts, ids))
     texts, ids, parts = [texts[k] for k in by], ids[by], parts[by]
@@ -139,7 +159,7 @@ def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks:
     n = len(h) - WINDOW + 1
     at = np.flatnonzero(doc[:n] == doc[WINDOW - 1 :])  # windows within one document
     window = mix(runs_of(h, WINDOW))[at]
-    anchor = least_of(mix(runs_of(h, ANCHOR)), WINDOW - ANCHOR + 1)[at]
+    anchor = anchors_of(h)[at]
     doc = doc[at]
     # rows that repeat a document (same id, same text) are one document: only the first is parsed
     again = np.append(False, (ids[1:] == ids[:-1]) & (parts[1:] == parts[:-1]))
@@ -166,10 +186,12 @@ def parse_chunk(ids: np.ndarray, parts: np.ndarray, texts: list[bytes], blocks:
 
     at, window, anchor, doc, place = (x[~found] for x in (at, window, anchor, doc, place))
     if len(at):
-        new = np.append(True, (np.diff(at) != 1) | (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))
+        split = np.isin(anchor, hot)
+        new = split | np.append(True, (np.diff(at) != 1) | (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))
         heads = np.flatnonzero(new)
         count = np.diff(np.append(heads, len(at)))
-        target = ((mix(anchor[heads]) >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+        key = np.where(split[heads], anchor[heads] ^ mix(window[heads] & _LOW48), anchor[heads])
+        target = ((mix(key) >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(target, kind="stable")
         cuts = np.searchsorted(target[order], np.arange(blocks + 1))
         low = np.ascontiguousarray((window & _LOW48).view(np.uint8).reshape(-1, 8)[:, :6])
@@ -254,29 +276,65 @@ def unpack_found(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": found["doc_id"], "part": found["part"], "spans": pa.array(spans, pa.binary())})
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list[bytes]]]:
+    """Ids, parts and texts of a task's rows, some ``CHUNK`` bytes of text at a time."""
+    ids, parts, texts, size = [], [], [], 0
+    for batch in batches:
+        for i, p, t in zip(batch["doc_id"].to_pylist(), batch["part"].to_pylist(), batch["text"]):
+            text = t.as_py()
+            ids.append(np.iinfo(np.int64).max if i is None else i)
+            parts.append(p)
+            texts.append(text)
+            size += len(text) + 1
+            if size >= CHUNK:
+                yield ids, parts, texts
+                ids, parts, texts, size = [], [], [], 0
+    if texts:
+        yield ids, parts, texts
+
+
+def hot_anchors(rows: DataFrame, blocks: int) -> np.ndarray:
+    """Anchors (sorted) of so many windows that these would fill an eighth of an average block or more.
+
+    Each task keeps its most frequent anchors in a summary of 16 keys a block, which misses at most a
+    sixteenth of a block of any anchor over all tasks; only the summaries are shuffled. What passes is at most
+    16 anchors a block, so the list does not grow with the rows. An anchor below the eighth may pass too, but none
+    of ``WINDOW`` windows or fewer does.
+    """
+    n = 16 * blocks
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        for _, _, texts in _chunks(batches):
+            # windows over the seams of texts are counted too: some 20 a text
+            _, h = word_hashes(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
+            if len(h) >= WINDOW:
+                more = anchors_of(h)
+                total += len(more)
+                keys, counts = frequent(np.append(keys, more), np.append(counts, np.ones(len(more), np.int64)), n)
+        yield pa.record_batch({"anchor": pa.array([None, *keys.view(np.int64).tolist()], pa.int64()), "n": pa.array([total, *counts.tolist()], pa.int64())})
+
+    sums = rows.mapInArrow(count, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
+    sums = materialize(sums, "anchors")
+    total = sums.filter(F.col("anchor").isNull()).first()
+    # the eighth of a block, less what the summaries may miss
+    found = sums.filter(F.col("anchor").isNotNull() & (F.col("n") > max(WINDOW, (total.n if total else 0) / n))).select("anchor")
+    return np.sort(np.array([r.anchor for r in found.collect()], np.int64).view(np.uint64))
+
+
 def duplicate_spans(rows: DataFrame, blocks: int) -> DataFrame:
     """(doc_id, part, spans): word spans (first word, words; pairs of 32 bits) that occur earlier.
 
     ``rows`` has doc_id, text (binary) and part, which tells texts with one id apart. A null id comes
     after all others. Hashes are shuffled to the blocks, spans back to buckets of documents, each
-    document's as one row; texts stay where they are read.
+    document's as one row; texts stay where they are read, and are read twice (``hot_anchors``).
     """
     partitions = width(rows)
+    hot = hot_anchors(rows, blocks)
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, parts, texts, size = [], [], [], 0
-        for batch in batches:
-            for i, p, t in zip(batch["doc_id"].to_pylist(), batch["part"].to_pylist(), batch["text"]):
-                text = t.as_py()
-                ids.append(np.iinfo(np.int64).max if i is None else i)
-                parts.append(p)
-                texts.append(text)
-                size += len(text) + 1
-                if size >= CHUNK:
-                    yield parse_chunk(np.array(ids, np.int64), np.array(parts, np.int64), texts, blocks)
-                    ids, parts, texts, size = [], [], [], 0
-        if texts:
-            yield parse_chunk(np.array(ids, np.int64), np.array(parts, np.int64), texts, blocks)
+        for ids, parts, texts in _chunks(batches):
+            yield parse_chunk(np.array(ids, np.int64), np.array(parts, np.int64), texts, blocks, hot)
 
     dealt = rows.mapInArrow(
         chunks,
@@ -329,7 +387,7 @@ def deduplicate(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     apart by their hash. A null id comes last. An empty table gives an empty result.
 
     Windows are compared by 112 bits or more of hashes. ``blocks`` (default: four a shuffle partition) deals anchors,
-    and a task holds one block's windows; those of a single anchor are not split.
+    and a task holds one block's windows; those of an anchor that would fill much of a block are dealt to all blocks.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

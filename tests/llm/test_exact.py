@@ -12,8 +12,10 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lumenrec.llm import decontaminate, substrings, subwords, tokenids
+from lumenrec.llm.common import text_rows
 from lumenrec.llm.queries import ORACLES, QUERIES
 from tests.compare import differences, duck
 
@@ -138,6 +140,39 @@ def test_substring_edge_cases(hard, docs):
     assert substrings.deduplicate(docs()).count() == 0
 
 
+def test_a_passage_of_many_documents_is_dealt_to_many_blocks(docs, spark):
+    """Windows over the ends of a passage hold words of their own, but share its anchors."""
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts = [(k, f"a{k} b{k} c{k} {passage} x{k} y{k} z{k}" if k % 3 else f"{k} " * 3 + "other words here") for k in range(900)]
+    rows = text_rows(docs(*texts)).withColumn("part", F.xxhash64("text"))
+    hot = substrings.hot_anchors(rows, 8)
+    plain = [(i, t.encode()) for i, t in texts]
+    ids, parts = np.array([i for i, _ in plain], np.int64), np.zeros(len(plain), np.int64)
+    most = []
+    for given in (np.zeros(0, np.uint64), hot):
+        dealt = substrings.parse_chunk(ids, parts, [t for _, t in plain], 8, given).to_pylist()
+        windows = {}
+        for r in dealt:
+            if r["windows"]:
+                windows[r["block"]] = windows.get(r["block"], 0) + len(r["windows"]) // 6
+        most.append(max(windows.values()) / sum(windows.values()))
+    assert 0 < len(hot) <= 16 * 8 and most[0] > 0.3 and most[1] < 0.2
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.deduplicate(docs(*texts), blocks=8).collect()} == plain_dedup(texts)
+
+
+def test_frequent_keys_miss_no_more_than_their_bound():
+    rng = np.random.default_rng(3)
+    stream = np.append(rng.zipf(1.3, 20_000) % 5000, np.full(3000, 77)).astype(np.uint64)
+    rng.shuffle(stream)
+    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for part in np.array_split(stream, 30):
+        keys, counts = substrings.frequent(np.append(keys, part), np.append(counts, np.ones(len(part), np.int64)), 50)
+    kept = dict(zip(keys.tolist(), counts.tolist()))
+    assert len(kept) <= 50
+    for key, n in zip(*np.unique(stream, return_counts=True)):
+        assert n - len(stream) / 50 <= kept.get(int(key), 0) <= n
+
+
 def test_hash_helpers():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 63, 50, np.uint64)
