@@ -294,14 +294,14 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
 
 
 def hot_anchors(rows: DataFrame, blocks: int) -> np.ndarray:
-    """Anchors (sorted) of so many windows that these would fill an eighth of an average block or more.
+    """Anchors (sorted) that have more windows than an average block, or than 64 for each task of the scan.
 
-    Each task keeps its most frequent anchors in a summary of 16 keys a block, which misses at most a
-    sixteenth of a block of any anchor over all tasks; only the summaries are shuffled. What passes is at most
-    16 anchors a block, so the list does not grow with the rows. An anchor below the eighth may pass too, but none
-    of ``WINDOW`` windows or fewer does.
+    Each task keeps its most frequent anchors in a summary of 8 keys a block and hands on those of more than
+    16 windows and of more than 1 / (8 blocks) of its windows. Over all tasks, any anchor's sum is short by at
+    most a quarter of a block and 16 windows a task, so anchors whose sum exceeds half the bound are taken: at
+    most two a block, a list that does not grow with the rows.
     """
-    n = 16 * blocks
+    n = 8 * blocks
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
@@ -312,13 +312,17 @@ def hot_anchors(rows: DataFrame, blocks: int) -> np.ndarray:
                 more = anchors_of(h)
                 total += len(more)
                 keys, counts = frequent(np.append(keys, more), np.append(counts, np.ones(len(more), np.int64)), n)
-        yield pa.record_batch({"anchor": pa.array([None, *keys.view(np.int64).tolist()], pa.int64()), "n": pa.array([total, *counts.tolist()], pa.int64())})
+        many = counts > max(16, total / n)
+        yield pa.record_batch(
+            {"anchor": pa.array([None, *keys[many].view(np.int64).tolist()], pa.int64()), "n": pa.array([total, *counts[many].tolist()], pa.int64())}
+        )
 
-    sums = rows.mapInArrow(count, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(count, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"), F.count("*").alias("tasks"))
     sums = materialize(sums, "anchors")
-    total = sums.filter(F.col("anchor").isNull()).first()
-    # the eighth of a block, less what the summaries may miss
-    found = sums.filter(F.col("anchor").isNotNull() & (F.col("n") > max(WINDOW, (total.n if total else 0) / n))).select("anchor")
+    whole = sums.filter(F.col("anchor").isNull()).first()
+    if whole is None:
+        return np.zeros(0, np.uint64)
+    found = sums.filter(F.col("anchor").isNotNull() & (F.col("n") > max(whole.n / blocks, 64 * whole.tasks) / 2)).select("anchor")
     return np.sort(np.array([r.anchor for r in found.collect()], np.int64).view(np.uint64))
 
 
