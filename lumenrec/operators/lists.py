@@ -124,6 +124,16 @@ def random_take(df: DataFrame, key: str, item: str, n: int, seed: int = 7) -> Da
     return top_n(df, [key], [shuffle_digest(seed, key, item), F.col(item)], n).select(key, item, "pos")
 
 
+def random_head(df: DataFrame, key: str, item: str, n: int, seed: int = 7) -> DataFrame:
+    """The first ``n`` distinct items of each key's shuffled list → (key, item, rank).
+
+    What RANDOM gives, cut before the shuffle; repeated rows of an item share its place.
+    """
+    order = Window.partitionBy(key).orderBy(shuffle_digest(seed, key, item), F.col(item))
+    placed = df.where(F.col(key).isNotNull()).withColumn("_place", F.dense_rank().over(order)).where(F.col("_place") <= n)
+    return placed.select(key, item, F.col("_place").cast("bigint").alias("rank"))
+
+
 def stratified_sample(
     df: DataFrame, key: str, item: str, quotas: Mapping[str, int], seed: int = 7
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lumenrec.operators.lists import ordered_positions
+from lumenrec.operators.lists import ordered_positions, top_n
 from lumenrec.operators.similar import similar_by_cluster
 from lumenrec.session import materialize, spread
 
@@ -215,22 +215,39 @@ class Inputs:
             "user_id", F.col("other_id").alias("item_id"), F.col("pos").alias("rank")
         )
 
-    def _favourites(self, shelf: DataFrame) -> DataFrame:
-        """The whole shelf of the cluster and category the user took most from."""
+    @cached_property
+    def liked(self) -> DataFrame:
+        """Per user the cluster and category they took most from."""
         kinds = self.items.select("item_id", F.concat_ws("/", "category", "cluster").alias("shelf"))
         counts = self.taken.join(kinds, "item_id").groupBy("user_id", "shelf").agg(F.sum("times").alias("n"))
         best = counts.groupBy("user_id").agg(F.max(F.struct("n", "shelf")).alias("_best"))
-        liked = best.select("user_id", F.col("_best.shelf").alias("shelf"))
+        return best.select("user_id", F.col("_best.shelf").alias("shelf"))
+
+    def favourites(self, shelf: DataFrame, numbered: bool = True) -> DataFrame:
+        """The whole shelf that the user likes; ``rank`` is the place, or only sorts like it."""
         named = shelf.withColumn("shelf", F.concat_ws("/", "category", "cluster"))
-        return liked.join(ordered_positions(named, "shelf", "item_id", "rating", "rank"), "shelf").select("user_id", "item_id", "rank")
+        if numbered:
+            placed = ordered_positions(named, "shelf", "item_id", "rating", "rank")
+        else:
+            placed = named.select("shelf", "item_id", (-F.col("rating")).alias("rank"))
+        return self.liked.join(placed, "shelf").select("user_id", "item_id", "rank")
+
+    def first_taken(self, value: str, n: int) -> DataFrame:
+        """The first ``n`` of ``cluster_candidates`` (by ``total``) or ``series_candidates`` (by ``last_ts``)."""
+        rows = self.taken.where("user_id IS NOT NULL")
+        return top_n(rows, ["user_id"], [F.col(value).desc(), F.col("item_id")], n, "rank").select("user_id", "item_id", "rank")
+
+    @property
+    def model_shelf(self) -> DataFrame:
+        return self.items.where("status = 1")
 
     @cached_property
     def model_candidates(self) -> DataFrame:
-        return self._favourites(self.items.where("status = 1"))
+        return self.favourites(self.model_shelf)
 
     @cached_property
     def vip_candidates(self) -> DataFrame:
-        return self._favourites(self.items.where("status = 1 and vip"))
+        return self.favourites(self.model_shelf.where("vip"))
 
     def event_stream(self) -> DataFrame:
         """The events table as a stream of files (a single file or a folder of parts)."""

@@ -91,7 +91,7 @@ def front_page(
 
     Four candidate lists are cut or shuffled, mixed 3:1:1:1 to 200 per user, cleared
     of what the user has seen and of risky items, and cut to 50. The VIP list leaves
-    out everything the interest list kept before its cut.
+    out everything the interest list kept before its cut. Ranks need only sort a list.
     """
     rank = [F.col("rank"), F.col("item_id")]
 
@@ -104,7 +104,8 @@ def front_page(
             operate(cluster, lists.TAKE_AND_RANDOM, CANDIDATES),
             operate(series, lists.TAKE, CANDIDATES),
             operate(similar, lists.TAKE, CANDIDATES),
-            operate(model, lists.RANDOM),
+            # of a shuffled list only the first items can be in the mix, as many as it holds
+            lists.random_head(model, "user_id", "item_id", MIXED),
         ],
         "user_id", "item_id", MIXED, RATIO, FRONT_RATIO,
     )

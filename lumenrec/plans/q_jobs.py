@@ -10,7 +10,7 @@ from lumenrec.plans import jobs
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.q_lists import QUOTAS, SPARSE_SQL, _MIXED
 from lumenrec.plans.registry import query
-from lumenrec.session import new_scratch
+from lumenrec.session import materialize, new_scratch
 from lumenrec.sources import snapshots
 
 DATE = "20010630"
@@ -320,13 +320,15 @@ _FRONT = {
 def _front_page(inp: Inputs) -> dict[str, DataFrame]:
     """Exposures are the job's own last two outputs, which stand in the snapshot when it starts."""
     inp.share_taken()
+    inp.liked = materialize(inp.liked, "liked")
     earlier = inp.taken.where("returned").select("user_id", "item_id")
     halves = [earlier.where(F.pmod(F.xxhash64("user_id", "item_id"), F.lit(2)) == k) for k in (0, 1)]
     base = _snapshot(inp, *halves)
     read = [snapshots.read_snapshot(inp.spark, base, "test", "demo", "lists", which) for which in ("latest", "backup")]
     return jobs.front_page(
-        inp.cluster_candidates, inp.series_candidates, inp.similar_candidates, inp.model_candidates,
-        inp.vip_candidates, filters.union_exposures(*read), inp.user_risk, inp.item_risk,
+        inp.first_taken("total", jobs.CANDIDATES), inp.first_taken("last_ts", jobs.CANDIDATES), inp.similar_candidates,
+        inp.favourites(inp.model_shelf, numbered=False), inp.favourites(inp.model_shelf.where("vip"), numbered=False),
+        filters.union_exposures(*read), inp.user_risk, inp.item_risk,
     )
 
 

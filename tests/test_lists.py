@@ -160,3 +160,13 @@ def test_messages_can_be_written_to_files(spark, frame, tmp_path):
     df = frame("key string, value string", ("k", "v"))
     publish.write_messages(df, "parquet", "lists", path=str(tmp_path / "out"))
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("k", "v", "lists")]
+
+
+def test_random_head_begins_the_shuffled_list(spark):
+    df = spark.createDataFrame([(k % 3 if k % 50 else None, k) for k in range(400)], "u int, i int")
+    whole = lists.list_operation(df, "u", "i", [F.col("i")], lists.RANDOM).where("pos <= 20").collect()
+    head = lists.random_head(df, "u", "i", 20)
+    assert sorted((r.u, r.i, r.pos) for r in whole) == sorted((r.u, r.i, r["rank"]) for r in head.collect())
+    twice = lists.random_head(df.union(df), "u", "i", 20)
+    assert sorted(map(tuple, twice.distinct().collect())) == sorted(map(tuple, head.collect())) and twice.count() == 2 * head.count()
+    assert "WindowGroupLimit" in head._jdf.queryExecution().executedPlan().toString()
