@@ -146,6 +146,32 @@ def plain_log10(ids, classes, inner, model):
     return total
 
 
+def test_language_score_of_a_whole_table_against_the_plain_model(spark, monkeypatch):
+    """The query's scores are those of the fitted model, one token of every whole text at a time."""
+    fitted = {}
+    train, inner_of = language.train, language.Classes.inner
+
+    def keep_model(rows, classes, tokenizer):
+        fitted["classes"], fitted["model"] = classes, train(rows, classes, tokenizer)
+        return fitted["model"]
+
+    def keep_inner(self, *counts):
+        fitted["inner"] = inner_of(self, *counts)
+        return fitted["inner"]
+
+    monkeypatch.setattr(language, "train", keep_model)
+    monkeypatch.setattr(language.Classes, "inner", keep_inner)
+    got = {r.doc_id: r.score for r in language.op3_attention_lm(spark, SMALL).collect()}
+    encoder = language.subwords.encoder(language.TOKENIZER)
+    texts = pq.read_table(f"{SMALL}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    assert got.keys() == {r["doc_id"] for r in texts}
+    for r in texts:
+        words = language.words_of((r["text"] or "").encode())
+        ids = [int(i) for w in words for i in np.frombuffer(language.encode_words(encoder, [w])[0], encoder.kind)]
+        want = plain_log10([*ids, encoder.size], fitted["classes"], fitted["inner"], fitted["model"])
+        assert got[r["doc_id"]] == pytest.approx(want, rel=1e-5)
+
+
 def test_windows_score_each_token_once(toy):
     classes, inner, model = toy
     rng = np.random.default_rng(5)

@@ -185,3 +185,23 @@ def test_quality_score_of_a_whole_table_against_the_network(spark):
         hidden = (n / max(1, n.sum())) @ model.vectors[found].astype(np.float64)
         z = hidden @ model.output + model.bias
         assert got[i] == pytest.approx(1 / (1 + np.exp(z[0] - z[1])), abs=1e-6)
+
+
+def test_toxicity_score_of_a_whole_table_against_its_clauses(spark):
+    """The query's scores are those of reading every clause of every whole text, one token after the other."""
+    docs = read(spark, SMALL, "documents")
+    model = toxicity.fit(docs, read(spark, SMALL, "labels"))
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    got = {r.doc_id: r.score for r in toxicity.op9_grammar_toxicity(spark, SMALL).collect()}
+    assert got.keys() == texts.keys() and len(set(got.values())) > 2
+    for i, text in texts.items():
+        worst, strength = dict.fromkeys(toxicity.KINDS, 0.0), []
+        for clause in toxicity.clauses(text.lower().split()):
+            found = toxicity.attack([model.lexicon.read(t) for t in clause], clause)
+            if found:
+                strength.append(max(found.values()))
+            for kind, weight in found.items():
+                worst[kind] = max(worst[kind], weight)
+        features = [*worst.values(), np.log1p(len(strength)), np.log1p(sum(strength))]
+        logit = model.bias + sum(w * x for w, x in zip(model.weights, features))
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-9)
