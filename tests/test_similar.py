@@ -144,3 +144,11 @@ def test_cluster_lists_leave_out_the_item_itself(frame, rows):
     detail = frame("item_id int, cluster string, popularity int", (1, "a", 5), (2, "a", 5), (3, "a", 9), (4, "a", 1))
     got = similar.similar_by_cluster(prefer, detail, 2)
     assert rows(got) == [(1, 2, 2), (1, 3, 1), (9, 1, 2), (9, 3, 1)]
+
+
+def test_products_are_not_shuffled(spark):
+    """What is shuffled are the lists of the features; products are summed and ranked where they are formed."""
+    df = spark.createDataFrame([(i, i % 7, 1) for i in range(50)], "item_id bigint, feature bigint, weight bigint")
+    plan = similar.similar_sparse(df, 5)._jdf.queryExecution().executedPlan().toString()
+    first = next(line for line in plan.splitlines() if re.search(r"\bExchange\b", line))
+    assert "_part" in first and "REPARTITION_BY_NUM" in first
