@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenrec.functions.ordering import digest_number, shuffle_digest
 from lumenrec.operators.reduced import per_key
+from lumenrec.session import materialize
 from lumenrec.sources.catalog import only_category
 
 TAKE, RANDOM, TAKE_AND_RANDOM = "take", "random", "take_and_random"
@@ -134,6 +135,38 @@ def random_head(df: DataFrame, key: str, item: str, n: int, seed: int = 7) -> Da
     return placed.select(key, item, F.col("_place").cast("bigint").alias("rank"))
 
 
+def random_head_shared(members: DataFrame, shared: DataFrame, key: str, group: str, item: str, n: int, seed: int = 7) -> DataFrame:
+    """``random_head`` of the lists of ``members (key, group)``, where all keys of a group have its items → (key, item, rank).
+
+    ``shared`` has ``(group, item)``. The digests are spread evenly, so their first places are sought below a digest
+    that leaves somewhat more than ``n`` items of a list; only these rows are ranked. A key for which fewer than
+    ``n`` of its items lie there, which is rare, has its whole list ranked.
+    """
+    entries = shared.select(group, item).where(F.col(group).isNotNull()).distinct()
+    sizes = per_key(entries, [group], F.count(F.lit(1)).alias("_size"))
+    wanted = F.lit(n + 8 * n**0.5 + 20) / F.col("_size")
+    below = F.when(wanted < 1, F.lower(F.lpad(F.hex((wanted * 2**32).cast("bigint")), 8, "0"))).otherwise("g").alias("_below")
+    known = members.select(key, group).where(F.col(key).isNotNull()).join(sizes.select(group, "_size", below), group)
+    near = known.join(entries, group).where(F.substring(shuffle_digest(seed, key, item), 1, 8) < F.col("_below"))
+    head = materialize(random_head(near, key, item, n, seed), "random-head")
+    found = per_key(head, [key], F.max("rank").alias("_found"))
+    short = materialize(
+        known.join(found, key, "left").where(F.coalesce("_found", F.lit(0)) < F.least(F.lit(n), "_size")).select(key, group), "short-heads"
+    )
+    if short.isEmpty():
+        return head
+    rest = random_head(short.join(entries, group), key, item, n, seed)
+    return head.join(short.select(key).distinct(), key, "left_anti").unionByName(rest)
+
+
+def first_items(df: DataFrame, keys: Sequence[str], item: str, order: Sequence[Column], n: int) -> DataFrame:
+    """All rows of the first ``n`` distinct items of every key's list."""
+    placed = df.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    first = placed.withColumn("_first", F.min("_place").over(Window.partitionBy(*keys, item)))
+    nth = F.dense_rank().over(Window.partitionBy(*keys).orderBy("_first"))
+    return first.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_place", "_first", "_nth")
+
+
 def stratified_sample(
     df: DataFrame, key: str, item: str, quotas: Mapping[str, int], seed: int = 7
 ) -> DataFrame:

@@ -170,3 +170,43 @@ def test_random_head_begins_the_shuffled_list(spark):
     twice = lists.random_head(df.union(df), "u", "i", 20)
     assert sorted(map(tuple, twice.distinct().collect())) == sorted(map(tuple, head.collect())) and twice.count() == 2 * head.count()
     assert "WindowGroupLimit" in head._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shared_random_head_equals_the_shuffled_list(spark, monkeypatch):
+    """A shelf much longer than the head, a short one, and heads for which the first try finds too few items."""
+    shelves = spark.range(3000).selectExpr("if(id < 2990, 'long', 'short') as g", "id as i")
+    members = spark.range(60).selectExpr("id as u", "if(id % 5 = 0, 'short', 'long') as g")
+    want = sorted(map(tuple, lists.random_head(members.join(shelves, "g"), "u", "i", 20).collect()))
+    assert sorted(map(tuple, lists.random_head_shared(members, shelves.union(shelves), "u", "g", "i", 20).collect())) == want
+    ranked = []
+    whole = lists.random_head
+    monkeypatch.setattr(lists, "random_head", lambda df, *a: ranked.append(df.count()) or whole(df, *a))
+    lists.random_head_shared(members, shelves, "u", "g", "i", 20).collect()
+    assert ranked[0] < 60 * 200  # 48 users times 2,990 items were ranked before
+
+    below = F.lpad  # a limit that leaves next to nothing, so that whole lists are ranked
+    monkeypatch.setattr(lists.F, "lpad", lambda c, n, pad: F.lit("00000000") if pad == "0" else below(c, n, pad))
+    assert sorted(map(tuple, lists.random_head_shared(members, shelves, "u", "g", "i", 20).collect())) == want
+
+
+def test_first_items_counts_items_not_rows(frame, rows):
+    df = frame("k string, i int, r int", ("a", 1, 1), ("a", 1, 2), ("a", 2, 3), ("a", 3, 4), ("a", 2, 5), ("b", 9, 1))
+    got = lists.first_items(df, ["k"], "i", [F.col("r")], 2)
+    assert rows(got) == [("a", 1, 1), ("a", 1, 2), ("a", 2, 3), ("a", 2, 5), ("b", 9, 1)]
+
+
+def test_allowed_heads_leave_what_the_filters_show(frame, spark):
+    from lumenrec.operators import filters
+    from lumenrec.plans import jobs
+
+    liked = frame("user_id int, shelf string", *[(u, "s") for u in range(4)])
+    shelf = spark.range(60).selectExpr("'s' as shelf", "cast(id as int) as item_id", "cast(id * 7 % 10 as int) as rank")
+    users = frame("user_id int, risk int", (0, 0), (1, 1), (2, 2), (2, 1), (3, 3))
+    items = spark.range(60).selectExpr("cast(id as int) as item_id", "cast(id % 3 as int) as risk")
+    black = frame("user_id int, item_id int", (0, 0), (1, 10), (2, 30))
+    kept = lambda df: lists.top_n(filters.risk_filter(
+        filters.list_filter(df, black, ["user_id", "item_id"], "black"), users, items), ["user_id"], [F.col("rank"), F.col("item_id")], 5)
+    whole = liked.join(shelf, "shelf").select("user_id", "item_id", "rank")
+    heads = jobs.allowed_heads(liked, shelf, users, items, 6)
+    assert sorted(map(tuple, kept(heads).collect())) == sorted(map(tuple, kept(whole).collect()))
+    assert heads.count() == 18
