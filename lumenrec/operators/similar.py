@@ -375,11 +375,34 @@ def _unit_rows(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
     return ids.filter(pa.array(good)), matrix[good] / norm[good, None]
 
 
+def _best_of(rows: np.ndarray, b: np.ndarray, mine: np.ndarray, itself: np.ndarray, n: int, chunk: int):
+    """The n best columns of every row; row ``mine[i]`` is the same item as column ``itself[i]``."""
+    best = (np.empty(0, dtype=np.int64),) * 3
+    for start in range(0, len(b), chunk):
+        ppm = np.floor(rows @ b[start : start + chunk].T * SCALE + 0.5).astype(np.int64)
+        width = ppm.shape[1]
+        # One number per cell that orders by score, then by lower id; no ties.
+        order = ppm * width - np.arange(width)
+        here = (itself >= start) & (itself < start + width)
+        order[mine[here], itself[here] - start] = _SELF
+        k = min(n + 1, width)
+        cell = np.sort(np.argpartition(-order, k - 1, axis=1)[:, :k], axis=1).ravel()
+        row = np.repeat(np.arange(len(rows)), k)
+        real = order[row, cell] != _SELF
+        row, cell = row[real], cell[real]
+        best = _keep_best(
+            np.concatenate([best[0], row]),
+            np.concatenate([best[1], start + cell]),
+            np.concatenate([best[2], ppm[row, cell]]),
+            n,
+        )
+    return best
+
+
 def _dense_task(n: int, chunk: int = 1024) -> Callable:
     def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
         kind = (left if left.num_rows else right).schema.field("item_id").type
-        none = np.empty(0, dtype=np.int64)
-        best = (none, none, none)
+        none_of = best = (np.empty(0, dtype=np.int64),) * 3
         ids = others = pa.array([], kind)
         if left.num_rows and right.num_rows:
             ids, a = _unit_rows(left)
@@ -388,24 +411,13 @@ def _dense_task(n: int, chunk: int = 1024) -> Callable:
             found = pc.index_in(ids, value_set=others)
             mine = np.flatnonzero(pc.is_valid(found).to_numpy(zero_copy_only=False))
             itself = pc.drop_null(found).to_numpy()
-            for start in range(0, len(others), chunk):
-                ppm = np.floor(a @ b[start : start + chunk].T * SCALE + 0.5).astype(np.int64)
-                width = ppm.shape[1]
-                # One number per cell that orders by score, then by lower id; no ties.
-                order = ppm * width - np.arange(width)
-                here = (itself >= start) & (itself < start + width)
-                order[mine[here], itself[here] - start] = _SELF
-                k = min(n + 1, width)
-                cell = np.sort(np.argpartition(-order, k - 1, axis=1)[:, :k], axis=1).ravel()
-                row = np.repeat(np.arange(len(ids)), k)
-                real = order[row, cell] != _SELF
-                row, cell = row[real], cell[real]
-                best = _keep_best(
-                    np.concatenate([best[0], row]),
-                    np.concatenate([best[1], start + cell]),
-                    np.concatenate([best[2], ppm[row, cell]]),
-                    n,
-                )
+            parts = []
+            for top in range(0, len(ids), chunk):  # a square of cells at a time, however many rows a block has
+                rows = a[top : top + chunk]
+                there = (mine >= top) & (mine < top + len(rows))
+                part = _best_of(rows, b, mine[there] - top, itself[there], n, chunk)
+                parts.append((top + part[0], part[1], part[2]))
+            best = tuple(np.concatenate(x) for x in zip(none_of, *parts))
         return pa.table({"item_id": ids.take(pa.array(best[0])), "other_id": others.take(pa.array(best[1])), "sim_ppm": best[2]})
 
     return multiply

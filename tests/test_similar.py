@@ -152,3 +152,18 @@ def test_products_are_not_shuffled(spark):
     plan = similar.similar_sparse(df, 5)._jdf.queryExecution().executedPlan().toString()
     first = next(line for line in plan.splitlines() if re.search(r"\bExchange\b", line))
     assert "_part" in first and "REPARTITION_BY_NUM" in first
+
+
+def test_memory_of_a_block_does_not_follow_its_square():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    table = pa.table({"item_id": np.arange(4000), "vector": pa.array(list(rng.normal(size=(4000, 8))))})
+    tracemalloc.start()
+    got = similar._dense_task(5)(table, table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print("peak", peak)
+    assert peak < 90e6 and got.num_rows == 4000 * 5
