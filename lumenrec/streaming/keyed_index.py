@@ -8,12 +8,12 @@ bucketed index and writes the documents of the keys they touch. Neither the chan
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -35,6 +35,7 @@ CHANGES = StructType([*ROWS.fields]).add("mark", "string")
 _MARKED = (
     "search_key string, category string, item_id string, highlight string, score double, risk bigint, micros bigint, mark string"
 )
+_MARK = Row("search_key", "category", "item_id", "highlight", "score", "risk", "micros", "mark")
 #: Changes this much older than the newest are dropped; so an offline item can then be forgotten.
 FORGET = "7 days"
 
@@ -81,67 +82,69 @@ def recalled(changes: DataFrame) -> DataFrame:
 class SentPostings(StatefulProcessor):
     """Per item: its last change, and the keys and highlights that its postings were sent under.
 
-    An item that has no postings is forgotten when the watermark passes its last change, as whatever is
-    older is dropped before it gets here.
+    Both lie in one value, so an item costs one read and one write of the state; rows come and go as they are,
+    without a frame an item. An item that has no postings is forgotten when the watermark passes its last change,
+    as whatever is older is dropped before it gets here.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "micros bigint, status bigint, title string, risk bigint")
-        self.sent = handle.getListState("sent", "search_key string, highlight string")
+        # micros is null until the first change; sent is a JSON array of [search_key, highlight]
+        self.item = handle.getValueState("item", "micros bigint, status bigint, title string, risk bigint, sent string")
 
-    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues) -> None:
-        self.sent.put(list(initialState[["search_key", "highlight"]].itertuples(index=False, name=None)))
+    def handleInitialState(self, key: tuple, initialState: Row, timerValues) -> None:
+        self.item.update((None, None, None, None, initialState["sent"]))
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         item, category = key
-        table = pd.concat(list(rows))
-        columns = [table[c] for c in ("micros", "status", "title", "risk")]
-        stamps = [(int(m), int(s), t, int(r)) for m, s, t, r in zip(*columns)]
-        newest = max(stamps)
-        if self.last.exists() and newest <= tuple(self.last.get()):
-            return
-        before = set(self.sent.get()) if self.sent.exists() else set()
-        mine = table[[s == newest for s in stamps]]
-        mine = mine[mine["search_key"].notna()].drop_duplicates(["search_key", "highlight"])
-        now = list(mine[["search_key", "highlight"]].itertuples(index=False, name=None))
-        adds = pd.DataFrame(
-            {"search_key": mine["search_key"], "highlight": mine["highlight"], "score": mine["score"], "risk": mine["risk"], "mark": "add"}
-        )
-        gone = sorted(before.difference(now))
-        deletes = pd.DataFrame(
-            {"search_key": [k for k, _ in gone], "highlight": [h for _, h in gone], "score": 0.0, "risk": 0, "mark": "delete"}
-        )
-        self.last.update(newest)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if now:
-            self.sent.put(now)
-        else:
-            self.sent.clear()
-            self.handle.registerTimer(newest[0] // 1000 + 1)
-        out = pd.concat([part for part in (adds, deletes) if len(part)] or [adds])
-        yield out.assign(item_id=item, category=category, micros=newest[0])[
-            ["search_key", "category", "item_id", "highlight", "score", "risk", "micros", "mark"]
-        ]
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.sent.exists():
-            self.last.clear()
+        newest, mine = None, {}
+        for row in rows:
+            stamp = (row["micros"], row["status"], row["title"], row["risk"])
+            if newest is None or stamp > newest:
+                newest, mine = stamp, {}
+            if stamp == newest and row["search_key"] is not None:
+                mine.setdefault((row["search_key"], row["highlight"]), (row["score"], row["risk"]))
+        known = self.item.get()
+        last, before = (tuple(known[:4]), {tuple(p) for p in json.loads(known[4])}) if known else ((None,), set())
+        if last[0] is not None:
+            if newest <= last:
+                return
+            if not before:
+                self.handle.deleteTimer(_forgotten(last[0]))
+        self.item.update((*newest, json.dumps(list(mine))))
+        if not mine:
+            self.handle.registerTimer(_forgotten(newest[0]))
+        for (search_key, highlight), (score, risk) in mine.items():
+            yield _MARK(search_key, category, item, highlight, score, risk, newest[0], "add")
+        for search_key, highlight in sorted(before.difference(mine)):
+            yield _MARK(search_key, category, item, highlight, 0.0, 0, newest[0], "delete")
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.item.get()
+        if known and not json.loads(known[4]):
+            self.item.clear()
         return iter([])
 
     def close(self) -> None:
         pass
 
 
+def _forgotten(micros: int) -> int:
+    """When (in milliseconds) an item without postings is forgotten, whose last change was at ``micros``."""
+    return micros // 1000 + 1
+
+
 def marked_postings(changes: DataFrame, indexed: DataFrame | None = None, forget: str = FORGET) -> DataFrame:
     """A stream of item changes → the postings to add and to delete (columns of ``CHANGES``).
 
     ``indexed`` (posting rows) is what the index holds before the stream's first batch. Repeated changes and
     those older than an item's last one give nothing. The session needs the RocksDB state store (``stateful``).
     """
-    known = indexed.select(*ITEM, "search_key", "highlight").groupBy(*ITEM) if indexed is not None else None
-    found = recalled(changes.withWatermark("ts", forget)).groupBy(*ITEM).transformWithStateInPandas(
+    known = None
+    if indexed is not None:
+        sent = F.to_json(F.collect_set(F.array("search_key", "highlight")))
+        known = indexed.groupBy(*ITEM).agg(sent.alias("sent")).groupBy(*ITEM)
+    found = recalled(changes.withWatermark("ts", forget)).groupBy(*ITEM).transformWithState(
         SentPostings(), _MARKED, "Update", "EventTime", known
     )
     return found.select(*IDENTITY, "score", "risk", F.timestamp_micros("micros").alias("ts"), "mark")

@@ -244,3 +244,44 @@ def test_offline_items_are_forgotten(spark, tmp_path, table):
     feed(spark, tmp_path, [[("a", "c", "late", 0, 1, minute(4))], [("a", "c", "yy", 0, 1, minute(58))]], 3)
     start(spark, tmp_path, table, forget="10 minutes").awaitTermination()
     assert {(r[0], r[2]) for r in plain(table.read())} == {("k", "b"), ("y", "a"), ("yy", "a")}
+
+
+def test_an_item_costs_one_read_and_one_write_of_the_state():
+    """However many changes and postings a batch has for an item, and without a frame for each."""
+    from pyspark.sql import Row
+
+    calls, held = [], {}
+
+    class Value:
+        def get(self):
+            calls.append("get")
+            return held.get("item")
+
+        def update(self, value):
+            calls.append("update")
+            held["item"] = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, at):
+            calls.append(f"register {at}")
+
+        def deleteTimer(self, at):
+            calls.append(f"delete {at}")
+
+    state = keyed_index.SentPostings()
+    state.init(Handle())
+    names = ("search_key", "highlight", "score", "risk", "micros", "status", "title")
+    row = lambda *values: Row(**dict(zip(names, values)))
+    batch = lambda *rows: sorted((r.search_key, r.mark) for r in state.handleInputRows(("i", "c"), iter(rows), None))
+    state.handleInitialState(("i", "c"), Row(sent='[["a","a"],["b","b"]]'), None)
+    assert calls == ["update"]
+    many = [row(k, k, 0.5, 0, 5000, 1, "t") for k in ("b", "c", "c")]
+    assert batch(row("z", "z", 0.5, 0, 4000, 1, "old"), row(None, None, None, 0, 5000, 1, "t"), *many) == [("a", "delete"), ("b", "add"), ("c", "add")]
+    assert calls == ["update", "get", "update"]
+    assert batch(*many) == [] and calls[3:] == ["get"]
+    assert batch(row(None, None, None, 0, 9000, 0, "t")) == [("b", "delete"), ("c", "delete")]
+    assert calls[4:] == ["get", "update", "register 10"]
+    assert batch(row("d", "d", 0.5, 0, 9999, 1, "d")) == [("d", "add")] and calls[7:] == ["get", "delete 10", "update"]
