@@ -217,3 +217,24 @@ def test_keywords_prefer_rare_terms(frame, rows):
     docs = frame("id int, t string", (1, "the cat the"), (2, "the dog"), (3, "The dog, dog!"), (4, ""))
     got = rows(words.keywords_tfidf(docs, "id", "t", 1), "id", "term", "pos")
     assert got == [(1, "cat", 1), (2, "dog", 1), (3, "dog", 1)]
+
+
+def test_terms_are_counted_in_their_rows(spark, frame, rows):
+    """Documents of several rows, null ids and texts without terms; only the former are added up by a shuffle."""
+    docs = frame("id int, kind string, t string", (1, "a", "x y X"), (1, "a", "x z"), (1, "b", "y"), (None, "a", "q q"), (None, "a", "q"), (3, "a", None), (4, "a", " .. "), (5, "a", "x"))
+    got = rows(words.term_counts(docs, ["id", "kind"], "t"), "id", "kind", "term", "tf")
+    want = [(1, "a", "x", 3), (1, "a", "y", 1), (1, "a", "z", 1), (1, "b", "y", 1), (None, "a", "q", 3), (5, "a", "x", 1)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    single = words.row_terms(docs, ["id", "kind"], "t")
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_of_terms_are_those_of_their_words(frame, rows):
+    short = frame("item_id int, category string, title string, risk bigint", (1, "c", "ab1c ab1c 中 x-é", 1), (2, "c", "x ab1c", 0), (None, "c", "é x", 2))
+    long_items = frame("item_id int, category string, risk bigint, title string", (9, "l", 0, "big cat"))
+    codes, people = frame("code string, title string", ("f", "far east")), frame("person_id int, name string", (7, "ann lee"))
+    columns = ("search_key", "category", "item_id", "highlight", "score", "risk")
+    for keywords in (None, 2):
+        want = post.recall_words(post.search_words(long_items, short, codes, people, keywords))
+        got = post.search_recall(long_items, short, codes, people, keywords=keywords)
+        assert sorted(rows(got, *columns), key=str) == sorted(rows(want, *columns), key=str)
