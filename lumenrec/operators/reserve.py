@@ -41,10 +41,11 @@ def _listed(postings: DataFrame) -> DataFrame:
 
 
 def _cut(postings: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
-    """The first ``keep`` of every list, and the bounds of these reserves."""
+    """The first ``keep`` of every list, and the bounds of these reserves: both from heads that are written once."""
     order = Window.partitionBy(*LIST).orderBy(F.col("score").desc(), F.col("item_id"), F.col("highlight"))
     # One more than is kept tells whether there is more. Copies share a rank and go with the distinct.
-    head = postings.withColumn("_rank", F.dense_rank().over(order)).where(F.col("_rank") <= keep + 1).distinct()
+    ranked = postings.withColumn("_rank", F.dense_rank().over(order)).where(F.col("_rank") <= keep + 1)
+    head = materialize(ranked.distinct(), "heads")
     ends = head.groupBy(*LIST).agg(
         F.max(F.when(F.col("_rank") <= keep, _place())).alias("_last"), F.max("_rank").alias("_most")
     )
@@ -90,7 +91,9 @@ def change(reserve: Reserve, adds: DataFrame, deletes: DataFrame) -> tuple[Reser
     merged = bounds.join(known, LIST, "full").select(*LIST, F.coalesce("_cut", "bound").alias("bound"))
     have = per_key(rows, LIST, F.count(F.lit(1)).alias("_have"))
     sized = merged.join(have, LIST, "left").select(*LIST, "bound", F.coalesce("_have", F.lit(0)).alias("_have"))
-    short = sized.where(F.col("bound").isNotNull() & (F.col("_have") < reserve.size)).select(*LIST)
+    # The bounds and the short lists come from one pass; few short lists, as usual, can be sent to the whole lists.
+    sized = materialize(sized, "sized")
+    short = materialize(sized.where(F.col("bound").isNotNull() & (F.col("_have") < reserve.size)).select(*LIST), "short")
     left = sized.where(F.col("bound").isNotNull() | (F.col("_have") > 0)).select(*LIST, "bound")
     return Reserve(rows, left, reserve.size, reserve.spare), short
 

@@ -65,3 +65,14 @@ def test_reserve_edge_cases(spark):
     same = reserve.build(frame(*[("k", "c", str(i), "h", 1.0, 0) for i in range(200)]))
     want = post.tiered_top(frame(*[("k", "c", str(i), "h", 1.0, 0) for i in range(200)])).collect()
     assert sorted(reserve.top(same).collect()) == sorted(want)
+
+
+def test_a_batch_is_settled_once(spark):
+    """Rows, bounds and short lists are read from what was written; none of them ranks or joins the batch again."""
+    schema = "search_key string, category string, item_id string, highlight string, score double, risk bigint"
+    frame = lambda ids: spark.createDataFrame([("k", "c", str(i), "k", 1.0 / i, 0) for i in ids], schema)
+    kept, short = reserve.change(reserve.build(frame(range(1, 13)), 3, 2), frame([20, 21]), frame([1, 2, 3]))
+    for df in (kept.rows, kept.bounds, short):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Join" not in plan and "Scan parquet" in plan
+    assert [r.search_key for r in short.collect()] == ["k"]
