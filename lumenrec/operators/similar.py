@@ -77,22 +77,61 @@ def similar_dense(
     many = materialize(many, "large-groups")
     placed, angles = _in_blocks(rows, many, block_rows, pivots)
     near, pairs = block_pairs(placed, angles, n)
-    pairs = pairs.where("meets").select("_group", F.col("left").alias("_left"), F.col("right").alias("_right"))
+    return _best(near.unionByName(_met_in_panels(placed, pairs.where("meets").drop("meets"), n)), n)
+
+
+# A group's blocks are sent in at most about so many panels, unless a panel had more than so many numbers.
+_PANELS, _PANEL_CELLS = 16, 2**23
+
+
+def _panels(placed: DataFrame) -> DataFrame:
+    """``_group, _block, _panel``: neighbouring blocks of a group in panels of like size."""
+    first = placed.select(F.size("vector")).first()
+    most = max(1, _PANEL_CELLS // max(1, first[0] if first else 1))
+    sizes = placed.groupBy("_group", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy("_group")
+    before = F.sum("_n").over(whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    size = F.least(F.ceil(F.sum("_n").over(whole) / _PANELS), F.lit(most))
+    return sizes.select("_group", "_block", F.floor(F.coalesce(before, F.lit(0)) / size).cast("int").alias("_panel"))
+
+
+def _met_in_panels(placed: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """The ``n`` best partners of every row in each panel it meets; ``pairs`` has ``_group, left, right``, blocks that meet.
+
+    A block goes once to every panel that holds a block it meets, not once to every such block: what is shuffled
+    is the rows times the panels and not times the blocks. A task gets two panels and the list of their blocks that
+    meet, which comes as a row of its own on the left side.
+    """
     keys = ["_group", "_left", "_right"]
-    base = placed.select("item_id", "vector", F.col("_group").alias("_g"), "_block")
-    side = lambda mine: base.join(
-        pairs, F.col("_g").eqNullSafe(F.col("_group")) & (F.col("_block") == F.col(mine))
-    ).select("item_id", "vector", *keys)
-    return _best(near.unionByName(_multiplied(side("_left"), side("_right"), keys, n)), n)
+    panels = materialize(_panels(placed), "panels")
+
+    def with_panel(df: DataFrame, group: str, block: str, as_: str) -> DataFrame:
+        of = panels.select(F.col("_group").alias("_of"), F.col("_block").alias("_at"), F.col("_panel").alias(as_))
+        return df.join(of, F.col(group).eqNullSafe(F.col("_of")) & (F.col(block) == F.col("_at"))).drop("_of", "_at")
+
+    told = with_panel(with_panel(pairs, "_group", "left", "_left"), "_group", "right", "_right")
+    lists = materialize(told.groupBy(*keys).agg(F.collect_list(F.struct("left", "right")).alias("_pairs")), "panel-pairs")
+    base = with_panel(placed.select("item_id", "vector", F.col("_group").alias("_g"), "_block"), "_g", "_block", "_panel")
+
+    def side(mine: str) -> DataFrame:
+        place = F.col("_g").eqNullSafe(F.col("_group")) & (F.col("_panel") == F.col(mine))
+        return base.join(lists.drop("_pairs"), place).select("item_id", "vector", "_block", *keys)
+
+    left = side("_left").unionByName(lists, allowMissingColumns=True)
+    return _cogrouped(left, side("_right"), keys, _panel_task(n))
 
 
 def _multiplied(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> DataFrame:
     """The ``n`` best right partners of every left row, among the rows with equal keys."""
+    return _cogrouped(left, right, keys, _dense_task(n))
+
+
+def _cogrouped(left: DataFrame, right: DataFrame, keys: list[str], task: Callable) -> DataFrame:
     tasks = 4 * left.sparkSession.sparkContext.defaultParallelism
     right = right.select([F.col(c).alias(c) for c in right.columns])  # fresh names: both sides may be one table
     met = left.repartition(tasks, *keys).groupBy(*keys).cogroup(right.repartition(tasks, *keys).groupBy(*keys))
     kind = left.schema["item_id"].dataType.simpleString()
-    return met.applyInArrow(_dense_task(n), f"item_id {kind}, other_id {kind}, sim_ppm bigint")
+    return met.applyInArrow(task, f"item_id {kind}, other_id {kind}, sim_ppm bigint")
 
 
 def _in_blocks(rows: DataFrame, many: DataFrame, block_rows: int, pivots: int) -> tuple[DataFrame, DataFrame]:
@@ -378,6 +417,7 @@ def _unit_rows(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
 def _best_of(rows: np.ndarray, b: np.ndarray, mine: np.ndarray, itself: np.ndarray, n: int, chunk: int):
     """The n best columns of every row; row ``mine[i]`` is the same item as column ``itself[i]``."""
     best = (np.empty(0, dtype=np.int64),) * 3
+    same = max(1, np.bincount(mine).max(initial=0))  # columns that a row leaves out
     for start in range(0, len(b), chunk):
         ppm = np.floor(rows @ b[start : start + chunk].T * SCALE + 0.5).astype(np.int64)
         width = ppm.shape[1]
@@ -385,7 +425,7 @@ def _best_of(rows: np.ndarray, b: np.ndarray, mine: np.ndarray, itself: np.ndarr
         order = ppm * width - np.arange(width)
         here = (itself >= start) & (itself < start + width)
         order[mine[here], itself[here] - start] = _SELF
-        k = min(n + 1, width)
+        k = min(n + same, width)
         cell = np.sort(np.argpartition(-order, k - 1, axis=1)[:, :k], axis=1).ravel()
         row = np.repeat(np.arange(len(rows)), k)
         real = order[row, cell] != _SELF
@@ -421,3 +461,41 @@ def _dense_task(n: int, chunk: int = 1024) -> Callable:
         return pa.table({"item_id": ids.take(pa.array(best[0])), "other_id": others.take(pa.array(best[1])), "sim_ppm": best[2]})
 
     return multiply
+
+
+def _panel_task(n: int, chunk: int = 1024) -> Callable:
+    def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
+        kind = left.schema.field("item_id").type
+        plain = ["item_id", "vector", "_block"]
+        rows = left.filter(pc.is_null(left.column("_pairs"))).select(plain)
+        met: dict[str, set[str]] = {}
+        for pair in (p for row in left.column("_pairs").drop_null().to_pylist() for p in row):
+            met.setdefault(pair["left"], set()).add(pair["right"])
+        # Left blocks that meet the same right blocks are multiplied together.
+        alike: dict[frozenset[str], list[str]] = {}
+        for block, others in met.items():
+            alike.setdefault(frozenset(others), []).append(block)
+        found = []
+        for others, blocks in alike.items():
+            ids, a = _unit_rows(rows.filter(pc.is_in(rows.column("_block"), pa.array(blocks, pa.string()))).select(plain[:2]))
+            near, b = _unit_rows(right.filter(pc.is_in(right.column("_block"), pa.array(sorted(others), pa.string()))).select(plain[:2]))
+            if not len(ids) or not len(near):
+                continue
+            # Equal ids are neighbours on the right.
+            known = near.unique()
+            place = pc.index_in(near, value_set=known).to_numpy(zero_copy_only=False)
+            mine = pc.fill_null(pc.index_in(ids, value_set=known), -1).to_numpy(zero_copy_only=False)
+            first, last = np.searchsorted(place, mine, side="left"), np.searchsorted(place, mine, side="right")
+            same = np.repeat(np.arange(len(ids)), last - first)
+            itself = np.concatenate([np.empty(0, dtype=np.int64), *(np.arange(first[r], last[r]) for r in np.flatnonzero(last > first))])
+            for top in range(0, len(ids), chunk):
+                part_of = a[top : top + chunk]
+                there = (same >= top) & (same < top + len(part_of))
+                row, col, ppm = _best_of(part_of, b, same[there] - top, itself[there], n, chunk)
+                found.append((ids.take(pa.array(top + row)), near.take(pa.array(col)), ppm))
+        return pa.table({
+            "item_id": pa.chunked_array([f[0] for f in found], kind), "other_id": pa.chunked_array([f[1] for f in found], kind),
+            "sim_ppm": np.concatenate([np.empty(0, dtype=np.int64), *(f[2] for f in found)]),
+        })
+
+    return multiply

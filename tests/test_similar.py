@@ -167,3 +167,30 @@ def test_memory_of_a_block_does_not_follow_its_square():
     tracemalloc.stop()
     print("peak", peak)
     assert peak < 90e6 and got.num_rows == 4000 * 5
+
+
+def test_a_block_goes_once_to_a_panel(spark, monkeypatch):
+    """Rows sent grow with the panels, not with the blocks."""
+    rng = np.random.default_rng(5)
+    vectors = {i: rng.normal(size=4) for i in range(400)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "item_id bigint, vector array<double>")
+    sent, cogrouped = [], similar._cogrouped
+
+    def counted(left, right, *rest):
+        sent.append(left.count() + right.count())
+        return cogrouped(left, right, *rest)
+
+    monkeypatch.setattr(similar, "_cogrouped", counted)
+    got = similar.similar_dense(df, 3, block_rows=5, pivots=4)
+    assert sorted(map(tuple, got.collect())) == brute_force(vectors, 3, 0.5, positive=False)
+    panels = similar._PANELS + 1
+    assert len(sent) == 2 and sent[1] <= 2 * 400 * panels + panels**2  # about 80 blocks
+
+
+def test_panels_are_bounded(spark, monkeypatch):
+    rows = [(g, f"{b}:0") for g in (None, 1) for b in range(50) for _ in range(4)]
+    placed = spark.createDataFrame(rows, "_group bigint, _block string").withColumn("vector", F.array(F.lit(1.0), F.lit(2.0)))
+    sizes = lambda: [r["n"] for r in similar._panels(placed).groupBy("_group", "_panel").agg((4 * F.count("*")).alias("n")).collect()]
+    assert sum(sizes()) == 400 and max(sizes()) <= 200 // similar._PANELS + 8
+    monkeypatch.setattr(similar, "_PANEL_CELLS", 12)  # six rows of two numbers
+    assert max(sizes()) <= 12
