@@ -8,7 +8,7 @@ from lumenrec.operators import filters, lists, similar
 from lumenrec.operators.mix import RATIO, STACKING, mix
 from lumenrec.plans.inputs import Inputs
 from lumenrec.plans.registry import query
-from lumenrec.session import new_scratch
+from lumenrec.session import new_scratch, spread
 from lumenrec.sources import catalog, snapshots
 
 def by_total() -> list[Column]:
@@ -30,12 +30,16 @@ def top_n_per_group(inp: Inputs) -> DataFrame:
 
 @query("detail_top24", "SELECT item_id, other_id, pos FROM cluster_partners WHERE pos <= 24")
 def detail_top24(inp: Inputs) -> DataFrame:
-    partners = similar.similar_by_cluster(inp.items, _popularity(inp), 70)
-    return lists.top_n(partners.withColumnRenamed("pos", "place"), ["item_id"], [F.col("place")], 24).drop("place")
+    """A row of an item has place 24 at most among the first 24, so later places are not shuffled; they are dealt
+    before they are sorted, as one split of the catalogue gives 70 rows for each of its items."""
+    items = spread(inp.items)
+    partners = similar.similar_by_cluster(items, _popularity(items), 70)
+    placed = partners.withColumnRenamed("pos", "place").where("place <= 24").repartition("item_id")
+    return lists.top_n(placed, ["item_id"], [F.col("place")], 24).drop("place")
 
 
-def _popularity(inp: Inputs) -> DataFrame:
-    return inp.items.select("item_id", "cluster", F.col("rating").alias("popularity"))
+def _popularity(items: DataFrame) -> DataFrame:
+    return items.select("item_id", "cluster", F.col("rating").alias("popularity"))
 
 
 @query(
