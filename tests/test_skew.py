@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from lumenrec.operators import activity, canonical, filters, lists, similar, words
+from lumenrec.operators import activity, canonical, filters, lists, postings, similar, words
+from lumenrec.plans import q_lists
+from lumenrec.plans.inputs import Inputs
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -82,3 +86,31 @@ def test_a_hot_list_is_numbered_in_many_tasks(spark, small_thresholds, name):
     assert whole == 80_000 and most < 0.4 * whole
     hot = df.where("user_id = 0").agg(F.count("*").alias("n"), F.count_distinct("pos").alias("d"), F.max("pos").alias("m")).first()
     assert (hot.n, hot.d, hot.m) == (60_000,) * 3
+
+
+def _above(df, node):
+    """Names of the plan's nodes above the first ``node`` from the bottom, nearest first."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = max(k for k, line in enumerate(plan) if re.search(rf"\b{node}\b", line))
+    return [m.group(0) for line in reversed(plan[:at]) if (m := re.search(r"Exchange|WindowGroupLimit|SortAggregate|\bSort\b", line))]
+
+
+def test_exploded_partners_are_dealt_before_they_are_sorted(spark, tmp_path):
+    """One split of the catalogue gives 70 rows for each of its items."""
+    part = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    rows = [(k, "big rod", f"b{k % 2}", "t", k % 7, 1.0) for k in range(200)]
+    spark.createDataFrame(rows, part).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    df = q_lists.detail_top24(Inputs(spark, str(tmp_path)))
+    assert _above(df, "Generate")[0] == "Exchange"
+    got = df.groupBy("item_id").agg(F.count("*").alias("n"), F.max("pos").alias("m")).collect()
+    assert len(got) == 200 and {(r.n, r.m) for r in got} == {(24, 24)}
+
+
+def test_postings_are_dealt_before_they_are_sorted(spark):
+    posting = "search_key string, category string, item_id string, highlight string, score double, risk bigint"
+    stored = spark.createDataFrame([("k", "c", str(k), "h", 1.0, 0) for k in range(9)], posting)
+    adds = stored.withColumn("ts", F.lit(5).cast("bigint")).withColumn("score", F.lit(2.0)).where("item_id < '3'")
+    deletes = adds.select("search_key", "category", "item_id", F.lit(6).cast("bigint").alias("ts")).where("item_id = '0'")
+    merged = postings.merge_index(stored, adds, deletes)
+    assert _above(merged, "Union")[0] == "Exchange"
+    assert sorted((r.item_id, r.score) for r in merged.collect()) == [(str(k), 2.0 if k < 3 else 1.0) for k in range(1, 9)]
