@@ -47,8 +47,11 @@ def put(messages: DataFrame, root: str, batch: int, job: str = "job") -> bool:
     spark = messages.sparkSession
     if manifests.latest(spark, root)[1].get("jobs", {}).get(job, -1) >= batch:
         return False
-    known = last_sent(spark, root)
-    new = with_digest(messages).distinct().join(known, ["key", "target", "digest"], "left_anti")
+    # Dealt once, by key: a key's copies for its targets stay side by side in the shuffle, which packs them together,
+    # and the few digests that a key was last sent with meet them there.
+    known = last_sent(spark, root).groupBy("key").agg(F.collect_set(F.struct("target", "digest")).alias("_known"))
+    same = F.coalesce(F.col("target").isNotNull() & F.array_contains("_known", F.struct("target", "digest")), F.lit(False))
+    new = with_digest(messages).repartition("key").distinct().join(known, "key", "left").where(~same).drop("_known")
     name = uuid.uuid4().hex
     path, log = f"messages/{name}", f"sent/{name}"
     new.withColumn("batch", F.lit(batch).cast("bigint")).select(*MESSAGE, "digest", "batch").write.parquet(f"{root}/{path}")
@@ -110,4 +113,4 @@ def fold_sent(spark: SparkSession, root: str) -> None:
 
 def drop_repeats(received: DataFrame) -> DataFrame:
     """What a receiver keeps of messages that may have come twice."""
-    return received.dropDuplicates(["key", "target", "batch", "digest"])
+    return received.repartition("key").dropDuplicates(["key", "target", "batch", "digest"])

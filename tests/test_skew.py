@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lumenrec.operators import activity, canonical, filters, lists, postings, similar, words
+from lumenrec.operators import activity, canonical, filters, lists, outbox, postings, similar, words
 from lumenrec.plans import q_lists
 from lumenrec.plans.inputs import Inputs
 
@@ -114,3 +114,21 @@ def test_postings_are_dealt_before_they_are_sorted(spark):
     merged = postings.merge_index(stored, adds, deletes)
     assert _above(merged, "Union")[0] == "Exchange"
     assert sorted((r.item_id, r.score) for r in merged.collect()) == [(str(k), 2.0 if k < 3 else 1.0) for k in range(1, 9)]
+
+
+def test_received_messages_are_dealt_before_repeats_are_dropped(spark, tmp_path):
+    row = ("k", "v", "t", 1, "d", 0)
+    spark.createDataFrame([row, row, ("k", "v", "t", 1, "d", 1)], outbox.OUTGOING).write.parquet(f"{tmp_path}/in")
+    got = outbox.drop_repeats(spark.read.parquet(f"{tmp_path}/in"))
+    assert _above(got, "FileScan")[0] == "Exchange"
+    assert sorted(r.batch for r in got.collect()) == [0, 1]
+
+
+def test_outbox_knows_messages_by_key_and_target(spark, tmp_path):
+    schema = "key string, value string, target string, ttl bigint"
+    messages = [("k", "v", "a", 1), ("k", "v", "a", 1), ("k", "v", "b", 1), ("k", "v", None, 1)]
+    outbox.put(spark.createDataFrame(messages, schema), str(tmp_path), 0)
+    outbox.put(spark.createDataFrame([*messages, ("k", "w", "b", 1), ("l", "v", "a", 1)], schema), str(tmp_path), 1)
+    sent = sorted((r.batch, r.key, r.value, r.target or "") for r in outbox.waiting(spark, str(tmp_path)).collect())
+    # A message without a target is equal to none that was sent.
+    assert sent == [(0, "k", "v", ""), (0, "k", "v", "a"), (0, "k", "v", "b"), (1, "k", "v", ""), (1, "k", "w", "b"), (1, "l", "v", "a")]
