@@ -210,3 +210,13 @@ def test_allowed_heads_leave_what_the_filters_show(frame, spark):
     heads = jobs.allowed_heads(liked, shelf, users, items, 6)
     assert sorted(map(tuple, kept(heads).collect())) == sorted(map(tuple, kept(whole).collect()))
     assert heads.count() == 18
+
+
+def test_rows_of_few_long_lists_are_shuffled_once(spark, frame):
+    """Lists of one chunk need no size from a shuffle; a key without a value is left out."""
+    rows = [("long" if k % 2 else f"short{k}", k) for k in range(60)] + [(None, 1)]
+    df = lists.fold_chunks(frame("k string, item bigint", *rows), ["k"], ["item"], F.col("item"), 10)
+    assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    got = df.collect()
+    assert sorted(i for r in got for i in r.entries) == list(range(60))
+    assert {r.chunk for r in got if r.k != "long"} == {0} and {r.chunk for r in got if r.k == "long"} <= {0, 1, 2}
