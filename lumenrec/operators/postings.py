@@ -115,12 +115,17 @@ def search_recall(
     people: DataFrame,
     readings: DataFrame | None = None,
     keywords: int | None = None,
+    best: int | None = None,
 ) -> DataFrame:
-    """Postings of the four sources; keys that words read as themselves are made once a distinct term."""
+    """Postings of the four sources; keys that words read as themselves are made once a distinct term.
+
+    With ``best`` postings may be missing that are not among the ``best`` first of their (key, category, risk): enough
+    for ``tiered_top`` of that size, and terms of very many texts are cut before their keys are made.
+    """
     if readings is not None:
         return recall_words(search_words(long_items, short_items, collections, people, keywords), readings)
     titled = recall_words(title_words(long_items, collections, people))
-    return titled.unionByName(recall_terms(short_items, keywords))
+    return titled.unionByName(recall_terms(short_items, keywords, best))
 
 
 def term_keys(terms: DataFrame) -> DataFrame:
@@ -131,12 +136,16 @@ def term_keys(terms: DataFrame) -> DataFrame:
     return terms.join(folded, F.col("term") == F.col("word"), "left").drop("word")
 
 
-def recall_terms(short_items: DataFrame, keywords: int | None = None) -> DataFrame:
+def recall_terms(short_items: DataFrame, keywords: int | None = None, best: int | None = None) -> DataFrame:
     """Postings of short items, as ``recall_words`` gives them for their terms.
 
-    Texts share their terms, so the keys are made once a term and joined back.
+    Texts share their terms, so the keys are made once a term and joined back. Items of one category and risk have a
+    term's keys with the same highlights and scores, so in each list they stand in the order of their ids, and with
+    ``best`` only the term's ``best`` smallest ids get its keys. Where items have their own ``keywords``, nothing is cut.
     """
-    terms = keywords_tfidf(short_items, "item_id", "title", keywords, ["category", "risk"], ("_keys", term_keys))
+    terms = keywords_tfidf(
+        short_items, "item_id", "title", keywords, ["category", "risk"], ("_keys", term_keys), best if keywords is None else None
+    )
     keyed = terms.select(F.col("item_id").cast("string").alias("item_id"), "category", "risk", F.explode("_keys").alias("_key"))
     score = WORD_WEIGHT * F.lit(SHORT_TITLE_SCORE) + PREFIX_WEIGHT * F.col("_key.prefix_score")
     return keyed.select("_key.search_key", "category", "item_id", "_key.highlight", score.alias("score"), "risk")

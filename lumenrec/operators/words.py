@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenrec.functions.text import clean_title, title_tokens, word_terms
 from lumenrec.operators.lists import top_n
@@ -68,7 +68,7 @@ def term_counts(docs: DataFrame, document: Sequence[str], text: str) -> DataFram
 
 def keywords_tfidf(
     docs: DataFrame, id_col: str, text: str, n: int | None = None, keep: Sequence[str] = (),
-    of_term: tuple[str, Callable[[DataFrame], DataFrame]] | None = None,
+    of_term: tuple[str, Callable[[DataFrame], DataFrame]] | None = None, first: int | None = None,
 ) -> DataFrame:
     """The terms of every text by ``tf * ln(N / df)`` → id, ``term``, ``score_ppm``.
 
@@ -77,6 +77,9 @@ def keywords_tfidf(
     frequencies, one row per term, are written first: where they are small Spark sends them to the
     documents' terms, else both sides get an exchange and Spark can split a term found everywhere.
     ``of_term`` is a column and what adds it to a table of distinct terms, so it is made once a term.
+    With ``first`` only the rows of the ``first`` smallest ids (in the order of texts) of each term and ``keep``
+    are scored and returned; each task cuts its own rows before the shuffle, so no term is hot. The document
+    frequencies are always those of all documents.
     """
     total = docs.select(F.count(F.lit(1))).scalar()
     document = [id_col, *keep]
@@ -85,6 +88,9 @@ def keywords_tfidf(
     made = []
     if of_term is not None:
         made, df = [of_term[0]], materialize(of_term[1](df), "terms")
+    if first is not None:
+        order = Window.partitionBy("term", *keep).orderBy(F.col(id_col).cast("string"))
+        tf = tf.withColumn("_first", F.dense_rank().over(order)).where(F.col("_first") <= first).drop("_first")
     weight = F.col("tf") * F.log(total.cast("double") / F.col("df"))
     scored = tf.join(df, "term").withColumn("score_ppm", F.floor(weight * 1000000.0).cast("bigint"))
     if n is None:

@@ -104,13 +104,14 @@ def _document_sql(view: str, index: str) -> str:
       FROM ({view}) GROUP BY search_key"""
 
 
-def recalled(inp: Inputs) -> DataFrame:
+def recalled(inp: Inputs, best: int | None = None) -> DataFrame:
     spec = catalog.source
     return post.search_recall(
         spec("long_items").read(inp.named),
         spec("short_items").read(inp.named),
         spec("collections").read(inp.named),
         spec("people").read(inp.named),
+        best=best,
     )
 
 
@@ -264,7 +265,7 @@ def import_packed_postings(inp: Inputs) -> DataFrame:
     **SEARCH,
 )
 def tiered_top25(inp: Inputs) -> DataFrame:
-    return post.tiered_top(recalled(inp)).select(
+    return post.tiered_top(recalled(inp, post.LIST_SIZE)).select(
         "search_key", "category", "item_id", "highlight", score_ppm(), "risk"
     )
 
@@ -318,22 +319,22 @@ def _contents(postings: DataFrame, level: int) -> DataFrame:
 
 @query("risk_view_low", _view_sql("tiered", 0), **SEARCH)
 def risk_view_low(inp: Inputs) -> DataFrame:
-    return _contents(post.tiered_top(recalled(inp)), 0)
+    return _contents(post.tiered_top(recalled(inp, post.LIST_SIZE)), 0)
 
 
 @query("risk_view_middle", _view_sql("tiered", 1), **SEARCH)
 def risk_view_middle(inp: Inputs) -> DataFrame:
-    return _contents(post.tiered_top(recalled(inp)), 1)
+    return _contents(post.tiered_top(recalled(inp, post.LIST_SIZE)), 1)
 
 
 @query("risk_view_high", _view_sql("tiered", 2), **SEARCH)
 def risk_view_high(inp: Inputs) -> DataFrame:
-    return _contents(post.tiered_top(recalled(inp)), 2)
+    return _contents(post.tiered_top(recalled(inp, post.LIST_SIZE)), 2)
 
 
 @query("index_documents", _document_sql(_view_sql("tiered", 0), "search_low"), **SEARCH)
 def index_documents(inp: Inputs) -> DataFrame:
-    return post.index_documents(_contents(post.tiered_top(recalled(inp)), 0), "search_low", "prefix_search", "rule0")
+    return post.index_documents(_contents(post.tiered_top(recalled(inp, post.LIST_SIZE)), 0), "search_low", "prefix_search", "rule0")
 
 
 @query(
@@ -344,7 +345,7 @@ def index_documents(inp: Inputs) -> DataFrame:
 def index_bulk_lines(inp: Inputs) -> DataFrame:
     """The bulk files as an index server would read them."""
     docs = post.index_documents(
-        _contents(post.tiered_top(recalled(inp)), 1), "search_middle", "prefix_search", "rule0"
+        _contents(post.tiered_top(recalled(inp, post.LIST_SIZE)), 1), "search_middle", "prefix_search", "rule0"
     )
     path = new_scratch(inp.spark, "bulk")
     post.write_bulk(docs, path)
@@ -360,7 +361,7 @@ def index_bulk_lines(inp: Inputs) -> DataFrame:
 )
 def short_key_cache(inp: Inputs) -> DataFrame:
     packed = pack_hash(
-        post.short_keys(_contents(post.tiered_top(recalled(inp)), 0)), "search_key", "category", "content", "low:"
+        post.short_keys(_contents(post.tiered_top(recalled(inp, post.LIST_SIZE)), 0)), "search_key", "category", "content", "low:"
     )
     entries = F.sort_array(F.map_entries("fields"))
     return packed.select(

@@ -238,3 +238,34 @@ def test_keys_of_terms_are_those_of_their_words(frame, rows):
         want = post.recall_words(post.search_words(long_items, short, codes, people, keywords))
         got = post.search_recall(long_items, short, codes, people, keywords=keywords)
         assert sorted(rows(got, *columns), key=str) == sorted(rows(want, *columns), key=str)
+
+
+def test_recall_for_short_lists_keeps_what_they_hold(frame, rows):
+    """A term of many items gets its keys for the first ids of each category and risk only; the tiers stay the same."""
+    shared = [(i, "cd"[i % 2], "hot ab1c x" if i % 5 else "hot hat", i % 3) for i in range(1, 60)]
+    odd = [(None, "c", "hot", 0), (7, "d", "hot x", 1), (8, None, "hot", 0), (9, "c", None, 0), (10, "c", "hut", None), (11, "c", "hat", 5)]
+    short = frame("item_id int, category string, title string, risk bigint", *shared, *odd, *shared[:9])
+    long_items = frame("item_id int, category string, risk bigint, title string", *[(i, "c", 0, "hot cat") for i in range(9)])
+    codes, people = frame("code string, title string", ("f", "far east")), frame("person_id int, name string", (7, "hot lee"))
+    whole = post.search_recall(long_items, short, codes, people)
+    cut = post.search_recall(long_items, short, codes, people, best=3)
+    assert sorted(rows(post.tiered_top(cut, 3)), key=str) == sorted(rows(post.tiered_top(whole, 3)), key=str)
+    assert cut.exceptAll(whole).count() == 0
+    of_term = cut.where("search_key = 'hot' and highlight = 'hot' and category = 'd'").collect()
+    assert sorted((r.risk, r.item_id) for r in of_term) == [
+        (risk, i) for risk in (0, 1, 2) for i in sorted({str(i) for i, c, _, r in [*shared, *odd] if (c, r) == ("d", risk)})[:3]
+    ]
+    # where each item has its own keywords, nothing is cut
+    some = post.search_recall(long_items, short, codes, people, keywords=1, best=3)
+    assert rows(some.groupBy().count()) == rows(post.search_recall(long_items, short, codes, people, keywords=1).groupBy().count())
+
+
+@pytest.mark.parametrize("name", ["index_bulk_lines", "tiered_top25", "index_documents"])
+def test_lists_are_ranked_from_cut_terms(spark, monkeypatch, name):
+    """The terms that get keys are at most 25 per term, category and risk, however many texts have the term."""
+    from lumenrec.plans import catalogue
+
+    keyed, tfidf = [], post.keywords_tfidf
+    monkeypatch.setattr(post, "keywords_tfidf", lambda *args: keyed.append(tfidf(*args)) or keyed[0])
+    catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert keyed[0].groupBy("term", "category", "risk").count().agg(F.max("count")).first()[0] == 25
