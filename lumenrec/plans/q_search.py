@@ -400,7 +400,7 @@ def search_index_batch(inp: Inputs) -> DataFrame:
     long_items = dedup_by_canonical(valid, canonical_map(inp.canonical_relation))
     short = drop_stale(inp.short_items, "update_ts", ["short-fr", "short-de"], "2001-10-01")
     postings = post.search_recall(
-        long_items, short.select("item_id", "category", "title", "risk"), inp.collections, inp.people
+        long_items, short.select("item_id", "category", "title", "risk"), inp.collections, inp.people, best=post.LIST_SIZE
     )
     views = post.join_view(post.risk_views(post.tiered_top(postings)), ppm(F.col("score")).cast("string"))
     index = F.concat(F.lit("search_"), F.col("view"))

@@ -260,7 +260,7 @@ def test_recall_for_short_lists_keeps_what_they_hold(frame, rows):
     assert rows(some.groupBy().count()) == rows(post.search_recall(long_items, short, codes, people, keywords=1).groupBy().count())
 
 
-@pytest.mark.parametrize("name", ["index_bulk_lines", "tiered_top25", "index_documents"])
+@pytest.mark.parametrize("name", ["index_bulk_lines", "search_index_batch", "tiered_top25", "index_documents"])
 def test_lists_are_ranked_from_cut_terms(spark, monkeypatch, name):
     """The terms that get keys are at most 25 per term, category and risk, however many texts have the term."""
     from lumenrec.plans import catalogue
