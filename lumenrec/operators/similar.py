@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lumenrec.operators.lists import top_n
 from lumenrec.operators.reduced import distinct_keys, per_key
@@ -218,17 +219,19 @@ def similar_sparse(entries: DataFrame, n: int = 60, feature_rows: int = 4096) ->
     hot = materialize(_hot_features(rows, feature_rows), "hot-features")
     ppm = F.floor(_cosine() * SCALE).cast("bigint").alias("sim_ppm")
     if hot.isEmpty():
-        known = rows.join(_lengths(rows, hot), "item_id").withColumn("h", F.lit(None).cast("double"))
-        dots = _rare_products(known).where("dot <> 0").select(
-            "_part", F.col("a").alias("item_id"), F.col("b").alias("other_id"), ppm
-        )
-        best = top_n(dots, ["_part", "item_id"], [F.col("sim_ppm").desc(), F.col("other_id")], n)
-        return best.select("item_id", "other_id", "sim_ppm", "pos")
+        kind, arrow = _id_types(rows)
+        known = rows.join(_lengths(rows, hot).drop("h"), "item_id")
+        return _rare_products(known, _ranked(n, arrow), f"item_id {kind}, other_id {kind}, sim_ppm bigint, pos bigint")
     rare, met = hot_products(rows, hot, n)
     dots = rare.unionByName(met).groupBy("a", "b", "na", "nb").agg(F.sum("dot").alias("dot")).where("dot <> 0")
     return _best(_both(dots, ppm), n)
 
 
+def _id_types(rows: DataFrame) -> tuple[str, pa.DataType]:
+    """Spark's name of the ids' type, and Arrow's type."""
+    return rows.schema["item_id"].dataType.simpleString(), to_arrow_type(rows.schema["item_id"].dataType)
+
+
 def _hot_features(rows: DataFrame, feature_rows: int) -> DataFrame:
     """Features of more than ``feature_rows`` items, and in how many slices each is compared."""
     counts = rows.groupBy("feature").agg(F.count(F.lit(1)).alias("_n"))
@@ -250,39 +253,210 @@ def _lengths(rows: DataFrame, hot: DataFrame) -> DataFrame:
     return sums.select("item_id", "norm", F.when(F.col("_below"), -share).otherwise(share).alias("h"))
 
 
-# Products that one part of the items forms on average, and parts per task (they are dealt by hash).
-_PART_PRODUCTS, _TASK_PARTS = 2**20, 8
+# Entries that a task packs, entries that a task reads (some 20 bytes each), products a task forms, products at a time.
+_PACKED, _PART_ENTRIES, _PART_PRODUCTS, _PIECE = 2**23, 3 * 2**23, 2**28, 2**21
 
 
-def _rare_products(known: DataFrame) -> DataFrame:
-    """The summed products of all pairs that share a feature → ``_part, a, b, na, nb, ha, hb, dot``, in both directions.
+def _part_numbers(known: DataFrame) -> tuple[int, int]:
+    """In how many parts the items are dealt, and in how many groups the features that send them their lists.
 
-    All rows of an ``a`` are in one part, and parts are what rows are dealt by: a window or group by ``_part`` and
-    ``a`` takes no shuffle. What is shuffled are the features' lists, each once for every part with an item of it.
+    A list of m items goes to about p (1 - (1 - 1/p)^m) of p parts. The fewer parts, the fewer copies of the lists
+    are shuffled, so the number is doubled from the cores' until a part's share of the lists fits its bound.
     """
-    counts = known.groupBy("feature").agg(F.count(F.lit(1)).alias("_n"))
-    work = counts.agg(F.sum(F.col("_n").cast("double") * F.col("_n"))).first()[0] or 0.0
-    tasks = max(known.sparkSession.sparkContext.defaultParallelism, int(work / _PART_PRODUCTS) + 1)
-    part = F.pmod(F.xxhash64("item_id"), F.lit(tasks * _TASK_PARTS)).cast("int").alias("part")
-    entry = F.struct(F.col("item_id").alias("id"), "w", F.col("norm").alias("n"), "h", part)
-    lists = known.groupBy("feature").agg(F.collect_list(entry).alias("_all"))
-    # Arrays of plain values: less than half the bytes of an array of structs.
-    plain = lists.select(*[F.col(f"_all.{c}").alias(f"_{c}") for c in ("id", "w", "n", "h", "part")])
-    dealt = plain.withColumn("_to", F.explode(F.array_distinct("_part")))
-    mine = F.filter(F.transform("_part", lambda p, at: F.when(p == F.col("_to"), at)), lambda at: at.isNotNull())
-    dealt = dealt.withColumn("_mine", mine).drop("_part").withColumnRenamed("_to", "_part").repartition(tasks, "_part")
-    value = lambda c, at: F.get(F.col(c), F.col(at))
-    left = dealt.withColumn("_i", F.explode("_mine")).select(
-        "_part", "_id", "_w", "_n", "_h", value("_id", "_i").alias("a"), value("_w", "_i").alias("wa"),
-        value("_n", "_i").alias("na"), value("_h", "_i").alias("ha"),
-    )
-    pairs = left.select(
-        "_part", "a", "wa", "na", "ha", F.explode(F.arrays_zip("_id", "_w", "_n", "_h")).alias("_b")
-    ).select(
-        "_part", "a", F.col("_b._id").alias("b"), "na", F.col("_b._n").alias("nb"), "ha", F.col("_b._h").alias("hb"),
-        (F.col("wa") * F.col("_b._w")).alias("dot"),
-    )
-    return pairs.where("a <> b").groupBy("_part", "a", "b", "na", "nb", "ha", "hb").agg(F.sum("dot").alias("dot"))
+    sizes = known.groupBy("feature").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    choices = [known.sparkSession.sparkContext.defaultParallelism * 2**k for k in range(16)]
+    reads = [F.sum(F.col("_n") * (1 - F.pow(F.lit(1 - 1 / p), F.col("_n")))) for p in choices]
+    work, *reads = sizes.agg(F.sum(F.col("_n") * F.col("_n")), *reads).first()
+    if work is None:
+        return choices[0], choices[0]
+    fits = (k for k, p in enumerate(choices) if reads[k] <= _PART_ENTRIES and work / p <= _PART_PRODUCTS)
+    best = next(fits, len(choices) - 1)
+    return choices[best], max(choices[0], int(reads[best] * choices[best] / _PACKED) + 1)
+
+
+def _rare_products(known: DataFrame, task: Callable, schema: str) -> DataFrame:
+    """``task`` for every part of the items, over the summed products of all pairs that share a feature, in both directions.
+
+    ``known`` has ``item_id, feature, w, norm`` and, if the task reads them, ``h, step``. All rows of an item are in one
+    part, so the task can rank its partners. What is shuffled are the features' lists, packed, each once for every part
+    with an item of it; no pair is.
+    """
+    parts, groups = _part_numbers(known)
+    part = F.pmod(F.xxhash64("item_id"), F.lit(parts)).cast("int").alias("_to")
+    group = F.pmod(F.xxhash64("feature", F.lit(1)), F.lit(groups)).alias("_from")
+    dealt = known.withColumns({"_to": part, "_from": group}).repartition(groups, "_from").groupBy("_from")
+    packed = dealt.applyInArrow(_pack_lists, "_part int, _lists binary")
+    return packed.repartition(parts, "_part").groupBy("_part").applyInArrow(task, schema)
+
+
+def _lean(values: np.ndarray) -> pa.Array:
+    """Whole numbers in the shortest type that holds them."""
+    if len(values) and np.isfinite(values).all():
+        for kind in (np.int8, np.int16, np.int32):
+            bounds = np.iinfo(kind)
+            if values.min() >= bounds.min and values.max() <= bounds.max and (values == (short := values.astype(kind))).all():
+                return pa.array(short)
+    return pa.array(values)
+
+
+def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers ``first[i]``, …, ``first[i] + size[i] - 1`` of every i in a row."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _pack_lists(table: pa.Table) -> pa.Table:
+    """The lists of a group's features, for each part those with an item of it: one compressed Arrow stream a part."""
+    feature = table.column("feature").combine_chunks().dictionary_encode().indices.to_numpy()
+    ids = table.column("item_id").combine_chunks()
+    whole = pa.types.is_integer(ids.type)
+    # Whole numbers are sent as steps, which are short.
+    order = np.lexsort((ids.to_numpy(), feature)) if whole else np.argsort(feature, kind="stable")
+    table, ids, feature = table.take(pa.array(order)), ids.take(pa.array(order)), feature[order]
+    size = np.bincount(feature)
+    first = np.cumsum(size) - size
+    part = table.column("_to").to_numpy().astype(np.int64)
+    send = np.unique(part * len(size) + feature)
+    to, lists = send // len(size), send % len(size)
+    edges = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
+    numbers = {c: table.column(c).to_numpy() for c in ("w", "norm", "h", "step") if c in table.column_names}
+    out = []
+    for begin, end in zip(edges[:-1], edges[1:]):
+        mine = lists[begin:end]
+        at = _ragged(first[mine], size[mine])
+        those = ids.take(pa.array(at))
+        if whole:
+            those = _lean(np.diff(those.to_numpy().astype(np.int64), prepend=0))
+        columns = {"id": those, "mine": pa.array(part[at] == to[begin])} | {c: _lean(v[at]) for c, v in numbers.items()}
+        offsets = pa.array(np.append(0, np.cumsum(size[mine])).astype(np.int32))
+        batch = pa.record_batch({"list": pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(list(columns.values()), list(columns)))})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_batch(batch)
+        out.append(sink.getvalue())
+    return pa.table({"_part": pa.array(to[edges[:-1]].astype(np.int32)), "_lists": pa.array([b.to_pybytes() for b in out], pa.binary())})
+
+
+class _Lists:
+    """The lists that a part was sent. Items are numbered in the order of their ids."""
+
+    def __init__(self, table: pa.Table, kind: pa.DataType) -> None:
+        streams = (pa.ipc.open_stream(b.as_buffer()).read_all().column("list") for b in table.column("_lists"))
+        lists = [chunk for stream in streams for chunk in stream.chunks]
+        self.size = np.concatenate([np.diff(x.offsets.to_numpy()) for x in lists]).astype(np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        entries = [x.flatten() for x in lists]
+        if pa.types.is_integer(kind):
+            ids = pa.array(np.concatenate([np.cumsum(e.field("id").to_numpy(), dtype=np.int64) for e in entries]))
+        else:
+            ids = pa.concat_arrays([e.field("id") for e in entries])
+        coded = ids.dictionary_encode()
+        del ids
+        order = pc.sort_indices(coded.dictionary).to_numpy()
+        self.ids = coded.dictionary.take(pa.array(order)).cast(kind)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        self.item = rank[coded.indices.to_numpy()]
+        del coded
+        column = lambda c: np.concatenate([e.field(c).to_numpy(zero_copy_only=False) for e in entries])
+        self.w = column("w")
+        own = np.flatnonzero(column("mine"))
+        rows = own[np.argsort(self.item[own], kind="stable")]
+        # One row per item of the part and list that it is in.
+        self.rows, self.list = rows, np.repeat(np.arange(len(self.size)), self.size)[rows]
+        self.of: dict[str, np.ndarray] = {}
+        for c in ("norm", "h", "step"):
+            if entries[0].type.get_field_index(c) >= 0:
+                self.of[c] = np.zeros(len(order))
+                self.of[c][self.item] = column(c)
+
+    def products(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Items, partners and summed products, all pairs of some items at a time, in the order of both."""
+        many = self.size[self.list]
+        before = np.append(0, np.cumsum(many))
+        item = self.item[self.rows]
+        ends = np.append(np.flatnonzero(np.diff(item)) + 1, len(item))  # where the items' rows end
+        at = 0
+        while at < len(item):
+            # As many items as stay in a piece, at least one; what a single one has beyond it is added up piece by piece.
+            reach = np.searchsorted(before[ends], before[at] + _PIECE, side="right") - 1
+            end = ends[max(reach, np.searchsorted(ends, at, side="right"))]
+            held = None
+            while at < end:
+                stop = min(end, max(at + 1, np.searchsorted(before, before[at] + _PIECE, side="right") - 1))
+                piece = self._formed(slice(at, stop))
+                held = piece if held is None else _added(*(np.concatenate(x) for x in zip(held, piece)))
+                at = stop
+            a, b, dot = held
+            other = a != b
+            yield a[other], b[other], dot[other]
+
+    def _formed(self, where: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows, lists = self.rows[where], self.list[where]
+        many = self.size[lists]
+        partner = _ragged(self.first[lists], many)
+        return _added(np.repeat(self.item[rows], many), self.item[partner], np.repeat(self.w[rows].astype(np.float64), many) * self.w[partner])
+
+
+def _added(a: np.ndarray, b: np.ndarray, dot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs in order, each once, with the sum of its products."""
+    key = (a.astype(np.int64) << 32) + b
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return (key[first] >> 32), (key[first] & 0xFFFFFFFF), np.add.reduceat(dot[order], first) if len(first) else dot
+
+
+def _ranked(n: int, kind: pa.DataType) -> Callable:
+    """The ``n`` best partners of every item of a part, of those whose products do not cancel."""
+
+    def task(table: pa.Table) -> pa.Table:
+        lists, found = _Lists(table, kind), []
+        for a, b, dot in lists.products():
+            real = dot != 0
+            a, b, dot = a[real], b[real], dot[real]
+            norm = lists.of["norm"]
+            a, b, ppm = _keep_best(a, b, np.floor(dot / np.sqrt(norm[a] * norm[b]) * SCALE).astype(np.int64), n)
+            found.append((a, b, ppm, np.arange(len(a)) - np.searchsorted(a, a, side="left") + 1))
+        a, b, ppm, pos = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*found) if found else [()] * 4))
+        return pa.table({"item_id": lists.ids.take(pa.array(a)), "other_id": lists.ids.take(pa.array(b)), "sim_ppm": ppm, "pos": pos})
+
+    return task
+
+
+def _bounded(n: int, kind: pa.DataType) -> Callable:
+    """Pairs of every item of a part that may be among its ``n`` best or meet it on hot features, and its bound.
+
+    The bound is what its ``n``-th best partner has at least, null without one. See ``hot_products``.
+    """
+
+    def task(table: pa.Table) -> pa.Table:
+        lists, found = _Lists(table, kind), []
+        norm, h, step = (lists.of[c] for c in ("norm", "h", "step"))
+        for a, b, dot in lists.products():
+            cosine, reach = dot / np.sqrt(norm[a] * norm[b]), np.abs(h[a] * h[b])
+            least = cosine - np.where((h[a] < 0) | (h[b] < 0), reach, 0.0)
+            order = np.lexsort((b, -least, a))
+            last = np.searchsorted(a, a, side="left") + n - 1  # pairs lie in the order of a, so does the n-th best place
+            there = (last < len(a)) & (a[np.minimum(last, len(a) - 1)] == a)
+            nth = np.where(there, least[order[np.minimum(last, len(a) - 1)]], 0.0)
+            # One millionth of slack on either side keeps rounding on the safe side.
+            bound = np.where(nth > 0, nth - 2 / SCALE, np.nan)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                wanted = bound / np.abs(h[a])
+                # A little more than Spark's own logarithm may find; it judges again.
+                asks = np.where(wanted <= 1.0, np.minimum(np.floor(-2.0 * np.log2(wanted) + 1e-6), _STEPS), -1)
+            asks = np.where(np.isnan(bound) | (bound <= 0), _STEPS, asks)
+            meets = (h[a] != 0) & (h[b] != 0) & (asks >= step[b])
+            kept = np.isnan(bound) | (cosine + reach >= bound) | meets
+            found.append([x[kept] for x in (a, b, dot, bound)])
+        empty = [np.empty(0, np.int64)] * 2 + [np.empty(0)] * 2
+        a, b, dot, bound = (np.concatenate([e, *x]) for e, x in zip(empty, zip(*found) if found else [()] * 4))
+        return pa.table({
+            "a": lists.ids.take(pa.array(a)), "b": lists.ids.take(pa.array(b)), "na": norm[a], "nb": norm[b], "ha": h[a], "hb": h[b],
+            "dot": dot, "bound": pa.array(bound, mask=np.isnan(bound)),
+        })
+
+    return task
 
 
 def _cosine() -> Column:
@@ -313,27 +487,20 @@ def hot_products(rows: DataFrame, hot: DataFrame, n: int) -> tuple[DataFrame, Da
     """
     known = rows.join(_lengths(rows, hot), "item_id")
     cold = known.join(distinct_keys(hot, "feature"), "feature", "left_anti")
-    # What hot features add at most; without negative weights they take nothing away.
+    # What hot features add at most; without negative weights they take nothing away (``_bounded``).
     reach = F.abs(F.col("ha") * F.col("hb"))
-    least = _cosine() - F.when((F.col("ha") < 0) | (F.col("hb") < 0), reach).otherwise(0.0)
     most = _cosine() + reach
     length = F.abs("h")
     wanted = F.col("bound") / length
     asks = F.when(F.col("bound").isNull() | (F.col("bound") <= 0), _STEPS).when(wanted <= 1.0, _step(wanted)).otherwise(-1)
     # Where an item's pairs are formed, its bound is known and all that cannot be among its best goes.
-    own = ["_part", "a"]
-    ranked = _rare_products(cold).withColumn("least", least).withColumn(
-        "_at", F.row_number().over(Window.partitionBy(*own).orderBy(F.col("least").desc(), F.col("b")))
-    )
-    nth = F.max(F.when((F.col("_at") == n) & (F.col("least") > 0), F.col("least"))).over(Window.partitionBy(*own))
-    # One millionth of slack on either side keeps rounding on the safe side.
-    bounded = ranked.withColumn("bound", nth - 2 / SCALE).withColumn("h", F.col("ha")).withColumn(
-        "asks", F.when(length > 0, asks).otherwise(-1)
-    )
-    met_there = F.coalesce(F.col("asks") >= F.when(F.abs("hb") > 0, _step(F.abs("hb"))), F.lit(False))
+    kind, arrow = _id_types(rows)
+    marked = cold.withColumn("step", F.when(length > 0, _step(length)).otherwise(0)).withColumn("h", F.coalesce("h", F.lit(0.0)))
     kept = materialize(
-        bounded.where(F.col("bound").isNull() | (most >= F.col("bound")) | met_there)
-        .select("a", "b", "na", "nb", "ha", "hb", "dot", "bound"), "rare-pairs",
+        _rare_products(
+            marked, _bounded(n, arrow),
+            f"a {kind}, b {kind}, na double, nb double, ha double, hb double, dot double, bound double",
+        ), "rare-pairs",
     )
     turned = F.col("a") > F.col("b")
     one = lambda x, y: F.when(turned, F.col(y)).otherwise(F.col(x))

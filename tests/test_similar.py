@@ -194,3 +194,38 @@ def test_panels_are_bounded(spark, monkeypatch):
     assert sum(sizes()) == 400 and max(sizes()) <= 200 // similar._PANELS + 8
     monkeypatch.setattr(similar, "_PANEL_CELLS", 12)  # six rows of two numbers
     assert max(sizes()) <= 12
+
+
+def test_lists_are_packed_and_products_summed_piece_by_piece(spark, monkeypatch):
+    """A feature's list goes to a part in one compressed row with others, and the products never are Spark's rows."""
+    rng = np.random.default_rng(11)
+    matrix = rng.integers(-3, 6, (70, 12)) * (rng.random((70, 12)) < 0.4)
+    matrix[0] = 3  # meets more partners than a piece holds
+    entries = [(i * 2**33, f, int(matrix[i, f])) for i, f in zip(*(x.tolist() for x in np.nonzero(matrix)))]
+    df = spark.createDataFrame(entries, "item_id bigint, feature bigint, weight bigint")
+    got = similar.similar_sparse(df, 5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("REPARTITION_BY_NUM")]
+    assert "FlatMapGroupsInArrow" in above and not re.search(r"Aggregate|Window|Generate", above)
+    found = brute_force(dict(enumerate(matrix.astype(float))), 5, 0.0, positive=True)
+    assert sorted(map(tuple, got.collect())) == [(a * 2**33, b * 2**33, s, p) for a, b, s, p in found]
+
+    import pyarrow as pa
+
+    table = pa.table({
+        "item_id": [e[0] for e in entries], "feature": [e[1] for e in entries], "w": [float(e[2]) for e in entries],
+        "norm": [float((matrix[e[0] >> 33] ** 2).sum()) for e in entries], "_to": pa.array([0] * len(entries), pa.int32()),
+    })
+    whole = similar._ranked(5, pa.int64())(similar._pack_lists(table))
+    monkeypatch.setattr(similar, "_PIECE", 40)
+    pieces = similar._ranked(5, pa.int64())(similar._pack_lists(table))
+    assert whole.equals(pieces) and whole.num_rows == len(found)
+
+
+def test_fewest_parts_whose_lists_fit(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f) for f in range(10) for i in range(40)], "item_id bigint, feature bigint")
+    cores = spark.sparkContext.defaultParallelism
+    assert similar._part_numbers(df)[0] == cores
+    monkeypatch.setattr(similar, "_PART_ENTRIES", 200)  # 400 entries; a list goes to nearly each of few parts
+    parts, _ = similar._part_numbers(df)
+    assert parts > cores and 400 * (1 - (1 - 1 / parts) ** 40) <= 200
