@@ -48,15 +48,30 @@ def shuffled_positions(df: DataFrame, key: str, item: str, seed: int = 7, pos: s
     )
 
 
-def ordered_positions(df: DataFrame, key: str, item: str, value: str, pos: str = "pos", width: int = 65536) -> DataFrame:
+def ordered_positions(
+    df: DataFrame, key: str, item: str, value: str, pos: str = "pos", width: int = 65536, list_rows: int = 20_000
+) -> DataFrame:
     """``(key, item, pos)``: place of every row in its key's whole list, largest ``value`` first, then by item.
 
-    For values that repeat, such as counts, sums and days: rows are folded by key and
+    A list of up to ``list_rows`` rows is numbered by one window, so its rows are shuffled once. Longer ones are
+    for values that repeat, such as counts, sums and days: their rows are folded by key and
     value (and by ranges of ``width`` ids), so a hot list is numbered in many tasks and
-    only its distinct values pass one window.
+    only its distinct values pass one window. The input is read twice, first for the lengths.
     """
-    rows = df.where(F.col(key).isNotNull())
-    whole = dict(df.dtypes)[item] in ("int", "bigint", "smallint")
+    rows = df.where(F.col(key).isNotNull()).select(*dict.fromkeys([key, item, value]))
+    sizes = per_key(rows, [key], F.count(F.lit(1)).alias("_size"))
+    long = materialize(sizes.where(F.col("_size") > list_rows).select(key), "long-lists")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.col(value).desc(), F.col(item)))
+    number = lambda short: short.select(key, item, place.cast("bigint").alias(pos))
+    if long.isEmpty():
+        return number(rows)
+    return number(rows.join(long, key, "left_anti")).unionByName(
+        _sliced_positions(rows.join(long, key, "left_semi"), key, item, value, pos, width)
+    )
+
+
+def _sliced_positions(rows: DataFrame, key: str, item: str, value: str, pos: str, width: int) -> DataFrame:
+    whole = dict(rows.dtypes)[item] in ("int", "bigint", "smallint")
     span = F.floor(F.col(item) / width) if whole else F.lit(0)
     entry = F.struct(F.col(item).alias("_item"))
     slices = rows.groupBy(key, F.col(value).alias("_value"), span.alias("_span")).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))

@@ -18,13 +18,15 @@ def mix(
     n: int,
     mode: str = STACKING,
     ratio: Sequence[int] | None = None,
+    short: bool = False,
 ) -> DataFrame:
     """Merge ``(key, item, rank)`` lists → ``(key, item, pos, score)`` with ``score = 1 / pos``.
 
     STACKING takes source 1 first and fills up from the next ones. RATIO takes
     ``ratio[s]`` items of each source in turn; an exhausted source is passed over.
     An item offered twice keeps its earliest place. Places are combined with
-    ``min`` (partial aggregation on (key, item)) before the per-key limit.
+    ``min`` (partial aggregation on (key, item)) before the per-key limit. With ``short``
+    no key has more than some hundred rows: these are shuffled once, by key, for both.
     """
     if mode == RATIO:
         if ratio is None or len(ratio) != len(sources):
@@ -37,6 +39,8 @@ def mix(
         place = _stack_place(index) if mode == STACKING else _turn_place(index, ratio)
         offer = source.select(key, item, place.alias("_place"))
         offers = offer if offers is None else offers.unionByName(offer)
+    if short:
+        offers = offers.repartition(key)
     first = offers.groupBy(key, item).agg(F.min("_place").alias("_place"))
     return (
         top_n(first, [key], [F.col("_place"), F.col(item)], n)

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import collections
+import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from lumenrec.operators import lists, publish
 from lumenrec.operators.mix import RATIO, STACKING, mix
+from lumenrec.plans import jobs
 
 SCORED = "user_id bigint, item_id bigint, score bigint"
 
@@ -220,3 +223,44 @@ def test_rows_of_few_long_lists_are_shuffled_once(spark, frame):
     got = df.collect()
     assert sorted(i for r in got for i in r.entries) == list(range(60))
     assert {r.chunk for r in got if r.k != "long"} == {0} and {r.chunk for r in got if r.k == "long"} <= {0, 1, 2}
+
+
+def _exchanges(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len(re.findall(r"\bExchange hashpartitioning", plan))
+
+
+def test_short_lists_are_numbered_by_one_shuffle(spark):
+    rows = [(u, (7 * i) % 11, i % 3) for u in range(6) for i in range(3 + 4 * u)] + [(None, 1, 1), (2, None, 1), (3, 4, None), (2, 0, 0)]
+    df = spark.createDataFrame(rows, "user_id bigint, item_id bigint, total bigint")
+    one = lists.ordered_positions(df, "user_id", "item_id", "total")
+    assert _exchanges(one) == 1
+    for bound in (0, 8):  # every list, or some, by slices
+        assert sorted(map(str, one.collect())) == sorted(map(str, lists.ordered_positions(df, "user_id", "item_id", "total", list_rows=bound).collect()))
+
+
+@pytest.mark.parametrize("mode, ratio", [("stacking", None), ("ratio", [2, 1])])
+def test_short_lists_are_mixed_by_one_shuffle(spark, mode, ratio):
+    schema = "k bigint, i bigint, rank bigint"
+    a = spark.createDataFrame([(k, (3 * r + k) % 20, r) for k in range(5) for r in range(1, 15)] + [(None, 1, 1), (1, 5, 9)], schema)
+    b = spark.createDataFrame([(k, (5 * r) % 20, r) for k in range(1, 6) for r in range(1, 9)], schema)
+    whole, short = (mix([a, b], "k", "i", 12, mode, ratio, short=s) for s in (False, True))
+    assert _exchanges(short) == 1 and sorted(map(str, whole.collect())) == sorted(map(str, short.collect()))
+
+
+def test_shared_shelves_are_not_shuffled_with_their_users(spark):
+    """A shelf of several slices, a user without a shelf's list, a user in one slot only."""
+    shelved = spark.createDataFrame([("a", i, i + 1) for i in range(5)] + [("b", 9, 1)], "shelf string, item_id bigint, pos bigint")
+    folded = lists.fold_list(shelved, "shelf", "item_id", "pos", slice_rows=3)
+    members = spark.createDataFrame([(1, "a"), (2, "b"), (3, "none"), (4, "a")], "user_id bigint, shelf string")
+    own = spark.createDataFrame([(1, 7, 1), (1, 6, 2), (5, 8, 1), (3, 2, 1)], "user_id bigint, item_id bigint, pos bigint")
+    got = jobs.front_union({"portal": (own, "mix"), "vip": ((members, folded), "factors")}, "d")
+    portal = {"1": [7, 6], "5": [8], "3": [2]}
+    vip = {"1": [0, 1, 2], "1#1": [3, 4], "4": [0, 1, 2], "4#1": [3, 4], "2": [9]}
+    slot = lambda ids, alg: None if ids is None else {"id": ids, "alg": alg}
+    want = {f"front:{k}": {"portal": slot(portal.get(k), "mix"), "vip": slot(vip.get(k), "factors"), "date": "d"} for k in {*portal, *vip}}
+    assert {r.key: json.loads(r.value) for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # The lists come in above the union of the slots.
+    assert plan.index("LeftOuter") < plan.index("Union")
