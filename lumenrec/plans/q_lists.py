@@ -153,19 +153,24 @@ _MIXED = """
 
 
 def _sources(inp: Inputs, n: int) -> list[DataFrame]:
-    """The lists for a mix of ``n``. Users share the model's shelves; behind ``n`` other items of its list none is in the mix."""
+    """The lists for a mix of ``n``. Users share the model's shelves; behind ``n`` other items of its list none is in the mix.
+
+    So at most ``n`` items of each list are sent. What users took is in their own lists once an item.
+    """
+    inp.share_taken()
     model = inp.favourites(inp.model_shelf, first=n)
-    return [inp.cluster_candidates, inp.series_candidates, inp.similar_candidates, model]
+    own = [c.where(F.col("rank") <= n) for c in (inp.cluster_candidates, inp.series_candidates)]
+    return [*own, inp.similar_candidates, model]
 
 
 @query("mix_stacking", _MIXED.format(turn="0", n=60))
 def mix_stacking(inp: Inputs) -> DataFrame:
-    return mix(_sources(inp, 60), "user_id", "item_id", 60, STACKING).drop("score")
+    return mix(_sources(inp, 60), "user_id", "item_id", 60, STACKING, short=True).drop("score")
 
 
 @query("mix_ratio", _MIXED.format(turn="CASE src WHEN 0 THEN (rank - 1) // 3 ELSE rank - 1 END", n=200))
 def mix_ratio(inp: Inputs) -> DataFrame:
-    return mix(_sources(inp, 200), "user_id", "item_id", 200, RATIO, [3, 1, 1, 1]).drop("score")
+    return mix(_sources(inp, 200), "user_id", "item_id", 200, RATIO, [3, 1, 1, 1], short=True).drop("score")
 
 
 @query(
