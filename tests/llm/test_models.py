@@ -394,3 +394,28 @@ def test_stages_keep_the_columns(spark, hard):
     empty = hard.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SMALL).count() == 0
+
+
+def test_gradient_adds_rows_by_counting(toy, monkeypatch):
+    """Scattered additions took a sixth of a step; rows that occur twice get both gradients all the same."""
+
+    class Without:
+        def __getattr__(self, name):
+            assert name != "add"
+            return getattr(np, name)
+
+    classes, _, model = toy
+    rng = np.random.default_rng(5)
+    rows, targets = rng.integers(0, 20, (7, 9)), rng.integers(0, 12, (7, 9))
+    weight = np.ones((7, 9), np.float32)
+    monkeypatch.setattr(language, "np", Without())
+    whole = model.gradient(rows, targets, weight)
+    parts = [model.gradient(rows[k : k + 1], targets[k : k + 1], weight[k : k + 1]) for k in range(7)]
+    assert whole == pytest.approx(sum(parts) / 7, abs=1e-5)
+
+
+def test_gradient_of_large_scores_is_finite(toy):
+    classes, _, model = toy
+    large = model.like(model.flat() * 300)  # beyond what single precision can take the exponential of
+    rows = np.arange(45).reshape(5, 9)
+    assert np.isfinite(large.gradient(rows, rows % 12, np.ones((5, 9), np.float32))).all()
