@@ -163,7 +163,8 @@ def random_head_shared(members: DataFrame, shared: DataFrame, key: str, group: s
     wanted = F.lit(n + 8 * n**0.5 + 20) / F.col("_size")
     below = F.when(wanted < 1, F.lower(F.lpad(F.hex((wanted * 2**32).cast("bigint")), 8, "0"))).otherwise("g").alias("_below")
     known = members.select(key, group).where(F.col(key).isNotNull()).join(sizes.select(group, "_size", below), group)
-    near = known.join(entries, group).where(F.substring(shuffle_digest(seed, key, item), 1, 8) < F.col("_below"))
+    met = _met_in_shares(known, entries, sizes, key, group, item)
+    near = met.where(F.substring(shuffle_digest(seed, key, item), 1, 8) < F.col("_below"))
     head = materialize(random_head(near, key, item, n, seed), "random-head")
     found = per_key(head, [key], F.max("rank").alias("_found"))
     short = materialize(
@@ -175,6 +176,30 @@ def random_head_shared(members: DataFrame, shared: DataFrame, key: str, group: s
     return head.join(short.select(key).distinct(), key, "left_anti").unionByName(rest)
 
 
+# Pairs of a member and an item that are formed in one place, and items in one array.
+_SHARE_PAIRS, _SHARE_ITEMS = 2**23, 2**16
+
+
+def _met_in_shares(known: DataFrame, entries: DataFrame, sizes: DataFrame, key: str, group: str, item: str) -> DataFrame:
+    """``known`` with every item of its group. Members and items are few bytes, but their pairs are many.
+
+    So a group's members are dealt to shares by their pairs, the group's items go to each of its shares as arrays,
+    and the number of partitions follows the pairs, not the bytes.
+    """
+    counts = per_key(known, [group], F.count(F.lit(1)).alias("_members")).join(sizes, group)
+    shares = materialize(
+        counts.select(group, "_size", F.ceil(F.col("_members") * F.col("_size") / _SHARE_PAIRS).cast("int").alias("_shares")), "shares"
+    )
+    tasks = max(2 * known.sparkSession.sparkContext.defaultParallelism, (shares.agg(F.sum("_shares")).first()[0] or 0) // 4)
+    share = F.pmod(F.xxhash64(key), "_shares").cast("int").alias("_share")
+    dealt = known.join(shares.select(group, "_shares"), group).select(*known.columns, share).repartition(tasks, group, "_share")
+    part = F.pmod(F.xxhash64(item), F.ceil(F.col("_size") / _SHARE_ITEMS)).alias("_part")
+    arrays = entries.join(shares, group).groupBy(group, "_shares", part).agg(F.collect_list(F.struct(item)).alias("_items"))
+    sent = arrays.select(group, F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)).alias("_share"), "_items")
+    met = dealt.join(sent.repartition(tasks, group, "_share"), [group, "_share"])
+    return met.select(*known.columns, F.explode("_items").alias("_one")).select(*known.columns, F.col(f"_one.{item}"))
+
+
 def first_items(df: DataFrame, keys: Sequence[str], item: str, order: Sequence[Column], n: int) -> DataFrame:
     """All rows of the first ``n`` distinct items of every key's list."""
     placed = df.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

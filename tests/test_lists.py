@@ -264,3 +264,18 @@ def test_shared_shelves_are_not_shuffled_with_their_users(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     # The lists come in above the union of the slots.
     assert plan.index("LeftOuter") < plan.index("Union")
+
+
+def test_pairs_of_members_and_items_are_formed_in_many_tasks(spark, monkeypatch):
+    """All members are in one small partition, and nearly all in one group."""
+    monkeypatch.setattr(lists, "_SHARE_PAIRS", 10_000)
+    monkeypatch.setattr(lists, "_SHARE_ITEMS", 128)
+    members = spark.range(0, 401, 1, 1).selectExpr("id as u", "case when id = 400 then 'b' else 'a' end as g")
+    items = spark.range(0, 500, 1, 1).selectExpr("'a' as g", "id as i").union(spark.sql("select 'a', null union all select 'b', 3 union all select 'c', 4"))
+    sizes = items.groupBy("g").agg(F.count(F.lit(1)).alias("_size"))
+    known = members.withColumn("_below", F.lit("g"))
+    met = lists._met_in_shares(known, items, sizes, "u", "g", "i")
+    assert met.columns == ["u", "g", "_below", "i"]
+    assert sorted(map(str, met.collect())) == sorted(map(str, known.join(items, "g").select(*met.columns).collect()))
+    sizes = [r["count"] for r in met.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 400 * 501 + 1 and max(sizes) < 0.5 * sum(sizes)
